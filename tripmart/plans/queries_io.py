@@ -1 +1,205 @@
-"""Registered source, sink, quality and incremental queries."""
+"""Registered data-test, merge, ingest, layout and streaming queries
+(Q1-Q5, K5, K8, I1, I2).
+
+The merge and ingest queries write to fresh folders under the shared
+scratch root (``spark.checkpoint.dir``) and return the resulting table.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import exprs as X
+from ..operators import merge as MG
+from ..operators import quality as Q
+from ..session import scratch_path
+from ..sinks import writers as W
+from ..streaming import ingest as ST
+from . import marts as M
+from . import oracle as O
+from .catalog import Models, neutral, register
+
+
+# --- data tests -------------------------------------------------------------------
+
+def _unique_input(m: Models):
+    """tripid of green rows before de-duplication (so duplicates exist)."""
+    raw = m.raw_green.filter(F.col("vendor_id").isNotNull())
+    return raw.select(X.surrogate_key("vendor_id", "pickup_datetime").alias("tripid"))
+
+
+_UNIQUE_IN = f"SELECT {O.surrogate('vendor_id', 'pickup_datetime')} AS tripid FROM raw_green WHERE vendor_id IS NOT NULL"
+
+
+@register("dq_unique", O.sql("""SELECT tripid AS unique_field, CAST(count(*) AS BIGINT) AS n_records
+FROM unique_in WHERE tripid IS NOT NULL GROUP BY tripid HAVING count(*) > 1""", "raw_green",
+                             extra={"unique_in": _UNIQUE_IN}))
+def q_dq_unique(m: Models):
+    """Q1 on tripid before de-duplication."""
+    return Q.check_unique(_unique_input(m), "tripid")
+
+
+@register("dq_not_null", O.sql("""SELECT service, pickup_datetime, CAST(fare_amount AS DOUBLE) AS fare_amount
+FROM trips_raw WHERE vendor_id IS NULL""", "trips_raw"))
+def q_dq_not_null(m: Models):
+    """Q2 on raw vendor_id."""
+    return neutral(Q.check_not_null(m.trips_raw, "vendor_id").select("service", "pickup_datetime", "fare_amount"))
+
+
+def _known(m: Models):
+    return m.dim_zones.filter(F.col("borough") != "Unknown")
+
+
+@register("dq_relationships", O.sql("""SELECT CAST(t.pickup_locationid AS BIGINT) AS from_field
+FROM trips_unioned t
+WHERE t.pickup_locationid IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM known_zones z WHERE z.locationid = t.pickup_locationid)""",
+                                    "trips_unioned", "known_zones"))
+def q_dq_relationships(m: Models):
+    """Staged pickup ids against zones without the Unknown borough."""
+    t = M.trips_unioned(m.stg_green, m.stg_yellow)
+    return neutral(Q.check_relationships(t, "pickup_locationid", _known(m), "locationid"))
+
+
+@register("dq_accepted_values", O.sql("""SELECT CAST(payment_type AS BIGINT) AS value_field,
+  CAST(count(*) AS BIGINT) AS n_records
+FROM trips_unioned GROUP BY payment_type HAVING payment_type NOT IN (1, 2, 3, 4, 5, 6)""", "trips_unioned"))
+def q_dq_accepted_values(m: Models):
+    """Q4: payment_type against the project's accepted list (0 fails, T19)."""
+    from ..config import PAYMENT_TYPE_VALUES
+    t = M.trips_unioned(m.stg_green, m.stg_yellow)
+    return neutral(Q.check_accepted_values(t, "payment_type", PAYMENT_TYPE_VALUES))
+
+
+def _checks(m: Models):
+    from ..config import PAYMENT_TYPE_VALUES
+    t = M.trips_unioned(m.stg_green, m.stg_yellow)
+    known = _known(m)
+    return [
+        Q.Check("unique", "tripid", Q.check_unique(_unique_input(m), "tripid"), "warn"),
+        Q.Check("not_null", "vendor_id", Q.check_not_null(m.trips_raw, "vendor_id"), "warn"),
+        Q.Check("relationships", "pickup_locationid",
+                Q.check_relationships(t, "pickup_locationid", known, "locationid"), "warn"),
+        Q.Check("relationships", "dropoff_locationid",
+                Q.check_relationships(t, "dropoff_locationid", known, "locationid"), "error"),
+        Q.Check("accepted_values", "payment_type",
+                Q.check_accepted_values(t, "payment_type", PAYMENT_TYPE_VALUES), "warn"),
+    ]
+
+
+def _report_row(name, col, sev, failures_sql):
+    return (f"SELECT '{name}' AS check_name, '{col}' AS column_name, '{sev}' AS severity, "
+            f"CAST(count(*) AS BIGINT) AS failures, "
+            f"CASE WHEN count(*) = 0 THEN 'pass' WHEN '{sev}' = 'warn' THEN 'warn' ELSE 'fail' END AS status "
+            f"FROM ({failures_sql})")
+
+
+_REPORT_SQL = "\nUNION ALL\n".join([
+    _report_row("unique", "tripid", "warn",
+                "SELECT tripid FROM unique_in WHERE tripid IS NOT NULL GROUP BY tripid HAVING count(*) > 1"),
+    _report_row("not_null", "vendor_id", "warn", "SELECT 1 FROM trips_raw WHERE vendor_id IS NULL"),
+    _report_row("relationships", "pickup_locationid", "warn",
+                "SELECT 1 FROM trips_unioned t WHERE t.pickup_locationid IS NOT NULL AND NOT EXISTS "
+                "(SELECT 1 FROM known_zones z WHERE z.locationid = t.pickup_locationid)"),
+    _report_row("relationships", "dropoff_locationid", "error",
+                "SELECT 1 FROM trips_unioned t WHERE t.dropoff_locationid IS NOT NULL AND NOT EXISTS "
+                "(SELECT 1 FROM known_zones z WHERE z.locationid = t.dropoff_locationid)"),
+    _report_row("accepted_values", "payment_type", "warn",
+                "SELECT payment_type FROM trips_unioned GROUP BY payment_type "
+                "HAVING payment_type NOT IN (1, 2, 3, 4, 5, 6)"),
+])
+
+
+@register("dq_report", O.sql(_REPORT_SQL, "trips_raw", "raw_green", "trips_unioned", "known_zones",
+                             extra={"unique_in": _UNIQUE_IN}))
+def q_dq_report(m: Models):
+    """Q5: one row per check with severity and status (not raised here)."""
+    return Q.run_checks(_checks(m))
+
+
+# --- insert-only merge and monthly ingest -----------------------------------------
+
+_KEEP = ["unique_row_id", "service", "vendor_id", "pickup_datetime", "fare_amount"]
+
+
+@register("merge_insert_new", O.sql(f"""
+SELECT unique_row_id, service, vendor_id, pickup_datetime, CAST(fare_amount AS DOUBLE) AS fare_amount FROM tgt
+UNION ALL
+SELECT unique_row_id, service, vendor_id, pickup_datetime, CAST(fare_amount AS DOUBLE) AS fare_amount FROM src s
+WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.unique_row_id = s.unique_row_id)""", "trips_raw", extra={
+    "hashed": f"SELECT {O.row_hash(*MG.ROW_ID_TEXT_FIELDS)} AS unique_row_id, * FROM trips_raw",
+    "tgt": "SELECT * FROM hashed WHERE pickup_datetime < TIMESTAMP '1998-01-01'",
+    "src": "SELECT * FROM hashed WHERE pickup_datetime >= TIMESTAMP '1997-12-01' "
+           "AND pickup_datetime < TIMESTAMP '1998-03-01'",
+}))
+def q_merge_insert_new(m: Models):
+    """target = trips before 1998-01, source = 1997-12 to
+    1998-02 (one overlapping month); the merged target is returned."""
+    hashed = MG.with_row_id(m.trips_raw, "text")
+    path = scratch_path(m.spark, "merge_target")
+    MG.append_new(m.spark, hashed.filter(F.col("pickup_datetime") < F.lit("1998-01-01").cast("timestamp_ntz")),
+                  path)
+    MG.append_new(m.spark, hashed.filter(X.in_range("pickup_datetime", "1997-12-01", "1998-03-01")), path)
+    return neutral(m.spark.read.parquet(path).select(*_KEEP))
+
+
+_INGEST_MONTHS = [(1997, 10), (1997, 11), (1997, 12), (1997, 12), (1998, 1)]
+
+
+def _ingest_oracle():
+    months = sorted(set(_INGEST_MONTHS))
+    rows = []
+    for y, mo in months:
+        lo, hi = MG.month_bounds(y, mo)
+        rows.append(f"SELECT '{MG.month_file_name('yellow', y, mo)}' AS filename, * FROM raw_yellow "
+                    f"WHERE pickup_datetime >= TIMESTAMP '{lo}' AND pickup_datetime < TIMESTAMP '{hi}'")
+    body = "\nUNION ALL\n".join(rows)
+    return O.sql(f"""SELECT lower(hex(unhex({O.row_hash(*MG.ROW_ID_BYTES_FIELDS)}))) AS unique_row_id_hex,
+  filename, vendor_id, pickup_datetime, dropoff_datetime, CAST(total_amount AS DOUBLE) AS total_amount
+FROM loaded""", "raw_yellow", extra={"loaded": body})
+
+
+@register("ingest_month", _ingest_oracle())
+def q_ingest_month(m: Models):
+    """Yellow files 1997-10 .. 1998-01 loaded one by one (1997-12 twice:
+    the second load adds nothing); 5-field byte row ids, file names kept."""
+    path = scratch_path(m.spark, "ingest_target")
+    yellow = m.raw_yellow
+    for y, mo in _INGEST_MONTHS:
+        MG.ingest_month(m.spark, MG.month_slice(yellow, y, mo), path,
+                        MG.month_file_name("yellow", y, mo), variant="bytes")
+    t = m.spark.read.parquet(path)
+    return neutral(t.select(F.lower(F.hex("unique_row_id")).alias("unique_row_id_hex"), "filename",
+                            "vendor_id", "pickup_datetime", "dropoff_datetime", "total_amount"))
+
+
+# --- layout: partitioned + clustered table, pruned scan ----------------------------
+
+EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+@register("partition_pruned_scan", """SELECT * FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-05'""")
+def q_partition_pruned_scan(m: Models):
+    """K5 / F1: events written partitioned by date and clustered by user;
+    the date filter reads one partition directory (PartitionFilters)."""
+    path = scratch_path(m.spark, "events_by_date")
+    date_col = W.write_partitioned(m.table("events"), path, "ts", cluster_by=["user_id"], date_col="event_date")
+    t = m.spark.read.parquet(path)
+    return t.filter(F.col(date_col) == F.lit("2024-01-05").cast("date")).select(*EVENT_COLS)
+
+
+# --- streaming ingest (I2) ----------------------------------------------------------
+
+@register("ingest_stream", "SELECT * FROM events")
+def q_ingest_stream(m: Models):
+    """Events landed as daily files, loaded by an availableNow file
+    stream (one file per micro-batch) merging insert-only on event_id; a
+    second run finds no new files and adds nothing."""
+    events = m.table("events")
+    landing = scratch_path(m.spark, "landing_events")
+    ST.land_files_by_day(events, landing, "ts")
+    target = scratch_path(m.spark, "stream_target")
+    ckpt = scratch_path(m.spark, "stream_ckpt")
+    for _ in range(2):
+        ST.ingest_available(m.spark, landing, events.schema, target, ckpt, key="event_id", ts_col="ts")
+    return m.spark.read.parquet(target).select(*EVENT_COLS)
