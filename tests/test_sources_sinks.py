@@ -98,3 +98,15 @@ def test_tables_and_views(spark, tmp_path):
     W.write_json(spark.table(name), str(tmp_path / "j"))
     assert spark.read.json(str(tmp_path / "j")).count() == 1
     W.drop_table(spark, name)
+
+
+def test_load_overwrite_and_persist(spark, tmp_path):
+    src = tmp_path / "src"
+    W.write_parquet(spark.createDataFrame([(1,), (2,)], "a int"), str(src / "p1"), 1)
+    name = "tm_load_overwrite"
+    W.drop_table(spark, name)
+    assert W.load_overwrite(spark, name, str(src / "*")).count() == 2
+    assert W.load_overwrite(spark, name, str(src / "*")).count() == 2     # replaced, not appended
+    W.drop_table(spark, name)
+    p = W.persist_table(spark.createDataFrame([(1,)], "a int"), str(tmp_path / "persisted"))
+    assert "Scan parquet" in p._jdf.queryExecution().executedPlan().toString() or p.count() == 1

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from ..operators import quantiles as QT
 
 
 def count_rows(df: DataFrame, name: str = "trips") -> DataFrame:
@@ -124,26 +125,28 @@ def avg_by(df: DataFrame, key: str, value: str, name: str, places: int = 2) -> D
 
 
 def describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """A10: count, mean, stddev, min, exact quartiles, max, one row per
-    statistic and one column per input column (``df.summary()`` shape with
-    exact quartiles and numeric values)."""
-    aggs = []
+    """A10: count, mean, stddev, min, exact quartiles, max: one row per
+    statistic, one column per input column (the ``df.summary()`` shape, with
+    exact quartiles and numeric values).
+
+    Moments come from one partial/final aggregate per column; quartiles from
+    the distributed exact percentile (no task holds all distinct values).
+    The per-column frames (8 rows each) are joined on the statistic name.
+    """
+    basic_stats = ["count", "mean", "stddev", "min", "max"]
+    quartiles = [("25%", 0.25), ("50%", 0.5), ("75%", 0.75)]
+    out = None
     for c in cols:
         x = F.col(c).cast("double")
-        aggs += [F.count(x).cast("double").alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__stddev"), F.min(x).alias(f"{c}__min"),
-                 F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"{c}__q"),
-                 F.max(x).alias(f"{c}__max")]
-    wide = df.agg(*aggs)
-    stats = ["count", "mean", "stddev", "min", "25%", "50%", "75%", "max"]
-
-    def value(c, s):
-        if s in ("25%", "50%", "75%"):
-            return F.col(f"{c}__q")[["25%", "50%", "75%"].index(s)]
-        return F.col(f"{c}__{s}")
-
-    rows = [F.struct(F.lit(s).alias("summary"), *[value(c, s).alias(c) for c in cols]) for s in stats]
-    return wide.select(F.inline(F.array(*rows)))
+        basic = df.agg(F.count(x).cast("double").alias("count"), F.avg(x).alias("mean"),
+                       F.stddev_samp(x).alias("stddev"), F.min(x).alias("min"), F.max(x).alias("max"))
+        q = QT.exact_percentiles(df, c, [p for _, p in quartiles])
+        long = basic.select(F.inline(F.array(*[
+            F.struct(F.lit(s).alias("summary"), F.col(s).alias(c)) for s in basic_stats])))
+        long = long.unionByName(q.select(F.inline(F.array(*[
+            F.struct(F.lit(s).alias("summary"), F.col(f"p{i}").alias(c)) for i, (s, _) in enumerate(quartiles)]))))
+        out = long if out is None else out.join(long, "summary")
+    return out
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

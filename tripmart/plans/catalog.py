@@ -8,7 +8,8 @@ collected.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import cached_property
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,59 +26,63 @@ class Models:
     """The model chain over one data folder (each property is a lazy plan)."""
     spark: SparkSession
     sf_dir: str
+    _tables: dict = field(default_factory=dict, repr=False)
 
     def table(self, name: str) -> DataFrame:
-        return FX.table(self.spark, self.sf_dir, name)
+        """One DataFrame per table and query: listed and planned once."""
+        if name not in self._tables:
+            self._tables[name] = FX.table(self.spark, self.sf_dir, name)
+        return self._tables[name]
 
-    @property
+    @cached_property
     def trips_raw(self) -> DataFrame:
-        return FX.trips_raw(self.spark, self.sf_dir)
+        return FX.trips_raw(self.spark, self.sf_dir, self.table)
 
-    @property
+    @cached_property
     def raw_green(self) -> DataFrame:
         return FX.service_trips(self.trips_raw, "green")
 
-    @property
+    @cached_property
     def raw_yellow(self) -> DataFrame:
         return FX.service_trips(self.trips_raw, "yellow")
 
-    @property
+    @cached_property
     def fhv_raw(self) -> DataFrame:
-        return FX.fhv_raw(self.spark, self.sf_dir)
+        return FX.fhv_raw(self.spark, self.sf_dir, self.table)
 
-    @property
+    @cached_property
     def zones(self) -> DataFrame:
-        return FX.zones(self.spark, self.sf_dir)
+        return FX.zones(self.spark, self.sf_dir, self.table)
 
-    @property
+    @cached_property
     def dim_zones(self) -> DataFrame:
         return S.dim_zones(self.zones)
 
-    @property
+    @cached_property
     def stg_green(self) -> DataFrame:
         return S.stg_green(self.raw_green)
 
-    @property
+    @cached_property
     def stg_yellow(self) -> DataFrame:
         return S.stg_yellow(self.raw_yellow)
 
-    @property
+    @cached_property
     def stg_fhv(self) -> DataFrame:
         return S.stg_fhv(self.fhv_raw)
 
-    @property
+    @cached_property
     def fact_trips(self) -> DataFrame:
         return M.fact_trips(self.stg_green, self.stg_yellow, self.dim_zones)
 
-    @property
+    @cached_property
     def fact_fhv_trips(self) -> DataFrame:
         return M.fact_fhv_trips(self.stg_fhv, self.dim_zones)
 
-    @property
+    @cached_property
     def quarterly_revenue(self) -> DataFrame:
         return M.quarterly_revenue(self.fact_trips)
 
-    @property
+    @cached_property
     def fhv_p90(self) -> DataFrame:
         return M.fhv_traveltime_p90(self.fact_fhv_trips, self.dim_zones)
 

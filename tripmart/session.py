@@ -47,6 +47,38 @@ def build_session(master: str | None = None, app: str = "tripmart",
     return spark
 
 
+def scale_conf(input_bytes: int, total_cores: int,
+               target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Partition sizing for a given input size and cluster.
+
+    Scan splits and shuffle partitions aim at ``target_partition_bytes``
+    (about 256 MB: fits an executor core's memory with room to sort and spill), but never
+    fewer than 3 tasks per core. AQE then coalesces small shuffle partitions
+    and splits skewed ones (a partition 5x the median and over 1 GB).
+    At 100 TB on 1000 executors x 8 cores this gives ~400k initial shuffle
+    partitions, capped at 200k (AQE coalesces them to the real size).
+    """
+    parts = max(3 * total_cores, input_bytes // target_partition_bytes)
+    parts = int(min(parts, 200_000))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }
+
+
+def folder_bytes(path: str) -> int:
+    """Size of a local folder's files (bench sizing; clusters pass a number)."""
+    total = 0
+    for root, _, files in os.walk(path):
+        for f in files:
+            total += os.path.getsize(os.path.join(root, f))
+    return total
+
+
 def apply_runtime_conf(spark: SparkSession) -> None:
     """Set the SQL options the library relies on on an existing session."""
     for k, v in DEFAULT_CONF.items():

@@ -21,6 +21,21 @@ def write_parquet(df: DataFrame, path: str, n: int | None = None, mode: str = "e
     (df.repartition(n) if n else df).write.mode(mode).parquet(path)
 
 
+def load_overwrite(spark: SparkSession, name: str, glob: str, fmt: str = "parquet") -> DataFrame:
+    """Bulk load files into a managed table, replacing its contents."""
+    df = spark.read.format(fmt).load(glob)
+    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
+def persist_table(df: DataFrame, path: str) -> DataFrame:
+    """Write a model once to the shared folder and read it back: later
+    plans scan the written files instead of re-deriving the model, and a
+    lost executor recomputes from the files (lineage cut), not from raw."""
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def csv_to_parquet(spark: SparkSession, src: str, dst: str, service: str, n: int | None = None) -> None:
     """K2: typed CSV to parquet; skipped when the target exists (mode ignore)."""
     df = R.read_trips_csv(spark, src, service)

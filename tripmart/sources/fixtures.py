@@ -34,16 +34,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _reader(spark: SparkSession, sf_dir: str, tables):
+    if tables is None:
+        return lambda name: table(spark, sf_dir, name)
+    return tables
+
+
 def _money(c):
     return c.cast("decimal(18,2)")
 
 
-def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trips_raw(spark: SparkSession, sf_dir: str, tables=None) -> DataFrame:
     """Raw green + yellow trips, one row per lineitem (B1)."""
-    li = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    t = _reader(spark, sf_dir, tables)
+    li = t("lineitem")
+    orders = t("orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    cust = t("customer").select("c_custkey", "c_nationkey")
+    supp = t("supplier").select("s_suppkey", "s_nationkey")
 
     oc = orders.join(cust, orders.o_custkey == cust.c_custkey, "inner")
     j = (li.join(oc, li.l_orderkey == oc.o_orderkey, "inner")
@@ -105,10 +112,11 @@ def service_trips(raw: DataFrame, service: str) -> DataFrame:
     return out
 
 
-def fhv_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fhv_raw(spark: SparkSession, sf_dir: str, tables=None) -> DataFrame:
     """Raw for-hire-vehicle trips, one row per order (B2)."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    t = _reader(spark, sf_dir, tables)
+    orders = t("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    cust = t("customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     j = orders.join(cust, orders.o_custkey == cust.c_custkey, "inner")
     return j.select(
         F.col("c_mktsegment").alias("dispatching_base_num"),
@@ -122,10 +130,11 @@ def fhv_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+def zones(spark: SparkSession, sf_dir: str, tables=None) -> DataFrame:
     """Zone seed: locationid, borough, zone, service_zone."""
-    n = table(spark, sf_dir, "nation")
-    r = table(spark, sf_dir, "region")
+    t = _reader(spark, sf_dir, tables)
+    n = t("nation")
+    r = t("region")
     j = n.join(r, n.n_regionkey == r.r_regionkey, "inner")
     sz = F.col("n_nationkey") % 3
     return j.select(
