@@ -59,35 +59,38 @@ def tag_file(df: DataFrame, filename: str | None = None) -> DataFrame:
     return df.withColumn("filename", name)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _layout(df: DataFrame, date_col: str, key: str) -> DataFrame:
+    """Range-partition on (date, key): a hot date is split across tasks
+    instead of landing in one writer; files are sorted by key."""
+    return df.repartitionByRange(date_col, key).sortWithinPartitions(date_col, key)
+
+
+def _read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        spark.read.parquet(path).schema
-        return True
+        return spark.read.parquet(path)
     except AnalysisException:
-        return False
+        return None
 
 
 def append_new(spark: SparkSession, batch: DataFrame, target_path: str, key: str = "unique_row_id",
                ts_col: str = "pickup_datetime", date_col: str = "pickup_date") -> None:
-    """Merge one batch into a date-partitioned parquet target (insert only)."""
+    """Merge one batch into a date-partitioned parquet target (insert only).
+
+    The target is listed once; the anti join reads only the partitions in
+    the batch's date range (plus the NULL-date partition).
+    """
     batch = batch.withColumn(date_col, F.to_date(F.col(ts_col)))
-    if not _exists(spark, target_path):
-        batch.repartition(date_col).write.partitionBy(date_col).parquet(target_path)
+    target = _read_if_exists(spark, target_path)
+    if target is None:
+        _layout(batch, date_col, key).write.partitionBy(date_col).parquet(target_path)
         return
     rng = batch.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).first()
-    if rng is None or rng.lo is None:
-        existing = spark.read.parquet(target_path)
-    else:
-        existing = spark.read.parquet(target_path).filter(
-            (F.col(date_col) >= F.lit(rng.lo)) & (F.col(date_col) <= F.lit(rng.hi)))
-    # NULL pickup times cannot be pruned by date: compare them against the
-    # target's NULL partition as well
+    in_range = F.col(date_col).isNull()
     if rng is not None and rng.lo is not None:
-        existing = existing.unionByName(
-            spark.read.parquet(target_path).filter(F.col(date_col).isNull()))
-    add = new_rows(batch, existing.select(key), key)
-    (add.select(*batch.columns).repartition(date_col)
-        .write.mode("append").partitionBy(date_col).parquet(target_path))
+        in_range = in_range | ((F.col(date_col) >= F.lit(rng.lo)) & (F.col(date_col) <= F.lit(rng.hi)))
+    existing = target.filter(in_range).select(key)
+    add = new_rows(batch, existing, key)
+    _layout(add.select(*batch.columns), date_col, key).write.mode("append").partitionBy(date_col).parquet(target_path)
 
 
 def ingest_month(spark: SparkSession, month_df: DataFrame, target_path: str, filename: str,

@@ -49,7 +49,7 @@ def ingest_available(spark: SparkSession, landing: str, schema, target_path: str
 
 
 def land_files_by_day(df: DataFrame, landing: str, ts_col: str, mode: str = "errorifexists") -> None:
-    """Write a table into a landing folder as files hash-partitioned by the
-    day of ``ts_col`` (each day's rows sit in one file, as drops arrive)."""
+    """Write a table into a landing folder as files range-partitioned by the
+    day of ``ts_col`` (consecutive days per file, as drops arrive)."""
     day = F.to_date(F.col(ts_col))
-    df.repartition(day).sortWithinPartitions(ts_col).write.mode(mode).parquet(landing)
+    df.repartitionByRange(day).sortWithinPartitions(ts_col).write.mode(mode).parquet(landing)
