@@ -78,13 +78,18 @@ def exact_percentiles(df: DataFrame, col: str, probs: Sequence[float],
     want = F.array(*[F.lit(r).cast("bigint") for r in sorted(set(ranks))])
 
     vc = x.groupBy("x").agg(F.count(F.lit(1)).alias("c"))
-    bk = vc.withColumn("bucket", _lower_bound(bounds, F.col("x")) if bounds else F.lit(0))
-    sizes = bk.groupBy("bucket").agg(F.sum("c").alias("bn"))
-    # at most ``buckets`` rows: a single ordered window is bounded
-    starts = sizes.withColumn("start", F.sum("bn").over(Window.orderBy("bucket")) - F.col("bn"))
-    needed = starts.filter(F.exists(want, lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("bn"))))
-    # at most 2 * len(probs) rows: a proven bound for the broadcast
-    sel = bk.join(F.broadcast(needed.select("bucket", "start")), "bucket")
+    if bounds:
+        bk = vc.withColumn("bucket", _lower_bound(bounds, F.col("x")))
+        sizes = bk.groupBy("bucket").agg(F.sum("c").alias("bn"))
+        # at most ``buckets`` rows: a single ordered window is bounded
+        starts = sizes.withColumn("start", F.sum("bn").over(Window.orderBy("bucket")) - F.col("bn"))
+        needed = starts.filter(F.exists(want, lambda r: (r >= F.col("start"))
+                                        & (r < F.col("start") + F.col("bn"))))
+        # at most 2 * len(probs) rows: a proven bound for the broadcast
+        sel = bk.join(F.broadcast(needed.select("bucket", "start")), "bucket")
+    else:
+        # one bucket (a small column): every value, starting at rank 0
+        sel = vc.select("x", "c", F.lit(0).alias("bucket"), F.lit(0).cast("bigint").alias("start"))
     end = F.col("start") + F.sum("c").over(Window.partitionBy("bucket").orderBy("x"))
     sel = sel.withColumn("end", end)
     hits = (sel.filter(F.exists(want, lambda r: (r >= F.col("end") - F.col("c")) & (r < F.col("end"))))

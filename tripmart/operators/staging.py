@@ -45,13 +45,12 @@ def keep_columns(df: DataFrame, source: str, keys: Sequence[str], default: str =
     A key that is absent gets ``default``; an explicit null stays NULL.
     """
     src_type = df.schema[source].dataType
-    if isinstance(src_type, T.MapType):
-        m = F.col(source)
-        vals = [F.when(F.map_contains_key(m, F.lit(k)), m[k].cast("string"))
-                .otherwise(F.lit(default)).alias(k) for k in keys]
-    else:
-        vals = [X.json_field_or(source, k, default).alias(k) for k in keys]
-    return df.select(*[F.col(c) for c in keep], *vals)
+    # parse once per row into a map, then look every key up in it
+    m = F.col(source) if isinstance(src_type, T.MapType) else F.from_json(F.col(source), "map<string,string>")
+    parsed = df.select(*[F.col(c) for c in keep], m.alias("_kv"))
+    vals = [F.when(F.map_contains_key(F.col("_kv"), F.lit(k)), F.col("_kv")[k].cast("string"))
+            .otherwise(F.lit(default)).alias(k) for k in keys]
+    return parsed.select(*[F.col(c) for c in keep], *vals)
 
 
 def tighten_types(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..operators import staging as S
 from ..sources import fixtures as FX
 from . import marts as M
+from ..session import apply_runtime_conf
 from .outputs import neutral
 
 
@@ -94,7 +95,10 @@ ORACLE: dict[str, str] = {}
 
 def register(name: str, oracle_sql: str | None = None):
     def deco(fn: Callable[[Models], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: fn(Models(spark, sf_dir))
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            apply_runtime_conf(spark)          # UTC, AQE, skew join on the caller's session
+            return fn(Models(spark, sf_dir))
+        QUERIES[name] = run
         QUERIES[name].__name__ = name
         QUERIES[name].__doc__ = fn.__doc__
         if oracle_sql is not None:
