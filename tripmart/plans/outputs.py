@@ -17,12 +17,17 @@ _INTS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACS = (T.DecimalType, T.FloatType, T.DoubleType)
 
 
-def neutral(df: DataFrame, round4: Iterable[str] = ()) -> DataFrame:
+def neutral(df: DataFrame, round4: Iterable[str] = (), nullable_ints: Iterable[str] = ()) -> DataFrame:
+    """``nullable_ints``: integer columns that hold NULLs are shown as DOUBLE
+    (the pandas form both engines agree on: float64 with NaN)."""
     round4 = set(round4)
+    nullable_ints = set(nullable_ints)
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, _INTS):
+        if f.name in nullable_ints:
+            c = c.cast("double")
+        elif isinstance(f.dataType, _INTS):
             c = c.cast("bigint")
         elif isinstance(f.dataType, _FRACS):
             c = c.cast("double")

@@ -47,7 +47,7 @@ NARROW_LINEITEM = T.StructType([
     T.StructField("l_suppkey", T.IntegerType()), T.StructField("l_linenumber", T.ShortType()),
     T.StructField("l_quantity", T.FloatType()), T.StructField("l_extendedprice", T.FloatType()),
     T.StructField("l_discount", T.FloatType()), T.StructField("l_tax", T.FloatType()),
-    T.StructField("l_shipdate", T.DateType()),
+    T.StructField("l_shipdate", T.TimestampNTZType()),
 ])
 
 
@@ -55,7 +55,7 @@ NARROW_LINEITEM = T.StructType([
   CAST(l_suppkey AS INTEGER) AS l_suppkey, CAST(l_linenumber AS SMALLINT) AS l_linenumber,
   CAST(l_quantity AS FLOAT) AS l_quantity, CAST(l_extendedprice AS FLOAT) AS l_extendedprice,
   CAST(l_discount AS FLOAT) AS l_discount, CAST(l_tax AS FLOAT) AS l_tax,
-  l_returnflag, l_linestatus, CAST(l_shipdate AS DATE) AS l_shipdate
+  l_returnflag, l_linestatus, CAST(l_shipdate AS TIMESTAMP) AS l_shipdate
 FROM lineitem""")
 def q_cast_to_schema(m: Models):
     """Narrow types in one projection (other columns kept)."""

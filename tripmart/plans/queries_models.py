@@ -58,12 +58,13 @@ def q_stg_yellow(m: Models):
     return neutral(m.stg_yellow)
 
 
-@register("stg_fhv", O.sql("""SELECT dispatching_base_num, CAST(pickup_locationid AS BIGINT) AS pickup_locationid,
+@register("stg_fhv", O.sql("""SELECT dispatching_base_num, CAST(pickup_locationid AS DOUBLE) AS pickup_locationid,
   CAST(dropoff_locationid AS BIGINT) AS dropoff_locationid, pickup_datetime, dropoff_datetime, sr_flag
 FROM stg_fhv""", "stg_fhv"))
 def q_stg_fhv(m: Models):
-    """M3: no null filter, no de-duplication."""
-    return neutral(m.stg_fhv)
+    """M3: no null filter, no de-duplication (pickup ids with NULLs are
+    shown as DOUBLE)."""
+    return neutral(m.stg_fhv, nullable_ints=["pickup_locationid"])
 
 
 @register("stg_test_run", O.sql(
@@ -212,7 +213,7 @@ def q_payment_label(m: Models):
 
 
 @register("safe_cast", O.sql(f"""SELECT payment_type,
-  CAST({O.int_text('payment_type')} AS BIGINT) AS as_int,
+  CAST({O.int_text('payment_type')} AS DOUBLE) AS as_int,
   TRY_CAST(payment_type AS DOUBLE) AS as_double,
   CAST(count(*) AS BIGINT) AS trips
 FROM trips_raw GROUP BY 1, 2, 3""", "trips_raw"))
@@ -222,7 +223,7 @@ def q_safe_cast(m: Models):
         "payment_type",
         X.safe_cast("payment_type", "int").alias("as_int"),
         X.safe_cast("payment_type", "double").alias("as_double"))
-        .agg(F.count(F.lit(1)).alias("trips")))
+        .agg(F.count(F.lit(1)).alias("trips")), nullable_ints=["as_int"])
 
 
 _HASH7 = ["vendor_id", "pickup_datetime", "dropoff_datetime", "pickup_location_id",
