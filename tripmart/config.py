@@ -1,4 +1,4 @@
-"""Project settings with dbt-like precedence (V2).
+"""Project settings with argument > environment > default precedence (V2).
 
 ``setting(name, default, value=...)``: an explicit argument wins, then an
 environment variable, then the default. Schema names follow the model kind:

@@ -47,7 +47,7 @@ class Check:
     name: str
     column: str
     failures: DataFrame
-    severity: str = "error"   # dbt's default severity is error (T18)
+    severity: str = "error"   # a check without a stated severity is an error (T18)
 
 
 def run_checks(checks: Sequence[Check]) -> DataFrame:

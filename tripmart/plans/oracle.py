@@ -12,7 +12,7 @@ cast to BIGINT / DOUBLE / VARCHAR / TIMESTAMP.
 
 from __future__ import annotations
 
-NULL_MARKER = "_dbt_utils_surrogate_key_null_"
+from ..functions.exprs import SURROGATE_NULL_MARKER as NULL_MARKER
 
 
 def int_text(x: str, t: str = "INTEGER") -> str:

@@ -163,15 +163,15 @@ def q_fhv_top3_dropoff(m: Models):
                    round4=["p90_duration"])
 
 
-@register("revenue_yoy", O.sql("""SELECT a.service_type, CAST(a.year AS BIGINT) AS year,
-  CAST(a.quarter AS BIGINT) AS quarter, CAST(a.total AS DOUBLE) AS total,
-  CAST(b.revenue_quarterly_total_amount AS DOUBLE) AS last_total,
-  round(CAST((a.total - b.revenue_quarterly_total_amount) / b.revenue_quarterly_total_amount AS DOUBLE), 4) AS yoy
-FROM (SELECT year, year - 1 AS lastyear, quarter, service_type, revenue_quarterly_total_amount AS total
-      FROM quarterly_revenue) a
-JOIN quarterly_revenue b ON a.lastyear = b.year AND a.quarter = b.quarter AND a.service_type = b.service_type
-WHERE a.year = 1997
-ORDER BY a.service_type, yoy""", "quarterly_revenue"))
+@register("revenue_yoy", O.sql("""SELECT cur.service_type, CAST(cur.year AS BIGINT) AS year,
+  CAST(cur.quarter AS BIGINT) AS quarter, CAST(cur.amount AS DOUBLE) AS total,
+  CAST(prev.amount AS DOUBLE) AS last_total,
+  round(CAST((cur.amount - prev.amount) / prev.amount AS DOUBLE), 4) AS yoy
+FROM q cur
+JOIN q prev ON prev.year = cur.year - 1 AND prev.quarter = cur.quarter AND prev.service_type = cur.service_type
+WHERE cur.year = 1997
+ORDER BY cur.service_type, yoy""", "quarterly_revenue", extra={
+    "q": "SELECT year, quarter, service_type, revenue_quarterly_total_amount AS amount FROM quarterly_revenue"}))
 def q_revenue_yoy(m: Models):
     """Year 1997 against 1996."""
     return neutral(M.revenue_yoy(m.quarterly_revenue, 1997), round4=["yoy"])
