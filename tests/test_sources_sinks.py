@@ -110,3 +110,11 @@ def test_load_overwrite_and_persist(spark, tmp_path):
     W.drop_table(spark, name)
     p = W.persist_table(spark.createDataFrame([(1,)], "a int"), str(tmp_path / "persisted"))
     assert "Scan parquet" in p._jdf.queryExecution().executedPlan().toString() or p.count() == 1
+
+
+def test_scratch_root_reads_session_setting(spark):
+    from tripmart.session import scratch_path, scratch_root
+    root = scratch_root(spark)
+    assert root == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a != b and a.startswith(root)

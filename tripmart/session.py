@@ -93,6 +93,9 @@ def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
+_LOCAL_SCRATCH: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables and checkpoints.
 
@@ -101,19 +104,17 @@ def scratch_root(spark: SparkSession) -> str:
     folder of our own; on a cluster an unset value is an error, because a
     machine-local folder would not survive the loss of an executor.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
         if not _is_local(spark):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        d = tempfile.mkdtemp(prefix="tripmart-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    try:
-        if not spark.sparkContext.getCheckpointDir():
+        app = spark.sparkContext.applicationId
+        d = _LOCAL_SCRATCH.setdefault(app, tempfile.mkdtemp(prefix="tripmart-"))
+    if not spark.sparkContext.getCheckpointDir():
+        try:
             spark.sparkContext.setCheckpointDir(d)
-    except Exception:
-        pass
+        except Exception:  # noqa: BLE001 - e.g. a Connect session
+            pass
     return d.rstrip("/")
 
 
