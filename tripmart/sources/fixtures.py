@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exprs import to_ts
+from .readers import spread
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -47,8 +48,9 @@ def _money(c):
 def trips_raw(spark: SparkSession, sf_dir: str, tables=None) -> DataFrame:
     """Raw green + yellow trips, one row per lineitem (B1)."""
     t = _reader(spark, sf_dir, tables)
-    li = t("lineitem")
-    orders = t("orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    # both large inputs: whichever side the planner streams gets all cores
+    li = spread(t("lineitem"), ["l_orderkey"])
+    orders = spread(t("orders").select("o_orderkey", "o_custkey", "o_orderpriority"), ["o_orderkey"])
     cust = t("customer").select("c_custkey", "c_nationkey")
     supp = t("supplier").select("s_suppkey", "s_nationkey")
 
@@ -115,7 +117,7 @@ def service_trips(raw: DataFrame, service: str) -> DataFrame:
 def fhv_raw(spark: SparkSession, sf_dir: str, tables=None) -> DataFrame:
     """Raw for-hire-vehicle trips, one row per order (B2)."""
     t = _reader(spark, sf_dir, tables)
-    orders = t("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    orders = spread(t("orders").select("o_orderkey", "o_custkey", "o_orderdate"), ["o_orderkey"])
     cust = t("customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     j = orders.join(cust, orders.o_custkey == cust.c_custkey, "inner")
     return j.select(

@@ -90,6 +90,22 @@ def csv_external(spark: SparkSession, path: str, schema, skip_header: bool = Tru
             .csv(path))
 
 
+def spread(df: DataFrame, keys=(), min_partitions: int | None = None) -> DataFrame:
+    """Give a scan at least as many partitions as the cluster has cores.
+
+    A single large file with one row group, or a gzip file, is read by one
+    task, and every narrow operator after it (broadcast joins, projections,
+    partial aggregates) then runs in that one task. Only in that case the
+    rows are hash-partitioned on ``keys`` (deterministic on retry; round
+    robin when no keys). A scan that already has enough splits, as any
+    large table on a cluster does, is left alone: no extra shuffle.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, *keys) if keys else df.repartition(want)
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """S3."""
     return spark.read.parquet(path)
