@@ -118,3 +118,12 @@ def test_scratch_root_reads_session_setting(spark):
     assert root == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and a.startswith(root)
+
+
+def test_spread_only_when_too_few_splits(spark):
+    one = spark.range(1000).coalesce(1)
+    spread_out = R.spread(one, ["id"], min_partitions=4)
+    assert spread_out.rdd.getNumPartitions() == 4
+    assert sorted(r.id for r in spread_out.collect()) == list(range(1000))
+    many = spark.range(1000).repartition(6)
+    assert R.spread(many, ["id"], min_partitions=4) is many          # left alone: no extra shuffle

@@ -14,6 +14,7 @@ from ..operators import merge as MG
 from ..operators import quality as Q
 from ..session import scratch_path
 from ..sinks import writers as W
+from ..sources import readers as R
 from ..streaming import ingest as ST
 from . import marts as M
 from . import oracle as O
@@ -181,6 +182,47 @@ def q_ingest_month(m: Models):
                             "vendor_id", "pickup_datetime", "dropoff_datetime", "total_amount"))
 
 
+RAW_YELLOW_DDL = ("vendor_id string, pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz, "
+                  "pickup_location_id bigint, dropoff_location_id bigint, payment_type string, "
+                  "rate_code string, passenger_count string, store_and_fwd_flag string, "
+                  "trip_distance decimal(18,2), fare_amount decimal(18,2), extra decimal(18,2), "
+                  "mta_tax decimal(18,2), tip_amount decimal(18,2), tolls_amount decimal(18,2), "
+                  "imp_surcharge decimal(18,2), total_amount decimal(18,2)")
+_CSV_MONTHS = [(1998, 2), (1998, 3), (1998, 3)]
+
+
+def _ingest_csv_oracle():
+    rows = []
+    for y, mo in sorted(set(_CSV_MONTHS)):
+        lo, hi = MG.month_bounds(y, mo)
+        rows.append(f"SELECT '{MG.month_file_name('yellow', y, mo)}' AS filename, * FROM raw_yellow "
+                    f"WHERE pickup_datetime >= TIMESTAMP '{lo}' AND pickup_datetime < TIMESTAMP '{hi}'")
+    return O.sql(f"""SELECT {O.row_hash(*MG.ROW_ID_TEXT_FIELDS)} AS unique_row_id, filename, vendor_id,
+  pickup_datetime, dropoff_datetime, payment_type, CAST(fare_amount AS DOUBLE) AS fare_amount,
+  CAST(total_amount AS DOUBLE) AS total_amount
+FROM loaded""", "raw_yellow", extra={"loaded": "\nUNION ALL\n".join(rows)})
+
+
+@register("ingest_csv", _ingest_csv_oracle())
+def q_ingest_csv(m: Models):
+    """S1 / S2 / I1 end to end: monthly yellow files landed as CSV (header,
+    file order), read back with the declared schema, hashed (7 fields),
+    tagged with the file name and merged insert-only; 1998-03 arrives twice
+    and the second load adds nothing."""
+    landing = scratch_path(m.spark, "csv_landing")
+    yellow = m.raw_yellow
+    for y, mo in sorted(set(_CSV_MONTHS)):
+        W.write_csv(MG.month_slice(yellow, y, mo), f"{landing}/{MG.month_file_name('yellow', y, mo)}")
+    target = scratch_path(m.spark, "csv_target")
+    for y, mo in _CSV_MONTHS:
+        name = MG.month_file_name("yellow", y, mo)
+        month = R.csv_external(m.spark, f"{landing}/{name}", RAW_YELLOW_DDL)
+        MG.ingest_month(m.spark, month, target, name, variant="text")
+    t = m.spark.read.parquet(target)
+    return neutral(t.select("unique_row_id", "filename", "vendor_id", "pickup_datetime", "dropoff_datetime",
+                            "payment_type", "fare_amount", "total_amount"))
+
+
 # --- layout: partitioned + clustered table, pruned scan ----------------------------
 
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]

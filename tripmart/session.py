@@ -67,6 +67,9 @@ def scale_conf(input_bytes: int, total_cores: int,
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
         "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        # partition discovery: one listing task per ~directory group, not up
+        # to 10,000 tasks for a table with a few thousand date folders
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(min(10_000, 2 * total_cores)),
     }
 
 
@@ -81,12 +84,15 @@ def folder_bytes(path: str) -> int:
 
 def apply_runtime_conf(spark: SparkSession) -> None:
     """Set the SQL options the library relies on on an existing session."""
-    for k, v in DEFAULT_CONF.items():
-        if k.startswith("spark.sql.") and k != "spark.sql.ansi.enabled":
-            try:
-                spark.conf.set(k, v)
-            except Exception:  # static conf on a running session
-                pass
+    conf = {k: v for k, v in DEFAULT_CONF.items()
+            if k.startswith("spark.sql.") and k != "spark.sql.ansi.enabled"}
+    cores = spark.sparkContext.defaultParallelism
+    conf["spark.sql.sources.parallelPartitionDiscovery.parallelism"] = str(min(10_000, 2 * cores))
+    for k, v in conf.items():
+        try:
+            spark.conf.set(k, v)
+        except Exception:  # noqa: BLE001 - static conf on a running session
+            pass
 
 
 def _is_local(spark: SparkSession) -> bool:

@@ -120,6 +120,12 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """CSV with a header line and the trip files' timestamp text."""
+    (df.write.mode(mode).option("header", True)
+       .option("timestampNTZFormat", R.CSV_TIMESTAMP_FORMAT).csv(path))
+
+
 def drop_table(spark: SparkSession, name: str) -> None:
     """K13."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")

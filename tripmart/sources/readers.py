@@ -56,6 +56,7 @@ YELLOW_PARQUET_SCHEMA = T.StructType([
 ])
 
 ZONE_SEED_SCHEMA = "locationid bigint, borough string, zone string, service_zone string"
+CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def ddl(columns) -> str:
@@ -72,7 +73,7 @@ def read_trips_csv(spark: SparkSession, path: str, service: str,
     """
     df = (spark.read.schema(schema or ddl(CSV_COLUMNS[service]))
           .option("header", True).option("mode", "PERMISSIVE")
-          .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
+          .option("timestampNTZFormat", CSV_TIMESTAMP_FORMAT)
           .csv(path))
     return df.repartition(repartition) if repartition else df
 
@@ -87,6 +88,7 @@ def csv_external(spark: SparkSession, path: str, schema, skip_header: bool = Tru
     return (spark.read.schema(schema)
             .option("header", skip_header)
             .option("mode", "PERMISSIVE" if ignore_unknown else "FAILFAST")
+            .option("timestampNTZFormat", CSV_TIMESTAMP_FORMAT)
             .csv(path))
 
 
