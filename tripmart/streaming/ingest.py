@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from typing import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +38,14 @@ def ingest_available(spark: SparkSession, landing: str, schema, target_path: str
         stream = prepare(stream)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        MG.append_new(batch.sparkSession, batch, target_path, key=key, ts_col=ts_col, date_col=date_col)
+        # the merge runs two actions on the batch (date range, then anti
+        # join + append): keep it for the batch's lifetime (memory, then disk;
+        # a lost block is recomputed from the batch's files)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            MG.append_new(batch.sparkSession, batch, target_path, key=key, ts_col=ts_col, date_col=date_col)
+        finally:
+            batch.unpersist()
 
     q = (stream.writeStream.foreachBatch(merge_batch)
          .option("checkpointLocation", checkpoint)
