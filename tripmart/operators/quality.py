@@ -56,6 +56,8 @@ def run_checks(checks: Sequence[Check]) -> DataFrame:
     ``failures`` is the number of rows the check returned. Status is 'pass',
     'warn' or 'fail' (an error-level check with failures).
     """
+    if not checks:
+        raise ValueError("run_checks needs at least one check")
     parts = []
     for c in checks:
         n = c.failures.agg(F.count(F.lit(1)).alias("failures"))

@@ -49,7 +49,7 @@ def trips_raw(spark: SparkSession, sf_dir: str, tables=None) -> DataFrame:
     """Raw green + yellow trips, one row per lineitem (B1)."""
     t = _reader(spark, sf_dir, tables)
     # both large inputs: whichever side the planner streams gets all cores
-    li = spread(t("lineitem"), ["l_orderkey"])
+    li = spread(t("lineitem"), ["l_orderkey", "l_linenumber"])   # a hot order still spreads
     orders = spread(t("orders").select("o_orderkey", "o_custkey", "o_orderpriority"), ["o_orderkey"])
     cust = t("customer").select("c_custkey", "c_nationkey")
     supp = t("supplier").select("s_suppkey", "s_nationkey")

@@ -102,8 +102,12 @@ def spread(df: DataFrame, keys=(), min_partitions: int | None = None) -> DataFra
     robin when no keys). A scan that already has enough splits, as any
     large table on a cluster does, is left alone: no extra shuffle.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session): leave the scan as is
+        return df
+    if have >= want:
         return df
     return df.repartition(want, *keys) if keys else df.repartition(want)
 
