@@ -88,6 +88,22 @@ class Models:
         return M.fhv_traveltime_p90(self.fact_fhv_trips, self.dim_zones)
 
 
+_SHARED: dict[tuple[str, str], Models] = {}
+
+
+def models_for(spark: SparkSession, sf_dir: str) -> Models:
+    """One model chain per session and data folder, shared by the queries.
+
+    The models are lazy, immutable plans over read-only input tables, so
+    queries can share them: each table is listed once per session and each
+    query only plans its own top operators.
+    """
+    key = (spark.sparkContext.applicationId + ":" + str(id(spark)), sf_dir.rstrip("/"))
+    if key not in _SHARED:
+        _SHARED[key] = Models(spark, sf_dir)
+    return _SHARED[key]
+
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
@@ -97,7 +113,7 @@ def register(name: str, oracle_sql: str | None = None):
     def deco(fn: Callable[[Models], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             apply_runtime_conf(spark)          # UTC, AQE, skew join on the caller's session
-            return fn(Models(spark, sf_dir))
+            return fn(models_for(spark, sf_dir))
         QUERIES[name] = run
         QUERIES[name].__name__ = name
         QUERIES[name].__doc__ = fn.__doc__
