@@ -13,7 +13,6 @@ One writer per target; the plan never overwrites a path it reads.
 
 from __future__ import annotations
 
-import os
 from typing import Sequence
 
 from pyspark.errors import AnalysisException
@@ -21,7 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from ..sinks import writers as W
 
 # Fields of the two row-id variants (fixed values, in hashing order).
 ROW_ID_TEXT_FIELDS = ["vendor_id", "pickup_datetime", "dropoff_datetime", "pickup_location_id",
@@ -125,4 +123,4 @@ def months_between(start: tuple[int, int], end: tuple[int, int]) -> Sequence[tup
 
 
 __all__ = ["new_rows", "merge_insert_new", "with_row_id", "tag_file", "append_new", "ingest_month",
-           "month_file_name", "month_slice", "W", "os"]
+           "month_file_name", "month_bounds", "month_slice", "months_between"]

@@ -13,7 +13,6 @@ from functools import cached_property
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import staging as S
 from ..sources import fixtures as FX
@@ -123,10 +122,6 @@ def register(name: str, oracle_sql: str | None = None):
     return deco
 
 
-def _revenue_round(period: str) -> list[str]:
-    return [f"avg_{period}_passenger_count", f"avg_{period}_trip_distance"]
-
-
 # The registered queries live in ``queries_*.py`` modules, imported for their
 # side effect of registering.
 def load() -> tuple[dict[str, QueryFn], dict[str, str]]:
@@ -134,4 +129,4 @@ def load() -> tuple[dict[str, QueryFn], dict[str, str]]:
     return QUERIES, ORACLE
 
 
-__all__ = ["Models", "register", "load", "neutral", "QUERIES", "ORACLE", "F", "M", "S", "FX"]
+__all__ = ["Models", "models_for", "register", "load", "neutral", "QUERIES", "ORACLE"]

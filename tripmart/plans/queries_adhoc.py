@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import staging as S
-from ..sources import fixtures as FX
 from ..sources import readers as R
 from . import adhoc as A
 from . import oracle as O
@@ -205,5 +204,3 @@ def q_yearly_union(m: Models):
     o = m.table("orders")
     return A.union_all([o.filter(F.year("o_orderdate") == y) for y in (1996, 1997)])
 
-
-__all__ = ["FX"]
