@@ -40,7 +40,11 @@ def trips_unioned(green_stg: DataFrame, yellow_stg: DataFrame) -> DataFrame:
 def fact_trips(green_stg: DataFrame, yellow_stg: DataFrame, dim_zones: DataFrame) -> DataFrame:
     """M5: trips of both services with pickup and drop-off zones (inner joins,
     Unknown borough excluded, T14) and calendar parts."""
-    t = trips_unioned(green_stg, yellow_stg)
+    return fact_from_unioned(trips_unioned(green_stg, yellow_stg), dim_zones)
+
+
+def fact_from_unioned(t: DataFrame, dim_zones: DataFrame) -> DataFrame:
+    """M5 from already unioned staged trips (e.g. a written staging table)."""
     z = _known_zones(dim_zones)
     pu, do = _zone_side(z, "pickup"), _zone_side(z, "dropoff")
     j = (t.join(pu, t.pickup_locationid == pu._pickup_id, "inner")

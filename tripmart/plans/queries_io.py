@@ -93,6 +93,8 @@ def _checks(m: Models):
                 Q.check_relationships(t, "dropoff_locationid", known, "locationid"), "error"),
         Q.Check("accepted_values", "payment_type",
                 Q.check_accepted_values(t, "payment_type", PAYMENT_TYPE_VALUES), "warn"),
+        Q.Check("not_null", "revenue_monthly_total_amount", Q.check_not_null(
+            M.monthly_zone_revenue(M.fact_from_unioned(t, m.dim_zones)), "revenue_monthly_total_amount"), "error"),
     ]
 
 
@@ -116,10 +118,14 @@ _REPORT_SQL = "\nUNION ALL\n".join([
     _report_row("accepted_values", "payment_type", "warn",
                 "SELECT payment_type FROM trips_unioned GROUP BY payment_type "
                 "HAVING payment_type NOT IN (1, 2, 3, 4, 5, 6)"),
+    _report_row("not_null", "revenue_monthly_total_amount", "error",
+                "SELECT * FROM (SELECT pickup_zone, date_trunc('month', pickup_datetime) AS m, service_type, "
+                "sum(total_amount) AS revenue_monthly_total_amount FROM fact_trips GROUP BY 1, 2, 3) "
+                "WHERE revenue_monthly_total_amount IS NULL"),
 ])
 
 
-@register("dq_report", O.sql(_REPORT_SQL, "trips_raw", "raw_green", "trips_unioned", "known_zones",
+@register("dq_report", O.sql(_REPORT_SQL, "trips_raw", "raw_green", "trips_unioned", "known_zones", "fact_trips",
                              extra={"unique_in": _UNIQUE_IN}))
 def q_dq_report(m: Models):
     """Q5: one row per check with severity and status (not raised here)."""
