@@ -34,3 +34,8 @@ def test_top3_uses_group_limit(spark, sf_small):
 def test_dedupe_has_partial_aggregate(spark, sf_small):
     plan = plan_string(E.queries()["dedupe_trips"](spark, sf_small))
     assert "partial_min" in plan and "Window" not in plan
+
+
+def test_registered_pruned_scan_prunes(spark, sf_small):
+    plan = plan_string(E.queries()["partition_pruned_scan"](spark, sf_small))
+    assert "PartitionFilters: [isnotnull(event_date" in plan
