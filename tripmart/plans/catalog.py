@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import staging as S
 from ..sources import fixtures as FX
 from . import marts as M
-from ..session import apply_runtime_conf
+from ..session import apply_runtime_conf, scratch_path
 from .outputs import neutral
 
 
@@ -26,6 +26,7 @@ class Models:
     """The model chain over one data folder (each property is a lazy plan)."""
     spark: SparkSession
     sf_dir: str
+    materialize_inputs: bool = True
     _tables: dict = field(default_factory=dict, repr=False)
 
     def table(self, name: str) -> DataFrame:
@@ -36,7 +37,16 @@ class Models:
 
     @cached_property
     def trips_raw(self) -> DataFrame:
-        return FX.trips_raw(self.spark, self.sf_dir, self.table)
+        """The raw trips, landed once per session as a table in the shared
+        folder, partitioned by service (the reference's models read stored
+        raw tables too). Later plans scan it: the per-service split is
+        partition pruning and the four-way join is not repeated per query."""
+        raw = FX.trips_raw(self.spark, self.sf_dir, self.table)
+        if not self.materialize_inputs:
+            return raw
+        path = scratch_path(self.spark, "trips_raw")
+        raw.write.partitionBy("service").parquet(path)
+        return self.spark.read.parquet(path).select(*raw.columns)
 
     @cached_property
     def raw_green(self) -> DataFrame:
