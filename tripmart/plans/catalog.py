@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import staging as S
 from ..sources import fixtures as FX
 from . import marts as M
-from ..session import apply_runtime_conf, scratch_path
+from ..session import _sc, apply_runtime_conf, scratch_path
 from .outputs import neutral
 
 
@@ -107,7 +107,8 @@ def models_for(spark: SparkSession, sf_dir: str) -> Models:
     queries can share them: each table is listed once per session and each
     query only plans its own top operators.
     """
-    key = (spark.sparkContext.applicationId + ":" + str(id(spark)), sf_dir.rstrip("/"))
+    sc = _sc(spark)
+    key = (f"{id(spark)}:{sc.applicationId if sc is not None else ''}", sf_dir.rstrip("/"))
     if key not in _SHARED:
         _SHARED[key] = Models(spark, sf_dir)
     return _SHARED[key]

@@ -86,8 +86,7 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     """Set the SQL options the library relies on on an existing session."""
     conf = {k: v for k, v in DEFAULT_CONF.items()
             if k.startswith("spark.sql.") and k != "spark.sql.ansi.enabled"}
-    cores = spark.sparkContext.defaultParallelism
-    conf["spark.sql.sources.parallelPartitionDiscovery.parallelism"] = str(min(10_000, 2 * cores))
+    conf["spark.sql.sources.parallelPartitionDiscovery.parallelism"] = str(min(10_000, 2 * cores(spark)))
     for k, v in conf.items():
         try:
             spark.conf.set(k, v)
@@ -95,8 +94,23 @@ def apply_runtime_conf(spark: SparkSession) -> None:
             pass
 
 
+def _sc(spark: SparkSession):
+    """The SparkContext, or None on a session without one (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    sc = _sc(spark)
+    master = sc.master if sc is not None else (spark.conf.get("spark.master", "") or "")
+    return master.startswith("local")
+
+
+def cores(spark: SparkSession, default: int = 8) -> int:
+    sc = _sc(spark)
+    return sc.defaultParallelism if sc is not None else default
 
 
 _LOCAL_SCRATCH: dict[str, str] = {}
@@ -110,16 +124,17 @@ def scratch_root(spark: SparkSession) -> str:
     folder of our own; on a cluster an unset value is an error, because a
     machine-local folder would not survive the loss of an executor.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = _sc(spark)
+    d = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc is not None else None)
     if not d:
         if not _is_local(spark):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        app = spark.sparkContext.applicationId
+        app = sc.applicationId if sc is not None else str(id(spark))
         d = _LOCAL_SCRATCH.setdefault(app, tempfile.mkdtemp(prefix="tripmart-"))
-    if not spark.sparkContext.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         try:
-            spark.sparkContext.setCheckpointDir(d)
-        except Exception:  # noqa: BLE001 - e.g. a Connect session
+            sc.setCheckpointDir(d)
+        except Exception:  # noqa: BLE001
             pass
     return d.rstrip("/")
 

@@ -103,7 +103,7 @@ def spread(df: DataFrame, keys=(), min_partitions: int | None = None) -> DataFra
     large table on a cluster does, is left alone: no extra shuffle.
     """
     try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism  # no context: except
         have = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session): leave the scan as is
         return df
