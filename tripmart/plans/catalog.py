@@ -58,7 +58,13 @@ class Models:
 
     @cached_property
     def fhv_raw(self) -> DataFrame:
-        return FX.fhv_raw(self.spark, self.sf_dir, self.table)
+        """The raw FHV trips, landed once per session like ``trips_raw``."""
+        raw = FX.fhv_raw(self.spark, self.sf_dir, self.table)
+        if not self.materialize_inputs:
+            return raw
+        path = scratch_path(self.spark, "fhv_raw")
+        raw.write.parquet(path)
+        return self.spark.read.parquet(path).select(*raw.columns)
 
     @cached_property
     def zones(self) -> DataFrame:
