@@ -125,12 +125,14 @@ def scratch_root(spark: SparkSession) -> str:
     machine-local folder would not survive the loss of an executor.
     """
     sc = _sc(spark)
-    d = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc is not None else None)
+    app = sc.applicationId if sc is not None else str(id(spark))
+    d = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_SCRATCH.get(app)
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()          # set through the context, not the conf
     if not d:
         if not _is_local(spark):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        app = sc.applicationId if sc is not None else str(id(spark))
-        d = _LOCAL_SCRATCH.setdefault(app, tempfile.mkdtemp(prefix="tripmart-"))
+        d = _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="tripmart-")
     if sc is not None and not sc.getCheckpointDir():
         try:
             sc.setCheckpointDir(d)
