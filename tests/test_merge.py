@@ -63,3 +63,12 @@ def test_ingest_month_tags_file_and_hashes(spark, tmp_path, sf_small):
 
 def test_months_between():
     assert MG.months_between((2019, 11), (2020, 2)) == [(2019, 11), (2019, 12), (2020, 1), (2020, 2)]
+
+
+def test_landed_raw_tables_equal_the_fixture_plans(spark, sf_small):
+    from tripmart.plans.catalog import Models
+    landed, plain = Models(spark, sf_small), Models(spark, sf_small, materialize_inputs=False)
+    for name in ("trips_raw", "fhv_raw"):
+        a, b = getattr(landed, name), getattr(plain, name)
+        assert a.columns == b.columns
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
