@@ -68,14 +68,15 @@ def read_trips_csv(spark: SparkSession, path: str, service: str,
                    repartition: int | None = None) -> DataFrame:
     """Monthly trip CSV (plain or .gz) with a header line.
 
-    gzip is not splittable (one task per file); pass ``repartition`` to
-    spread the rows straight after the read.
+    gzip is not splittable (one task per file): with fewer splits than
+    cores the rows are spread straight after the read (``spread``), or into
+    ``repartition`` partitions when given.
     """
     df = (spark.read.schema(schema or ddl(CSV_COLUMNS[service]))
           .option("header", True).option("mode", "PERMISSIVE")
           .option("timestampNTZFormat", CSV_TIMESTAMP_FORMAT)
           .csv(path))
-    return df.repartition(repartition) if repartition else df
+    return df.repartition(repartition) if repartition else spread(df)
 
 
 def csv_external(spark: SparkSession, path: str, schema, skip_header: bool = True,
