@@ -127,3 +127,24 @@ def test_spread_only_when_too_few_splits(spark):
     assert sorted(r.id for r in spread_out.collect()) == list(range(1000))
     many = spark.range(1000).repartition(6)
     assert R.spread(many, ["id"], min_partitions=4) is many          # left alone: no extra shuffle
+
+
+def test_gzip_csv_is_spread(spark, tmp_path):
+    import gzip
+    p = tmp_path / "yellow.csv.gz"
+    header = ",".join(n for n, _ in R.YELLOW_CSV_COLUMNS)
+    row = "1,2019-01-01 00:10:00,2019-01-01 00:20:00,1,2.5,1,N,10,20,1,9.5,0.5,0.5,1,0,0.3,11.8,0"
+    with gzip.open(p, "wt") as f:
+        f.write(header + "\n" + "\n".join([row] * 500) + "\n")
+    df = R.read_trips_csv(spark, str(p), "yellow")
+    assert df.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert df.count() == 500
+
+
+def test_scale_conf_sizes_partitions():
+    from tripmart.session import scale_conf
+    small = scale_conf(10 * 1024 ** 2, 8)
+    assert small["spark.sql.shuffle.partitions"] == "24"            # at least 3 tasks per core
+    big = scale_conf(100 * 1024 ** 4, 8000)
+    assert big["spark.sql.shuffle.partitions"] == "200000"          # 100 TB / 256 MB, capped
+    assert big["spark.sql.sources.parallelPartitionDiscovery.parallelism"] == "10000"
