@@ -50,16 +50,25 @@ def _lower_bound(bounds: list[float], x):
     return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
 
 
+def value_filter(col: str):
+    """The values a percentile counts: non-null and not NaN."""
+    x = F.col(col).cast("double")
+    return x.isNotNull() & ~F.isnan(x)
+
+
 def exact_percentiles(df: DataFrame, col: str, probs: Sequence[float],
-                      rows_per_bucket: int = 1 << 20, max_buckets: int = 1 << 16) -> DataFrame:
+                      rows_per_bucket: int = 1 << 20, max_buckets: int = 1 << 16,
+                      n: int | None = None) -> DataFrame:
     """One row, one double column ``p<i>`` per probability (NULL when empty).
 
     The number of buckets grows with the row count (about ``rows_per_bucket``
-    rows each, at most ``max_buckets``); a small column is one bucket.
+    rows each, at most ``max_buckets``); a small column is one bucket. ``n``
+    (rows passing ``value_filter``) may be given when already counted.
     """
     probs = [float(p) for p in probs]
-    x = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
-    n = x.agg(F.count(F.lit(1)).alias("n")).first().n
+    x = df.select(F.col(col).cast("double").alias("x")).filter(value_filter("x"))
+    if n is None:
+        n = x.agg(F.count(F.lit(1)).alias("n")).first().n
     names = [f"p{i}" for i in range(len(probs))]
     if n == 0:
         return df.sparkSession.range(1).select(*[F.lit(None).cast("double").alias(c) for c in names])

@@ -135,12 +135,14 @@ def describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """
     basic_stats = ["count", "mean", "stddev", "min", "max"]
     quartiles = [("25%", 0.25), ("50%", 0.5), ("75%", 0.75)]
+    # one small job counts the values of every column for the quartile ranks
+    counts = df.agg(*[F.count(F.when(QT.value_filter(c), F.lit(1))).alias(c) for c in cols]).first()
     out = None
     for c in cols:
         x = F.col(c).cast("double")
         basic = df.agg(F.count(x).cast("double").alias("count"), F.avg(x).alias("mean"),
                        F.stddev_samp(x).alias("stddev"), F.min(x).alias("min"), F.max(x).alias("max"))
-        q = QT.exact_percentiles(df, c, [p for _, p in quartiles])
+        q = QT.exact_percentiles(df, c, [p for _, p in quartiles], n=counts[c])
         long = basic.select(F.inline(F.array(*[
             F.struct(F.lit(s).alias("summary"), F.col(s).alias(c)) for s in basic_stats])))
         long = long.unionByName(q.select(F.inline(F.array(*[
