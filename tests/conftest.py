@@ -14,8 +14,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     ckpt = tempfile.mkdtemp(prefix="tripmart-test-")
+    warehouse = tempfile.mkdtemp(prefix="tripmart-warehouse-")
     s = build_session("local[*]", app="tripmart-tests", shuffle_partitions=8,
-                      extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "4g"})
+                      extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "4g",
+                             "spark.sql.warehouse.dir": warehouse})
     s.sparkContext.setLogLevel("ERROR")
     yield s
 
