@@ -21,6 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    """Place of a public vocabulary file (installed with the environment on
+    every machine; operators take any path instead)."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: later steps
     scan the files, and a lost executor costs no recomputation."""

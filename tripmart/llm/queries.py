@@ -5,16 +5,14 @@ Each applies one operator, with production parameters, to its whole table.
 
 from __future__ import annotations
 
-import zlib
-from typing import Callable, Iterator
+from typing import Callable
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, language_id
-from .common import ASCII_LOWER, ASCII_UPPER, id_remainder, table
+from ..session import scratch_path
+from . import decontaminate, exact_dedup, jaccard_join, language_id, packing, token_store
+from .common import ASCII_LOWER, ASCII_UPPER, id_remainder, staged, table, tokenizer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -84,3 +82,41 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size(items).cast("bigint").alias("n_items"),
                         F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
                         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@register(f"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, '{ASCII_UPPER}', '{ASCII_LOWER}'), '[^\\x20\\x09-\\x0D]+'), []) AS w
+  FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM (
+  SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+l AS MATERIALIZED (SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= 80 * (na.n + nb.n - k)),
+r AS (SELECT doc_id, doc_id AS c FROM d UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.doc_id)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT doc_id, min(c) AS component_id FROM r GROUP BY doc_id) m ON m.doc_id = d.doc_id""")
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 5-word shingle sets have a Jaccard similarity of 0.8."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_join.similar_components(docs).select("doc_id", "n_shingles", "component_id")
+
+
+@register()
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written to a store and read back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = token_store.store(docs, scratch_path(spark, "token-store"), tokenizer("word_bpe_49k.json"), 1, spaced=False)
+    return packing.with_crc(back.withColumnRenamed("id", "doc_id"), "n_tokens")
+
+
+def packed_digest(docs: DataFrame) -> DataFrame:
+    """Pieces of ``docs`` with their places; the ids as a checksum."""
+    made = staged(packing.token_pieces(docs.select("doc_id", "text"), tokenizer("byte_bpe_50k.json"), 0), "pack-pieces")
+    return packing.place(packing.with_crc(made), counts_from=made)
+
+
+@register()
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document packed into sequences of 1024 ids."""
+    return packed_digest(table(spark, sf_dir, "documents"))
