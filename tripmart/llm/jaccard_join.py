@@ -79,12 +79,21 @@ def _powers(name: str, base: np.uint64, n: int) -> np.ndarray:
     return _POWERS[name][:n]
 
 
-def _mix(h: np.ndarray) -> np.ndarray:
+def mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(33))) * _MIX1
     h = (h ^ (h >> np.uint64(33))) * _MIX2
     return h ^ (h >> np.uint64(33))
 
 
+def byte_run_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte runs [start, end): prefix sums of byte codes
+    times powers of the base, shifted back to each run's start."""
+    code = _BYTE_CODE[raw] * _powers("up", _BASE, len(raw))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(code)])
+    return mix((total[end] - total[start]) * _powers("down", _BASE_INVERSE, len(raw))[start]
+               + (end - start).astype(np.uint64))
+
+
 def shingle_sets(texts: list[bytes | None], words: int = WORDS) -> list[np.ndarray]:
     """The sorted distinct 64-bit shingle hashes of each text."""
     buf = b"\n".join(t or b"" for t in texts)
@@ -95,18 +104,14 @@ def shingle_sets(texts: list[bytes | None], words: int = WORDS) -> list[np.ndarr
     solid = ~_BLANK[raw]
     edge = np.diff(solid.astype(np.int8), prepend=0, append=0)
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    # a word's hash from prefix sums of byte codes times powers of the base
-    code = _BYTE_CODE[_LOWER[raw]] * _powers("up", _BASE, len(raw))
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(code)])
-    word = _mix((total[end] - total[start]) * _powers("down", _BASE_INVERSE, len(raw))[start]
-                + (end - start).astype(np.uint64))
+    word = byte_run_hashes(_LOWER[raw], start, end)
     ends = np.cumsum([len(t or b"") + 1 for t in texts])
     cut = np.searchsorted(start, ends)          # words before the end of each text
     n = len(word)
     gram = np.zeros(max(0, n - words + 1), np.uint64)
     for k in range(words):
         gram = gram * _BASE + word[k:k + len(gram)]
-    gram = _mix(gram)
+    gram = mix(gram)
     out, first = [], 0
     for last in cut.tolist():
         if last - first >= words:
@@ -115,7 +120,7 @@ def shingle_sets(texts: list[bytes | None], words: int = WORDS) -> list[np.ndarr
             h = np.zeros(1, np.uint64)
             for k in range(first, last):
                 h = h * _BASE + word[k]
-            out.append(_mix(h + np.uint64(last - first)))
+            out.append(mix(h + np.uint64(last - first)))
         else:
             out.append(none)
         first = last

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, exact_dedup, jaccard_join, language_id, packing, token_store
+from . import decontaminate, exact_dedup, jaccard_join, language_id, packing, quality, token_store
 from .common import ASCII_LOWER, ASCII_UPPER, id_remainder, staged, table, tokenizer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +120,13 @@ def packed_digest(docs: DataFrame) -> DataFrame:
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every document packed into sequences of 1024 ids."""
     return packed_digest(table(spark, sf_dir, "documents"))
+
+
+@register()
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document (hashed n-grams, FTRL)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(id_remainder("doc_id", 5) != 0)
+    scored = quality.score(docs, quality.train(docs, labels)).drop("text")
+    return scored.select("doc_id", (id_remainder("doc_id", 5) == 0).alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
