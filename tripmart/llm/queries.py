@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, exact_dedup, jaccard_join, language_id, packing, quality, token_store
+from . import (chat, decontaminate, exact_dedup, jaccard_join, language_id, packing, quality, sharding, token_store,
+               wordpiece)
 from .common import ASCII_LOWER, ASCII_UPPER, id_remainder, staged, table, tokenizer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +131,72 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score(docs, quality.train(docs, labels)).drop("text")
     return scored.select("doc_id", (id_remainder("doc_id", 5) == 0).alias("held_out"), "score",
                          F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+SHARDS = [f"shard-{i:03d}" for i in range(32)]
+_SHARD_SLOTS = sharding.next_prime(sharding.SLOTS_PER_SHARD * len(SHARDS))
+
+
+def _hex60(text: str, at: int) -> str:
+    return f"CAST(('0x' || substr(md5({text}), {at}, 15)) AS BIGINT)"
+
+
+# the table filled one claim at a time: t holds the owners, p the next place of each shard's order
+@register(f"""
+WITH RECURSIVE s AS MATERIALIZED (SELECT list(o ORDER BY i) AS o, list(k ORDER BY i) AS k FROM (
+  SELECT i, {_hex60("n", 1)} % {_SHARD_SLOTS} AS o, {_hex60("n", 17)} % {_SHARD_SLOTS - 1} + 1 AS k
+  FROM (SELECT i, printf('shard-%03d', i) AS n FROM range({len(SHARDS)}) r(i)))),
+f AS (
+  SELECT 0 AS turn, list_transform(range({_SHARD_SLOTS}), lambda x: -1) AS t, list_transform(range({len(SHARDS)}), lambda x: 0) AS p
+  UNION ALL
+  SELECT turn + 1, list_concat(list_concat(t[1:slot], [who]), t[slot + 2:]), list_concat(list_concat(p[1:who], [j + 1]), p[who + 2:])
+  FROM (SELECT *, (o[who + 1] + j * k[who + 1]) % {_SHARD_SLOTS} AS slot FROM (
+    SELECT turn, t, p, o, k, turn % {len(SHARDS)} AS who,
+      list_min(list_filter(range(p[turn % {len(SHARDS)} + 1], {_SHARD_SLOTS}),
+        lambda x: t[(o[turn % {len(SHARDS)} + 1] + x * k[turn % {len(SHARDS)} + 1]) % {_SHARD_SLOTS} + 1] < 0)) AS j
+    FROM f, s WHERE turn < {_SHARD_SLOTS}))),
+w AS (SELECT t FROM f WHERE turn = {_SHARD_SLOTS}),
+d AS (SELECT doc_id, {_hex60("coalesce(CAST(doc_id AS VARCHAR), 'null')", 1)} % {_SHARD_SLOTS} AS slot FROM documents)
+SELECT doc_id, slot, printf('shard-%03d', t[slot + 1]) AS shard FROM d, w""")
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slot and shard of every document."""
+    return sharding.assign(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", SHARDS)
+
+
+@register()
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word-piece tokens of every document, without building pieces."""
+    initial, continuing = wordpiece.sentencepiece_vocabulary(tokenizer("piece_bpe_32k.model"))
+    return wordpiece.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), initial, continuing).drop("text")
+
+
+@register("""
+WITH RECURSIVE u AS (SELECT conv_id, turn + 1 AS turn, min(text) AS asked FROM conversations WHERE role = 'user' GROUP BY 1, 2),
+said AS (SELECT c.conv_id, c.turn, u.asked, length(u.asked) AS n, coalesce(length(u.asked) < 60, false) AS short
+  FROM conversations c LEFT JOIN u ON u.conv_id = c.conv_id AND u.turn = c.turn WHERE c.role = 'assistant'),
+calls AS MATERIALIZED (SELECT conv_id, turn, 'c' || conv_id || '-' || turn AS call_id, CASE WHEN short THEN 'lookup' ELSE 'search' END AS name,
+  asked, n, CASE WHEN short THEN turn + 2 ELSE turn - 2 END AS needs_turn FROM said),
+results AS (SELECT conv_id, turn, 'c' || conv_id || '-' || turn AS call_id, text AS content FROM conversations
+  WHERE role = 'system' OR (role = 'assistant' AND length(text) >= 40)),
+chain AS (SELECT conv_id, turn, turn AS pos, 0 AS s FROM calls
+  UNION ALL SELECT h.conv_id, h.turn, c.needs_turn, h.s + 1 FROM chain h
+  JOIN calls c ON c.conv_id = h.conv_id AND c.turn = h.pos JOIN calls o ON o.conv_id = c.conv_id AND o.turn = c.needs_turn
+  WHERE c.needs_turn > c.turn AND h.pos = h.turn + 2 * h.s),
+k AS (SELECT conv_id, turn, max(pos) AS order_turn, CAST(max(s) AS INT) AS order_step FROM chain GROUP BY 1, 2)
+SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id, coalesce(c.turn, r.turn) AS turn,
+  coalesce(k.order_turn, r.turn) AS order_turn, coalesce(k.order_step, 0) AS order_step,
+  CASE WHEN c.call_id IS NULL THEN 'orphan' WHEN r.call_id IS NULL THEN 'missing' ELSE 'linked' END AS status,
+  CASE WHEN c.call_id IS NULL THEN '' WHEN c.asked IS NULL THEN
+    CASE WHEN c.name = 'search' THEN 'missing:limit,missing:text' ELSE 'missing:text' END
+  ELSE concat_ws(',', CASE WHEN n % 7 = 0 THEN 'type:limit' END, CASE WHEN n % 5 = 0 THEN 'unexpected:extra' END) END AS errors,
+  '{"arguments":' || CASE WHEN c.call_id IS NULL THEN 'null' WHEN c.asked IS NULL THEN '{}' ELSE
+    '{' || CASE WHEN n % 5 = 0 THEN '"extra":true,' ELSE '' END || '"limit":' ||
+    CASE WHEN n % 7 = 0 THEN '"' || n || '"' ELSE CAST(n AS VARCHAR) END || ',"text":' || CAST(to_json(c.asked) AS VARCHAR) || '}' END
+  || ',"id":' || to_json(coalesce(c.call_id, r.call_id)) || ',"name":' || coalesce(CAST(to_json(c.name) AS VARCHAR), 'null')
+  || ',"result":' || coalesce(CAST(to_json(r.content) AS VARCHAR), 'null') || '}' AS json
+FROM calls c FULL OUTER JOIN results r ON c.conv_id = r.conv_id AND c.call_id = r.call_id
+LEFT JOIN k ON k.conv_id = c.conv_id AND k.turn = c.turn""")
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tool calls of every conversation, linked, ordered, checked, as canonical JSON."""
+    calls, results = chat.derive_tool_turns(table(spark, sf_dir, "conversations"))
+    return chat.format_calls(calls, results, chat.SCHEMAS)
