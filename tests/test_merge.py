@@ -61,8 +61,46 @@ def test_ingest_month_tags_file_and_hashes(spark, tmp_path, sf_small):
     assert t.select(F.length("unique_row_id").alias("n")).distinct().first().n == 16
 
 
-def test_months_between():
-    assert MG.months_between((2019, 11), (2020, 2)) == [(2019, 11), (2019, 12), (2020, 1), (2020, 2)]
+def test_key_that_moves_date_is_not_inserted_again(spark, tmp_path):
+    path = str(tmp_path / "t")
+    MG.append_new(spark, spark.createDataFrame(rows(("a", 1, 1)), SCHEMA), path)
+    MG.append_new(spark, spark.createDataFrame(rows(("a", 9, 2), ("b", 9, 3)), SCHEMA), path)
+    got = sorted((r.unique_row_id, r.v) for r in spark.read.parquet(path).collect())
+    assert got == [("a", 1), ("b", 3)]
+
+
+def test_empty_first_batch_then_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    MG.append_new(spark, spark.createDataFrame([], SCHEMA), path)
+    MG.append_new(spark, spark.createDataFrame(rows(("a", 1, 1)), SCHEMA), path)
+    MG.append_new(spark, spark.createDataFrame([], SCHEMA), path)
+    MG.append_new(spark, spark.createDataFrame(rows(("a", 1, 1)), SCHEMA), path, key_holds_date=True)
+    assert [(r.unique_row_id, r.v) for r in spark.read.parquet(path).collect()] == [("a", 1)]
+
+
+def test_hot_date_is_split_and_rows_kept(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(MG, "ROWS_PER_FILE", 10)
+    path = str(tmp_path / "t")
+    MG.append_new(spark, spark.createDataFrame(rows(*[(str(i), 1, i) for i in range(100)], ("x", 2, 0)), SCHEMA), path)
+    assert spark.read.parquet(path).count() == 101
+    files = spark.read.parquet(path).filter("pickup_date = DATE'2024-01-01'").inputFiles()
+    assert len(files) > 1
+
+
+def test_files_at_once_equal_files_in_turn(spark, tmp_path):
+    schema = SCHEMA.replace("unique_row_id string, ", "") + ", filename string"
+    base = {c: "1" for c in MG.ROW_ID_TEXT_FIELDS if c != "pickup_datetime"}
+
+    def month(name, *days):
+        d = spark.createDataFrame([(dt.datetime(2024, 1, x), x, name) for x in days], schema)
+        return d.select("*", *[F.lit(v).alias(k) for k, v in base.items()])
+    parts = [month("f1", 1, 2, 2), month("f2", 2, 3, 3)]
+    one, many = str(tmp_path / "one"), str(tmp_path / "many")
+    for p in parts:
+        MG.ingest_files(spark, p, one)
+    MG.ingest_files(spark, parts[0].unionByName(parts[1]), many)
+    a, b = (sorted(map(tuple, spark.read.parquet(p).select("filename", "v").collect())) for p in (one, many))
+    assert a == b == [("f1", 1), ("f1", 2), ("f1", 2), ("f2", 3), ("f2", 3)]
 
 
 def test_landed_raw_tables_equal_the_fixture_plans(spark, sf_small):

@@ -21,3 +21,25 @@ def test_available_now_once_then_incremental(spark, tmp_path):
                           SCHEMA).write.mode("append").parquet(landing + "/drop=1")
     ST.ingest_available(spark, landing + "/drop=1", SCHEMA, target, ckpt, key="event_id", ts_col="ts")
     assert spark.read.parquet(target).count() == 31
+
+
+def test_same_result_for_one_and_many_files_per_batch(spark, tmp_path):
+    landing = str(tmp_path / "landing")
+    for k, ids in enumerate([(1, 2, 2), (2, 3), (3, 4, 4)]):
+        rows = [(i, dt.datetime(2024, 1, 1 + i), float(10 * k + i)) for i in ids]
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{landing}/tmp{k}")
+    import glob
+    import os
+    import shutil
+    drop = f"{landing}/drop"
+    os.makedirs(drop)
+    for k in range(3):
+        f = glob.glob(f"{landing}/tmp{k}/part-*.parquet")[0]
+        shutil.copy(f, f"{drop}/f{k}.parquet")
+        os.utime(f"{drop}/f{k}.parquet", (1_700_000_000 + k, 1_700_000_000 + k))
+    got = []
+    for n in (1, 100):
+        target, ckpt = str(tmp_path / f"t{n}"), str(tmp_path / f"c{n}")
+        ST.ingest_available(spark, drop, SCHEMA, target, ckpt, key="event_id", ts_col="ts", files_per_batch=n)
+        got.append(sorted((r.event_id, r.value) for r in spark.read.parquet(target).collect()))
+    assert got[0] == got[1] == [(1, 1.0), (2, 2.0), (2, 2.0), (3, 13.0), (4, 24.0), (4, 24.0)]

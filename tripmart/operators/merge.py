@@ -4,22 +4,23 @@
 source rows whose id is not in the target are added; every unmatched
 source row goes in, duplicates inside one batch included (T10).
 
-The target is partitioned by pickup date. Before the anti join the target
-is pruned to the dates the batch covers (one tiny aggregate gives the
-range), so the merge reads only the partitions it can match. Ids hash the
-pickup time, so a matching id always lies in the batch's date range.
-One writer per target; the plan never overwrites a path it reads.
+The target is partitioned by pickup date; the match is on the key over the
+whole target, whatever its date. Where equal keys imply equal dates (trip
+row ids hash the pickup time) the caller may say so, and only the batch's
+dates are read. One writer per target; the plan never overwrites a path it
+reads.
 """
 
 from __future__ import annotations
 
-from typing import Sequence
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import exprs as X
+from ..session import scratch_path
+from ..sinks.writers import persist_table
 
 # Fields of the two row-id variants (fixed values, in hashing order).
 ROW_ID_TEXT_FIELDS = ["vendor_id", "pickup_datetime", "dropoff_datetime", "pickup_location_id",
@@ -57,45 +58,83 @@ def tag_file(df: DataFrame, filename: str | None = None) -> DataFrame:
     return df.withColumn("filename", name)
 
 
-def _layout(df: DataFrame, date_col: str, key: str) -> DataFrame:
-    """Range-partition on (date, key): a hot date is split across tasks
-    instead of landing in one writer; files are sorted by key."""
-    return df.repartitionByRange(date_col, key).sortWithinPartitions(date_col, key)
+ROWS_PER_FILE = 5_000_000
+
+
+def _layout(df: DataFrame, batch: DataFrame, date_col: str, key: str) -> DataFrame:
+    """Deal rows by (date, hash of the key) in one pass: a date of the batch
+    gets a task for each ``ROWS_PER_FILE`` rows, so a hot date is split and a
+    small one makes one file. Files are sorted by key."""
+    sizes = (batch.groupBy(F.col(date_col).alias("_date"))
+             .agg(F.ceil(F.count(F.lit(1)) / ROWS_PER_FILE).cast("int").alias("_tasks")))
+    dealt = df.join(sizes, df[date_col].eqNullSafe(sizes["_date"]), "left")
+    part = F.pmod(F.xxhash64(key), F.coalesce("_tasks", F.lit(1)))
+    return (dealt.repartition(F.col(date_col), part).select(*df.columns)
+            .sortWithinPartitions(date_col, key))
 
 
-def _read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+def _read_target(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """The target with the batch's schema; None only if the path is not there
+    (a folder without data files is an empty target)."""
     try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def append_new(spark: SparkSession, batch: DataFrame, target_path: str, key: str = "unique_row_id",
-               ts_col: str = "pickup_datetime", date_col: str = "pickup_date") -> None:
+               ts_col: str = "pickup_datetime", date_col: str = "pickup_date",
+               key_holds_date: bool = False) -> None:
     """Merge one batch into a date-partitioned parquet target (insert only).
 
-    The target is listed once; the anti join reads only the partitions in
-    the batch's date range (plus the NULL-date partition).
+    The batch is written once to the shared folder (read and hashed once; a
+    lost executor reads it again from there), then anti-joined on the key
+    against the whole target. With ``key_holds_date`` (equal keys imply equal
+    dates, as for ids that hash the pickup time) only the target's dates
+    between the batch's first and last, and its NULL date, are read.
     """
     batch = batch.withColumn(date_col, F.to_date(F.col(ts_col)))
-    target = _read_if_exists(spark, target_path)
-    if target is None:
-        _layout(batch, date_col, key).write.partitionBy(date_col).parquet(target_path)
-        return
-    rng = batch.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).first()
-    in_range = F.col(date_col).isNull()
-    if rng is not None and rng.lo is not None:
-        in_range = in_range | ((F.col(date_col) >= F.lit(rng.lo)) & (F.col(date_col) <= F.lit(rng.hi)))
-    existing = target.filter(in_range).select(key)
-    add = new_rows(batch, existing, key)
-    _layout(add.select(*batch.columns), date_col, key).write.mode("append").partitionBy(date_col).parquet(target_path)
+    batch = persist_table(batch, scratch_path(spark, "merge_batch"))
+    target = _read_target(spark, target_path, batch.schema)
+    add = batch
+    if target is not None:
+        if key_holds_date:
+            span = batch.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).first()
+            dates = F.col(date_col).isNull()
+            if span.lo is not None:
+                dates = dates | F.col(date_col).between(F.lit(span.lo), F.lit(span.hi))
+            target = target.filter(dates)
+        add = new_rows(batch, target.select(key), key).select(*batch.columns)
+    (_layout(add, batch, date_col, key).write.mode("append").partitionBy(date_col).parquet(target_path))
 
 
 def ingest_month(spark: SparkSession, month_df: DataFrame, target_path: str, filename: str,
                  variant: str = "text", ts_col: str = "pickup_datetime") -> None:
-    """Type (already done by the reader), hash, tag the file, merge."""
+    """Type (already done by the reader), hash, tag the file, merge. Row
+    ids hash the pickup time, so equal ids share a date."""
     staged = tag_file(with_row_id(month_df, variant), filename)
-    append_new(spark, staged, target_path, ts_col=ts_col)
+    append_new(spark, staged, target_path, ts_col=ts_col, key_holds_date=True)
+
+
+def ingest_files(spark: SparkSession, files: DataFrame, target_path: str, variant: str = "text",
+                 ts_col: str = "pickup_datetime") -> None:
+    """I1 for any number of files at once. ``files`` are typed rows with the
+    column ``filename``. The result is that of loading the files one after
+    the other in order of their names: a row id that a file brings is taken
+    from the first file that has it, with that file's repeats (T10)."""
+    hashed = with_row_id(files, variant)
+    append_new(spark, first_file_rows(hashed, "unique_row_id", "filename"), target_path, ts_col=ts_col,
+               key_holds_date=True)
+
+
+def first_file_rows(df: DataFrame, key: str, file_col: str) -> DataFrame:
+    """Rows whose file is the first (by name) that holds their key. Rows
+    without a key all stay, as an insert-only merge keeps them."""
+    first = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.min(file_col).alias("_first"))
+    later = (df[key] == first["_key"]) & (df[file_col] > first["_first"])
+    return df.join(first, later, "left_anti")
 
 
 def month_file_name(service: str, year: int, month: int) -> str:
@@ -113,14 +152,5 @@ def month_slice(df: DataFrame, year: int, month: int, ts_col: str = "pickup_date
     return df.filter(X.in_range(ts_col, lo, hi))
 
 
-def months_between(start: tuple[int, int], end: tuple[int, int]) -> Sequence[tuple[int, int]]:
-    y, m = start
-    out = []
-    while (y, m) <= end:
-        out.append((y, m))
-        y, m = (y + 1, 1) if m == 12 else (y, m + 1)
-    return out
-
-
 __all__ = ["new_rows", "merge_insert_new", "with_row_id", "tag_file", "append_new", "ingest_month",
-           "month_file_name", "month_bounds", "month_slice", "months_between"]
+           "ingest_files", "first_file_rows", "month_file_name", "month_bounds", "month_slice"]

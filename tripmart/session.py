@@ -21,7 +21,6 @@ DEFAULT_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -83,15 +82,13 @@ def folder_bytes(path: str) -> int:
 
 
 def apply_runtime_conf(spark: SparkSession) -> None:
-    """Set the SQL options the library relies on on an existing session."""
-    conf = {k: v for k, v in DEFAULT_CONF.items()
-            if k.startswith("spark.sql.") and k != "spark.sql.ansi.enabled"}
-    conf["spark.sql.sources.parallelPartitionDiscovery.parallelism"] = str(min(10_000, 2 * cores(spark)))
-    for k, v in conf.items():
-        try:
+    """Set the SQL options the library relies on (all of them can be changed
+    on a running session; write modes are given per write, not here)."""
+    for k, v in DEFAULT_CONF.items():
+        if k.startswith("spark.sql.") and k != "spark.sql.ansi.enabled":
             spark.conf.set(k, v)
-        except Exception:  # noqa: BLE001 - static conf on a running session
-            pass
+    # listing a table of many date folders: a few tasks a core, not one a folder
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(min(10_000, 2 * cores(spark))))
 
 
 def _sc(spark: SparkSession):

@@ -65,6 +65,7 @@ def with_date_column(df: DataFrame, ts_col: str, date_col: str | None = None) ->
 def write_partitioned(df: DataFrame, path: str, ts_col: str, cluster_by: Sequence[str] = (),
                       date_col: str | None = None, mode: str = "overwrite") -> str:
     """K5: partition by the date of ``ts_col``, cluster (sort) within files.
+    ``mode="overwrite"`` replaces the whole table, older dates included.
 
     Rows are range-partitioned on (date, cluster columns): a small date
     lands in one task (one file), a large or hot date is split over as many
@@ -75,25 +76,31 @@ def write_partitioned(df: DataFrame, path: str, ts_col: str, cluster_by: Sequenc
     date_col = date_col or f"{ts_col}_date"
     out = with_date_column(df, ts_col, date_col).repartitionByRange(date_col, *cluster_by)
     out = out.sortWithinPartitions(date_col, *cluster_by)
-    out.write.mode(mode).partitionBy(date_col).parquet(path)
+    (out.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(date_col).parquet(path))
     return date_col
 
 
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType | str,
                  partition_by: Sequence[str] = (), path: str | None = None) -> None:
     """K6: CREATE TABLE IF NOT EXISTS with a fixed schema (comments kept)."""
     cols = schema if isinstance(schema, str) else ", ".join(
         f"`{f.name}` {f.dataType.simpleString()}"
-        + (f" COMMENT '{f.metadata['comment']}'" if f.metadata.get("comment") else "")
+        + (f" COMMENT {_text(f.metadata['comment'])}" if f.metadata.get("comment") else "")
         for f in schema.fields)
     part = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     loc = f" LOCATION '{path}'" if path else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet{part}{loc}")
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """K7: truncate-and-load staging is a fresh DataFrame per batch."""
-    return df
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """K7: truncate-and-load staging: the table holds this batch only."""
+    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+    return df.sparkSession.table(name)
 
 
 def write_table(df: DataFrame, name: str, mode: str = "append") -> None:

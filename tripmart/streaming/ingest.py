@@ -3,25 +3,29 @@
 The scheduled monthly load with backfill becomes: process the files in a
 landing folder that have not been seen yet, each exactly once. A file
 source remembers processed files in its checkpoint; ``availableNow`` runs
-what is there and stops; ``maxFilesPerTrigger=1`` plays one file per
-micro-batch (the flows' ``concurrency: 1``); ``foreachBatch`` merges each
-batch insert-only into the target, so a replayed batch after a failure adds
-nothing. No watermark is needed: the state is the target table.
+what is there and stops; ``maxFilesPerTrigger`` bounds one micro-batch, and
+a large backlog is loaded many files at a time. Within a micro-batch a key
+comes from the first file (by name) that holds it, with that file's
+repeats: the result is the same for any number of files per batch.
+``foreachBatch`` merges each batch insert-only into the target, so a
+replayed batch after a failure adds nothing. No watermark is needed: the
+state is the target table.
 """
 
 from __future__ import annotations
 
 from typing import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import merge as MG
 
+FILES_PER_BATCH = 1000
+
 
 def file_stream(spark: SparkSession, landing: str, schema, fmt: str = "parquet",
-                files_per_batch: int = 1, **options) -> DataFrame:
+                files_per_batch: int = FILES_PER_BATCH, **options) -> DataFrame:
     r = spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", files_per_batch)
     for k, v in options.items():
         r = r.option(k, v)
@@ -31,21 +35,18 @@ def file_stream(spark: SparkSession, landing: str, schema, fmt: str = "parquet",
 def ingest_available(spark: SparkSession, landing: str, schema, target_path: str,
                      checkpoint: str, key: str, ts_col: str, date_col: str = "event_date",
                      prepare: Callable[[DataFrame], DataFrame] | None = None,
-                     fmt: str = "parquet", files_per_batch: int = 1) -> int:
+                     fmt: str = "parquet", files_per_batch: int = FILES_PER_BATCH,
+                     key_holds_date: bool = False) -> int:
     """Run one availableNow pass; returns the number of micro-batches run."""
     stream = file_stream(spark, landing, schema, fmt, files_per_batch)
+    stream = stream.withColumn("_file", F.col("_metadata.file_path"))
     if prepare is not None:
         stream = prepare(stream)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        # the merge runs two actions on the batch (date range, then anti
-        # join + append): keep it for the batch's lifetime (memory, then disk;
-        # a lost block is recomputed from the batch's files)
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            MG.append_new(batch.sparkSession, batch, target_path, key=key, ts_col=ts_col, date_col=date_col)
-        finally:
-            batch.unpersist()
+        first = MG.first_file_rows(batch, key, "_file").drop("_file")
+        MG.append_new(batch.sparkSession, first, target_path, key=key, ts_col=ts_col, date_col=date_col,
+                      key_holds_date=key_holds_date)
 
     q = (stream.writeStream.foreachBatch(merge_batch)
          .option("checkpointLocation", checkpoint)
