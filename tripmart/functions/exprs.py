@@ -36,6 +36,12 @@ def as_text(c) -> Column:
     return _c(c).cast("string")
 
 
+def number_text(c) -> Column:
+    """Text of a decimal without trailing zeros (5.00 is '5', 12.50 '12.5'),
+    so a row id does not depend on the declared scale."""
+    return F.regexp_replace(F.regexp_replace(as_text(c), r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
+
+
 # --- row ids -------------------------------------------------------------
 
 def row_hash_text(*cols, sep: str = "") -> Column:
@@ -62,8 +68,12 @@ def safe_cast(c, to: str) -> Column:
     return _c(c).try_cast(to)
 
 
-def to_numeric(c, money_type: str = "decimal(18,2)") -> Column:
-    """Exact decimal; the default scale keeps sums far from overflow."""
+# NUMERIC keeps 9 decimal places; 19 digits before them leave room for sums.
+NUMERIC = "decimal(28,9)"
+
+
+def to_numeric(c, money_type: str = NUMERIC) -> Column:
+    """Exact decimal."""
     return _c(c).cast(money_type)
 
 
@@ -74,7 +84,7 @@ def to_ts(c) -> Column:
 
 def float_then_int(c) -> Column:
     """Text -> float -> integer, rounding halves away from zero (T5)."""
-    return F.round(safe_cast(c, "double")).try_cast("int")
+    return F.round(safe_cast(c, "double")).try_cast("bigint")
 
 
 # --- labels (V1) -----------------------------------------------------------
@@ -128,14 +138,20 @@ def minute_boundaries_between(start, end) -> Column:
                             F.date_trunc("minute", _c(end)))
 
 
-def on_date(c, day: str) -> Column:
-    """F1 / X12 as a half-open range, so a date-partitioned scan prunes."""
+def on_date(c, day: str, date_col: str | None = None) -> Column:
+    """F1 / X12 as a half-open range. ``date_col`` names the table's partition
+    column that holds the date of ``c``: it is filtered too, so that only that
+    date's partition is read (Spark does not derive that by itself)."""
     start = F.lit(day).cast("timestamp_ntz")
-    return (_c(c) >= start) & (_c(c) < F.timestamp_add("DAY", F.lit(1), start))
+    out = (_c(c) >= start) & (_c(c) < F.timestamp_add("DAY", F.lit(1), start))
+    return out & (F.col(date_col) == F.lit(day).cast("date")) if date_col else out
 
 
-def in_range(c, start: str, end: str) -> Column:
-    return (_c(c) >= F.lit(start).cast("timestamp_ntz")) & (_c(c) < F.lit(end).cast("timestamp_ntz"))
+def in_range(c, start: str, end: str, date_col: str | None = None) -> Column:
+    """``start <= c < end``; ``date_col`` as in :func:`on_date`."""
+    lo, hi = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
+    out = (_c(c) >= lo) & (_c(c) < hi)
+    return out & F.col(date_col).between(lo.cast("date"), hi.cast("date")) if date_col else out
 
 
 def days_back(as_of: str, n: int) -> Column:
@@ -148,6 +164,12 @@ def growth(cur, prev) -> Column:
     return F.try_divide(_c(cur) - _c(prev), _c(prev))
 
 
+def since(c, start: Column, date_col: str | None = None) -> Column:
+    """``c >= start``; ``date_col`` as in :func:`on_date`."""
+    out = _c(c) >= start
+    return out & (F.col(date_col) >= start.cast("date")) if date_col else out
+
+
 def json_field_or(props, key: str, default: str = "N/A") -> Column:
     """Value of a JSON key as text; ``default`` only when absent.
 

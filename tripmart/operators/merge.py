@@ -41,11 +41,14 @@ def merge_insert_new(source: DataFrame, target: DataFrame, key: str = "unique_ro
 
 
 def with_row_id(df: DataFrame, variant: str = "text", key: str = "unique_row_id") -> DataFrame:
-    """X1 ('text', 7 fields, md5 hex) or X2 ('bytes', 5 fields, 16 bytes)."""
+    """X1 ('text', 7 fields, md5 hex) or X2 ('bytes', 5 fields, 16 bytes).
+    Decimals are hashed without trailing zeros."""
+    def fields(names):
+        return [X.number_text(n) if isinstance(df.schema[n].dataType, T.DecimalType) else n for n in names]
     if variant == "text":
-        rid = X.row_hash_text(*ROW_ID_TEXT_FIELDS)
+        rid = X.row_hash_text(*fields(ROW_ID_TEXT_FIELDS))
     elif variant == "bytes":
-        rid = X.row_hash_bytes(*ROW_ID_BYTES_FIELDS)
+        rid = X.row_hash_bytes(*fields(ROW_ID_BYTES_FIELDS))
     else:
         raise ValueError(variant)
     return df.select(rid.alias(key), *df.columns)
@@ -137,6 +140,11 @@ def first_file_rows(df: DataFrame, key: str, file_col: str) -> DataFrame:
     return df.join(first, later, "left_anti")
 
 
+def month_file(service: str, ts_col: str = "pickup_datetime"):
+    """Name of the monthly file that holds a row (a column)."""
+    return F.concat(F.lit(f"{service}_tripdata_"), F.date_format(ts_col, "yyyy-MM"), F.lit(".csv"))
+
+
 def month_file_name(service: str, year: int, month: int) -> str:
     """Name of a monthly trip file (e.g. yellow_tripdata_2019-01.csv)."""
     return f"{service}_tripdata_{year:04d}-{month:02d}.csv"

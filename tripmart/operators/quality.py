@@ -14,6 +14,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import config
+
 
 def check_unique(df: DataFrame, col: str) -> DataFrame:
     """Q1: keys that occur more than once (NULL keys are ignored)."""
@@ -72,6 +74,62 @@ def run_checks(checks: Sequence[Check]) -> DataFrame:
     return out
 
 
+# The project's declared tests of a staged service: column -> severity.
+SUITE_SEVERITY = {
+    "green": {"unique": "warn", "not_null": "warn", "pickup": "warn", "dropoff": "error", "accepted": "warn"},
+    "yellow": {"unique": "warn", "not_null": "warn", "pickup": "warn", "dropoff": "warn", "accepted": "warn"},
+}
+
+
+def run_suite(staged_trips: DataFrame, zones: DataFrame, monthly: DataFrame,
+              accepted: Sequence[int] = config.PAYMENT_TYPE_VALUES) -> DataFrame:
+    """The project's test suite: five tests on each staged service and one on
+    the monthly mart, one report row each (model, check_name, column_name,
+    severity, failures, status).
+
+    ``staged_trips`` holds both services (service_type Green or Yellow). One
+    pass counts the null, relationship and accepted-value failures of both
+    services (zones joined by left joins); only ``unique`` needs its own
+    aggregate, on the trip id.
+    """
+    ids = zones.select(F.col("locationid").alias("_id"), F.lit(True).alias("_known")).distinct()
+    t = staged_trips.withColumn("_service", F.lower("service_type"))
+    for side in ("pickup", "dropoff"):
+        z = ids.select(F.col("_id").alias(f"_{side}"), F.col("_known").alias(f"_{side}_known"))
+        t = t.join(z, t[f"{side}_locationid"] == z[f"_{side}"], "left")
+    strange = F.when(~F.col("payment_type").isin(list(accepted)), F.col("payment_type"))
+    lost = {s: F.count_if(F.col(f"{s}_locationid").isNotNull() & F.col(f"_{s}_known").isNull()) for s in ("pickup", "dropoff")}
+    # a test on accepted values fails once per value, so the few values are kept apart
+    rows = t.groupBy("_service", strange.alias("_value")).agg(
+        F.count_if(F.col("tripid").isNull()).alias("not_null"), lost["pickup"].alias("pickup"),
+        lost["dropoff"].alias("dropoff"))
+    once = rows.groupBy("_service").agg(
+        F.sum("not_null").alias("not_null"), F.sum("pickup").alias("pickup"), F.sum("dropoff").alias("dropoff"),
+        F.count("_value").alias("accepted"))
+    repeated = (staged_trips.filter(F.col("tripid").isNotNull())
+                .groupBy(F.lower("service_type").alias("_service"), "tripid").agg(F.count(F.lit(1)).alias("_n"))
+                .groupBy("_service").agg(F.count_if(F.col("_n") > 1).alias("unique")))
+    counts = once.join(repeated, "_service", "left")
+    names = [("unique", "unique", "tripid"), ("not_null", "not_null", "tripid"),
+             ("relationships", "pickup", "pickup_locationid"), ("relationships", "dropoff", "dropoff_locationid"),
+             ("accepted_values", "accepted", "payment_type")]
+    # every declared test reports, also for a service without a row
+    declared = staged_trips.sparkSession.createDataFrame(
+        [(s, k, n, c, SUITE_SEVERITY[s][k]) for s in SUITE_SEVERITY for n, k, c in names],
+        "_service string, _key string, check_name string, column_name string, severity string")
+    long = counts.select("_service", F.inline(F.array(*[
+        F.struct(F.lit(k).alias("_key"), F.col(k).cast("bigint").alias("_failures")) for _, k, _ in names])))
+    out = declared.join(long, ["_service", "_key"], "left").select(
+        F.concat(F.lit("stg_"), "_service").alias("model"), "check_name", "column_name", "severity",
+        F.coalesce("_failures", F.lit(0).cast("bigint")).alias("failures"))
+    total = "revenue_monthly_total_amount"
+    mart = monthly.agg(F.count_if(F.col(total).isNull()).alias("failures")).select(
+        F.lit("monthly_zone_revenue").alias("model"), F.lit("not_null").alias("check_name"),
+        F.lit(total).alias("column_name"), F.lit("error").alias("severity"), "failures")
+    status = F.when(F.col("failures") == 0, "pass").when(F.col("severity") == "warn", "warn").otherwise("fail")
+    return out.unionByName(mart).withColumn("status", status)
+
+
 class DataTestError(RuntimeError):
     pass
 

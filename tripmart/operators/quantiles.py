@@ -1,114 +1,87 @@
-"""Exact interpolated percentiles of a whole column, distributed (A10).
-
-``percentile`` as a global aggregate merges every distinct value into one
-final buffer: one task would hold them all. Here no task holds more than
-one bucket's distinct values:
-
-1. value counts: ``groupBy(x).count()`` (hot values collapse map-side);
-2. the row count, then a bounded sketch: ``percentile_approx`` gives
-   ``buckets - 1`` bounds (the only things brought to the driver);
-3. each distinct value gets its bucket by binary search over the bounds
-   (a literal array, O(log B) per value), bucket sizes are summed (<= B
-   rows) and turned into start ranks;
-4. only the buckets holding a wanted rank (at most two per probability)
-   are ordered, inside their own partition, to find the exact values;
-5. interpolation as ``percentile_cont``: v[floor(h)] + (h - floor(h)) *
+"""Exact interpolated percentiles, by group or over whole columns.
+
+``percentile`` merges a group's distinct values into one buffer in one
+task. Here no task holds more than one value bucket of one group:
+
+1. distinct values are counted (``groupBy(keys, x).count()``: repeated
+   values collapse before the shuffle);
+2. each value belongs to a fixed bucket: ``PER_OCTAVE`` equal steps between
+   one power of two and the next, so buckets need no look at the data. Per
+   group the counts of its buckets (a bounded number, whatever the rows) are
+   summed and turned into start ranks;
+3. only buckets that hold a wanted rank (at most two per probability) are
+   ordered, each in its own partition, to find the exact values;
+4. interpolation as ``percentile_cont``: v[floor(h)] + (h - floor(h)) *
    (v[ceil(h)] - v[floor(h)]) with h = p * (n - 1).
 
-Each bucket holds about n / B rows, so the ordered part stays bounded as
-the data grows (raise ``buckets`` with it).
+Everything is one lazy plan: no job runs while it is built.
 """
 
 from __future__ import annotations
 
-import json
-import math
-from typing import Sequence
+from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+PER_OCTAVE = 1024
 
-def _double_array(values: Sequence[float]):
-    """A constant array<double> as one folded literal (not one node per value)."""
-    return F.from_json(F.lit(json.dumps([float(v) for v in values])), "array<double>")
 
+def value_bucket(x: Column, per_octave: int = PER_OCTAVE) -> Column:
+    """A whole number that never falls as x (a finite double) grows."""
+    size = F.abs(x)
+    # the smallest doubles share bucket 0 with zero; infinities have their own
+    power = F.floor(F.log2(F.when((size > 1e-300) & (size < 1e300), size).otherwise(F.lit(1.0))))
+    step = F.floor((size / F.pow(F.lit(2.0), power) - 1) * per_octave)
+    bucket = F.when(size <= 1e-300, F.lit(0)).when(size >= 1e300, F.lit(2100 * per_octave)).otherwise(
+        (power + 1050) * per_octave + step).cast("bigint")
+    return F.when(x < 0, -bucket).otherwise(bucket)
 
-def _lower_bound(bounds: list[float], x):
-    """Number of bounds strictly below x (binary search, fixed steps)."""
-    arr = _double_array(bounds)
-    steps = max(1, math.ceil(math.log2(len(bounds) + 1)) + 1)
-    init = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
 
-    def step(acc, _):
-        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
-        go_right = F.element_at(arr, mid + 1) < x
-        return F.when(acc["lo"] >= acc["hi"], acc).otherwise(
-            F.when(go_right, F.struct((mid + 1).alias("lo"), acc["hi"].alias("hi")))
-             .otherwise(F.struct(acc["lo"].alias("lo"), mid.alias("hi"))))
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
-
-
-def value_filter(col: str):
+def value_filter(x: Column) -> Column:
     """The values a percentile counts: non-null and not NaN."""
-    x = F.col(col).cast("double")
     return x.isNotNull() & ~F.isnan(x)
 
 
-def exact_percentiles(df: DataFrame, col: str, probs: Sequence[float],
-                      rows_per_bucket: int = 1 << 20, max_buckets: int = 1 << 16,
-                      n: int | None = None) -> DataFrame:
-    """One row, one double column ``p<i>`` per probability (NULL when empty).
+def grouped_percentiles(df: DataFrame, keys: Sequence[str], value: Column, probs: Mapping[str, float]) -> DataFrame:
+    """One row per group that has a value: ``keys`` and a double column for
+    each named probability."""
+    keys = list(keys)
+    x = df.select(*keys, value.cast("double").alias("_x")).filter(value_filter(F.col("_x")))
+    counts = x.groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_c"))
+    counts = counts.withColumn("_bucket", value_bucket(F.col("_x")))
+    sizes = counts.groupBy(*keys, "_bucket").agg(F.sum("_c").alias("_bn"))
+    group = Window.partitionBy(*keys)
+    before = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sizes = (sizes.withColumn("_start", F.sum("_bn").over(before) - F.col("_bn"))
+             .withColumn("_n", F.sum("_bn").over(group)))
+    height = {name: F.lit(float(p)) * (F.col("_n") - 1) for name, p in probs.items()}
+    ranks = F.array_distinct(F.array(*[f(h).cast("bigint") for h in height.values() for f in (F.floor, F.ceil)]))
+    wanted = F.filter(ranks, lambda r: (r >= F.col("_start")) & (r < F.col("_start") + F.col("_bn")))
+    needed = sizes.select(*keys, "_bucket", "_start", "_n", wanted.alias("_ranks")).filter(F.size("_ranks") > 0)
+
+    same = F.lit(True)
+    needed_as = needed.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                              F.col("_bucket").alias("_kb"), "_start", "_n", "_ranks")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    inside = counts.join(needed_as, same & (F.col("_bucket") == F.col("_kb")))
+    bucket = Window.partitionBy(*keys, "_bucket").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = inside.withColumn("_end", F.col("_start") + F.sum("_c").over(bucket))
+    mine = F.filter("_ranks", lambda r: (r >= F.col("_end") - F.col("_c")) & (r < F.col("_end")))
+    hits = inside.select(*keys, "_x", "_n", F.explode(mine).alias("_r"))
+    out = []
+    for name, h in height.items():
+        low = F.max(F.when(F.col("_r") == F.floor(h), F.col("_x")))
+        high = F.max(F.when(F.col("_r") == F.ceil(h), F.col("_x")))
+        part = F.max(h - F.floor(h))
+        out.append((low + part * (high - low)).alias(name))
+    return hits.groupBy(*keys).agg(*out)
+
 
-    The number of buckets grows with the row count (about ``rows_per_bucket``
-    rows each, at most ``max_buckets``); a small column is one bucket. ``n``
-    (rows passing ``value_filter``) may be given when already counted.
-    """
-    probs = [float(p) for p in probs]
-    x = df.select(F.col(col).cast("double").alias("x")).filter(value_filter("x"))
-    if n is None:
-        n = x.agg(F.count(F.lit(1)).alias("n")).first().n
+def exact_percentiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
+    """One row, one double column ``p<i>`` per probability (NULL when empty)."""
     names = [f"p{i}" for i in range(len(probs))]
-    if n == 0:
-        return df.sparkSession.range(1).select(*[F.lit(None).cast("double").alias(c) for c in names])
-    buckets = 1
-    while buckets < max_buckets and buckets * rows_per_bucket < n:
-        buckets *= 2
-    bounds: list[float] = []
-    if buckets > 1:
-        sketch = x.agg(F.percentile_approx("x", _double_array([i / buckets for i in range(1, buckets)]),
-                                           max(10000, 4 * buckets)).alias("b")).first()
-        bounds = sorted(set(float(b) for b in (sketch.b or [])))
-    ranks = []
-    for p in probs:
-        h = p * (n - 1)
-        ranks += [math.floor(h), math.ceil(h)]
-    want = F.array(*[F.lit(r).cast("bigint") for r in sorted(set(ranks))])
-
-    vc = x.groupBy("x").agg(F.count(F.lit(1)).alias("c"))
-    if bounds:
-        bk = vc.withColumn("bucket", _lower_bound(bounds, F.col("x")))
-        sizes = bk.groupBy("bucket").agg(F.sum("c").alias("bn"))
-        # at most ``buckets`` rows: a single ordered window is bounded
-        starts = sizes.withColumn("start", F.sum("bn").over(Window.orderBy("bucket")) - F.col("bn"))
-        needed = starts.filter(F.exists(want, lambda r: (r >= F.col("start"))
-                                        & (r < F.col("start") + F.col("bn"))))
-        # at most 2 * len(probs) rows: a proven bound for the broadcast
-        sel = bk.join(F.broadcast(needed.select("bucket", "start")), "bucket")
-    else:
-        # one bucket (a small column): every value, starting at rank 0
-        sel = vc.select("x", "c", F.lit(0).alias("bucket"), F.lit(0).cast("bigint").alias("start"))
-    end = F.col("start") + F.sum("c").over(Window.partitionBy("bucket").orderBy("x"))
-    sel = sel.withColumn("end", end)
-    hits = (sel.filter(F.exists(want, lambda r: (r >= F.col("end") - F.col("c")) & (r < F.col("end"))))
-               .select("x", F.explode(F.filter(want, lambda r: (r >= F.col("end") - F.col("c"))
-                                                & (r < F.col("end")))).alias("r")))
-    out = []
-    for i, p in enumerate(probs):
-        h = p * (n - 1)
-        lo, hi = math.floor(h), math.ceil(h)
-        v_lo = F.max(F.when(F.col("r") == lo, F.col("x")))
-        v_hi = F.max(F.when(F.col("r") == hi, F.col("x")))
-        out.append((v_lo + F.lit(h - lo) * (v_hi - v_lo)).alias(names[i]))
-    return hits.agg(*out)
+    one = df.select(F.lit(0).alias("_all"), F.col(f"`{col}`").alias("_v"))
+    got = grouped_percentiles(one, ["_all"], F.col("_v"), dict(zip(names, probs)))
+    return got.agg(*[F.max(n).alias(n) for n in names])

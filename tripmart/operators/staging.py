@@ -107,25 +107,25 @@ def _stg_taxi(raw: DataFrame, service: str, money_type: str, test_run: bool) ->
     t = dedupe(t, DEDUPE_KEYS)
     money = lambda c: X.to_numeric(c, money_type)
     if service == "green":
-        trip_type = X.safe_cast("trip_type", "int")
+        trip_type = X.safe_cast("trip_type", "bigint")
         ehail = money("ehail_fee")
         # text -> float64 -> integer, halves away from zero
-        pay = F.round(F.coalesce(X.safe_cast("payment_type", "double"), F.lit(0.0))).try_cast("int")
+        pay = F.round(F.coalesce(X.safe_cast("payment_type", "double"), F.lit(0.0))).try_cast("bigint")
     else:
-        trip_type = F.lit(1)
+        trip_type = F.lit(1).cast("bigint")
         ehail = money(F.lit(0))
         # text -> integer directly: '2.0' is NULL, then 0
-        pay = F.coalesce(X.safe_cast("payment_type", "int"), F.lit(0))
+        pay = F.coalesce(X.safe_cast("payment_type", "bigint"), F.lit(0).cast("bigint"))
     out = t.select(
         X.surrogate_key("vendor_id", "pickup_datetime").alias("tripid"),
-        X.safe_cast("vendor_id", "int").alias("vendorid"),
-        X.safe_cast("rate_code", "int").alias("ratecodeid"),
-        X.safe_cast("pickup_location_id", "int").alias("pickup_locationid"),
-        X.safe_cast("dropoff_location_id", "int").alias("dropoff_locationid"),
+        X.safe_cast("vendor_id", "bigint").alias("vendorid"),
+        X.safe_cast("rate_code", "bigint").alias("ratecodeid"),
+        X.safe_cast("pickup_location_id", "bigint").alias("pickup_locationid"),
+        X.safe_cast("dropoff_location_id", "bigint").alias("dropoff_locationid"),
         X.to_ts("pickup_datetime").alias("pickup_datetime"),
         X.to_ts("dropoff_datetime").alias("dropoff_datetime"),
         F.col("store_and_fwd_flag"),
-        X.safe_cast("passenger_count", "int").alias("passenger_count"),
+        X.safe_cast("passenger_count", "bigint").alias("passenger_count"),
         money("trip_distance").alias("trip_distance"),
         trip_type.alias("trip_type"),
         money("fare_amount").alias("fare_amount"),
@@ -143,12 +143,12 @@ def _stg_taxi(raw: DataFrame, service: str, money_type: str, test_run: bool) ->
     return sample_run(out, test_run, ["tripid"])
 
 
-def stg_green(raw_green: DataFrame, money_type: str = "decimal(18,2)", test_run: bool = False) -> DataFrame:
+def stg_green(raw_green: DataFrame, money_type: str = X.NUMERIC, test_run: bool = False) -> DataFrame:
     """M1: typed, de-duplicated green trips."""
     return _stg_taxi(raw_green, "green", money_type, test_run)
 
 
-def stg_yellow(raw_yellow: DataFrame, money_type: str = "decimal(18,2)", test_run: bool = False) -> DataFrame:
+def stg_yellow(raw_yellow: DataFrame, money_type: str = X.NUMERIC, test_run: bool = False) -> DataFrame:
     """M2: typed, de-duplicated yellow trips (trip_type 1, ehail_fee 0)."""
     return _stg_taxi(raw_yellow, "yellow", money_type, test_run)
 
@@ -157,8 +157,8 @@ def stg_fhv(raw_fhv: DataFrame, test_run: bool = False) -> DataFrame:
     """M3: typed FHV trips; no null filter and no de-duplication."""
     out = raw_fhv.select(
         F.col("dispatching_base_num"),
-        X.safe_cast("PUlocationID", "int").alias("pickup_locationid"),
-        X.safe_cast("DOlocationID", "int").alias("dropoff_locationid"),
+        X.safe_cast("PUlocationID", "bigint").alias("pickup_locationid"),
+        X.safe_cast("DOlocationID", "bigint").alias("dropoff_locationid"),
         X.to_ts("pickup_datetime").alias("pickup_datetime"),
         X.to_ts("dropOff_datetime").alias("dropoff_datetime"),
         F.col("SR_Flag").alias("sr_flag"),

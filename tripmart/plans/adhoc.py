@@ -12,7 +12,9 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .. import config
 from ..functions import exprs as X
 from ..operators import quantiles as QT
 
@@ -22,16 +24,20 @@ def count_rows(df: DataFrame, name: str = "trips") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
-def trips_on_date(trips: DataFrame, day: str, ts: str = "pickup_datetime") -> DataFrame:
-    """trips that start on a calendar day (half-open range, prunable)."""
-    return count_rows(trips.filter(X.on_date(ts, day)))
+def trips_on_date(trips: DataFrame, day: str, ts: str = "pickup_datetime",
+                  date_col: str | None = None) -> DataFrame:
+    """trips that start on a calendar day. ``date_col``: the table's
+    partition column with the date of ``ts``, so that one partition is read."""
+    return count_rows(trips.filter(X.on_date(ts, day, date_col)))
 
 
 def range_count(trips: DataFrame, start: str, end: str, min_distance: float,
-                start_col: str = "pickup_datetime", end_col: str = "dropoff_datetime") -> DataFrame:
-    """started on/after ``start``, ended before ``end``, longer than the threshold."""
+                start_col: str = "pickup_datetime", end_col: str = "dropoff_datetime",
+                date_col: str | None = None) -> DataFrame:
+    """started on/after ``start``, ended before ``end``, longer than the
+    threshold. ``date_col``: partition column with the date of ``start_col``."""
     return count_rows(trips.filter(
-        (F.col(start_col) >= F.lit(start).cast("timestamp_ntz"))
+        X.since(start_col, F.lit(start).cast("timestamp_ntz"), date_col)
         & (F.col(end_col) < F.lit(end).cast("timestamp_ntz"))
         & (F.col("trip_distance") > min_distance)))
 
@@ -48,9 +54,14 @@ def zero_fare_count(trips: DataFrame) -> DataFrame:
     return count_rows(trips.filter(F.col("fare_amount") == 0))
 
 
-def last_n_days(df: DataFrame, col: str, n: int, as_of: str) -> DataFrame:
-    """F8: rows on/after ``as_of - n days``; ``as_of`` is explicit so results repeat."""
-    return df.filter(F.col(col) >= X.days_back(as_of, n))
+def last_n_days(df: DataFrame, col: str, n: int | None = None, as_of: str | None = None,
+                date_col: str | None = None) -> DataFrame:
+    """F8 / V2: rows on/after ``as_of - n days``. The number of days is the
+    argument, else the environment's ``DAYS_BACK``, else 30; ``as_of`` is
+    today unless given (give it for results that repeat)."""
+    days = config.setting("days_back", config.DEFAULT_DAYS_BACK, value=n, cast=int)
+    start = X.days_back(as_of, days) if as_of else F.date_sub(F.current_date(), days).cast("timestamp_ntz")
+    return df.filter(X.since(col, start, date_col))
 
 
 def longest_trip(trips: DataFrame) -> DataFrame:
@@ -71,10 +82,11 @@ def largest_tip_dropoff(trips: DataFrame, zones: DataFrame, pickup_zone: str) ->
                 .select(F.col("zone").alias("dropoff_zone"), "tip_amount"))
 
 
-def top_pickup_zones(trips: DataFrame, zones: DataFrame, day: str, threshold: float) -> DataFrame:
+def top_pickup_zones(trips: DataFrame, zones: DataFrame, day: str, threshold: float,
+                     date_col: str | None = None) -> DataFrame:
     """Per pickup location on one day, total amount over a
     threshold (HAVING), named by a left join after the aggregate, largest first."""
-    t = (trips.filter(X.on_date("pickup_datetime", day))
+    t = (trips.filter(X.on_date("pickup_datetime", day, date_col))
               .groupBy("pickup_location_id").agg(F.sum("total_amount").alias("total"))
               .filter(F.col("total") > threshold))
     z = zones.select("locationid", "zone")
@@ -110,45 +122,36 @@ def avg_trip_minutes(trips: DataFrame, start: str = "pickup_datetime",
 def avg_by(df: DataFrame, key: str, value: str, name: str, places: int = 2) -> DataFrame:
     """Rounded mean per key, largest first.
 
-    The mean is rounded half up from the exact sum of cents, so the result
-    does not depend on the order in which partial sums are added.
-    """
-    if places < 2:
-        raise ValueError("places must be >= 2")
-    cents = F.round(F.col(value) * 100).cast("bigint")
-    g = df.groupBy(key).agg(F.sum(cents).alias("_c"), F.count(F.col(value)).alias("_n"))
-    scale = 10 ** (places - 2)
-    # half-up rounding of the exact mean (integer arithmetic, exact)
-    rounded = F.expr(f"(2 * _c * {scale} + _n) div (2 * _n)")
-    return (g.select(key, (rounded / (10 ** places)).alias(name))
-             .orderBy(F.col(name).desc_nulls_last()))
-
-
-def describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    The mean is taken over exact decimals, so it does not depend on the order
+    in which partial sums are added, and rounded half away from zero; a group
+    of only NULLs has a NULL mean."""
+    exact = F.avg(F.col(value).cast("decimal(28,9)"))
+    return (df.groupBy(key).agg(F.round(exact, places).cast("double").alias(name))
+            .orderBy(F.col(name).desc_nulls_last()))
+
+
+SUMMARY = ["count", "mean", "stddev", "min", "25%", "50%", "75%", "max"]
+
+
+def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """A10: count, mean, stddev, min, exact quartiles, max: one row per
-    statistic, one column per input column (the ``df.summary()`` shape, with
-    exact quartiles and numeric values).
+    statistic, one column per numeric column (all of them by default).
 
-    Moments come from one partial/final aggregate per column; quartiles from
-    the distributed exact percentile (no task holds all distinct values).
-    The per-column frames (8 rows each) are joined on the statistic name.
+    The columns are stacked into (column, value) rows once: the moments are
+    one aggregate by column, the quartiles the distributed exact percentile
+    by column (no task holds all distinct values of a column).
     """
-    basic_stats = ["count", "mean", "stddev", "min", "max"]
-    quartiles = [("25%", 0.25), ("50%", 0.5), ("75%", 0.75)]
-    # one small job counts the values of every column for the quartile ranks
-    counts = df.agg(*[F.count(F.when(QT.value_filter(c), F.lit(1))).alias(c) for c in cols]).first()
-    out = None
-    for c in cols:
-        x = F.col(c).cast("double")
-        basic = df.agg(F.count(x).cast("double").alias("count"), F.avg(x).alias("mean"),
-                       F.stddev_samp(x).alias("stddev"), F.min(x).alias("min"), F.max(x).alias("max"))
-        q = QT.exact_percentiles(df, c, [p for _, p in quartiles], n=counts[c])
-        long = basic.select(F.inline(F.array(*[
-            F.struct(F.lit(s).alias("summary"), F.col(s).alias(c)) for s in basic_stats])))
-        long = long.unionByName(q.select(F.inline(F.array(*[
-            F.struct(F.lit(s).alias("summary"), F.col(f"p{i}").alias(c)) for i, (s, _) in enumerate(quartiles)]))))
-        out = long if out is None else out.join(long, "summary")
-    return out
+    cols = list(cols) if cols is not None else [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").cast("double").alias("x")) for c in cols])
+    long = df.select(F.inline(pairs))
+    basic = long.groupBy("name").agg(
+        F.count("x").cast("double").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("stddev"),
+        (F.min("x") + 0.0).alias("min"), (F.max("x") + 0.0).alias("max"))
+    quarters = QT.grouped_percentiles(long, ["name"], F.col("x"), {"25%": 0.25, "50%": 0.5, "75%": 0.75})
+    both = basic.join(quarters, "name", "left")          # a row a column
+    stats = F.array(*[F.struct(F.lit(s).alias("summary"), F.col(f"`{s}`").alias("v")) for s in SUMMARY])
+    return (both.select("name", F.inline(stats)).groupBy("summary")
+            .agg(*[F.max(F.when(F.col("name") == c, F.col("v"))).alias(c) for c in cols]))
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

@@ -18,6 +18,7 @@ from ..operators import staging as S
 from ..sources import fixtures as FX
 from . import marts as M
 from ..session import _sc, apply_runtime_conf, scratch_path
+from ..sinks import writers as W
 from .outputs import neutral
 
 
@@ -48,6 +49,16 @@ class Models:
         raw.write.partitionBy("service").parquet(path)
         return self.spark.read.parquet(path).select(*raw.columns)
 
+    @cached_property
+    def trips_by_date(self) -> DataFrame:
+        """The raw trips landed once per session by pickup date (K5): the
+        table of the queries that ask for dates. Written in one step from the
+        landed trips, clustered by pickup location within a date."""
+        path = scratch_path(self.spark, "trips_by_date")
+        self.date_col = W.write_partitioned(self.trips_raw, path, "pickup_datetime",
+                                            cluster_by=["service", "pickup_location_id"], date_col="pickup_date")
+        return self.spark.read.parquet(path)
+
     @cached_property
     def raw_green(self) -> DataFrame:
         return FX.service_trips(self.trips_raw, "green")
@@ -76,11 +87,11 @@ class Models:
 
     @cached_property
     def stg_green(self) -> DataFrame:
-        return S.stg_green(self.raw_green)
+        return S.stg_green(self.raw_green, FX.MONEY)
 
     @cached_property
     def stg_yellow(self) -> DataFrame:
-        return S.stg_yellow(self.raw_yellow)
+        return S.stg_yellow(self.raw_yellow, FX.MONEY)
 
     @cached_property
     def stg_fhv(self) -> DataFrame:

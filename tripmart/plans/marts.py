@@ -3,8 +3,8 @@
 Plans are declarative; Catalyst pushes the borough filter below the joins,
 prunes columns down to the scans and picks the join strategy from size
 statistics (the zone dimension is tiny, so it is broadcast: no shuffle of
-the fact side). Percentiles are group aggregates, never a window plus
-DISTINCT: one row per group and map-side partial aggregation (A9, W2).
+the fact side). Percentiles are counted by value with map-side partial
+aggregation, never a window over all trips plus DISTINCT (A9, W2).
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from ..operators import quantiles as QT
 
 FARE_LABELS = ("Cash", "Credit card")     # intended labels (T1)
 MONEY_COLUMNS = ["fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
@@ -75,7 +76,8 @@ def fact_fhv_trips(fhv_stg: DataFrame, dim_zones: DataFrame) -> DataFrame:
 
 
 def _revenue_measures(period: str):
-    return [F.sum(c).alias(f"revenue_{period}_{c}") for c in MONEY_COLUMNS] + [
+    names = {"fare_amount": "fare"}          # the mart says fare, not fare_amount
+    return [F.sum(c).alias(f"revenue_{period}_{names.get(c, c)}") for c in MONEY_COLUMNS] + [
         F.count("tripid").alias(f"total_{period}_trips"),
         F.avg("passenger_count").alias(f"avg_{period}_passenger_count"),
         F.avg("trip_distance").alias(f"avg_{period}_trip_distance"),
@@ -100,18 +102,16 @@ def fare_percentiles(fact: DataFrame, labels: Sequence[str] = FARE_LABELS,
                      probs: Sequence[float] = (0.90, 0.95, 0.97)) -> DataFrame:
     """Exact interpolated fare percentiles per service and month.
 
-    One aggregate computes all the probabilities from one buffer per group;
-    the buffer holds distinct fares with counts, so a hot month costs its
-    number of distinct fares, not its number of trips.
+    Exact without a buffer per group: fares are counted, cut into fixed value
+    buckets, and only the buckets that hold a wanted rank are ordered
+    (operators/quantiles.py), so a hot month is spread over many tasks.
     """
     valid = fact.filter((F.col("fare_amount") > 0) & (F.col("trip_distance") > 0)
                         & F.col("payment_type_description").isin(list(labels)))
-    agg = valid.groupBy("service_type", "year", "month").agg(
-        F.percentile(F.col("fare_amount").cast("double"),
-                     F.array(*[F.lit(float(p)) for p in probs])).alias("_p"))
+    keys = ["service_type", "year", "month"]
     names = [f"p{round(p * 100):d}" for p in probs]
-    return agg.select("service_type", "year", "month",
-                      *[F.col("_p")[i].alias(n) for i, n in enumerate(names)])
+    out = QT.grouped_percentiles(valid, keys, F.col("fare_amount"), dict(zip(names, probs)))
+    return out.select(*keys, *names)
 
 
 def fhv_traveltime_p90(fact_fhv: DataFrame, dim_zones: DataFrame, prob: float = 0.9) -> DataFrame:
@@ -128,23 +128,22 @@ def fhv_traveltime_p90(fact_fhv: DataFrame, dim_zones: DataFrame, prob: float =
     return j.select("year", "month", "pickup_zone", "dropoff_zone", "p90_duration").distinct()
 
 
-def revenue_yoy(quarterly: DataFrame, year: int) -> DataFrame:
+def revenue_yoy(fact: DataFrame, year: int) -> DataFrame:
     """Quarter totals of ``year`` against the same quarter a year
-    earlier. A self join (a missing year gives no row, unlike ``lag``);
-    each side is filtered to its one year, which Catalyst pushes below the
-    aggregate into the scan."""
-    a = quarterly.filter(F.col("year") == year).select(
-        "year", (F.col("year") - 1).alias("lastyear"), "quarter", "service_type",
-        F.col("revenue_quarterly_total_amount").alias("total"))
-    b = quarterly.filter(F.col("year") == year - 1).select(
-        F.col("year").alias("b_year"), F.col("quarter").alias("b_quarter"),
-        F.col("service_type").alias("b_service_type"),
-        F.col("revenue_quarterly_total_amount").alias("last_total"))
-    j = a.join(b, (a.lastyear == b.b_year) & (a.quarter == b.b_quarter)
-               & (a.service_type == b.b_service_type), "inner")
-    return (j.select("service_type", "year", "quarter", "total", "last_total",
-                     X.growth("total", "last_total").alias("yoy"))
-             .orderBy(F.col("service_type").asc_nulls_first(), F.col("yoy").asc_nulls_first()))
+    earlier; a quarter that one of the two years lacks gives no row.
+
+    One pass: both years are one range of pickup times (it reaches the scan),
+    and one aggregate sums each year's share of a (service, quarter)."""
+    both = fact.filter(X.in_range("pickup_datetime", f"{year - 1}-01-01", f"{year + 1}-01-01"))
+    now = F.col("year") == year
+    sums = both.groupBy("service_type", "quarter").agg(
+        F.sum(F.when(now, F.col("total_amount"))).alias("total"),
+        F.sum(F.when(~now, F.col("total_amount"))).alias("last_total"),
+        F.count_if(now).alias("_now"), F.count_if(~now).alias("_before"))
+    return (sums.filter("_now > 0 AND _before > 0")
+            .select("service_type", F.lit(year).alias("year"), "quarter", "total", "last_total",
+                    X.growth("total", "last_total").alias("yoy"))
+            .orderBy(F.col("service_type").asc_nulls_first(), F.col("yoy").asc_nulls_first()))
 
 
 def fhv_top3_dropoff(p90: DataFrame, year: int, month: int, pickup_zones: Sequence[str],

@@ -15,13 +15,13 @@ from __future__ import annotations
 from ..functions.exprs import SURROGATE_NULL_MARKER as NULL_MARKER
 
 
-def int_text(x: str, t: str = "INTEGER") -> str:
+def int_text(x: str, t: str = "BIGINT") -> str:
     """Spark-compatible safe cast of text to an integer type."""
     return f"(CASE WHEN regexp_full_match(CAST({x} AS VARCHAR), '[+-]?[0-9]+') THEN TRY_CAST({x} AS {t}) END)"
 
 
 def payment_label(x: str) -> str:
-    code = f"TRY_CAST(round(TRY_CAST({x} AS DOUBLE)) AS INTEGER)"
+    code = f"TRY_CAST(round(TRY_CAST({x} AS DOUBLE)) AS BIGINT)"
     return (f"(CASE {code} WHEN 1 THEN 'Credit card' WHEN 2 THEN 'Cash' WHEN 3 THEN 'No charge' "
             f"WHEN 4 THEN 'Dispute' WHEN 5 THEN 'Unknown' WHEN 6 THEN 'Voided trip' ELSE 'EMPTY' END)")
 
@@ -31,8 +31,16 @@ def surrogate(*cols: str) -> str:
     return f"md5(concat_ws('-', {parts}))"
 
 
+def _plain(c: str) -> str:
+    """Text of a field; amounts without trailing zeros."""
+    text = f"CAST({c} AS VARCHAR)"
+    if c in ("fare_amount", "trip_distance"):
+        text = f"rtrim(rtrim({text}, '0'), '.')"
+    return text
+
+
 def row_hash(*cols: str) -> str:
-    parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in cols)
+    parts = ", ".join(f"coalesce({_plain(c)}, '')" for c in cols)
     return f"md5(concat({parts}))"
 
 
@@ -53,7 +61,7 @@ def _stg(service: str) -> str:
     if service == "green":
         trip_type = int_text("trip_type")
         ehail = "CAST(ehail_fee AS DECIMAL(18,2))"
-        pay = "TRY_CAST(round(coalesce(TRY_CAST(payment_type AS DOUBLE), 0.0)) AS INTEGER)"
+        pay = "TRY_CAST(round(coalesce(TRY_CAST(payment_type AS DOUBLE), 0.0)) AS BIGINT)"
     else:
         trip_type = "1"
         ehail = "CAST(0 AS DECIMAL(18,2))"
@@ -63,8 +71,8 @@ def _stg(service: str) -> str:
       {surrogate('vendor_id', 'pickup_datetime')} AS tripid,
       {int_text('vendor_id')} AS vendorid,
       {int_text('rate_code')} AS ratecodeid,
-      TRY_CAST(pickup_location_id AS INTEGER) AS pickup_locationid,
-      TRY_CAST(dropoff_location_id AS INTEGER) AS dropoff_locationid,
+      TRY_CAST(pickup_location_id AS BIGINT) AS pickup_locationid,
+      TRY_CAST(dropoff_location_id AS BIGINT) AS dropoff_locationid,
       CAST(pickup_datetime AS TIMESTAMP) AS pickup_datetime,
       CAST(dropoff_datetime AS TIMESTAMP) AS dropoff_datetime,
       store_and_fwd_flag,
@@ -94,7 +102,7 @@ _MONEY = ["fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "ehai
 
 
 def _revenue(period: str) -> str:
-    sums = ",\n      ".join(f"CAST(sum({c}) AS DOUBLE) AS revenue_{period}_{c}" for c in _MONEY)
+    sums = ",\n      ".join(f"CAST(sum({c}) AS DOUBLE) AS revenue_{period}_{'fare' if c == 'fare_amount' else c}" for c in _MONEY)
     return f"""{sums},
       CAST(count(tripid) AS BIGINT) AS total_{period}_trips,
       round(avg(passenger_count), 4) AS avg_{period}_passenger_count,
@@ -191,19 +199,17 @@ CTES: dict[str, tuple[str, list[str]]] = {
     FROM stg_fhv f
     JOIN known_zones pz ON f.pickup_locationid = pz.locationid
     JOIN known_zones dz ON f.dropoff_locationid = dz.locationid""", ["stg_fhv", "known_zones"]),
-    "quarterly_revenue": (f"""
-    SELECT year, quarter, service_type,
-      sum(total_amount) AS revenue_quarterly_total_amount
-    FROM fact_trips GROUP BY 1, 2, 3""", ["fact_trips"]),
+    # percentile by id group first, then the zone names, then one row per distinct line
     "fhv_p90": ("""
-    SELECT DISTINCT t.year, t.month, p.zone AS pickup_zone, d.zone AS dropoff_zone,
-      quantile_cont(CAST(t.trip_duration AS DOUBLE), 0.9) OVER (
-        PARTITION BY t.year, t.month, t.pickup_locationid, t.dropoff_locationid) AS p90_duration
-    FROM (SELECT year, month, pickup_locationid, dropoff_locationid,
-                 date_sub('second', pickup_datetime, dropoff_datetime) AS trip_duration
-          FROM fact_fhv_trips) t
-    JOIN dim_zones p ON t.pickup_locationid = p.locationid
-    JOIN dim_zones d ON t.dropoff_locationid = d.locationid""", ["fact_fhv_trips", "dim_zones"]),
+    SELECT DISTINCT g.year, g.month, pick.zone AS pickup_zone, goal.zone AS dropoff_zone, g.p90_duration
+    FROM (
+      SELECT year, month, pickup_locationid, dropoff_locationid,
+        quantile_cont(CAST(date_sub('second', pickup_datetime, dropoff_datetime) AS DOUBLE), 0.9) AS p90_duration
+      FROM fact_fhv_trips
+      GROUP BY year, month, pickup_locationid, dropoff_locationid
+    ) g, dim_zones pick, dim_zones goal
+    WHERE pick.locationid = g.pickup_locationid AND goal.locationid = g.dropoff_locationid""",
+                ["fact_fhv_trips", "dim_zones"]),
 }
 
 

@@ -74,7 +74,7 @@ def q_keep_columns(m: Models):
 WHERE CAST(pickup_datetime AS DATE) = DATE '{DAY}'""", "trips_raw"))
 def q_trips_on_date(m: Models):
     """F1 / X12."""
-    return A.trips_on_date(m.trips_raw, DAY)
+    return A.trips_on_date(m.trips_by_date, DAY, date_col="pickup_date")
 
 
 @register("range_count", O.sql("""SELECT CAST(count(*) AS BIGINT) AS trips FROM trips_raw
@@ -82,7 +82,7 @@ WHERE pickup_datetime >= TIMESTAMP '1997-06-01' AND dropoff_datetime < TIMESTAMP
   AND trip_distance > 10""", "trips_raw"))
 def q_range_count(m: Models):
     """F2."""
-    return A.range_count(m.trips_raw, "1997-06-01", "1997-07-01", 10)
+    return A.range_count(m.trips_by_date, "1997-06-01", "1997-07-01", 10, date_col="pickup_date")
 
 
 @register("distance_bands", O.sql("""SELECT CASE WHEN trip_distance <= 1 THEN '<=1'
@@ -144,7 +144,8 @@ LEFT JOIN zones z ON t.pickup_location_id = z.locationid
 ORDER BY t.total DESC""", "trips_raw", "zones"))
 def q_top_pickup_zones(m: Models):
     """A4 / F11 / J2."""
-    return neutral(A.top_pickup_zones(_green(m), m.zones, DAY, 50000))
+    green = m.trips_by_date.filter(F.col("service") == "green")
+    return neutral(A.top_pickup_zones(green, m.zones, DAY, 50000, date_col="pickup_date"))
 
 
 @register("pickup_frequency", O.sql("""SELECT pickup_location_id, z.zone, CAST(count(*) AS BIGINT) AS numtrips
@@ -185,16 +186,19 @@ def _describe_sql(cols):
              ("max", "CAST(max({c}) AS DOUBLE)")]
     parts = []
     for s, e in stats:
-        vals = ", ".join(f"round({e.format(c=c)}, 4) AS {c}" for c in cols)
+        vals = ", ".join(f"round({e.format(c=c)}, 4) + 0.0 AS {c}" for c in cols)
         parts.append(f"SELECT '{s}' AS summary, {vals} FROM lineitem")
     return "\nUNION ALL\n".join(parts)
 
 
-@register("describe_numeric", _describe_sql(["l_quantity", "l_extendedprice"]))
+_LINEITEM_NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                     "l_discount", "l_tax"]
+
+
+@register("describe_numeric", _describe_sql(_LINEITEM_NUMBERS))
 def q_describe_numeric(m: Models):
-    """A10: summary of lineitem quantity and price."""
-    return neutral(A.describe_numeric(m.table("lineitem"), ["l_quantity", "l_extendedprice"]),
-                   round4=["l_quantity", "l_extendedprice"])
+    """A10: summary of every numeric column of lineitem."""
+    return neutral(A.describe_numeric(m.table("lineitem")), round4=_LINEITEM_NUMBERS)
 
 
 @register("yearly_union", """SELECT * FROM orders WHERE year(o_orderdate) = 1996

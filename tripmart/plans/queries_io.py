@@ -72,64 +72,36 @@ def q_dq_accepted_values(m: Models):
     return neutral(Q.check_accepted_values(t, "payment_type", PAYMENT_TYPE_VALUES))
 
 
-def _checks(m: Models):
-    """The checks of the staging schema, run against the built models: the
-    staged trips are written once to the shared folder (as the models are
-    built before their tests run), then every check scans that table."""
-    from ..config import PAYMENT_TYPE_VALUES
-    t = W.persist_table(M.trips_unioned(m.stg_green, m.stg_yellow), scratch_path(m.spark, "stg_trips"))
-    raw = W.persist_table(m.trips_raw.select("service", "vendor_id", "pickup_datetime"),
-                          scratch_path(m.spark, "raw_trips"))
-    raw_green = raw.filter(F.col("service") == "green")
-    known = _known(m)
-    return [
-        Q.Check("unique", "tripid", Q.check_unique(
-            raw_green.filter(F.col("vendor_id").isNotNull())
-                     .select(X.surrogate_key("vendor_id", "pickup_datetime").alias("tripid")), "tripid"), "warn"),
-        Q.Check("not_null", "vendor_id", Q.check_not_null(raw, "vendor_id"), "warn"),
-        Q.Check("relationships", "pickup_locationid",
-                Q.check_relationships(t, "pickup_locationid", known, "locationid"), "warn"),
-        Q.Check("relationships", "dropoff_locationid",
-                Q.check_relationships(t, "dropoff_locationid", known, "locationid"), "error"),
-        Q.Check("accepted_values", "payment_type",
-                Q.check_accepted_values(t, "payment_type", PAYMENT_TYPE_VALUES), "warn"),
-        Q.Check("not_null", "revenue_monthly_total_amount", Q.check_not_null(
-            M.monthly_zone_revenue(M.fact_from_unioned(t, m.dim_zones)), "revenue_monthly_total_amount"), "error"),
-    ]
-
-
-def _report_row(name, col, sev, failures_sql):
-    return (f"SELECT '{name}' AS check_name, '{col}' AS column_name, '{sev}' AS severity, "
-            f"CAST(count(*) AS BIGINT) AS failures, "
-            f"CASE WHEN count(*) = 0 THEN 'pass' WHEN '{sev}' = 'warn' THEN 'warn' ELSE 'fail' END AS status "
-            f"FROM ({failures_sql})")
-
-
-_REPORT_SQL = "\nUNION ALL\n".join([
-    _report_row("unique", "tripid", "warn",
-                "SELECT tripid FROM unique_in WHERE tripid IS NOT NULL GROUP BY tripid HAVING count(*) > 1"),
-    _report_row("not_null", "vendor_id", "warn", "SELECT 1 FROM trips_raw WHERE vendor_id IS NULL"),
-    _report_row("relationships", "pickup_locationid", "warn",
-                "SELECT 1 FROM trips_unioned t WHERE t.pickup_locationid IS NOT NULL AND NOT EXISTS "
-                "(SELECT 1 FROM known_zones z WHERE z.locationid = t.pickup_locationid)"),
-    _report_row("relationships", "dropoff_locationid", "error",
-                "SELECT 1 FROM trips_unioned t WHERE t.dropoff_locationid IS NOT NULL AND NOT EXISTS "
-                "(SELECT 1 FROM known_zones z WHERE z.locationid = t.dropoff_locationid)"),
-    _report_row("accepted_values", "payment_type", "warn",
-                "SELECT payment_type FROM trips_unioned GROUP BY payment_type "
-                "HAVING payment_type NOT IN (1, 2, 3, 4, 5, 6)"),
-    _report_row("not_null", "revenue_monthly_total_amount", "error",
-                "SELECT * FROM (SELECT pickup_zone, date_trunc('month', pickup_datetime) AS m, service_type, "
-                "sum(total_amount) AS revenue_monthly_total_amount FROM fact_trips GROUP BY 1, 2, 3) "
-                "WHERE revenue_monthly_total_amount IS NULL"),
-])
-
-
-@register("dq_report", O.sql(_REPORT_SQL, "trips_raw", "raw_green", "trips_unioned", "known_zones", "fact_trips",
-                             extra={"unique_in": _UNIQUE_IN}))
+def _suite_sql() -> str:
+    rows = []
+    for service, dropoff in (("green", "error"), ("yellow", "warn")):
+        stg = f"stg_{service}"
+        lost = ("SELECT 1 FROM {s} t WHERE t.{c} IS NOT NULL AND NOT EXISTS "
+                "(SELECT 1 FROM dim_zones z WHERE z.locationid = t.{c})")
+        rows += [
+            (stg, "unique", "tripid", "warn", f"SELECT tripid FROM {stg} WHERE tripid IS NOT NULL GROUP BY tripid HAVING count(*) > 1"),
+            (stg, "not_null", "tripid", "warn", f"SELECT 1 FROM {stg} WHERE tripid IS NULL"),
+            (stg, "relationships", "pickup_locationid", "warn", lost.format(s=stg, c="pickup_locationid")),
+            (stg, "relationships", "dropoff_locationid", dropoff, lost.format(s=stg, c="dropoff_locationid")),
+            (stg, "accepted_values", "payment_type", "warn",
+             f"SELECT payment_type FROM {stg} GROUP BY payment_type HAVING payment_type NOT IN (1, 2, 3, 4, 5, 6)"),
+        ]
+    rows.append(("monthly_zone_revenue", "not_null", "revenue_monthly_total_amount", "error",
+                 "SELECT 1 FROM fact_trips GROUP BY pickup_zone, date_trunc('month', pickup_datetime), service_type "
+                 "HAVING sum(total_amount) IS NULL"))
+    return "\nUNION ALL\n".join(
+        f"SELECT '{model}' AS model, '{name}' AS check_name, '{col}' AS column_name, '{sev}' AS severity, "
+        f"CAST(count(*) AS BIGINT) AS failures, "
+        f"CASE WHEN count(*) = 0 THEN 'pass' WHEN '{sev}' = 'warn' THEN 'warn' ELSE 'fail' END AS status FROM ({body})"
+        for model, name, col, sev, body in rows)
+
+
+@register("dq_report", O.sql(_suite_sql(), "stg_green", "stg_yellow", "dim_zones", "fact_trips"))
 def q_dq_report(m: Models):
-    """Q5: one row per check with severity and status (not raised here)."""
-    return Q.run_checks(_checks(m))
+    """Q5: the project's 11 declared tests, one row each (not raised here).
+    The staged trips are built once before their tests run."""
+    t = W.persist_table(M.trips_unioned(m.stg_green, m.stg_yellow), scratch_path(m.spark, "stg_trips"))
+    return Q.run_suite(t, m.dim_zones, M.monthly_zone_revenue(M.fact_from_unioned(t, m.dim_zones)))
 
 
 # --- insert-only merge and monthly ingest -----------------------------------------
@@ -144,89 +116,86 @@ SELECT unique_row_id, service, vendor_id, pickup_datetime, CAST(fare_amount AS D
 WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.unique_row_id = s.unique_row_id)""", "trips_raw", extra={
     "hashed": f"SELECT {O.row_hash(*MG.ROW_ID_TEXT_FIELDS)} AS unique_row_id, * FROM trips_raw",
     "tgt": "SELECT * FROM hashed WHERE pickup_datetime < TIMESTAMP '1998-01-01'",
-    "src": "SELECT * FROM hashed WHERE pickup_datetime >= TIMESTAMP '1997-12-01' "
-           "AND pickup_datetime < TIMESTAMP '1998-03-01'",
+    "src": "SELECT * FROM hashed WHERE pickup_datetime >= TIMESTAMP '1997-12-01'",
 }))
 def q_merge_insert_new(m: Models):
-    """target = trips before 1998-01, source = 1997-12 to
-    1998-02 (one overlapping month); the merged target is returned."""
+    """target = trips before 1998-01, source = all trips from
+    1997-12 on (one overlapping month); the merged target is returned."""
     hashed = MG.with_row_id(m.trips_raw, "text")
     path = scratch_path(m.spark, "merge_target")
     MG.append_new(m.spark, hashed.filter(F.col("pickup_datetime") < F.lit("1998-01-01").cast("timestamp_ntz")),
                   path)
-    MG.append_new(m.spark, hashed.filter(X.in_range("pickup_datetime", "1997-12-01", "1998-03-01")), path)
+    MG.append_new(m.spark, hashed.filter(F.col("pickup_datetime") >= F.lit("1997-12-01").cast("timestamp_ntz")), path)
     return neutral(m.spark.read.parquet(path).select(*_KEEP))
 
 
-_INGEST_MONTHS = [(1997, 10), (1997, 11), (1997, 12), (1997, 12), (1998, 1)]
-
+def _month_sql(service: str) -> str:
+    return f"'{service}_tripdata_' || strftime(pickup_datetime, '%Y-%m') || '.csv'"
 
-def _ingest_oracle():
-    months = sorted(set(_INGEST_MONTHS))
-    rows = []
-    for y, mo in months:
-        lo, hi = MG.month_bounds(y, mo)
-        rows.append(f"SELECT '{MG.month_file_name('yellow', y, mo)}' AS filename, * FROM raw_yellow "
-                    f"WHERE pickup_datetime >= TIMESTAMP '{lo}' AND pickup_datetime < TIMESTAMP '{hi}'")
-    body = "\nUNION ALL\n".join(rows)
-    return O.sql(f"""SELECT lower(hex(unhex({O.row_hash(*MG.ROW_ID_BYTES_FIELDS)}))) AS unique_row_id_hex,
-  filename, vendor_id, pickup_datetime, dropoff_datetime, CAST(total_amount AS DOUBLE) AS total_amount
-FROM loaded""", "raw_yellow", extra={"loaded": body})
 
-
-@register("ingest_month", _ingest_oracle())
+@register("ingest_month", O.sql(f"""SELECT {O.row_hash(*MG.ROW_ID_BYTES_FIELDS)} AS unique_row_id_hex,
+  {_month_sql('yellow')} AS filename, vendor_id, pickup_datetime, dropoff_datetime,
+  CAST(total_amount AS DOUBLE) AS total_amount
+FROM raw_yellow""", "raw_yellow"))
 def q_ingest_month(m: Models):
-    """Yellow files 1997-10 .. 1998-01 loaded one by one (1997-12 twice:
-    the second load adds nothing); 5-field byte row ids, file names kept."""
+    """All monthly yellow files in one load, then one month again (it
+    adds nothing); 5-field byte row ids, file names kept."""
     path = scratch_path(m.spark, "ingest_target")
-    yellow = m.raw_yellow
-    for y, mo in _INGEST_MONTHS:
-        MG.ingest_month(m.spark, MG.month_slice(yellow, y, mo), path,
-                        MG.month_file_name("yellow", y, mo), variant="bytes")
+    files = m.raw_yellow.withColumn("filename", MG.month_file("yellow"))
+    MG.ingest_files(m.spark, files, path, variant="bytes")
+    again = MG.month_slice(m.raw_yellow, 1997, 12)
+    MG.ingest_month(m.spark, again, path, MG.month_file_name("yellow", 1997, 12), variant="bytes")
     t = m.spark.read.parquet(path)
     return neutral(t.select(F.lower(F.hex("unique_row_id")).alias("unique_row_id_hex"), "filename",
                             "vendor_id", "pickup_datetime", "dropoff_datetime", "total_amount"))
 
 
-RAW_YELLOW_DDL = ("vendor_id string, pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz, "
-                  "pickup_location_id bigint, dropoff_location_id bigint, payment_type string, "
-                  "rate_code string, passenger_count string, store_and_fwd_flag string, "
-                  "trip_distance decimal(18,2), fare_amount decimal(18,2), extra decimal(18,2), "
-                  "mta_tax decimal(18,2), tip_amount decimal(18,2), tolls_amount decimal(18,2), "
-                  "imp_surcharge decimal(18,2), total_amount decimal(18,2)")
-_CSV_MONTHS = [(1998, 2), (1998, 3), (1998, 3)]
-
-
-def _ingest_csv_oracle():
-    rows = []
-    for y, mo in sorted(set(_CSV_MONTHS)):
-        lo, hi = MG.month_bounds(y, mo)
-        rows.append(f"SELECT '{MG.month_file_name('yellow', y, mo)}' AS filename, * FROM raw_yellow "
-                    f"WHERE pickup_datetime >= TIMESTAMP '{lo}' AND pickup_datetime < TIMESTAMP '{hi}'")
-    return O.sql(f"""SELECT {O.row_hash(*MG.ROW_ID_TEXT_FIELDS)} AS unique_row_id, filename, vendor_id,
-  pickup_datetime, dropoff_datetime, payment_type, CAST(fare_amount AS DOUBLE) AS fare_amount,
-  CAST(total_amount AS DOUBLE) AS total_amount
-FROM loaded""", "raw_yellow", extra={"loaded": "\nUNION ALL\n".join(rows)})
+def _loaded_sql(service: str) -> str:
+    fields = [c for c in MG.ROW_ID_TEXT_FIELDS]
+    return f"""SELECT '{service}' AS service, {_month_sql(service)} AS filename, {O.row_hash(*fields)} AS unique_row_id,
+  pickup_datetime, dropoff_datetime, CAST(pickup_location_id AS VARCHAR) AS pickup_location,
+  CAST(dropoff_location_id AS VARCHAR) AS dropoff_location, CAST({O.int_text('payment_type')} AS DOUBLE) AS payment_type,
+  CAST(total_amount AS DOUBLE) AS total_amount FROM raw_{service}"""
 
 
-@register("ingest_csv", _ingest_csv_oracle())
+@register("ingest_csv", O.sql(f"""{_loaded_sql('yellow')}
+UNION ALL {_loaded_sql('green')}
+UNION ALL SELECT 'fhv', {_month_sql('fhv')}, NULL, pickup_datetime, dropOff_datetime, PUlocationID, DOlocationID, NULL, NULL
+FROM fhv_raw""", "raw_yellow", "raw_green", "fhv_raw"))
 def q_ingest_csv(m: Models):
-    """S1 / S2 / I1 end to end: monthly yellow files landed as CSV (header,
-    file order), read back with the declared schema, hashed (7 fields),
-    tagged with the file name and merged insert-only; 1998-03 arrives twice
-    and the second load adds nothing."""
-    landing = scratch_path(m.spark, "csv_landing")
-    yellow = m.raw_yellow
-    for y, mo in sorted(set(_CSV_MONTHS)):
-        W.write_csv(MG.month_slice(yellow, y, mo), f"{landing}/{MG.month_file_name('yellow', y, mo)}")
-    target = scratch_path(m.spark, "csv_target")
-    for y, mo in _CSV_MONTHS:
-        name = MG.month_file_name("yellow", y, mo)
-        month = R.csv_external(m.spark, f"{landing}/{name}", RAW_YELLOW_DDL)
-        MG.ingest_month(m.spark, month, target, name, variant="text")
-    t = m.spark.read.parquet(target)
-    return neutral(t.select("unique_row_id", "filename", "vendor_id", "pickup_datetime", "dropoff_datetime",
-                            "payment_type", "fare_amount", "total_amount"))
+    """S1 / S2 / P4 / I1 / K2 end to end: every month of yellow, green and fhv
+    as CSV files in their real column order, read with the declared schema.
+    Yellow and green are renamed, hashed (7 fields) and merged insert-only,
+    and one month arrives again and adds nothing; fhv is landed as parquet."""
+    out = None
+    for service in ("yellow", "green"):
+        raw = m.raw_yellow if service == "yellow" else m.raw_green
+        landing, target = (scratch_path(m.spark, f"csv_{service}_{x}") for x in ("landing", "target"))
+        laid = R.file_layout(raw, service).withColumn("filename", MG.month_file(service, raw_pickup(service)))
+        W.write_csv(laid, landing, partition_by=["filename"])
+        files = R.raw_names(R.read_trips_csv(m.spark, landing, service))
+        MG.ingest_files(m.spark, files, target)
+        MG.ingest_files(m.spark, files.filter(F.col("filename") == MG.month_file_name(service, 1997, 6)), target)
+        part = m.spark.read.parquet(target).select(
+            F.lit(service).alias("service"), "filename", "unique_row_id", "pickup_datetime", "dropoff_datetime",
+            F.col("pickup_location_id").alias("pickup_location"), F.col("dropoff_location_id").alias("dropoff_location"),
+            F.col("payment_type").cast("double").alias("payment_type"), F.col("total_amount").cast("double").alias("total_amount"))
+        out = part if out is None else out.unionByName(part)
+    landing, target = (scratch_path(m.spark, f"csv_fhv_{x}") for x in ("landing", "target"))
+    laid = R.file_layout(m.fhv_raw, "fhv").withColumn("filename", MG.month_file("fhv"))
+    W.write_csv(laid, landing, partition_by=["filename"])
+    W.csv_to_parquet(m.spark, landing, target, "fhv")
+    fhv = m.spark.read.parquet(target).select(
+        F.lit("fhv").alias("service"), "filename", F.lit(None).cast("string").alias("unique_row_id"), "pickup_datetime",
+        F.col("dropOff_datetime").alias("dropoff_datetime"), F.col("PUlocationID").alias("pickup_location"),
+        F.col("DOlocationID").alias("dropoff_location"), F.lit(None).cast("double").alias("payment_type"),
+        F.lit(None).cast("double").alias("total_amount"))
+    return out.unionByName(fhv)
+
+
+def raw_pickup(service: str) -> str:
+    """The pickup column of a service's files."""
+    return {"yellow": "tpep_pickup_datetime", "green": "lpep_pickup_datetime"}[service]
 
 
 # --- layout: partitioned + clustered table, pruned scan ----------------------------
@@ -249,7 +218,7 @@ def q_partition_pruned_scan(m: Models):
 @register("ingest_stream", "SELECT * FROM events")
 def q_ingest_stream(m: Models):
     """Events landed as daily files, loaded by an availableNow file
-    stream (one file per micro-batch) merging insert-only on event_id; a
+    stream (many files per micro-batch) merging insert-only on event_id; a
     second run finds no new files and adds nothing."""
     events = m.table("events")
     landing = scratch_path(m.spark, "landing_events")

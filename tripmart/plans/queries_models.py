@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from ..operators import merge as MG
 from ..operators import staging as S
+from ..sources import fixtures as FX
 from . import marts as M
 from . import oracle as O
 from .catalog import Models, neutral, register
@@ -72,7 +74,7 @@ def q_stg_fhv(m: Models):
     "stg_green"))
 def q_stg_test_run(m: Models):
     """L4: the development cap switched on: first 100 rows by tripid."""
-    return neutral(S.stg_green(m.raw_green, test_run=True))
+    return neutral(S.stg_green(m.raw_green, FX.MONEY, test_run=True))
 
 
 @register("trips_unioned", O.sql(
@@ -163,18 +165,16 @@ def q_fhv_top3_dropoff(m: Models):
                    round4=["p90_duration"])
 
 
-@register("revenue_yoy", O.sql("""SELECT cur.service_type, CAST(cur.year AS BIGINT) AS year,
-  CAST(cur.quarter AS BIGINT) AS quarter, CAST(cur.amount AS DOUBLE) AS total,
-  CAST(prev.amount AS DOUBLE) AS last_total,
-  round(CAST((cur.amount - prev.amount) / prev.amount AS DOUBLE), 4) AS yoy
-FROM q cur
-JOIN q prev ON prev.year = cur.year - 1 AND prev.quarter = cur.quarter AND prev.service_type = cur.service_type
-WHERE cur.year = 1997
-ORDER BY cur.service_type, yoy""", "quarterly_revenue", extra={
-    "q": "SELECT year, quarter, service_type, revenue_quarterly_total_amount AS amount FROM quarterly_revenue"}))
+@register("revenue_yoy", O.sql("""SELECT service_type, CAST(1997 AS BIGINT) AS year, CAST(quarter AS BIGINT) AS quarter,
+  CAST(sum(total_amount) FILTER (WHERE year = 1997) AS DOUBLE) AS total,
+  CAST(sum(total_amount) FILTER (WHERE year = 1996) AS DOUBLE) AS last_total,
+  round(CAST(sum(total_amount) FILTER (WHERE year = 1997) AS DOUBLE)
+        / CAST(sum(total_amount) FILTER (WHERE year = 1996) AS DOUBLE) - 1, 4) AS yoy
+FROM fact_trips WHERE year IN (1996, 1997)
+GROUP BY service_type, quarter HAVING count(DISTINCT year) = 2""", "fact_trips"))
 def q_revenue_yoy(m: Models):
     """Year 1997 against 1996."""
-    return neutral(M.revenue_yoy(m.quarterly_revenue, 1997), round4=["yoy"])
+    return neutral(M.revenue_yoy(m.fact_trips, 1997), round4=["yoy"])
 
 
 @register("dedupe_trips", O.sql(f"""SELECT service, vendor_id, pickup_datetime, dropoff_datetime,
@@ -235,8 +235,7 @@ _HASH5 = ["vendor_id", "pickup_datetime", "dropoff_datetime", "pickup_location_i
 FROM trips_raw""", "trips_raw"))
 def q_row_hash(m: Models):
     """7-field md5 hex row id (fields joined with no separator, T8)."""
-    return m.trips_raw.select("service", "vendor_id", "pickup_datetime",
-                              X.row_hash_text(*_HASH7).alias("unique_row_id"))
+    return MG.with_row_id(m.trips_raw, "text").select("service", "vendor_id", "pickup_datetime", "unique_row_id")
 
 
 @register("row_hash_month", O.sql(f"""SELECT service, vendor_id, pickup_datetime,

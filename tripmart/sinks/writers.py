@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import config
 from ..sources import readers as R
 
 
@@ -21,10 +22,15 @@ def write_parquet(df: DataFrame, path: str, n: int | None = None, mode: str = "e
     (df.repartition(n) if n else df).write.mode(mode).parquet(path)
 
 
-def load_overwrite(spark: SparkSession, name: str, glob: str, fmt: str = "parquet") -> DataFrame:
-    """Bulk load files into a managed table, replacing its contents."""
-    df = spark.read.format(fmt).load(glob)
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+def _table_writer(df: DataFrame, mode: str, path: str | None):
+    """A parquet table writer: managed, or at ``path``."""
+    w = df.write.mode(mode).format("parquet")
+    return w.option("path", path) if path else w
+
+
+def load_overwrite(spark: SparkSession, name: str, glob: str, fmt: str = "parquet", path: str | None = None) -> DataFrame:
+    """Bulk load files into a table, replacing its contents."""
+    _table_writer(spark.read.format(fmt).load(glob), "overwrite", path).saveAsTable(name)
     return spark.table(name)
 
 
@@ -36,9 +42,10 @@ def persist_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def csv_to_parquet(spark: SparkSession, src: str, dst: str, service: str, n: int | None = None) -> None:
+def csv_to_parquet(spark: SparkSession, src: str, dst: str, service: str, n: int | None = None,
+                   filename: bool = False) -> None:
     """K2: typed CSV to parquet; skipped when the target exists (mode ignore)."""
-    df = R.read_trips_csv(spark, src, service)
+    df = R.read_trips_csv(spark, src, service, filename=filename)
     (df.repartition(n) if n else df).write.mode("ignore").parquet(dst)
 
 
@@ -53,9 +60,9 @@ def export_data(df: DataFrame, path: str, overwrite: bool = False,
     w.parquet(path)
 
 
-def create_table_as(df: DataFrame, name: str, replace: bool = True) -> None:
+def create_table_as(df: DataFrame, name: str, replace: bool = True, path: str | None = None) -> None:
     """K4: CTAS / CREATE OR REPLACE TABLE."""
-    df.write.mode("overwrite" if replace else "errorifexists").format("parquet").saveAsTable(name)
+    _table_writer(df, "overwrite" if replace else "errorifexists", path).saveAsTable(name)
 
 
 def with_date_column(df: DataFrame, ts_col: str, date_col: str | None = None) -> DataFrame:
@@ -97,25 +104,58 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType | str,
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet{part}{loc}")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+# What the columns that the trip loads add hold; other columns are the file's own.
+TARGET_COMMENTS = {
+    "unique_row_id": "Hash of the trip's key fields; identifies the row.",
+    "filename": "Name of the file the row was loaded from.",
+}
+
+
+def trips_table_schema(service: str) -> T.StructType:
+    """K6: columns of a service's target table: row id, file name, then the
+    file's columns in their order, and the pickup date that partitions it."""
+    added = [("unique_row_id", "binary"), ("filename", "string")]
+    fields = T.StructType.fromDDL(R.ddl([*added, *R.CSV_COLUMNS[service], ("pickup_date", "date")])).fields
+    for f in fields:
+        f.metadata = {"comment": TARGET_COMMENTS.get(f.name, f"Column {f.name} of the {service} trip file.")}
+    return T.StructType(fields)
+
+
+def ensure_trips_table(spark: SparkSession, name: str, service: str, path: str | None = None) -> None:
+    """K6: the target table of a service, made once, partitioned by pickup date."""
+    ensure_table(spark, name, trips_table_schema(service), partition_by=["pickup_date"], path=path)
+
+
+def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """K7: truncate-and-load staging: the table holds this batch only."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+    _table_writer(df, "overwrite", path).saveAsTable(name)
     return df.sparkSession.table(name)
 
 
-def write_table(df: DataFrame, name: str, mode: str = "append") -> None:
+def write_table(df: DataFrame, name: str, mode: str = "append", path: str | None = None) -> None:
     """K9: replace ('overwrite') or add to ('append') a table."""
-    df.write.mode(mode).format("parquet").saveAsTable(name)
+    _table_writer(df, mode, path).saveAsTable(name)
+
 
+def model_schema(spark: SparkSession, model_kind: str) -> str:
+    """V2: the schema (database) a model goes to by its kind, made if new."""
+    schema = config.schema_for(model_kind)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
+    return schema
 
-def materialize(df: DataFrame, name: str, kind: str = "view") -> DataFrame:
+
+def materialize(df: DataFrame, name: str, kind: str = "view", model_kind: str | None = None,
+                path: str | None = None) -> DataFrame:
     """A model as a temp view ('view'), a table ('table') or
-    nothing ('ephemeral': the DataFrame is inlined where it is used)."""
+    nothing ('ephemeral': the DataFrame is inlined where it is used). With a
+    ``model_kind`` a table goes to that kind's schema (V2)."""
+    if kind == "table" and model_kind:
+        name = f"{model_schema(df.sparkSession, model_kind)}.{name}"
     if kind == "view":
         df.createOrReplaceTempView(name)
         return df
     if kind == "table":
-        df.write.mode("overwrite").format("parquet").saveAsTable(name)
+        _table_writer(df, "overwrite", path).saveAsTable(name)
         return df.sparkSession.table(name)
     if kind == "ephemeral":
         return df
@@ -127,10 +167,13 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV with a header line and the trip files' timestamp text."""
-    (df.write.mode(mode).option("header", True)
-       .option("timestampNTZFormat", R.CSV_TIMESTAMP_FORMAT).csv(path))
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", partition_by: Sequence[str] = ()) -> None:
+    """CSV with a header line and the trip files' timestamp text; a folder
+    for each value of ``partition_by``."""
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)      # a hot value is split over several files
+    w = df.write.mode(mode).option("header", True).option("timestampNTZFormat", R.CSV_TIMESTAMP_FORMAT)
+    (w.partitionBy(*partition_by) if partition_by else w).csv(path)
 
 
 def drop_table(spark: SparkSession, name: str) -> None:

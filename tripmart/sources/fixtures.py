@@ -28,6 +28,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 SERVICE_BY_LINESTATUS = {"F": "green", "O": "yellow"}
 UNKNOWN_REGION = "MIDDLE EAST"
 REPEATED_ZONE_NATION = 6          # its zone name repeats nation 5's
+MONEY = "decimal(18,2)"           # the fixture's amounts (T11)
 SERVICE_ZONES = ["Boro Zone", "Yellow Zone", "Airports"]   # by n_nationkey % 3
 
 

@@ -10,27 +10,45 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.exprs import NUMERIC
+
 # Column order of the monthly trip CSV files (fixed values, file order).
+# Amounts are exact decimals (NUMERIC).
 YELLOW_CSV_COLUMNS = [
     ("VendorID", "string"), ("tpep_pickup_datetime", "timestamp_ntz"),
-    ("tpep_dropoff_datetime", "timestamp_ntz"), ("passenger_count", "int"),
-    ("trip_distance", "double"), ("RatecodeID", "string"), ("store_and_fwd_flag", "string"),
-    ("PULocationID", "string"), ("DOLocationID", "string"), ("payment_type", "int"),
-    ("fare_amount", "double"), ("extra", "double"), ("mta_tax", "double"),
-    ("tip_amount", "double"), ("tolls_amount", "double"), ("improvement_surcharge", "double"),
-    ("total_amount", "double"), ("congestion_surcharge", "double"),
+    ("tpep_dropoff_datetime", "timestamp_ntz"), ("passenger_count", "bigint"),
+    ("trip_distance", NUMERIC), ("RatecodeID", "string"), ("store_and_fwd_flag", "string"),
+    ("PULocationID", "string"), ("DOLocationID", "string"), ("payment_type", "bigint"),
+    ("fare_amount", NUMERIC), ("extra", NUMERIC), ("mta_tax", NUMERIC),
+    ("tip_amount", NUMERIC), ("tolls_amount", NUMERIC), ("improvement_surcharge", NUMERIC),
+    ("total_amount", NUMERIC), ("congestion_surcharge", NUMERIC),
 ]
 GREEN_CSV_COLUMNS = [
     ("VendorID", "string"), ("lpep_pickup_datetime", "timestamp_ntz"),
     ("lpep_dropoff_datetime", "timestamp_ntz"), ("store_and_fwd_flag", "string"),
     ("RatecodeID", "string"), ("PULocationID", "string"), ("DOLocationID", "string"),
-    ("passenger_count", "int"), ("trip_distance", "double"), ("fare_amount", "double"),
-    ("extra", "double"), ("mta_tax", "double"), ("tip_amount", "double"),
-    ("tolls_amount", "double"), ("ehail_fee", "double"), ("improvement_surcharge", "double"),
-    ("total_amount", "double"), ("payment_type", "int"), ("trip_type", "int"),
-    ("congestion_surcharge", "double"),
+    ("passenger_count", "bigint"), ("trip_distance", NUMERIC), ("fare_amount", NUMERIC),
+    ("extra", NUMERIC), ("mta_tax", NUMERIC), ("tip_amount", NUMERIC),
+    ("tolls_amount", NUMERIC), ("ehail_fee", NUMERIC), ("improvement_surcharge", NUMERIC),
+    ("total_amount", NUMERIC), ("payment_type", "bigint"), ("trip_type", "string"),
+    ("congestion_surcharge", NUMERIC),
+]
+FHV_CSV_COLUMNS = [
+    ("dispatching_base_num", "string"), ("pickup_datetime", "timestamp_ntz"),
+    ("dropOff_datetime", "timestamp_ntz"), ("PUlocationID", "string"),
+    ("DOlocationID", "string"), ("SR_Flag", "string"), ("Affiliated_base_number", "string"),
 ]
-CSV_COLUMNS = {"yellow": YELLOW_CSV_COLUMNS, "green": GREEN_CSV_COLUMNS}
+CSV_COLUMNS = {"yellow": YELLOW_CSV_COLUMNS, "green": GREEN_CSV_COLUMNS, "fhv": FHV_CSV_COLUMNS}
+
+# File column -> column of the raw tables that the staging models read.
+# Other columns keep their names (all of the fhv ones do).
+RAW_NAMES = {
+    "VendorID": "vendor_id", "RatecodeID": "rate_code",
+    "tpep_pickup_datetime": "pickup_datetime", "tpep_dropoff_datetime": "dropoff_datetime",
+    "lpep_pickup_datetime": "pickup_datetime", "lpep_dropoff_datetime": "dropoff_datetime",
+    "PULocationID": "pickup_location_id", "DOLocationID": "dropoff_location_id",
+    "improvement_surcharge": "imp_surcharge",
+}
 
 # Yellow parquet after the notebook's cast (A5).
 YELLOW_PARQUET_SCHEMA = T.StructType([
@@ -63,34 +81,79 @@ def ddl(columns) -> str:
     return ", ".join(f"`{n}` {t}" for n, t in columns)
 
 
-def read_trips_csv(spark: SparkSession, path: str, service: str,
-                   schema: str | T.StructType | None = None,
-                   repartition: int | None = None) -> DataFrame:
-    """Monthly trip CSV (plain or .gz) with a header line.
+def typed(df: DataFrame, schema: T.StructType, on_bad: str = "fail") -> DataFrame:
+    """Give text columns their declared types. A value that does not convert
+    is an error that names column and value (``on_bad="fail"``); with
+    ``"report"`` it becomes NULL and its column's name is listed in the extra
+    column ``bad_columns``. No value is lost silently."""
+    if on_bad not in ("fail", "report"):
+        raise ValueError(on_bad)
+    cols, bad = [], []
+    for f in schema.fields:
+        text = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.StringType):
+            cols.append(text)
+            continue
+        if isinstance(f.dataType, T.TimestampNTZType):
+            value = F.try_to_timestamp(text, F.lit(CSV_TIMESTAMP_FORMAT)).cast("timestamp_ntz")
+        else:
+            value = text.try_cast(f.dataType)
+        wrong = text.isNotNull() & value.isNull()
+        if on_bad == "fail":
+            told = F.raise_error(F.concat(F.lit(f"bad value in column {f.name}: "), text)).cast(f.dataType)
+            value = F.when(wrong, told).otherwise(value)
+        else:
+            bad.append(F.when(wrong, F.lit(f.name)))
+        cols.append(value.alias(f.name))
+    if on_bad == "report":
+        cols.append(F.array_compact(F.array(*bad) if bad else F.array().cast("array<string>")).alias("bad_columns"))
+    return df.select(*cols, *[c for c in df.columns if c not in schema.fieldNames()])
+
+
+def csv_external(spark: SparkSession, path: str, schema, skip_header: bool = True,
+                 on_bad: str = "fail", filename: bool = False) -> DataFrame:
+    """Declared schema over CSV files, nothing copied.
+
+    Extra trailing columns of a file are dropped and missing ones are NULL;
+    bad values are an error, or reported (see :func:`typed`). ``filename``
+    adds the name of each row's file.
+    """
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    df = spark.read.schema(texts).option("header", skip_header).option("enforceSchema", True).csv(path)
+    if filename:
+        df = df.withColumn("filename", F.col("_metadata.file_name"))
+    return typed(df, schema, on_bad)
+
+
+def read_trips_csv(spark: SparkSession, path: str, service: str, schema: str | T.StructType | None = None,
+                   repartition: int | None = None, on_bad: str = "fail", filename: bool = False) -> DataFrame:
+    """Monthly trip CSV files (plain or .gz) with a header line, in the
+    column order of their service.
 
     gzip is not splittable (one task per file): with fewer splits than
     cores the rows are spread straight after the read (``spread``), or into
     ``repartition`` partitions when given.
     """
-    df = (spark.read.schema(schema or ddl(CSV_COLUMNS[service]))
-          .option("header", True).option("mode", "PERMISSIVE")
-          .option("timestampNTZFormat", CSV_TIMESTAMP_FORMAT)
-          .csv(path))
+    df = csv_external(spark, path, schema or ddl(CSV_COLUMNS[service]), on_bad=on_bad, filename=filename)
     return df.repartition(repartition) if repartition else spread(df)
 
 
-def csv_external(spark: SparkSession, path: str, schema, skip_header: bool = True,
-                 ignore_unknown: bool = True) -> DataFrame:
-    """Declared schema over CSV files, nothing copied.
+def raw_names(df: DataFrame) -> DataFrame:
+    """File columns under the names that the staging models read."""
+    return df.select(*[F.col(f"`{c}`").alias(RAW_NAMES.get(c, c)) for c in df.columns])
 
-    PERMISSIVE mode: extra trailing columns are dropped, missing ones are
-    NULL, malformed values are NULL (``ignore_unknown``); FAILFAST otherwise.
-    """
-    return (spark.read.schema(schema)
-            .option("header", skip_header)
-            .option("mode", "PERMISSIVE" if ignore_unknown else "FAILFAST")
-            .option("timestampNTZFormat", CSV_TIMESTAMP_FORMAT)
-            .csv(path))
+
+def file_layout(raw: DataFrame, service: str) -> DataFrame:
+    """The reverse: raw trips in the column names and order of the service's
+    files. Columns that the raw trips lack are NULL, and so are codes that a
+    file's type cannot hold."""
+    pickup = {"yellow": "tpep_", "green": "lpep_"}.get(service, "")
+    back = {v: k for k, v in RAW_NAMES.items() if not k.startswith(("tpep_", "lpep_"))}
+    back |= {f"{w}_datetime": f"{pickup}{w}_datetime" for w in ("pickup", "dropoff")} if pickup else {}
+    named = {back.get(c, c): c for c in raw.columns}
+    return raw.select(*[(F.col(named[n]).try_cast(t) if n in named else F.lit(None).cast(t)).alias(n)
+                        for n, t in CSV_COLUMNS[service]])
 
 
 def spread(df: DataFrame, keys=(), min_partitions: int | None = None) -> DataFrame:
