@@ -153,7 +153,7 @@ def register(name: str, oracle_sql: str | None = None):
 # The registered queries live in ``queries_*.py`` modules, imported for their
 # side effect of registering.
 def load() -> tuple[dict[str, QueryFn], dict[str, str]]:
-    from . import queries_models, queries_adhoc, queries_io  # noqa: F401
+    from . import queries_models, queries_adhoc, queries_io, queries_files  # noqa: F401
     return QUERIES, ORACLE
 
 
