@@ -35,16 +35,47 @@ def test_fare_percentiles_literal_labels_drop_card(spark):
     assert intended.p90 < 20.0 and literal.p90 == 20.0
 
 
-def test_revenue_yoy_self_join(spark):
-    q = spark.createDataFrame(
-        [(2019, 1, "Green", D("100.00")), (2020, 1, "Green", D("150.00")), (2020, 2, "Green", D("80.00")),
-         (2019, 2, "Green", D("0.00")), (2020, 3, "Green", D("5.00"))],
-        "year int, quarter int, service_type string, revenue_quarterly_total_amount decimal(28,2)")
-    out = {r.quarter: r for r in M.revenue_yoy(q, 2020).collect()}
-    assert set(out) == {1, 2}            # quarter 3 has no prior year: no row
+def test_revenue_yoy(spark):
+    rows = [(dt.datetime(y, 3 * q, 5), y, q, "Green", D(a)) for y, q, a in
+            [(2019, 1, "60.00"), (2019, 1, "40.00"), (2020, 1, "150.00"), (2019, 2, "0.00"), (2020, 2, "5.00"),
+             (2020, 3, "1.00"), (2019, 4, "1.00"), (2018, 3, "9.00")]]
+    fact = spark.createDataFrame(rows, "pickup_datetime timestamp_ntz, year int, quarter int, service_type string, "
+                                       "total_amount decimal(18,2)")
+    out = {r.quarter: r for r in M.revenue_yoy(fact, 2020).collect()}
+    assert set(out) == {1, 2}                  # a quarter that one year lacks gives no row
     assert abs(float(out[1].yoy) - 0.5) < 1e-12 and out[2].yoy is None
 
 
+def test_mart_column_names(spark, sf_small):
+    from tripmart.plans.catalog import models_for
+    for period, mart in (("monthly", M.monthly_zone_revenue), ("quarterly", M.quarterly_revenue)):
+        names = mart(models_for(spark, sf_small).fact_trips).columns
+        assert names[3:] == [f"revenue_{period}_fare", f"revenue_{period}_extra", f"revenue_{period}_mta_tax",
+                             f"revenue_{period}_tip_amount", f"revenue_{period}_tolls_amount",
+                             f"revenue_{period}_ehail_fee", f"revenue_{period}_improvement_surcharge",
+                             f"revenue_{period}_total_amount", f"total_{period}_trips",
+                             f"avg_{period}_passenger_count", f"avg_{period}_trip_distance"]
+
+
+def test_avg_by_is_exact(spark):
+    from tripmart.plans import adhoc as A
+    rows = [("a", -1.01), ("b", 1.005), ("b", 1.005), ("c", None), ("d", 0.1234), ("d", 0.1236)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: r.m for r in A.avg_by(df, "k", "v", "m").collect()}
+    assert got == {"a": -1.01, "b": 1.01, "c": None, "d": 0.12}
+    assert {r.k: r.m for r in A.avg_by(df, "k", "v", "m", 4).collect()}["d"] == 0.1235
+
+
+def test_days_back_argument_then_environment_then_default(spark, monkeypatch):
+    from tripmart.plans import adhoc as A
+    df = spark.createDataFrame([(dt.datetime(2024, 1, d),) for d in range(1, 32)], "ts timestamp_ntz")
+    assert A.last_n_days(df, "ts", 3, "2024-01-31").count() == 4
+    assert A.last_n_days(df, "ts", as_of="2024-01-31").count() == 31
+    monkeypatch.setenv("DAYS_BACK", "5")
+    assert A.last_n_days(df, "ts", as_of="2024-01-31").count() == 6
+    assert A.last_n_days(df, "ts", 3, "2024-01-31").count() == 4
+
+
 def test_top3_per_zone(spark):
     rows = [(2019, 11, "A", f"D{i}", float(i)) for i in range(6)] + [(2019, 11, "B", "D0", 1.0),
                                                                       (2019, 10, "A", "DX", 99.0)]

@@ -11,18 +11,74 @@ from tripmart.sinks import writers as W
 from tripmart.sources import readers as R
 
 
-def test_trip_csv_declared_schema_permissive(spark, tmp_path):
+def test_trip_csv_declared_schema(spark, tmp_path):
     p = tmp_path / "yellow_tripdata_2019-01.csv"
     header = ",".join(n for n, _ in R.YELLOW_CSV_COLUMNS)
-    good = "1,2019-01-01 00:10:00,2019-01-01 00:20:00,1,2.5,1,N,10,20,1,9.5,0.5,0.5,1,0,0.3,11.8,0"
+    good = "1,2019-01-01 00:10:00,2019-01-01 00:20:00,1,2.5,1,N,10,20,1,9.123456789,0.5,0.5,1,0,0.3,11.8,0"
     extra = good + ",EXTRA"
+    short = "1,2019-01-01 00:10:00,2019-01-01 00:20:00,1"
     bad = "2,not-a-time,2019-01-01 00:20:00,x,2.5,1,N,10,20,1,9.5,0.5,0.5,1,0,0.3,11.8,0"
-    p.write_text("\n".join([header, good, extra, bad]) + "\n")
-    df = R.read_trips_csv(spark, str(p), "yellow")
-    rows = df.collect()
-    assert len(rows) == 3 and df.columns == [n for n, _ in R.YELLOW_CSV_COLUMNS]
-    assert rows[0].trip_distance == 2.5 and rows[1].VendorID == "1"
-    assert rows[2].tpep_pickup_datetime is None and rows[2].passenger_count is None
+    p.write_text("\n".join([header, good, extra, short]) + "\n")
+    df = R.read_trips_csv(spark, str(p), "yellow", filename=True)
+    rows = sorted(df.collect(), key=lambda r: r.fare_amount is None)       # rows are spread: any order
+    assert len(rows) == 3 and df.columns == [n for n, _ in R.YELLOW_CSV_COLUMNS] + ["filename"]
+    assert float(rows[0].trip_distance) == 2.5 and rows[1].VendorID == "1"
+    assert str(rows[0].fare_amount) == str(rows[1].fare_amount) == "9.123456789" and rows[0].filename == p.name
+    assert rows[2].passenger_count == 1 and rows[2].fare_amount is None
+    p.write_text("\n".join([header, good, bad]) + "\n")
+    with pytest.raises(Exception, match="bad value in column"):
+        R.read_trips_csv(spark, str(p), "yellow").collect()
+    told = R.read_trips_csv(spark, str(p), "yellow", on_bad="report").collect()
+    assert sorted(r.bad_columns for r in told) == [[], ["tpep_pickup_datetime", "passenger_count"]]
+
+
+def test_fhv_files_and_raw_names(spark, tmp_path):
+    p = tmp_path / "fhv_tripdata_2019-01.csv"
+    p.write_text(",".join(n for n, _ in R.FHV_CSV_COLUMNS) + "\nB001,2019-01-01 00:30:00,2019-01-01 02:51:55,,265,,B001\n")
+    row = R.read_trips_csv(spark, str(p), "fhv").first()
+    assert row.PUlocationID is None and row.DOlocationID == "265" and row.dispatching_base_num == "B001"
+    dst = str(tmp_path / "pq")
+    W.csv_to_parquet(spark, str(p), dst, "fhv")
+    W.csv_to_parquet(spark, str(p), dst, "fhv")          # skipped when there
+    assert spark.read.parquet(dst).count() == 1
+    for service in ("yellow", "green"):
+        names = R.raw_names(spark.createDataFrame([], R.ddl(R.CSV_COLUMNS[service]))).columns
+        assert {"vendor_id", "pickup_datetime", "dropoff_datetime", "pickup_location_id", "imp_surcharge", "rate_code"} <= set(names)
+        assert not [n for n in names if n.startswith(("tpep", "lpep"))]
+
+
+def test_replacing_a_partitioned_table_leaves_only_the_new_dates(spark, tmp_path):
+    import datetime as dt
+    path = str(tmp_path / "t")
+    two = spark.createDataFrame([(dt.datetime(2024, 1, d), d) for d in (1, 2)], "ts timestamp_ntz, v int")
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    W.write_partitioned(two, path, "ts")
+    W.write_partitioned(two.filter("v = 2"), path, "ts")
+    assert [r.v for r in spark.read.parquet(path).collect()] == [2]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+
+
+def test_trips_target_table(spark, tmp_path):
+    name = "tm_target_test"
+    W.drop_table(spark, name)
+    schema = W.trips_table_schema("green")
+    assert schema.fieldNames()[:3] == ["unique_row_id", "filename", "VendorID"]
+    schema["VendorID"].metadata = {"comment": "the vendor's code \\ it's quoted"}
+    W.ensure_table(spark, name, schema, partition_by=["pickup_date"], path=str(tmp_path / "tt"))
+    got = {r.col_name: r.comment for r in spark.sql(f"DESCRIBE {name}").collect()}
+    assert got["VendorID"] == "the vendor's code \\ it's quoted"
+    W.drop_table(spark, name)
+
+
+def test_model_schemas(spark, tmp_path, monkeypatch):
+    monkeypatch.setenv("TRIPMART_TARGET_SCHEMA", "tm_core_test")
+    monkeypatch.setenv("TRIPMART_STAGING_SCHEMA", "tm_stage_test")
+    df = spark.createDataFrame([(1,)], "a int")
+    for kind, schema in (("core", "tm_core_test"), ("staging", "tm_stage_test")):
+        W.materialize(df, "m", "table", model_kind=kind, path=str(tmp_path / kind))
+        assert spark.table(f"{schema}.m").count() == 1
+        W.drop_table(spark, f"{schema}.m")
+        spark.sql(f"DROP DATABASE {schema}")
 
 
 def test_gzip_csv(spark, tmp_path):

@@ -124,3 +124,15 @@ def test_dim_zones_replace(spark):
     d = S.dim_zones(z)
     vals = {r.service_zone for r in d.select("service_zone").distinct().collect()}
     assert vals == {"Green Zone", "Yellow Zone", "Airports"}
+
+
+def test_wide_ids_and_nine_places(spark):
+    from decimal import Decimal as D
+    row = list(raw_row("3000000000", 0))
+    row[3], row[4] = 5_000_000_000, 6_000_000_000
+    wide = spark.createDataFrame([tuple(row)], RAW).withColumn("fare_amount", F.lit(D("1.123456789")).cast("decimal(28,9)"))
+    for stg in (S.stg_green(wide), S.stg_yellow(wide)):
+        r = stg.first()
+        assert (r.vendorid, r.pickup_locationid, r.dropoff_locationid) == (3_000_000_000, 5_000_000_000, 6_000_000_000)
+        assert r.fare_amount == D("1.123456789")
+        assert stg.schema["payment_type"].dataType.simpleString() == "bigint"
