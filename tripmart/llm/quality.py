@@ -34,6 +34,7 @@ from .common import extended, pieces, rename_clashes, staged, text_bytes
 from .jaccard_join import byte_run_hashes, mix
 
 BITS = 18
+TEXT_BYTES = 1 << 20    # text whose words are held at once
 SAMPLE = 12_000
 LEARNER_ROWS = 3_000    # rows of one FTRL learner
 UPDATES = 9_000         # updates a learner makes at least (two passes at least)
@@ -143,7 +144,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             .select("id", "text", "label"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in pieces(batches, "text"):
+        for b in pieces(batches, "text", TEXT_BYTES):
             found = features(text_bytes(b, "text"), bits)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(2), pa.array([a for a, _ in found], pa.list_(pa.int32())),
@@ -179,7 +180,7 @@ def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text", bits: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bias = float(weights[-1])
-        for b in pieces(batches, text_col):
+        for b in pieces(batches, text_col, TEXT_BYTES):
             found = features(text_bytes(b, text_col), bits)
             values = [_sigmoid(bias + float(weights[a] @ v)) for a, v in found]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(values, pa.float64())], [*b.schema.names, "score"])
