@@ -104,7 +104,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, spaced: bool = Tr
         enc = tokens.encoder(tokenizer, spaced)
         w, end = enc.width, int(end_id).to_bytes(enc.width, "little")
         seen = np.zeros(size + 1, np.int64)
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", tokens.TEXT_BYTES):
             own, start, ids, total, nth = [], [], [], [], []
             for i, raw in enumerate(enc.encode_all(b.column(b.schema.get_field_index("text")).to_pylist())):
                 raw += end

@@ -108,7 +108,7 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int, spaced: bool, id_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = tokens.encoder(tokenizer, spaced)
         end = int(end_id).to_bytes(enc.width, "little")
-        for b in pieces(batches, "text"):
+        for b in pieces(batches, "text", tokens.TEXT_BYTES):
             ids = [x + end for x in enc.encode_all(b.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([len(x) // enc.width for x in ids], pa.int64()), pa.array(ids, pa.binary())],
@@ -122,8 +122,10 @@ def write_store(encoded: DataFrame, path: str, width: int, sample_docs: int = SA
     """Write (id, n_tokens, ids) rows as a store; ``encoded`` is read three
     times, so pass a written table."""
     spark = encoded.sparkSession
-    sample = (encoded.filter(F.col("n_tokens") <= sample_tokens)
-              .orderBy(F.xxhash64("id"), "id", F.xxhash64("ids")).limit(sample_docs).select("ids").collect())
+    brief = encoded.filter(F.col("n_tokens") <= sample_tokens).withColumn("h", F.xxhash64("id", F.crc32("ids")))
+    # hashes alone are ranked; only the chosen rows' ids then reach the driver
+    chosen = staged(brief.select("h").orderBy("h").limit(sample_docs), "token-sample")
+    sample = brief.join(F.broadcast(chosen.distinct()), "h", "left_semi").orderBy("h").limit(sample_docs).select("ids").collect()
     data = train([bytes(r.ids) for r in sample])
     digest = hashlib.sha256(data).digest()
     spark.createDataFrame([(digest.hex(), data, width)], "sha256 string, dictionary binary, width int") \

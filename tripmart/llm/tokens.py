@@ -19,7 +19,8 @@ from unicodedata import is_normalized
 
 import numpy as np
 
-MEMO_UNITS = 700_000
+MEMO_UNITS = 300_000
+TEXT_BYTES = 1 << 20  # text to encode at once
 LONG_UNIT = 64       # longer units are encoded each time, not kept
 
 _CAREFUL_CUT = re.compile(r"(?<=[0-9A-Za-z])(?= [0-9A-Za-z])")
