@@ -6,19 +6,26 @@ A document's set is its distinct word shingles. Two documents link when
 The join, exact at every size:
 
 1. Shingles are hashed to 64 bits and each set's shingles are counted in
-   ``GROUPS`` hash groups: the set's *count vector*. The overlap of two sets
-   is at most the sum over the groups of the smaller count.
+   hash groups: the set's *count vector*. The overlap of two sets is at most
+   the sum over the groups of the smaller count. Longer sets have more
+   groups; a vector folds to fewer groups by adding its halves.
 2. Equal sets collapse into one node. Sets that can link share one of their
    first ``n - ceil(percent * n / 100) + 1`` shingles in hash order, so each
    node goes to the blocks of those shingles; that spreads the join.
-3. Pre-linking: in the blocks of each node's first few shingles every node is
-   verified against one centre (a row per node and block, never all pairs).
-   This merges large groups of near copies at linear cost.
+   In that order shingles common to many documents come last, so that shared
+   lines and passages make few large blocks.
+3. Pre-linking: every node is verified against the smallest node that shares
+   one of its ``CENTRES`` least shingles (a row per node and shingle, never
+   all pairs). This merges large groups of near copies at linear cost.
 4. Blocks whose nodes are still in several components build an R-tree over
-   the nodes' count vectors (leaves by set size; a node's bound is the vector
-   of its maxima). Pairs of subtrees are skipped when the summed coordinate
-   minima, the sizes or a common component rule them out; what survives is a
-   candidate pair. Pairs already connected need no verification.
+   the nodes' count vectors of ``GROUPS`` groups (leaves by set size; a node's
+   bound is the vector of its maxima). Pairs of subtrees are skipped when the
+   summed coordinate minima, the sizes or a common component rule them out,
+   pairs of points by the same bound at their full number of groups. Pairs
+   already connected need no verification: the first rounds take only a
+   forest of each block's candidate pairs, the likeliest first, and only
+   blocks where pairs were left out go on; the last round takes every pair
+   that is still between two components.
 5. Candidates are verified on their whole shingle sets, recomputed from the
    texts of the documents concerned.
 6. Components by repeated contraction to the smallest neighbour, each round
@@ -53,8 +60,11 @@ from .common import numbered, pieces, rename_clashes, staged, text_bytes
 
 WORDS = 5
 PERCENT = 80
-GROUPS = 64           # hash groups of the count vector
-CENTRES = 4           # blocks a node is pre-linked in
+GROUPS = 64           # hash groups of the R-tree's vectors, the fewest of any
+MOST_GROUPS = 1024    # bound of a vector's size
+ROUNDS = 3            # rounds of the R-tree join at most; the last one is complete
+CENTRES = 4           # least shingles by which a node is pre-linked
+COMMON = 6            # documents of a slice of text that make a shingle common
 TILE = 4096           # nodes of a block that one task compares
 LEAF = 32             # points of an R-tree leaf
 BITMAP_WORDS = 1 << 18
@@ -137,12 +147,61 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n + (-percent * n) // 100 + 1
 
 
-def count_vector(shingles: np.ndarray, groups: int = GROUPS) -> np.ndarray:
-    return np.bincount((shingles >> np.uint64(32)).astype(np.int64) % groups, minlength=groups).astype("<u4")
+def groups_for(n: int) -> int:
+    """Groups of a set of ``n`` shingles: about as many, a power of two, so
+    that the bound is sharp for long texts too. Halves of a vector add up to
+    the vector of half as many groups (:func:`fold`)."""
+    return min(MOST_GROUPS, max(GROUPS, 1 << (n - 1).bit_length()))
+
+
+def count_vector(shingles: np.ndarray) -> np.ndarray:
+    groups = groups_for(len(shingles))
+    return np.bincount((shingles >> np.uint64(32)).astype(np.int64) & (groups - 1), minlength=groups).astype("<u4")
+
+
+def fold(vector: np.ndarray, groups: int) -> np.ndarray:
+    """The count vector of fewer groups."""
+    return vector.reshape(-1, groups).sum(axis=0)
+
+
+def pack_vector(vector: np.ndarray) -> bytes:
+    """Counts as 1, 2 or 4 bytes each, after a byte that says which."""
+    width = 1 if vector.max() < 1 << 8 else 2 if vector.max() < 1 << 16 else 4
+    return bytes([width]) + vector.astype(f"<u{width}").tobytes()
+
+
+def unpack_vector(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int32)
+
+
+def in_bits(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which of the 64-bit hashes the bit map holds."""
+    signed = hashes.view(np.int64)
+    return (bits[(signed >> 6) % len(bits)] >> (signed & 63)) & 1 == 1
+
+
+def common_shingles(docs: DataFrame, text_col: str, words: int) -> DataFrame:
+    """Shingles that several documents of one slice of text share. They come
+    last in the order of shingles, so that few blocks hold many documents;
+    any order gives the same links."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in pieces(batches, "text"):
+            sets = {s.tobytes(): s for s in shingle_sets(text_bytes(b, "text"), words)}
+            seen, n = np.unique(np.concatenate(list(sets.values())), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(seen[n >= COMMON].view(np.int64))], ["shingle"])
+
+    return docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(run, "shingle long").distinct()
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
-    """id, n_shingles, node, prefix shingles and count vector of every row."""
+    """id, n_shingles, node, prefix shingles (common ones last), the first
+    shingles in plain hash order, and the count vector of every row."""
+    common = _bitmap(staged(common_shingles(docs, text_col, words), "jaccard-common"))
+
+    def prefix(s: np.ndarray) -> np.ndarray:
+        last = in_bits(s, common)
+        return np.concatenate([s[~last], s[last]])[:prefix_length(len(s), percent)].view(np.int64)
+
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
 
@@ -153,12 +212,13 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int, percen
                 b.column(b.schema.get_field_index("id")),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
-                pa.array([s[:prefix_length(len(s), percent)].view(np.int64) if len(s) else None for s in sets],
-                         pa.list_(pa.int64())),
-                pa.array([count_vector(s).tobytes() if len(s) else None for s in sets], pa.binary()),
-            ], ["id", "n_shingles", "node", "prefix", "vector"])
+                pa.array([prefix(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
+                pa.array([s[:CENTRES].view(np.int64) if len(s) else None for s in sets], pa.list_(pa.int64())),
+                pa.array([pack_vector(count_vector(s)) if len(s) else None for s in sets], pa.binary()),
+            ], ["id", "n_shingles", "node", "prefix", "least", "vector"])
 
-    return rows.mapInArrow(run, f"id {id_type}, n_shingles long, node long, prefix array<long>, vector binary")
+    return rows.mapInArrow(run, f"id {id_type}, n_shingles long, node long, prefix array<long>, least array<long>, "
+                                "vector binary")
 
 
 # --- verification ----------------------------------------------------------------
@@ -202,7 +262,7 @@ def sets_of(docs: DataFrame, text_col: str, nodes: DataFrame, words: int) -> Dat
             for s in shingle_sets(text_bytes(b, "text"), words):
                 if len(s):
                     node = node_of(s)
-                    if (int(bits[(node >> 6) % len(bits)]) >> (node & 63)) & 1 and node not in seen:
+                    if (int(bits[(node >> 6) % len(bits)]) >> (node & 63)) & 1 == 1 and node not in seen:
                         if len(seen) > 200_000:         # only to send fewer copies
                             seen.clear()
                         seen.add(node)
@@ -272,124 +332,216 @@ def least_overlap(sizes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 
 class CountTree:
     """R-tree over count vectors: leaves of ``LEAF`` points in order of set
-    size and, among those, of the vectors; each node keeps its points' largest
-    counts, smallest and largest size, and their component if they share one."""
+    size; each node keeps its points' largest counts, smallest and largest
+    size, and their component if they share one."""
 
     def __init__(self, vectors: np.ndarray, sizes: np.ndarray, comps: np.ndarray):
-        self.order = np.lexsort((vectors[:, 0], vectors[:, 1], sizes))
-        self.vectors, self.sizes, self.comps = vectors[self.order], sizes[self.order], comps[self.order]
+        self.order = np.argsort(sizes, kind="stable")
+        self.vectors = vectors[self.order]
+        self.sizes, self.comps = sizes[self.order], comps[self.order]
         at = np.arange(0, len(sizes), LEAF)
-        self.ends = np.append(at[1:], len(sizes))
-        self.starts = at
+        self.starts, self.ends = at, np.append(at[1:], len(sizes))
         self.most = np.maximum.reduceat(self.vectors, at, axis=0)
         self.small, self.large = self.sizes[at], self.sizes[self.ends - 1]
         low, high = np.minimum.reduceat(self.comps, at), np.maximum.reduceat(self.comps, at)
         self.mixed, self.comp = low != high, low
 
+    def merge(self, old: int, new: int) -> None:
+        """Make two components one."""
+        moved = self.comps == old
+        if moved.any():
+            self.comps[moved] = new
+            low, high = np.minimum.reduceat(self.comps, self.starts), np.maximum.reduceat(self.comps, self.starts)
+            self.mixed, self.comp = low != high, low
+
     def _leaf_pairs(self, other: "CountTree", percent: int) -> Iterator[tuple[int, int]]:
         for i in range(len(self.starts)):
             ok = (100 * other.large >= percent * self.small[i]) & (100 * self.large[i] >= percent * other.small)
             ok &= self.mixed[i] | other.mixed | (other.comp != self.comp[i])
+            if self is other:
+                ok[:i] = False
             at = np.flatnonzero(ok)
             bound = np.minimum(self.most[i], other.most[at]).sum(axis=1)
             for j in at[bound >= least_overlap(self.small[i] + other.small[at], percent)].tolist():
-                yield i, j
-
-    def pairs(self, other: "CountTree", percent: int = PERCENT) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Positions (in the given order of each tree) of pairs that may link."""
+                # components may have merged since
+                if self.mixed[i] or other.mixed[j] or self.comp[i] != other.comp[j]:
+                    yield i, j
+
+    def pairs(self, other: "CountTree", percent: int = PERCENT) -> Iterator[tuple[list[int], list[int]]]:
+        """Positions (in the given order of each tree) of pairs that may link,
+        leaf by leaf, the likeliest first. The components are read anew for
+        each pair of leaves, so the caller may merge them meanwhile."""
         for i, j in self._leaf_pairs(other, percent):
-            if self is other and j < i:
-                continue
             p, q = slice(self.starts[i], self.ends[i]), slice(other.starts[j], other.ends[j])
             a, b = self.sizes[p][:, None], other.sizes[q][None, :]
             ok = (self.comps[p][:, None] != other.comps[q][None, :])
             ok &= (100 * b >= percent * a) & (100 * a >= percent * b)
+            if self is other and i == j:
+                ok = np.triu(ok, 1)
             x, y = np.nonzero(ok)
             if len(x):
-                bound = np.minimum(self.vectors[p][x], other.vectors[q][y]).sum(axis=1)
-                hit = bound >= least_overlap(self.sizes[p][x] + other.sizes[q][y], percent)
-                yield self.order[p][x[hit]], other.order[q][y[hit]]
-
-
-def _cell_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs of each (block, cell); rows come sorted by both."""
-    def cell(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        node = rows["node"].to_numpy()
-        size, comp = rows["n_shingles"].to_numpy(), rows["comp"].to_numpy()
-        vectors = np.frombuffer(b"".join(rows["vector"].to_pylist()), "<u4").reshape(len(node), -1).astype(np.int64)
-        tile = rows["tile"].to_numpy()
-        kinds = np.unique(tile)
-        parts = [np.flatnonzero(tile == k) for k in kinds]
-        trees = [CountTree(vectors[p], size[p], comp[p]) for p in parts]
+                x, y = x + p.start, y + q.start
+                need = least_overlap(self.sizes[x] + other.sizes[y], percent)
+                bound = np.minimum(self.vectors[x], other.vectors[y]).sum(axis=1)
+                hit = np.flatnonzero(bound >= need)
+                hit = hit[np.argsort(-bound[hit] / need[hit], kind="stable")]
+                yield self.order[x[hit]].tolist(), other.order[y[hit]].tolist()
+
+
+class _Points:
+    """A task's view of the nodes it has met: unpacked vectors and the bounds
+    of pairs, kept within bounded memory."""
+
+    def __init__(self, percent: int):
+        self.percent = percent
+        self.vectors: dict[int, np.ndarray] = {}
+        self.bounds: dict[tuple[int, int], float] = {}
+
+    def vector(self, row: tuple) -> np.ndarray:
+        node = row[0]
+        if node not in self.vectors:
+            if len(self.vectors) > 20_000:
+                self.vectors.clear()
+            self.vectors[node] = unpack_vector(row[4])
+        return self.vectors[node]
+
+    def bound(self, x: tuple, y: tuple) -> float:
+        """Overlap bound of two rows against the overlap they need."""
+        key = (x[0], y[0]) if x[0] < y[0] else (y[0], x[0])
+        got = self.bounds.get(key)
+        if got is None:
+            if len(self.bounds) > 500_000:
+                self.bounds.clear()
+            f, g = self.vector(x), self.vector(y)
+            if len(f) != len(g):
+                n = min(len(f), len(g))
+                f, g = fold(f, n), fold(g, n)
+            need = -((-self.percent * (x[1] + y[1])) // (100 + self.percent))
+            got = self.bounds[key] = int(np.minimum(f, g).sum()) / need
+        return got
+
+    def pairs(self, rows: list[tuple], every: bool) -> tuple[list[tuple[int, int]], bool]:
+        """Positions of pairs of a cell's rows that may link. Unless ``every``
+        pair is wanted, each pair found merges its components for the rest of
+        the cell, so the pairs are a forest; the flag says whether pairs were
+        passed over for that."""
+        tiles = sorted({r[3] for r in rows})
+        parts = [[i for i, r in enumerate(rows) if r[3] == t] for t in tiles] if len(tiles) > 1 else [range(len(rows))]
+        comp = [r[2] for r in rows]
+        trees: list[CountTree] = []
         # a cell of two tiles compares across them; each tile meets itself in its own cell
-        a, b = (0, 1) if len(trees) == 2 else (0, 0)
-        out = [(node[parts[a][x]], node[parts[b][y]]) for x, y in trees[a].pairs(trees[b], percent)]
-        if not out:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        left, right = (np.concatenate(z) for z in zip(*out))
-        return np.minimum(left, right), np.maximum(left, right)
-
-    held: list[pa.RecordBatch] = []
-    sent: set[tuple[int, int]] = set()
-
-    def close() -> Iterator[pa.RecordBatch]:
-        nonlocal held
-        rows = pa.Table.from_batches(held).combine_chunks()
-        held = []
-        if rows.num_rows < 2:
-            return
-        a, b = cell(rows)
-        new = [p for p in zip(a.tolist(), b.tolist()) if p[0] != p[1] and p not in sent]
-        if len(sent) > 200_000:                     # only to send fewer repeats
-            sent.clear()
-        sent.update(new)
-        if new:
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in new], pa.int64()),
-                                              pa.array([p[1] for p in new], pa.int64())], ["a", "b"])
-
-    last = None
+        if len(rows) <= LEAF and len(parts) == 1:
+            near = self._leaf(rows)
+        else:
+            trees = [CountTree(np.stack([fold(self.vector(rows[i]), GROUPS) for i in p]),
+                               np.array([rows[i][1] for i in p]), np.array([rows[i][2] for i in p])) for p in parts]
+            second = 1 if len(parts) == 2 else 0
+            near = (([parts[0][i] for i in x], [parts[second][j] for j in y])
+                    for x, y in trees[0].pairs(trees[second], self.percent))
+        out, passed = [], False
+        for x, y in near:
+            for i, j in zip(x, y):
+                if comp[i] == comp[j]:
+                    passed = True
+                elif self.bound(rows[i], rows[j]) >= 1:
+                    out.append((i, j))
+                    if not every:
+                        old, new = comp[j], comp[i]
+                        comp = [new if c == old else c for c in comp]
+                        for t in trees:
+                            t.merge(old, new)
+        # a leaf whose pairs all became connected meanwhile was passed over too
+        return out, passed or (not every and len(rows) > LEAF and len(out) > 0)
+
+    def _leaf(self, rows: list[tuple]) -> Iterator[tuple[list[int], list[int]]]:
+        """Pairs of a block that is a single leaf, by size and component."""
+        for i, x in enumerate(rows):
+            for j in range(i + 1, len(rows)):
+                y = rows[j]
+                if x[2] != y[2] and 100 * x[1] >= self.percent * y[1] and 100 * y[1] >= self.percent * x[1]:
+                    yield [i], [j]
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
+    """(block, rows) of each (block, cell); a row is (node, n_shingles, comp,
+    tile, vector). Rows come sorted by block and cell."""
+    key, held = None, []
     for b in batches:
-        block, cells = b.column(0).to_numpy(), b.column(1).to_numpy()
-        change = np.flatnonzero((np.diff(block) != 0) | (np.diff(cells) != 0)) + 1
-        bounds = [0, *change.tolist(), b.num_rows]
-        for s, e in zip(bounds[:-1], bounds[1:]):
-            if e > s:
-                key = (block[s], cells[s])
-                if last is not None and key != last and held:
-                    yield from close()
-                held.append(b.slice(s, e - s))
-                last = key
+        if not b.num_rows:
+            continue
+        block, cell = b.column(0).to_numpy(), b.column(1).to_numpy()
+        rows = list(zip(*(b.column(b.schema.get_field_index(c)).to_pylist()
+                          for c in ("node", "n_shingles", "comp", "tile", "vector"))))
+        change = (np.flatnonzero((np.diff(block) != 0) | (np.diff(cell) != 0)) + 1).tolist()
+        for s, e in zip([0, *change], [*change, len(rows)]):
+            if key is not None and key != (block[s], cell[s]):
+                yield int(key[0]), held
+                held = []
+            key = (block[s], cell[s])
+            held = rows[s:e] if not held else held + rows[s:e]
     if held:
-        yield from close()
-
-
-def candidates(nodes: DataFrame, label: DataFrame, percent: int = PERCENT, tile: int = TILE) -> DataFrame:
-    """Pairs (a, b) of nodes in different components that may link."""
-    known = nodes.join(label, "node", "left").withColumn("comp", F.coalesce("root", "node"))
-    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = known.select(F.explode("prefix").alias("block"), "node", "comp")
-    # blocks that hold several components, with their number of tiles; a bit
-    # map of bounded size drops most other rows before they shuffle
-    cross = staged(rows.groupBy("block").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("k"))
-                   .filter("lo <> hi").select("block", F.ceil(F.col("k") / tile).cast("int").alias("tiles")),
-                   "jaccard-cross")
-    rows = staged(_in_bitmap(rows, "block", cross.select("block")).join(cross, "block"), "jaccard-blocks")
+        yield int(key[0]), held
+
+
+def _cell_pairs(batches: Iterator[pa.RecordBatch], percent: int, last_round: bool) -> Iterator[pa.RecordBatch]:
+    """Candidate pairs (a, b) of all cells. Before the last round only a
+    forest of each cell's pairs is given, and the block where some were left out."""
+    points = _Points(percent)
+    sent: set[tuple[int, int]] = set()
+    out: list[tuple[int | None, int | None, int | None]] = []
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(3)], ["a", "b", "block"])
+
+    for block, rows in _cells(batches):
+        if len(rows) < 2:
+            continue
+        chosen, left_out = points.pairs(rows, last_round)
+        for x, y in chosen:
+            pair = min(rows[x][0], rows[y][0]), max(rows[x][0], rows[y][0])
+            if pair[0] != pair[1] and pair not in sent:
+                if len(sent) > 200_000:                 # only to send fewer repeats
+                    sent.clear()
+                sent.add(pair)
+                out.append((*pair, None))
+        if left_out:
+            out.append((None, None, block))
+        if len(out) > 10_000:
+            yield batch()
+            out = []
+    if out:
+        yield batch()
+
+
+def crossing(rows: DataFrame, label: DataFrame) -> DataFrame:
+    """Rows (block, node) of blocks that hold several components, with comp
+    and the block's number of rows."""
+    known = rows.join(label, "node", "left").select("block", "node", F.coalesce("root", "node").alias("comp"))
+    # a bit map of bounded size drops most other rows before they shuffle
+    cross = staged(known.groupBy("block").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("k"))
+                   .filter("lo <> hi").select("block", "k"), "jaccard-cross")
+    return staged(_in_bitmap(known, "block", cross.select("block")).join(cross, "block"), "jaccard-blocks")
+
+
+def candidates(rows: DataFrame, points: DataFrame, percent: int, tile: int, last_round: bool) -> DataFrame:
+    """(a, b, block): pairs of nodes in different components that may link,
+    and blocks where pairs were left out (see :func:`_cell_pairs`)."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # cell (i, j), i <= j: tiles i and j of a block; a node goes to the cells of its tile
-    own = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
-    rows = (rows.withColumn("tile", own)
+    rows = (rows.withColumn("tiles", F.ceil(F.col("k") / tile).cast("int"))
+            .withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
             .withColumn("cell", F.least("tile", "other").cast("long") * F.col("tiles") + F.greatest("tile", "other")))
-    points = known.select("node", "n_shingles", "vector")
-    rows = (rows.join(points, "node").select("block", "cell", "tile", "node", "comp", "n_shingles", "vector")
+    rows = (rows.join(points.select("node", "n_shingles", "vector"), "node")
+            .select("block", "cell", "tile", "node", "comp", "n_shingles", "vector")
             .repartition(parts, "block", "cell").sortWithinPartitions("block", "cell"))
-    found = rows.mapInArrow(lambda b: _cell_pairs(b, percent), "a long, b long")
-    return found.distinct()
+    return rows.mapInArrow(lambda b: _cell_pairs(b, percent, last_round), "a long, b long, block long").distinct()
 
 
-def centre_pairs(nodes: DataFrame, percent: int = PERCENT, centres: int = CENTRES) -> DataFrame:
-    """(a, b): each node and the smallest node of each of its first blocks,
-    where their sizes allow a link."""
-    rows = nodes.select(F.explode(F.slice("prefix", 1, centres)).alias("block"), "node", "n_shingles")
+def centre_pairs(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(a, b): each node and the smallest node among those that share one of
+    its least shingles, where their sizes allow a link."""
+    rows = nodes.select(F.explode("least").alias("block"), "node", "n_shingles")
     # written first, so that the join with it can split a block that many nodes share
     first = staged(rows.groupBy("block").agg(F.min(F.struct("node", "n_shingles")).alias("c"), F.count("*").alias("k"))
                    .filter("k > 1").select("block", F.col("c.node").alias("centre"), F.col("c.n_shingles").alias("m")),
@@ -404,15 +556,24 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                        percent: int = PERCENT, tile: int = TILE) -> DataFrame:
     """One row per row of ``docs``: its id, n_shingles and component_id."""
     prints = staged(fingerprints(docs, id_col, text_col, words, percent), "jaccard-prints")
-    nodes = staged(prints.filter("node IS NOT NULL").select("node", "n_shingles", "prefix", "vector")
+    nodes = staged(prints.filter("node IS NOT NULL").select("node", "n_shingles", "prefix", "least", "vector")
                    .dropDuplicates(["node"]), "jaccard-points")
-    near = staged(verified(staged(centre_pairs(nodes, percent), "jaccard-centres"), docs, text_col, words, percent),
-                  "jaccard-links")
-    label = components(near)
-    more = staged(candidates(nodes, label, percent, tile), "jaccard-candidates")
-    if not more.isEmpty():
-        far = staged(verified(more, docs, text_col, words, percent), "jaccard-links")
-        label = components(near.unionByName(far))
+    links = staged(verified(staged(centre_pairs(nodes, percent), "jaccard-centres"), docs, text_col, words, percent),
+                   "jaccard-links")
+    label = components(links)
+    rows = nodes.select(F.explode("prefix").alias("block"), "node")
+    for n in range(ROUNDS):
+        rows = crossing(rows, label)
+        found = staged(candidates(rows, nodes, percent, tile, n == ROUNDS - 1), "jaccard-candidates")
+        pairs = found.filter("a IS NOT NULL").select("a", "b")
+        if not pairs.isEmpty():
+            more = staged(verified(pairs, docs, text_col, words, percent), "jaccard-links")
+            links = links.unionByName(more)
+            label = components(links)
+        left = found.filter("block IS NOT NULL").select("block").distinct()
+        if left.isEmpty():
+            break
+        rows = staged(rows.select("block", "node").join(left, "block", "left_semi"), "jaccard-left")
     return _named(prints, label).withColumnRenamed("id", id_col)
 
 
