@@ -17,12 +17,14 @@ The join, exact at every size:
 3. Pre-linking: every node is verified against the smallest node that shares
    one of its ``CENTRES`` least shingles (a row per node and shingle, never
    all pairs). This merges large groups of near copies at linear cost.
+   Blocks of one node, and nodes that no other one of their block can link
+   with by its size and the shingle's place, drop out early.
 4. Blocks whose nodes are still in several components build an R-tree over
    the nodes' count vectors of ``GROUPS`` groups (leaves by set size; a node's
    bound is the vector of its maxima). Pairs of subtrees are skipped when the
    summed coordinate minima, the sizes or a common component rule them out,
    pairs of points by the same bound at their full number of groups. Pairs
-   already connected need no verification: the first rounds take only a
+   already connected need no verification: the first round takes only a
    forest of each block's candidate pairs, the likeliest first, and only
    blocks where pairs were left out go on; the last round takes every pair
    that is still between two components.
@@ -62,7 +64,7 @@ WORDS = 5
 PERCENT = 80
 GROUPS = 64           # hash groups of the R-tree's vectors, the fewest of any
 MOST_GROUPS = 1024    # bound of a vector's size
-ROUNDS = 3            # rounds of the R-tree join at most; the last one is complete
+ROUNDS = 2            # rounds of the R-tree join at most; the last one is complete
 CENTRES = 4           # least shingles by which a node is pre-linked
 COMMON = 6            # documents of a slice of text that make a shingle common
 TILE = 4096           # nodes of a block that one task compares
@@ -288,6 +290,17 @@ def verified(pairs: DataFrame, docs: DataFrame, text_col: str, words: int, perce
 
 # --- components --------------------------------------------------------------------
 
+def _jump(up: DataFrame, times: int = 3) -> DataFrame:
+    """Follow the links (node, root) to their roots' roots, ``times`` times;
+    ``moved`` tells whether the last step still changed anything."""
+    now = up
+    for _ in range(times):
+        high = up.select(F.col("node").alias("root"), F.col("root").alias("top"))
+        now = now.join(high, "root").select("node", F.col("top").alias("root"), (F.col("top") != F.col("root")).alias("moved"))
+        up = now.select("node", "root")
+    return now
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node on an edge; equal roots: connected.
 
@@ -301,11 +314,8 @@ def components(edges: DataFrame) -> DataFrame:
         up = (edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
               .unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("root")))
               .groupBy("node").agg(F.min("root").alias("root")))
-        up = staged(up, "parents")
         while True:
-            high = up.select(F.col("node").alias("root"), F.col("root").alias("top"))
-            up = staged(up.join(high, "root").select("node", F.col("top").alias("root"),
-                                                     (F.col("top") != F.col("root")).alias("moved")), "parents")
+            up = staged(_jump(staged(up, "parents")), "parents")
             moved = not up.filter("moved").isEmpty()
             up = up.select("node", "root")
             if not moved:
@@ -314,15 +324,19 @@ def components(edges: DataFrame) -> DataFrame:
             label = up
         else:
             step = up.select(F.col("node").alias("root"), F.col("root").alias("top"))
-            label = (label.join(step, "root", "left")
-                     .select("node", F.coalesce("top", "root").alias("root")))
+            label = staged(label.join(step, "root", "left").select("node", F.coalesce("top", "root").alias("root")), "labels")
         ends = [up.select(F.col("node").alias(c), F.col("root").alias(f"r{c}")) for c in "ab"]
         edges = staged(edges.join(ends[0], "a").join(ends[1], "b").filter("ra <> rb")
                        .select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct(), "edges")
-        label = staged(label, "labels")
     return label if label is not None else edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
+def star_labels(links: DataFrame) -> DataFrame:
+    """(node, root) from links (centre a, node b) in one step: nodes with the
+    same root are connected, though not every connection shows yet."""
+    return staged(links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root")), "jaccard-stars")
+
+
 # --- the R-tree ---------------------------------------------------------------------
 
 def least_overlap(sizes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
@@ -513,14 +527,87 @@ def _cell_pairs(batches: Iterator[pa.RecordBatch], percent: int, last_round: boo
         yield batch()
 
 
-def crossing(rows: DataFrame, label: DataFrame) -> DataFrame:
-    """Rows (block, node) of blocks that hold several components, with comp
-    and the block's number of rows."""
-    known = rows.join(label, "node", "left").select("block", "node", F.coalesce("root", "node").alias("comp"))
-    # a bit map of bounded size drops most other rows before they shuffle
-    cross = staged(known.groupBy("block").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("k"))
-                   .filter("lo <> hi").select("block", "k"), "jaccard-cross")
-    return staged(_in_bitmap(known, "block", cross.select("block")).join(cross, "block"), "jaccard-blocks")
+def shared_blocks(prints: DataFrame) -> DataFrame:
+    """Rows (block, node, n_shingles, pos) of the blocks of more than one row,
+    and a few more; ``pos`` is the shingle's place in its set's order.
+
+    Rows are first counted by a few bits of the block's hash (six more than
+    their number needs); blocks on their own drop out before the rows shuffle.
+    """
+    total = prints.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    mask = (1 << (int(total).bit_length() + 6)) - 1
+    rows = prints.select("node", "n_shingles", F.posexplode("prefix").alias("pos", "block"))
+    rows = rows.withColumn("key", F.col("block").bitwiseAND(F.lit(mask).cast("long")))
+    often = staged(rows.groupBy("key").agg(F.count("*").alias("k")).filter("k > 1").select("key"), "jaccard-often")
+    return _in_bitmap(rows, "key", often).drop("key").distinct()      # equal sets: one row
+
+
+def _compatible(n: np.ndarray, pos: np.ndarray, comp: np.ndarray, percent: int) -> np.ndarray:
+    """Which rows of a block (sorted by set size) have a partner in another
+    component whose size and place of the shingle allow a link. Both sets
+    share the shingle; of the others before it at most the smaller number is
+    shared, and so behind it."""
+    keep = np.zeros(len(n), bool)
+    last = np.searchsorted(n, (100 * n) // percent, side="right")     # partners up to this row
+    for i in range(len(n) - 1):
+        j = slice(i + 1, int(last[i]))
+        if j.stop <= j.start:
+            continue
+        most = np.minimum(pos[i], pos[j]) + 1 + np.minimum(n[i] - pos[i], n[j] - pos[j]) - 1
+        ok = (comp[j] != comp[i]) & (most >= least_overlap(n[i] + n[j], percent))
+        if ok.any():
+            keep[i] = True
+            keep[j] |= ok
+    return keep
+
+
+def _compatible_rows(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows (block, n_shingles, node, comp, pos), sorted by block and size,
+    that have a compatible partner."""
+    def kept(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        block, n, pos, comp = (t[c].to_numpy() for c in ("block", "n_shingles", "pos", "comp"))
+        keep = np.zeros(len(block), bool)
+        change = np.flatnonzero(np.diff(block)) + 1
+        starts, ends = np.concatenate([[0], change]), np.concatenate([change, [len(block)]])
+        for a, b in zip(starts.tolist(), ends.tolist()):
+            if b - a > 1:
+                keep[a:b] = _compatible(n[a:b], pos[a:b], comp[a:b], percent)
+        yield from t.filter(pa.array(keep)).combine_chunks().to_batches()
+
+    held: list[pa.RecordBatch] = []
+    passing: int | None = None             # a block too large to look at whole: all its rows stay
+    for b in batches:
+        if not b.num_rows:
+            continue
+        block = b.column(0).to_numpy()
+        if passing is not None:
+            own = int(np.searchsorted(block != passing, True))
+            yield b.slice(0, own)
+            b, block = b.slice(own), block[own:]
+            if not b.num_rows:
+                continue
+            passing = None
+        cut = int(np.searchsorted(block, block[-1], side="left"))     # the last block may go on
+        if cut:
+            yield from kept(pa.Table.from_batches([*held, b.slice(0, cut)]))
+            held = []
+        held.append(b.slice(cut))
+        if sum(x.num_rows for x in held) > TILE:
+            yield from held
+            held, passing = [], int(block[-1])
+    if held:
+        yield from kept(pa.Table.from_batches(held))
+
+
+def crossing(rows: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """Rows of blocks that hold several components and can hold a link, with
+    comp and the block's number of rows."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    known = rows.join(label, "node", "left").select("block", "n_shingles", "node", F.coalesce("root", "node").alias("comp"), "pos")
+    known = known.repartition(parts, "block").sortWithinPartitions("block", "n_shingles")
+    known = staged(known.mapInArrow(lambda b: _compatible_rows(b, percent), known.schema), "jaccard-blocks")
+    sizes = staged(known.groupBy("block").agg(F.count("*").alias("k")), "jaccard-sizes")
+    return known.join(sizes, "block")
 
 
 def candidates(rows: DataFrame, points: DataFrame, percent: int, tile: int, last_round: bool) -> DataFrame:
@@ -532,7 +619,7 @@ def candidates(rows: DataFrame, points: DataFrame, percent: int, tile: int, last
             .withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
             .withColumn("cell", F.least("tile", "other").cast("long") * F.col("tiles") + F.greatest("tile", "other")))
-    rows = (rows.join(points.select("node", "n_shingles", "vector"), "node")
+    rows = (rows.join(points, "node")
             .select("block", "cell", "tile", "node", "comp", "n_shingles", "vector")
             .repartition(parts, "block", "cell").sortWithinPartitions("block", "cell"))
     return rows.mapInArrow(lambda b: _cell_pairs(b, percent, last_round), "a long, b long, block long").distinct()
@@ -556,24 +643,25 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                        percent: int = PERCENT, tile: int = TILE) -> DataFrame:
     """One row per row of ``docs``: its id, n_shingles and component_id."""
     prints = staged(fingerprints(docs, id_col, text_col, words, percent), "jaccard-prints")
-    nodes = staged(prints.filter("node IS NOT NULL").select("node", "n_shingles", "prefix", "least", "vector")
-                   .dropDuplicates(["node"]), "jaccard-points")
-    links = staged(verified(staged(centre_pairs(nodes, percent), "jaccard-centres"), docs, text_col, words, percent),
+    sets = prints.filter("node IS NOT NULL")
+    links = staged(verified(staged(centre_pairs(sets, percent), "jaccard-centres"), docs, text_col, words, percent),
                    "jaccard-links")
-    label = components(links)
-    rows = nodes.select(F.explode("prefix").alias("block"), "node")
+    label = star_labels(links)
+    rows = staged(shared_blocks(sets), "jaccard-shared")
     for n in range(ROUNDS):
-        rows = crossing(rows, label)
-        found = staged(candidates(rows, nodes, percent, tile, n == ROUNDS - 1), "jaccard-candidates")
+        cross = staged(crossing(rows, label, percent), "jaccard-cross")
+        points = staged(sets.select("node", "vector").join(cross.select("node").distinct(), "node", "left_semi")
+                        .dropDuplicates(["node"]), "jaccard-points")
+        found = staged(candidates(cross, points, percent, tile, n == ROUNDS - 1), "jaccard-candidates")
         pairs = found.filter("a IS NOT NULL").select("a", "b")
         if not pairs.isEmpty():
             more = staged(verified(pairs, docs, text_col, words, percent), "jaccard-links")
             links = links.unionByName(more)
-            label = components(links)
+        label = components(links)
         left = found.filter("block IS NOT NULL").select("block").distinct()
         if left.isEmpty():
             break
-        rows = staged(rows.select("block", "node").join(left, "block", "left_semi"), "jaccard-left")
+        rows = staged(cross.drop("comp", "k").join(left, "block", "left_semi"), "jaccard-left")
     return _named(prints, label).withColumnRenamed("id", id_col)
 
 
