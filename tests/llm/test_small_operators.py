@@ -150,8 +150,9 @@ def test_links_order_arguments_and_json(spark):
     two = [r for r in rows if r.conv_id == 2][0]
     assert two.errors == "missing:a,type:n,unexpected:q" and two.status == "linked"
     cyc = [r for r in rows if r.conv_id == 3]
-    assert [(r.order_turn, r.order_step) for r in cyc] == [(0, 0), (1, 0)]
-    assert [r.errors for r in cyc] == ["not an object,cycle", "not an object,cycle"]
+    # p needs q and q needs p: cut at q, the later one
+    assert [(r.call_id, r.order_turn, r.order_step, r.errors) for r in cyc] == [
+        ("q", 1, 0, "not an object,cycle"), ("p", 1, 1, "not an object")]
     assert {r.status for r in rows if r.conv_id is None} == {"missing", "orphan"}
     assert formatted(spark, [], []) == []
 
@@ -161,3 +162,8 @@ def test_long_chain_of_later_references(spark):
     rows = formatted(spark, calls, [])
     assert [r.call_id for r in rows] == [f"c{i}" for i in range(11, -1, -1)]
     assert all(r.errors == "" for r in rows)
+
+
+def test_a_call_follows_an_earlier_one_that_moved(spark):
+    calls = [(1, 0, "a", "t", '{"a":"x"}', "c"), (1, 1, "b", "t", '{"a":"x"}', "a"), (1, 2, "c", "t", '{"a":"x"}', None)]
+    assert [r.call_id for r in formatted(spark, calls, [])] == ["c", "a", "b"]

@@ -35,7 +35,6 @@ from .common import staged
 
 #: JSON types of a declared field, as Spark's variant functions name them.
 TYPES = {"string": ["STRING"], "integer": ["BIGINT"], "number": ["BIGINT", "DOUBLE"], "boolean": ["BOOLEAN"]}
-MAX_ROUNDS = 64
 
 
 def link(calls: DataFrame, results: DataFrame) -> DataFrame:
@@ -65,40 +64,39 @@ def link(calls: DataFrame, results: DataFrame) -> DataFrame:
     return linked.unionByName(again).unionByName(extra)
 
 
-def order(linked: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
-    """``linked`` with order_turn, order_step and cyclic."""
+def order(linked: DataFrame) -> DataFrame:
+    """``linked`` with order_turn, order_step and cyclic.
+
+    A key is (turn, step, call it goes back to); a call takes the larger of
+    its own key and the key of the call it needs, one step on, until nothing
+    moves. A key that comes back to its own call closes a cycle: that call
+    (the latest of the cycle) keeps its own key.
+    """
     own = linked.filter("status IN ('linked', 'missing')")
-    ids = own.select("conv_id", "call_id", "needs", F.struct(F.col("turn").alias("t"), F.lit(0).alias("s")).alias("k"))
-    target = ids.select("conv_id", F.col("call_id").alias("needs"), F.col("k.t").alias("tt"))
-    # only references to the same or a later turn can move a call
-    late = ids.join(target, ["conv_id", "needs"]).filter("tt >= k.t").select("conv_id", "call_id", "needs")
-    late = staged(late, "chat-late")
-    keys = staged(ids.join(late.select("conv_id", "call_id").distinct(), ["conv_id", "call_id"], "left_semi")
-                  .select("conv_id", "call_id", F.col("k.t").alias("t0"), "k"), "chat-keys")
-    fixed = ids.select("conv_id", F.col("call_id").alias("needs"), F.col("k").alias("nk0"))
-    base = staged(late.join(fixed, ["conv_id", "needs"]), "chat-needs")     # what each one waits for
-    rounds, moving = 0, not keys.isEmpty()
-    while moving and rounds < max_rounds:
+    key = F.struct(F.col("turn").alias("t"), F.lit(0).alias("s"), F.col("call_id").alias("a"))
+    ids = own.select("conv_id", "call_id", "needs", key.alias("own"))
+    target = ids.select("conv_id", F.col("call_id").alias("needs"), F.col("own").alias("first"))
+    edges = staged(ids.join(target, ["conv_id", "needs"]), "chat-needs")
+    keys = edges.select("conv_id", "call_id", F.col("own").alias("k"), F.lit(False).alias("cyclic"))
+    moving = not edges.isEmpty()
+    while moving:
         now = keys.select("conv_id", F.col("call_id").alias("needs"), F.col("k").alias("nk"))
-        wait = base.join(now, ["conv_id", "needs"], "left").select(
-            "conv_id", "call_id", F.coalesce("nk", "nk0").alias("nk"))
-        new = keys.join(wait, ["conv_id", "call_id"]).select(
-            "conv_id", "call_id", "t0",
-            F.greatest("k", F.struct(F.col("nk.t").alias("t"), (F.col("nk.s") + 1).alias("s"))).alias("k2"), "k")
-        new = staged(new, "chat-keys")
-        moving = not new.filter("k2 <> k").isEmpty()
-        keys = new.select("conv_id", "call_id", "t0", F.col("k2").alias("k"), (F.col("k2") != F.col("k")).alias("moved"))
-        rounds += 1
-    if "moved" not in keys.columns:
-        keys = keys.withColumn("moved", F.lit(False))
-    # what still moves after the last round is in a cycle or waits for one
-    keys = keys.select("conv_id", "call_id", F.col("k").alias("late_key"), F.col("moved").alias("cyclic"))
+        mine = keys.select("conv_id", "call_id", "k", "cyclic")
+        both = edges.join(now, ["conv_id", "needs"], "left").join(mine, ["conv_id", "call_id"])
+        after = F.coalesce("nk", "first")
+        after = F.struct(after["t"].alias("t"), (after["s"] + 1).alias("s"), after["a"].alias("a"))
+        cyclic = F.col("cyclic") | ((after["a"] == F.col("call_id")) & (after > F.col("k")))
+        new = both.select("conv_id", "call_id", F.when(cyclic, F.col("own")).otherwise(F.greatest("k", after)).alias("k"),
+                          cyclic.alias("cyclic"), F.col("k").alias("was"))
+        keys = staged(new, "chat-keys")
+        moving = not keys.filter("k <> was").isEmpty()
+    keys = keys.select("conv_id", "call_id", F.col("k").alias("late"), "cyclic")
     out = linked.join(keys, ["conv_id", "call_id"], "left")
-    late_ok = F.col("late_key").isNotNull() & ~F.col("cyclic") & F.col("status").isin("linked", "missing")
-    return (out.withColumn("order_turn", F.when(late_ok, F.col("late_key.t")).otherwise(F.col("turn")))
-            .withColumn("order_step", F.when(late_ok, F.col("late_key.s")).otherwise(0).cast("int"))
-            .withColumn("cyclic", F.coalesce("cyclic", F.lit(False)) & F.col("status").isin("linked", "missing"))
-            .drop("late_key"))
+    ordered = F.col("status").isin("linked", "missing") & F.col("late").isNotNull()
+    return (out.withColumn("order_turn", F.when(ordered, F.col("late.t")).otherwise(F.col("turn")))
+            .withColumn("order_step", F.when(ordered, F.col("late.s")).otherwise(0).cast("int"))
+            .withColumn("cyclic", F.coalesce("cyclic", F.lit(False)) & ordered)
+            .drop("late"))
 
 
 def argument_errors(schemas: dict[str, dict[str, tuple[str, bool]]]) -> Column:
@@ -150,8 +148,7 @@ def derive_tool_turns(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     Every assistant turn answers through a tool: the user turn before it is
     the call's text, the assistant's text its result. A long user text asks
     for ``search``, a short one (under 60 characters) for ``lookup``, which
-    uses the conversation's next assistant turn; other calls use the one
-    before. An assistant text under 40 characters leaves no result; a system
+    uses the conversation's next assistant turn. An assistant text under 40 characters leaves no result; a system
     turn is a result that nothing called for.
     """
     rows = conversations.select("conv_id", "turn", "role", "text")
@@ -160,8 +157,7 @@ def derive_tool_turns(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     said = rows.filter("role = 'assistant'").join(user, ["conv_id", "turn"], "left")
     call_id = F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string"))
     short = F.coalesce(F.char_length("asked") < 60, F.lit(False))
-    step = F.when(short, F.col("turn") + 2).otherwise(F.col("turn") - 2)
-    other = F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), step.cast("string"))
+    other = F.when(short, F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), (F.col("turn") + 2).cast("string")))
     n = F.char_length("asked")
     asked = F.regexp_extract(F.to_json(F.struct(F.col("asked").alias("x"))), r"(?s)^\{\"x\":(.*)\}$", 1)
     limit = F.when(n % 7 == 0, F.concat(F.lit('"'), n.cast("string"), F.lit('"'))).otherwise(n.cast("string"))

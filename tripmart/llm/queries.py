@@ -175,7 +175,7 @@ WITH RECURSIVE u AS (SELECT conv_id, turn + 1 AS turn, min(text) AS asked FROM c
 said AS (SELECT c.conv_id, c.turn, u.asked, length(u.asked) AS n, coalesce(length(u.asked) < 60, false) AS short
   FROM conversations c LEFT JOIN u ON u.conv_id = c.conv_id AND u.turn = c.turn WHERE c.role = 'assistant'),
 calls AS MATERIALIZED (SELECT conv_id, turn, 'c' || conv_id || '-' || turn AS call_id, CASE WHEN short THEN 'lookup' ELSE 'search' END AS name,
-  asked, n, CASE WHEN short THEN turn + 2 ELSE turn - 2 END AS needs_turn FROM said),
+  asked, n, CASE WHEN short THEN turn + 2 END AS needs_turn FROM said),
 results AS (SELECT conv_id, turn, 'c' || conv_id || '-' || turn AS call_id, text AS content FROM conversations
   WHERE role = 'system' OR (role = 'assistant' AND length(text) >= 40)),
 chain AS (SELECT conv_id, turn, turn AS pos, 0 AS s FROM calls
