@@ -45,7 +45,7 @@ collide (one in 30 at a billion documents).
 Scale: what shuffles is a few numbers for each prefix shingle (a fifth of
 the shingles). A block of more than ``TILE`` nodes is split into tiles, and
 each pair of tiles is its own unit of work. Only a bit map of bounded size
-(2 MB) is broadcast.
+(4 MB) is broadcast.
 """
 
 from __future__ import annotations
@@ -69,7 +69,7 @@ CENTRES = 4           # least shingles by which a node is pre-linked
 COMMON = 6            # documents of a slice of text that make a shingle common
 TILE = 4096           # nodes of a block that one task compares
 LEAF = 32             # points of an R-tree leaf
-BITMAP_WORDS = 1 << 18
+BITMAP_WORDS = 1 << 19
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
@@ -150,10 +150,10 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
 
 
 def groups_for(n: int) -> int:
-    """Groups of a set of ``n`` shingles: about as many, a power of two, so
-    that the bound is sharp for long texts too. Halves of a vector add up to
-    the vector of half as many groups (:func:`fold`)."""
-    return min(MOST_GROUPS, max(GROUPS, 1 << (n - 1).bit_length()))
+    """Groups of a set of ``n`` shingles: about half as many, a power of two,
+    so that the bound is sharp for long texts too. Halves of a vector add up
+    to the vector of half as many groups (:func:`fold`)."""
+    return min(MOST_GROUPS, max(GROUPS, 1 << (n // 2).bit_length()))
 
 
 def count_vector(shingles: np.ndarray) -> np.ndarray:
@@ -238,7 +238,7 @@ def _bits(keys: DataFrame) -> tuple[DataFrame, int]:
 def _in_bitmap(rows: DataFrame, col: str, keys: DataFrame) -> DataFrame:
     """The rows whose key is in the bit map of ``keys`` (and a few more)."""
     bits, words = _bits(keys)
-    bits = F.broadcast(staged(bits, "jaccard-bits"))          # at most 4 MB
+    bits = F.broadcast(staged(bits, "jaccard-bits"))          # at most 8 MB
     hit = F.expr(f"shiftrightunsigned(b, CAST({col} & 63 AS INT)) & 1") == 1
     return (rows.withColumn("w", F.pmod(F.shiftright(col, 6), F.lit(words))).join(bits, "w")
             .filter(hit).select(*rows.columns))
@@ -626,8 +626,8 @@ def candidates(rows: DataFrame, points: DataFrame, percent: int, tile: int, last
 
 
 def centre_pairs(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(a, b): each node and the smallest node among those that share one of
-    its least shingles, where their sizes allow a link."""
+    """(a, b, na, nb): each node and the smallest node among those that share
+    one of its least shingles, with their sizes, where these allow a link."""
     rows = nodes.select(F.explode("least").alias("block"), "node", "n_shingles")
     # written first, so that the join with it can split a block that many nodes share
     first = staged(rows.groupBy("block").agg(F.min(F.struct("node", "n_shingles")).alias("c"), F.count("*").alias("k"))
@@ -636,7 +636,33 @@ def centre_pairs(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
     pairs = rows.join(first, "block").filter("node <> centre")
     pairs = pairs.filter((100 * F.col("m") >= percent * F.col("n_shingles"))
                          & (100 * F.col("n_shingles") >= percent * F.col("m")))
-    return pairs.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    return pairs.select(F.col("centre").alias("a"), F.col("node").alias("b"), F.col("m").alias("na"),
+                        F.col("n_shingles").alias("nb")).distinct()
+
+
+def vectors_of(prints: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, vector) of the given nodes."""
+    return prints.select("node", "vector").join(nodes, "node", "left_semi").dropDuplicates(["node"])
+
+
+def likely(pairs: DataFrame, prints: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, na, nb) whose count vectors allow a link."""
+    pairs = staged(pairs, "jaccard-pairs")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    v = staged(vectors_of(prints, ends), "jaccard-vectors")
+    both = (pairs.join(v.select(F.col("node").alias("a"), F.col("vector").alias("va")), "a")
+            .join(v.select(F.col("node").alias("b"), F.col("vector").alias("vb")), "b"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        points = _Points(percent)
+        for x in batches:
+            col = {n: x.column(i).to_pylist() for i, n in enumerate(x.schema.names)}
+            rows = zip(col["a"], col["na"], col["va"], col["b"], col["nb"], col["vb"])
+            ok = [points.bound((a, na, 0, 0, va), (b, nb, 0, 0, vb)) >= 1 for a, na, va, b, nb, vb in rows]
+            hit = x.filter(pa.array(ok, pa.bool_()))
+            yield hit.select(["a", "b"])
+
+    return both.select("a", "b", "na", "nb", "va", "vb").mapInArrow(run, "a long, b long")
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
@@ -644,14 +670,13 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """One row per row of ``docs``: its id, n_shingles and component_id."""
     prints = staged(fingerprints(docs, id_col, text_col, words, percent), "jaccard-prints")
     sets = prints.filter("node IS NOT NULL")
-    links = staged(verified(staged(centre_pairs(sets, percent), "jaccard-centres"), docs, text_col, words, percent),
-                   "jaccard-links")
+    near = staged(likely(centre_pairs(sets, percent), sets, percent), "jaccard-centres")
+    links = staged(verified(near, docs, text_col, words, percent), "jaccard-links")
     label = star_labels(links)
     rows = staged(shared_blocks(sets), "jaccard-shared")
     for n in range(ROUNDS):
         cross = staged(crossing(rows, label, percent), "jaccard-cross")
-        points = staged(sets.select("node", "vector").join(cross.select("node").distinct(), "node", "left_semi")
-                        .dropDuplicates(["node"]), "jaccard-points")
+        points = staged(vectors_of(sets, cross.select("node").distinct()), "jaccard-points")
         found = staged(candidates(cross, points, percent, tile, n == ROUNDS - 1), "jaccard-candidates")
         pairs = found.filter("a IS NOT NULL").select("a", "b")
         if not pairs.isEmpty():
