@@ -19,8 +19,8 @@ from unicodedata import is_normalized
 
 import numpy as np
 
-MEMO_UNITS = 300_000
-TEXT_BYTES = 1 << 20  # text to encode at once
+MEMO_UNITS = 600_000
+TEXT_BYTES = 2 << 20  # text to encode at once
 LONG_UNIT = 64       # longer units are encoded each time, not kept
 
 _CAREFUL_CUT = re.compile(r"(?<=[0-9A-Za-z])(?= [0-9A-Za-z])")
@@ -127,6 +127,7 @@ class Encoder:
             from tokenizers import normalizers
             self.words.normalizer = normalizers.Sequence([])
         self.memo: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
 
     def _pre_token(self, unit: str) -> str | None:
         """The unit in the model's alphabet if it is one pre-token of letters."""
@@ -164,10 +165,12 @@ class Encoder:
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each whole text (null: none); pass a few MB at a time."""
         cut = [self.cut(t) if t else [] for t in texts]
+        if len(self.memo) > MEMO_UNITS // 2:
+            self.memo, self.old = {"": b""}, self.memo
         new = set().union(*cut).difference(self.memo)
-        if len(self.memo) + len(new) > MEMO_UNITS:
-            self.memo = {"": b""}
-            new = set().union(*cut)
+        known = new & self.old.keys() if len(new) < len(self.old) else {u for u in self.old if u in new}
+        self.memo.update((u, self.old[u]) for u in known)
+        new -= known
         brief = {u for u in new if len(u) <= LONG_UNIT and u}
         self._learn(brief, self.memo)
         memo = self.memo
