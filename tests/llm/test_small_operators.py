@@ -63,6 +63,30 @@ def test_quality_edges(spark):
     assert {r.score for r in quality.score(docs, none).collect()} == {0.5}
 
 
+SHORT = ["one", "One two", "a a", "b a", "a b a", "x, x", "!", "", None, " ", "a", "10 TEN ten Ten", "\u00c9t\u00e9 \u00c9t\u00e9"]
+
+
+def test_features_stop_at_text_borders():
+    texts = [t and t.encode() for t in SHORT]
+    alone = [quality.features([t])[0] for t in texts]
+    for slice_ in (range(len(texts)), range(len(texts))[::-1], [i for i in range(len(texts)) for _ in range(2)],
+                   [j for i in range(len(texts)) for k in range(len(texts)) for j in (i, k)]):
+        for i, (at, value) in zip(slice_, quality.features([texts[i] for i in slice_])):
+            assert at.tolist() == alone[i][0].tolist() and value.tolist() == alone[i][1].tolist(), SHORT[i]
+
+
+def test_quality_does_not_depend_on_neighbours(spark):
+    rows = list(enumerate(SHORT * 6))
+    docs = frame(spark, rows)
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    w = quality.train(docs.coalesce(1), labels)
+    assert np.array_equal(w, quality.train(docs.repartition(7, "doc_id"), labels))
+    by = [{r.doc_id: r.score for r in quality.score(d, w).collect()}
+          for d in (docs.coalesce(1), docs.coalesce(1).orderBy(F.desc("doc_id")), docs.repartition(7, "doc_id"))]
+    assert by[0] == by[1] == by[2] and len(by[0]) == len(rows)
+    assert all(by[0][i] == by[0][i % len(SHORT)] for i, _ in rows)
+
+
 def test_ftrl_learns_a_rule():
     rng = np.random.RandomState(0)
     rows = []

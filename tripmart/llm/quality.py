@@ -4,7 +4,8 @@ with follow-the-regularised-leader (FTRL-proximal) updates.
 A text is a sequence of words: runs of letters and digits, and runs of other
 printable characters. Its features are hashed n-grams of the words and of
 their forms (lower case, capitalised, upper case, number, the mark itself; a
-word equal to one of the two words before it is a repeat). A feature's value
+word equal to one of the two words before it is a repeat); none reaches over
+the text's border, so a text scores alike after any other. A feature's value
 is log(1 + count), scaled to unit length over the text, so a score is one
 sparse dot product.
 
@@ -73,6 +74,12 @@ def features(texts: list[bytes | None], bits: int = BITS) -> list[tuple[np.ndarr
     if not len(start):
         return [none for _ in texts]
     word = byte_run_hashes(raw, start, end)
+    # which words have one word, and which two, of their own text before them
+    cut = np.searchsorted(start, np.cumsum([len(t or b"") + 1 for t in texts]))
+    first = np.zeros(len(word) + 1, bool)
+    first[0] = first[cut] = True
+    second = ~first[1:-1]
+    third = second[1:] & second[:-1]
     # a word's form
     count = lambda k: np.concatenate([[0], np.cumsum(kind == k)])
     up, low = count(2), count(1)
@@ -82,28 +89,27 @@ def features(texts: list[bytes | None], bits: int = BITS) -> list[tuple[np.ndarr
     mark = group[start] == 2
     shape = np.where(mark, word, _FORMS[form])
     repeat = np.zeros(len(word), bool)
-    repeat[1:] |= word[1:] == word[:-1]
-    repeat[2:] |= word[2:] == word[:-2]
+    repeat[1:] |= second & (word[1:] == word[:-1])
+    repeat[2:] |= third & (word[2:] == word[:-2])
     repeat &= ~mark
     shape = np.where(repeat, _FORMS[5], shape)
     one = word * np.uint64(3)
     two, shapes2, shapes3 = one.copy(), shape * np.uint64(5), shape * np.uint64(7)
-    two[1:] = word[:-1] * np.uint64(11) + word[1:] * np.uint64(13)
-    shapes2[1:] = shape[:-1] * np.uint64(17) + shape[1:] * np.uint64(19)
-    shapes3[2:] = shape[:-2] * np.uint64(23) + shape[1:-1] * np.uint64(29) + shape[2:] * np.uint64(31)
+    two[1:] = np.where(second, word[:-1] * np.uint64(11) + word[1:] * np.uint64(13), two[1:])
+    shapes2[1:] = np.where(second, shape[:-1] * np.uint64(17) + shape[1:] * np.uint64(19), shapes2[1:])
+    shapes3[2:] = np.where(third, shape[:-2] * np.uint64(23) + shape[1:-1] * np.uint64(29) + shape[2:] * np.uint64(31),
+                           shapes3[2:])
     shift = np.uint64(64 - bits)
     grams = np.stack([(mix(x) >> shift).astype(np.int32) for x in (one, two, shapes2, shapes3)], axis=1)
-    ends = np.cumsum([len(t or b"") + 1 for t in texts])
-    cut = np.searchsorted(start, ends)
-    out, first = [], 0
+    out, begin = [], 0
     for last in cut.tolist():
-        if last == first:
+        if last == begin:
             out.append(none)
             continue
-        at, n = np.unique(grams[first:last], return_counts=True)
+        at, n = np.unique(grams[begin:last], return_counts=True)
         value = np.log1p(n).astype(np.float32)
         out.append((at, value / np.sqrt((value * value).sum())))
-        first = last
+        begin = last
     return out
 
 
