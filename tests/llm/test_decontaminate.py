@@ -66,6 +66,29 @@ def test_random_texts(spark):
             assert any(v[m.item_start:m.item_start + m.length] == span for v in by[m.item_id])
 
 
+def test_rows_that_share_an_id(spark):
+    v = [f"v{i}" for i in range(30)]
+    long = " ".join(v[:11])
+    items = [(None, long), (None, " ".join(v[:3])), (7, "v0 v1 v2"), (7, long), (7, long), (8, "v5 v6"),
+             (8, " ".join(["other", *v[6:16]])), (9, " ".join(v[12:24])), (9, "v20 v21 v22")]
+    docs = [(1, "x y " + long + " z"), (2, " ".join(v)), (3, "v0 v1 v2"), (4, "v0 v1 v2 v0 v1 v2 " + long)]
+    got, rows = run(spark, docs, items)
+    assert got == brute(docs, items)
+    assert got[1][1] == 11
+    one = [tuple(m) for r in rows if r.doc_id == 1 for m in r.matches]
+    assert one == [("7", 0, 2, 11), ("null", 0, 2, 11), ("8", 0, 7, 2)]
+    # every match is verbatim in a row of its id
+    text = dict(docs)
+    for r in rows:
+        for m in r.matches:
+            span = tokens(text[r.doc_id])[m.doc_start:m.doc_start + m.length]
+            assert len(span) == m.length and any(
+                tokens(t)[m.item_start:m.item_start + m.length] == span
+                for i, t in items if ("null" if i is None else str(i)) == m.item_id)
+    # and the same however the benchmark is cut
+    assert sorted(run(spark, docs, items, block_words=12)[1]) == sorted(rows)
+
+
 def test_edges(spark):
     docs = [r for r in edge_rows() if r[0] is not None]
     items = [(1, "one two three"), (2, "same row"), (3, ""), (4, "日本語")]

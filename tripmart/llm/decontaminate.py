@@ -13,9 +13,11 @@ Words are runs of characters other than ASCII punctuation, blanks and
 controls, after lower-casing A-Z only.
 
 Defined cases: null or word-less texts have no words and no match; items
-without words match nothing; a null item id is called ``null``; repeated
-items and repeated documents are each reported; an empty benchmark leaves
-every document clean.
+without words match nothing; a null item id is called ``null``; items of one
+text with several ids and repeated documents are each reported; benchmark rows
+that share an id are searched each on its own, and a match inside a longer one
+of that id on the same diagonal is dropped; an empty benchmark leaves every
+document clean.
 
 Scale: no shuffle and no join. The benchmark is read in blocks of at most
 ``block_words`` words (40 MB in a task); a larger benchmark takes one more
@@ -59,26 +61,27 @@ class Block:
     vocab: dict[bytes, int]              # word -> number from 1
     windows: np.ndarray                  # distinct windows, padded with 0: one a row
     lengths: np.ndarray                  # words of each window
-    places: list[list[tuple[str, int]]]  # (item id, offset) of each window
+    places: list[list[tuple[int, int]]]  # (row, offset) of each window
+    items: list[str]                     # item id of each row
     depth: int                           # words of the longest item
 
 
 def make_block(items: list[tuple[str, list[bytes]]], window: int = WINDOW) -> Block:
     vocab: dict[bytes, int] = {}
-    places: dict[tuple[int, ...], list[tuple[str, int]]] = {}
+    places: dict[tuple[int, ...], list[tuple[int, int]]] = {}
     depth = 1
-    for item, words in items:
+    for row, (_, words) in enumerate(items):
         ids = [vocab.setdefault(w, len(vocab) + 1) for w in words]
         depth = max(depth, len(ids))
         w = min(window, len(ids))
         for j in range(len(ids) - w + 1 if w else 0):
-            places.setdefault(tuple(ids[j:j + w]), []).append((item, j))
+            places.setdefault(tuple(ids[j:j + w]), []).append((row, j))
     keys = sorted(places)
     windows = np.zeros((len(keys), max(1, window)), np.int32)
     for i, k in enumerate(keys):
         windows[i, :len(k)] = k
     return Block(vocab, windows, np.array([len(k) for k in keys], np.int64),
-                 [places[k] for k in keys], depth)
+                 [places[k] for k in keys], [item for item, _ in items], depth)
 
 
 def benchmark_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text",
@@ -183,22 +186,35 @@ def shard_matches(ids: list[np.ndarray], block: Block) -> list[list[tuple[str, i
     at = order[np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo[hit], n)]
     at = keep[at]
     doc = np.searchsorted(begins, at, side="right") - 1
-    # an occurrence for each item the window comes from, by diagonal
-    by: dict[tuple[int, str, int], list[tuple[int, int, int]]] = {}
+    # an occurrence for each row the window comes from, by diagonal (the windows of a row are of one length)
+    by: dict[tuple[int, int, int], list[tuple[int, int, int]]] = {}
     for w, p, d in zip(which.tolist(), at.tolist(), doc.tolist()):
         p -= int(begins[d])
-        for item, j in block.places[w]:
-            by.setdefault((d, item, p - j), []).append((p, j, int(block.lengths[w])))
-    for (d, item, _), spots in by.items():
+        for row, j in block.places[w]:
+            by.setdefault((d, row, p - j), []).append((p, j, int(block.lengths[w])))
+    for (d, row, _), spots in by.items():
         spots.sort()
+        item = block.items[row]
         first, item_first, last, length = spots[0][0], spots[0][1], spots[0][0], spots[0][2]
-        for p, j, w in spots[1:]:
+        for p, j, _ in spots[1:]:
             if p > last + 1:
                 found[d].append((item, item_first, first, last - first + length))
-                first, item_first, length = p, j, w
+                first, item_first = p, j
             last = p
         found[d].append((item, item_first, first, last - first + length))
-    return found
+    return [longest(m) for m in found]
+
+
+def longest(matches: list[tuple[str, int, int, int]]) -> list[tuple[str, int, int, int]]:
+    """``matches`` without those inside another of their item and diagonal."""
+    kept: list[tuple[str, int, int, int]] = []
+    end: dict[tuple[str, int], int] = {}
+    for m in sorted(matches, key=lambda m: (m[2], -m[3])):
+        line, stop = (m[0], m[2] - m[1]), m[2] + m[3]
+        if stop > end.get(line, 0):
+            kept.append(m)
+            end[line] = stop
+    return kept
 
 
 def hit_words(matches: list[tuple[str, int, int, int]]) -> int:
@@ -232,7 +248,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                     new = matches[row:row + b.num_rows]
                     if b.num_columns > n:                        # matches of earlier blocks
                         old = b.column(n + 2).to_pylist()
-                        new = [[tuple(m.values()) for m in o] + x for o, x in zip(old, new)]
+                        new = [longest([tuple(m.values()) for m in o] + x) for o, x in zip(old, new)]
                     counts = pa.array([len(w) for w in words[row:row + b.num_rows]], pa.int64())
                     hits = pa.array([hit_words(x) for x in new], pa.int64())
                     listed = pa.array([[dict(zip(("item_id", "item_start", "doc_start", "length"), m))
