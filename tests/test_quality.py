@@ -2,6 +2,7 @@
 
 import pytest
 
+import __spark_entry__ as E
 from tripmart.operators import quality as Q
 
 
@@ -15,6 +16,17 @@ def test_checks_find_planted_faults(spark):
     assert bad == {7: 1, 0: 1, 99: 1}
 
 
+def test_unique_ids_of_both_services(spark, sf_small):
+    df = spark.createDataFrame([("g", 1), ("g", 1), ("y", 1), ("y", 2), ("y", 2), ("y", None), ("y", None)], "service string, id int")
+    found = Q.check_unique(df, "id", within=["service"]).collect()
+    assert {(r.service, r.unique_field, r.n_records) for r in found} == {("g", 1, 2), ("y", 2, 2)}
+    queries = E.queries()
+    rows = queries["dq_unique_services"](spark, sf_small).collect()
+    assert {r.service for r in rows} == {"green", "yellow"}
+    green = {(r.unique_field, r.n_records) for r in rows if r.service == "green"}
+    assert green == {tuple(r) for r in queries["dq_unique"](spark, sf_small).collect()}
+
+
 def test_report_and_severity(spark):
     df = spark.createDataFrame([(1,), (1,), (None,)], "id int")
     checks = [Q.Check("unique", "id", Q.check_unique(df, "id"), "warn"),

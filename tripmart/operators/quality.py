@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 from .. import config
 
 
-def check_unique(df: DataFrame, col: str) -> DataFrame:
-    """Q1: keys that occur more than once (NULL keys are ignored)."""
+def check_unique(df: DataFrame, col: str, within: Sequence[str] = ()) -> DataFrame:
+    """Q1: keys that occur more than once (NULL keys are ignored), for each
+    value of the columns ``within``."""
     return (df.filter(F.col(col).isNotNull())
-              .groupBy(F.col(col).alias("unique_field"))
+              .groupBy(*within, F.col(col).alias("unique_field"))
               .agg(F.count(F.lit(1)).alias("n_records"))
               .filter(F.col("n_records") > 1))
 

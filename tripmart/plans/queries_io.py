@@ -36,10 +36,20 @@ _UNIQUE_IN = f"SELECT {O.surrogate('vendor_id', 'pickup_datetime')} AS tripid FR
 FROM unique_in WHERE tripid IS NOT NULL GROUP BY tripid HAVING count(*) > 1""", "raw_green",
                              extra={"unique_in": _UNIQUE_IN}))
 def q_dq_unique(m: Models):
-    """Q1 on tripid before de-duplication."""
+    """Q1 on tripid of green rows before de-duplication."""
     return Q.check_unique(_unique_input(m), "tripid")
 
 
+@register("dq_unique_services", O.sql("""SELECT service, tripid AS unique_field, CAST(count(*) AS BIGINT) AS n_records
+FROM unique_in WHERE tripid IS NOT NULL GROUP BY service, tripid HAVING count(*) > 1""", "trips_raw", extra={
+    "unique_in": f"SELECT service, {O.surrogate('vendor_id', 'pickup_datetime')} AS tripid FROM trips_raw WHERE vendor_id IS NOT NULL"}))
+def q_dq_unique_services(m: Models):
+    """Q1 on tripid of both services before de-duplication."""
+    raw = m.trips_raw.filter(F.col("vendor_id").isNotNull())
+    return Q.check_unique(raw.select("service", X.surrogate_key("vendor_id", "pickup_datetime").alias("tripid")),
+                          "tripid", within=["service"])
+
+
 @register("dq_not_null", O.sql("""SELECT service, pickup_datetime, CAST(fare_amount AS DOUBLE) AS fare_amount
 FROM trips_raw WHERE vendor_id IS NULL""", "trips_raw"))
 def q_dq_not_null(m: Models):
