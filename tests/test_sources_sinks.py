@@ -6,6 +6,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from tripmart.plans.inspect import plan_string
 from tripmart.sinks import writers as W
 from tripmart.sources import readers as R
@@ -156,6 +157,23 @@ def test_tables_and_views(spark, tmp_path):
     W.drop_table(spark, name)
 
 
+def test_models_of_staged_batches(spark, sf_small, monkeypatch):
+    staged = []
+    stage = W.stage
+
+    def counted(df, name, path=None):
+        t = stage(df, name, path)
+        staged.append((name, {r.service_type: r["count"] for r in t.groupBy("service_type").count().collect()}))
+        return t
+
+    monkeypatch.setattr(W, "stage", counted)
+    n = {r.service_type: r["count"] for r in
+         E.queries()["materialized_trips"](spark, sf_small).groupBy("service_type").count().collect()}
+    # one stage table; the second batch replaced the first
+    assert len({name for name, _ in staged}) == 1
+    assert [rows for _, rows in staged] == [{"Green": n["Green"]}, {"Yellow": n["Yellow"]}]
+
+
 def test_load_overwrite_and_persist(spark, tmp_path):
     src = tmp_path / "src"
     W.write_parquet(spark.createDataFrame([(1,), (2,)], "a int"), str(src / "p1"), 1)

@@ -13,7 +13,9 @@ from ..session import scratch_path
 from ..sinks import writers as W
 from ..sources import readers as R
 from . import adhoc as A
+from . import marts as M
 from . import oracle as O
+from . import queries_models as QM
 from .catalog import Models, neutral, register
 
 _EVENTS = "SELECT event_id, user_id, event_type FROM events"
@@ -120,6 +122,25 @@ def q_materialized_models(m: Models):
     return W.materialize(table, "inline", "ephemeral")
 
 
+@register("materialized_trips", O.sql(
+    QM._neutral_sql(QM.STG_COLS + ", service_type", "trips_unioned", QM.STG_INTS, QM.STG_DECS), "trips_unioned"))
+def q_materialized_trips(m: Models):
+    """K4 / K7 / K10 / K11 over the staged trips: a replaced table of all
+    trips, of which the green batch is staged, then the yellow one in its
+    place; each batch becomes a view and a model table, inlined in the result."""
+    name, stage = _name("trips"), _name("stage")
+    path, stage_path = scratch_path(m.spark, "ctas"), scratch_path(m.spark, "stage")
+    trips = M.trips_unioned(m.stg_green, m.stg_yellow)
+    W.create_table_as(trips.limit(0), name, path=path)
+    W.create_table_as(trips, name, path=path)
+    models = []
+    for service in ("Green", "Yellow"):
+        batch = m.spark.table(name).filter(F.col("service_type") == service)
+        view = W.materialize(W.stage(batch, stage, path=stage_path), _name("view"), "view")
+        models.append(W.materialize(view, _name("model"), "table", path=scratch_path(m.spark, "model")))
+    return neutral(W.materialize(A.union_all(models), "inline", "ephemeral"))
+
+
 @register("target_table", O.sql(f"""SELECT {O.row_hash(*MG.ROW_ID_BYTES_FIELDS)} AS unique_row_id_hex,
   'yellow_tripdata_' || strftime(pickup_datetime, '%Y-%m') || '.csv' AS filename, vendor_id AS "VendorID",
   pickup_datetime AS tpep_pickup_datetime, CAST(fare_amount AS DOUBLE) AS fare_amount FROM raw_yellow""", "raw_yellow"))
