@@ -181,6 +181,19 @@ def test_links_order_arguments_and_json(spark):
     assert formatted(spark, [], []) == []
 
 
+def test_null_names_turns_and_contents(spark):
+    calls = [(1, 0, "a", None, '{"a":"x"}', None), (1, 1, "b", None, "[1]", None), (1, 2, "c", "t", '{"a":"x"}', None),
+             (2, None, "d", "t", '{"a":5}', "e"), (2, 4, "e", "t", '{"a":"x"}', None), (3, None, "f", "t", '{"a":"x"}', None)]
+    results = [(1, 5, "a", "ra"), (1, 6, "b", "rb"), (1, 7, "c", None), (1, 8, "c", None), (1, 9, "o", None),
+               (2, 5, "d", "rd"), (2, None, "e", "re"), (2, None, "p", "lost")]
+    rows = chat.format_calls(spark.createDataFrame(calls, CALL), spark.createDataFrame(results, RESULT), SCHEMA).collect()
+    got = sorted((r.conv_id, r.call_id, r.status, r.turn or -1, r.order_turn or -1, r.order_step, r.errors) for r in rows)
+    assert got == [(1, "a", "linked", -1, -1, 0, "unknown tool"), (1, "b", "linked", 1, 1, 0, "not an object"),
+                   (1, "c", "linked", 2, 2, 0, ""), (1, "c", "repeated", 8, 8, 0, ""), (1, "o", "orphan", 9, 9, 0, ""),
+                   (2, "d", "linked", 5, 5, 0, "type:a"), (2, "e", "linked", 4, 4, 0, ""), (2, "p", "orphan", -1, -1, 0, ""),
+                   (3, "f", "missing", -1, -1, 0, "")]
+
+
 def test_long_chain_of_later_references(spark):
     calls = [(1, i, f"c{i}", "t", '{"a":"x"}', f"c{i + 1}" if i < 11 else None) for i in range(12)]
     rows = formatted(spark, calls, [])

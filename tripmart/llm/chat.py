@@ -21,7 +21,9 @@ id of a call of the same conversation whose result it uses, or null).
   JSON requires.
 
 Defined cases: null conv_id or call_id rows are kept and link with nothing;
-null or broken arguments give the error ``not an object`` and JSON null;
+null or broken arguments give the error ``not an object`` and JSON null; a
+null name is an ``unknown tool``; a call without a turn links as any other and
+takes its result's turn, or comes first where that is null too;
 empty tables give an empty result; other input columns are not read. One
 conversation may hold any share of the rows: nothing gathers a conversation.
 """
@@ -39,7 +41,7 @@ TYPES = {"string": ["STRING"], "integer": ["BIGINT"], "number": ["BIGINT", "DOUB
 
 def link(calls: DataFrame, results: DataFrame) -> DataFrame:
     """Calls with their results: conv_id, turn, call_id, name, arguments,
-    needs, content, status (linked, missing, orphan or repeated)."""
+    needs, content, status (linked, missing, orphan or repeated), is_call."""
     key = ["conv_id", "call_id"]
 
     def first(df: DataFrame, *order: str) -> DataFrame:
@@ -49,18 +51,20 @@ def link(calls: DataFrame, results: DataFrame) -> DataFrame:
                                             F.monotonically_increasing_id())).orderBy(*order)
         return df.withColumn("_n", F.row_number().over(w))
 
-    c = first(calls.select(*key, "turn", "name", "arguments", "needs"), "turn", "arguments", "name", "needs")
-    r = first(results.select(*key, "turn", "content"), "turn", "content")
+    # which side a row is from is a flag: turn, name and content may be null on either
+    c = first(calls.select(*key, "turn", "name", "arguments", "needs", F.lit(True).alias("is_call")),
+              "turn", "arguments", "name", "needs")
+    r = first(results.select(*key, "turn", "content", F.lit(True).alias("is_result")), "turn", "content")
     both = (c.filter("_n = 1").drop("_n").alias("c")
             .join(r.filter("_n = 1").drop("_n").alias("r"), key, "full_outer"))
     linked = both.select(
         *key, F.coalesce("c.turn", "r.turn").alias("turn"), "name", "arguments", "needs", "content",
-        F.when(F.col("c.turn").isNull(), "orphan").when(F.col("r.turn").isNull(), "missing")
-        .otherwise("linked").alias("status"))
+        F.when(F.col("is_call").isNull(), "orphan").when(F.col("is_result").isNull(), "missing")
+        .otherwise("linked").alias("status"), F.coalesce("is_call", F.lit(False)).alias("is_call"))
     again = c.filter("_n > 1").select(*key, "turn", "name", "arguments", "needs", F.lit(None).cast("string").alias("content"),
-                                      F.lit("repeated").alias("status"))
+                                      F.lit("repeated").alias("status"), F.lit(True).alias("is_call"))
     extra = r.filter("_n > 1").select(*key, "turn", *[F.lit(None).cast("string").alias(x) for x in ("name", "arguments", "needs")],
-                                      "content", F.lit("repeated").alias("status"))
+                                      "content", F.lit("repeated").alias("status"), F.lit(False).alias("is_call"))
     return linked.unionByName(again).unionByName(extra)
 
 
@@ -130,9 +134,7 @@ def format_calls(calls: DataFrame, results: DataFrame, schemas: dict) -> DataFra
     (order_turn, order_step, call_id): conv_id, call_id, turn, order_turn,
     order_step, status, errors, json."""
     done = order(staged(link(calls, results), "chat-linked"))
-    is_call = F.col("status") != "orphan"
-    errors = F.when(F.col("name").isNotNull() | (is_call & F.col("content").isNull()), argument_errors(schemas)).otherwise(
-        F.array().cast("array<string>"))
+    errors = F.when(F.col("is_call"), argument_errors(schemas)).otherwise(F.array().cast("array<string>"))
     errors = F.concat(errors, F.when(F.col("cyclic"), F.array(F.lit("cycle"))).otherwise(F.array().cast("array<string>")))
     text = lambda c: F.when(F.col(c).isNull(), F.lit("null")).otherwise(
         F.regexp_extract(F.to_json(F.struct(F.col(c).alias("x"))), r"(?s)^\{\"x\":(.*)\}$", 1))
