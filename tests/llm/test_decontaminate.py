@@ -1,12 +1,15 @@
 """op9 against a plain search."""
 
+import gc
 import random
 import re
+import weakref
 
 import numpy as np
 
 from tests.llm.helpers import edge_rows, frame
 from tripmart.llm import decontaminate as D
+from tripmart.plans.inspect import plan_string
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -89,6 +92,29 @@ def test_rows_that_share_an_id(spark):
     assert sorted(run(spark, docs, items, block_words=12)[1]) == sorted(rows)
 
 
+def test_blocks_are_dropped_after_their_pass(spark, monkeypatch):
+    made, alive = [], []
+    make = D.make_block
+
+    def counted(*a):
+        b = make(*a)
+        made.append(weakref.ref(b))
+        gc.collect()
+        alive.append(sum(r() is not None for r in made))
+        return b
+
+    monkeypatch.setattr(D, "make_block", counted)
+    items = [(i, " ".join(f"i{i}w{j}" for j in range(12))) for i in range(6)] + [(6, "i0w3 i0w4")]
+    docs = [(1, items[0][1] + " x " + items[4][1]), (1, items[0][1]), (2, None), (None, items[5][1]), (3, "i0w3 i0w4")]
+    df = frame(spark, docs).withColumnRenamed("doc_id", "row_")
+    out = D.find_matches(df, spark.createDataFrame(items, "item_id bigint, text string"), block_words=12)
+    assert len(made) == 7 and max(alive) <= 2
+    assert plan_string(out).count("MapInArrow") <= 2      # not one a block
+    whole = D.find_matches(df, spark.createDataFrame(items, "item_id bigint, text string"))
+    assert out.columns == whole.columns == ["row_", "text", "n_words", "n_hit", "matches"]
+    assert sorted(map(str, out.collect())) == sorted(map(str, whole.collect()))
+
+
 def test_edges(spark):
     docs = [r for r in edge_rows() if r[0] is not None]
     items = [(1, "one two three"), (2, "same row"), (3, ""), (4, "日本語")]

@@ -19,9 +19,12 @@ that share an id are searched each on its own, and a match inside a longer one
 of that id on the same diagonal is dropped; an empty benchmark leaves every
 document clean.
 
-Scale: no shuffle and no join. The benchmark is read in blocks of at most
-``block_words`` words (40 MB in a task); a larger benchmark takes one more
-pass over the documents for each block, and the matches add up.
+Scale: no shuffle and no join for a benchmark of at most ``block_words``
+words (40 MB in a task). A larger one is read in such blocks: the documents
+are written once with row numbers to the shared folder, each block takes a
+pass over them that writes its matches there and is then dropped, and the last
+block's pass joins the matches by row number. The driver holds two blocks at
+most, whatever the benchmark's size.
 """
 
 from __future__ import annotations
@@ -33,10 +36,12 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import extended, numbered, pieces, rename_clashes, text_bytes
+from ..session import scratch_path
+from .common import extended, numbered, pieces, rename_clashes, staged, text_bytes
 
 WINDOW = 10
 BLOCK_WORDS = 1_000_000
@@ -226,52 +231,79 @@ def hit_words(matches: list[tuple[str, int, int, int]]) -> int:
     return total
 
 
+def _listed(matches: list[list[tuple[str, int, int, int]]]) -> pa.Array:
+    return pa.array([[dict(zip(("item_id", "item_start", "doc_start", "length"), m))
+                      for m in sorted(x, key=lambda m: (m[2], m[0], m[1]))] for x in matches], _MATCH_ARROW)
+
+
+def _scanned(batches: Iterator[pa.RecordBatch], text_col: str, block: Block) -> Iterator[tuple[pa.RecordBatch, list, list]]:
+    """Slices of the batches with each document's word count and matches, a
+    shard of documents at a time."""
+    held: list[pa.RecordBatch] = []
+    words: list[np.ndarray] = []
+    size = 0
+
+    def flush() -> Iterator[tuple[pa.RecordBatch, list, list]]:
+        matches = shard_matches(words, block)
+        row = 0
+        for b in held:
+            yield b, [len(w) for w in words[row:row + b.num_rows]], matches[row:row + b.num_rows]
+            row += b.num_rows
+
+    for b in pieces(batches, text_col):
+        words.extend(word_ids(words_of(t), block) for t in text_bytes(b, text_col))
+        held.append(b)
+        size += b.nbytes
+        if size > SHARD_BYTES:
+            yield from flush()
+            held, words, size = [], [], 0
+    if held:
+        yield from flush()
+
+
+def _block_matches(block: Broadcast, text_col: str):
+    """The rows with matches in a block, by row number."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, _, new in _scanned(batches, text_col, block.value):
+            hit = [i for i, m in enumerate(new) if m]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(pa.array(hit, pa.int64())), _listed([new[i] for i in hit])], ["row_", "matches"])
+    return run
+
+
 def find_matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id_col: str = "item_id",
                  item_text_col: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` with n_words, n_hit and matches (item, offsets and length in
     words of every longest verbatim match of ``window`` words or more)."""
     docs = rename_clashes(docs, ["n_words", "n_hit", "matches"])
-    n = len(docs.columns)
     schema = extended(docs, f"n_words long, n_hit long, matches array<{MATCH}>")
-    names = schema.fieldNames()
-
-    def scan(block: Block):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held: list[pa.RecordBatch] = []
-            words: list[np.ndarray] = []
-            size = 0
-
-            def flush() -> Iterator[pa.RecordBatch]:
-                matches = shard_matches(words, block)
-                row = 0
-                for b in held:
-                    new = matches[row:row + b.num_rows]
-                    if b.num_columns > n:                        # matches of earlier blocks
-                        old = b.column(n + 2).to_pylist()
-                        new = [longest([tuple(m.values()) for m in o] + x) for o, x in zip(old, new)]
-                    counts = pa.array([len(w) for w in words[row:row + b.num_rows]], pa.int64())
-                    hits = pa.array([hit_words(x) for x in new], pa.int64())
-                    listed = pa.array([[dict(zip(("item_id", "item_start", "doc_start", "length"), m))
-                                        for m in sorted(x, key=lambda m: (m[2], m[0], m[1]))] for x in new], _MATCH_ARROW)
-                    yield pa.RecordBatch.from_arrays([*b.columns[:n], counts, hits, listed], names)
-                    row += b.num_rows
-
-            for b in pieces(batches, text_col):
-                own = [word_ids(words_of(t), block) for t in text_bytes(b, text_col)]
-                words.extend(own)
-                held.append(b)
-                size += b.nbytes
-                if size > SHARD_BYTES:
-                    yield from flush()
-                    held, words, size = [], [], 0
-            if held:
-                yield from flush()
-        return run
-
-    out = docs
-    for block in benchmark_blocks(benchmark, item_id_col, item_text_col, window, block_words):
-        out = out.mapInArrow(scan(block), schema)
-    return out
+    rows, names = numbered(docs)
+    n, text = len(docs.columns), names[text_col]
+    blocks = benchmark_blocks(benchmark, item_id_col, item_text_col, window, block_words)
+    block, path = next(blocks), None
+    for following in blocks:
+        if path is None:                                         # row numbers hold for written rows only
+            rows = staged(rows.withColumn("row_", F.monotonically_increasing_id()), "decontaminate-rows")
+            path = scratch_path(docs.sparkSession, "decontaminate-matches")
+        held = docs.sparkSession.sparkContext.broadcast(block)
+        found = rows.select("row_", text).mapInArrow(_block_matches(held, text), f"row_ long, matches array<{MATCH}>")
+        found.write.mode("append").parquet(path)
+        held.destroy()
+        block = following
+    if path is not None:
+        found = docs.sparkSession.read.schema(f"row_ long, matches array<{MATCH}>").parquet(path)
+        found = found.groupBy("row_").agg(F.flatten(F.collect_list("matches")).alias("matches"))
+        rows = rows.join(found, "row_", "left").drop("row_")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, counts, new in _scanned(batches, text, block):
+            if b.num_columns > n:                                # matches of earlier blocks
+                new = [longest([tuple(m.values()) for m in o or []] + x) for o, x in zip(b.column(n).to_pylist(), new)]
+            hits = pa.array([hit_words(x) for x in new], pa.int64())
+            yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(counts, pa.int64()), hits, _listed(new)],
+                                             schema.fieldNames())
+
+    return rows.mapInArrow(run, schema)
 
 
 def digest(items: list[str]) -> str:
