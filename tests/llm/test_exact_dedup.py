@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -69,3 +70,20 @@ def test_drop_copies_keeps_one_of_rows_that_repeat_id_and_text(spark):
     # 1 and 2 are equal (null counts as empty), 6 and 7, and 9, 9 and 10
     assert ids == [2, 3, 4, 5, 7, 8, 10]
     assert E.drop_exact_copies(frame(spark, [(9, "x"), (9, "x"), (9, "X")], ID_TEXT)).count() == 1
+
+
+def test_rows_of_a_large_group_stay_spread(spark):
+    rows = [(i, "copy" if i % 3 == 0 else f"text {i // 2}") for i in range(1200)] + [(None, "copy"), (None, "alone")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = E.exact_groups(frame(spark, rows).withColumn("x", F.lit(1)).repartition(8)).withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    ids = {}
+    for i, t in rows:
+        ids.setdefault(t, []).append(i)
+    best = {t: max((i for i in v if i is not None), default=None) for t, v in ids.items()}
+    assert sorted(((r.doc_id, r.text, r.keep_id, r.group_size, r.kept) for r in out), key=str) == sorted(
+        ((i, t, best[t], len(ids[t]), i == best[t]) for i, t in rows), key=str)
+    parts = Counter(r.part for r in out if r.text == "copy")
+    assert len(parts) >= 4 and max(parts.values()) < 200          # 401 copies

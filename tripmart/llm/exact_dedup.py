@@ -17,8 +17,10 @@ an empty result; input columns named like a result column are replaced.
 Scale: the hash rows (no texts) shuffle as 8-byte bit positions, combined
 before the shuffle. The filter is broadcast only up to ``BROADCAST_WORDS``
 words; a larger one is joined by its word number instead. A group of copies
-holding a third of all rows is one row per task in both aggregates, and the
-join that hands the group's decision back is split by AQE's skew join.
+holding a third of all rows is one row per task in both aggregates. Decisions
+of groups of more than rows / partitions rows (fewer groups than shuffle
+partitions) are broadcast, so their rows do not shuffle; only the rows of
+smaller groups meet their decision in a shuffled join.
 """
 
 from __future__ import annotations
@@ -75,7 +77,8 @@ def exact_groups(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = rename_clashes(rows, RESULT)
     key = F.col(f"`{id_col}`")
     hashed = staged(rows.select(key.alias("_id"), text_hash(text_col).alias("text_sha256")), "exact-hash")
-    words = 1 << max(4, (max(1, hashed.count()) * bits_per_row // 64).bit_length())
+    total = hashed.count()
+    words = 1 << max(4, (max(1, total) * bits_per_row // 64).bit_length())
     repeated = staged(repeated_filter(hashed, words), "exact-bloom")
     if words <= broadcast_words:               # at most ``words`` rows of 16 bytes
         repeated = F.broadcast(repeated)
@@ -93,15 +96,21 @@ def exact_groups(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         flagged = probed(rows.withColumn("text_sha256", text_hash(text_col)))
         groups_from = probed(hashed)
     keep = [F.col(f"`{c}`") for c in flagged.columns if c != "_maybe"]
-    single = (flagged.filter(~F.col("_maybe")).select(*keep)
-              .withColumn("keep_id", key).withColumn("group_size", F.lit(1).cast("bigint"))
-              .withColumn("kept", F.lit(True)))
     groups = (groups_from.filter("_maybe").groupBy(F.col("text_sha256").alias("_sha"))
               .agg(F.max("_id").alias("keep_id"), F.count("*").alias("group_size")))
-    multi = flagged.filter("_maybe").select(*keep)
-    multi = (multi.join(groups, multi.text_sha256 == groups._sha)
-             .drop("_sha").withColumn("kept", key.eqNullSafe(F.col("keep_id"))))
-    return single.unionByName(multi)
+    groups = staged(groups, "exact-groups")
+    share = total // int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    large = F.broadcast(groups.filter(F.col("group_size") > share)       # fewer groups than partitions
+                        .toDF("_large", "_keep", "_size"))
+    known = flagged.join(large, F.col("_maybe") & (F.col("text_sha256") == F.col("_large")), "left")
+    straight = (known.filter("NOT _maybe OR _large IS NOT NULL")         # unique, or of a large group
+                .withColumn("keep_id", F.when(F.col("_large").isNull(), key).otherwise(F.col("_keep")))
+                .withColumn("group_size", F.coalesce("_size", F.lit(1).cast("bigint")))
+                .select(*keep, "keep_id", "group_size"))
+    multi = known.filter("_maybe AND _large IS NULL").select(*keep)
+    small = groups.filter(F.col("group_size") <= share)
+    multi = multi.join(small, multi.text_sha256 == small._sha).drop("_sha")
+    return straight.unionByName(multi).withColumn("kept", key.eqNullSafe(F.col("keep_id")))
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
