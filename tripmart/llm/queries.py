@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import (chat, decontaminate, exact_dedup, jaccard_join, language_id, packing, quality, sharding, token_store,
+from . import (chat, decontaminate, exact_dedup, infill, jaccard_join, language_id, packing, quality, sharding, token_store,
                wordpiece)
 from .common import ASCII_LOWER, ASCII_UPPER, id_remainder, staged, table, tokenizer
 
@@ -200,3 +200,11 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tool calls of every conversation, linked, ordered, checked, as canonical JSON."""
     calls, results = chat.derive_tool_turns(table(spark, sf_dir, "conversations"))
     return chat.format_calls(calls, results, chat.SCHEMAS)
+
+
+@register()
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-middle form of every document (seekable compressed frames)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    store = staged(infill.frame_store(docs), "infill-frames")
+    return infill.digests(infill.transform(store)).withColumnRenamed("id", "doc_id")
