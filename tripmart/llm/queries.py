@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import (chat, decontaminate, exact_dedup, infill, jaccard_join, language_id, packing, quality, sharding, token_store,
-               wordpiece)
+               whitening, wordpiece)
 from .common import ASCII_LOWER, ASCII_UPPER, id_remainder, staged, table, tokenizer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -208,3 +208,9 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     store = staged(infill.frame_store(docs), "infill-frames")
     return infill.digests(infill.transform(store)).withColumnRenamed("id", "doc_id")
+
+
+@register()
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened values of every embedding (pivoted Cholesky, one-sided Jacobi)."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
