@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import (chat, decontaminate, exact_dedup, infill, jaccard_join, language_id, packing, quality, sharding, token_store,
+from . import (chat, decontaminate, exact_dedup, infill, jaccard_join, language_id, packing, piecewise, quality, sharding, token_store,
                whitening, wordpiece)
 from .common import ASCII_LOWER, ASCII_UPPER, id_remainder, staged, table, tokenizer
 
@@ -214,3 +214,9 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whitened values of every embedding (pivoted Cholesky, one-sided Jacobi)."""
     return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@register()
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piecewise fingerprints of every document, its edited text and the next document."""
+    return piecewise.compare_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
