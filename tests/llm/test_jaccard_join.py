@@ -70,6 +70,59 @@ def test_one_of_each_and_empty(spark):
     assert J.similar_components(frame(spark, [])).count() == 0
 
 
+def test_one_of_each_with_repeated_and_null_ids(spark):
+    a, b = "one text of more than five words", "quite another text that is long enough"
+    kept = J.one_of_each(frame(spark, [(3, a), (5, a), (5, b)])).collect()
+    assert sorted(map(tuple, kept)) == [(3, a), (5, b)]
+    rows = [(None, a), (None, a), (7, a), (None, b), (None, b), (7, None), (7, None), (None, "")]
+    kept = J.one_of_each(frame(spark, rows)).collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, [(7, a), (None, b), (7, None), (7, None), (None, "")]))
+
+
+def test_one_of_each_keeps_one_row_of_every_component(spark):
+    rng = random.Random(9)
+    rows = []
+    for k in range(25):
+        rows += near_copies(rng, words(rng, 40), rng.choice([1, 2, 4]), 0)
+    rows = [(rng.choice([None, *range(12)]), t) for _, t in rows]
+    numbered = [(i, t) for i, (_, t) in enumerate(rows)]
+    group = {i: c for i, _, c in brute(numbered)}
+    kept = J.one_of_each(frame(spark, rows)).collect()
+    by_text = {t: group[i] for i, t in numbered}
+    assert sorted(by_text[r.text] for r in kept) == sorted(set(group.values()))
+    for r in kept:
+        ids = [rows[i][0] for i in group if group[i] == by_text[r.text] and rows[i][0] is not None]
+        assert r.doc_id == min(ids, default=None)
+
+
+def test_hashes_do_not_hang_on_place_or_span(monkeypatch):
+    rng = np.random.RandomState(0)
+    runs = [bytes(rng.randint(33, 127, n).astype(np.uint8)) for n in (1, 5, 700, J._SPAN // 2, J._SPAN // 2 + 1, J._SPAN, J._SPAN + 1, 9)]
+
+    def hashes(order, gap):
+        buf, start, end = b"", [], []
+        for k in order:
+            buf += b" " * gap
+            start.append(len(buf))
+            buf += runs[k]
+            end.append(len(buf))
+        return dict(zip(order, J.byte_run_hashes(np.frombuffer(buf, np.uint8), np.array(start), np.array(end)).tolist()))
+
+    first = hashes(list(range(len(runs))), 1)
+    assert len(set(first.values())) == len(runs)
+    assert hashes(list(range(len(runs)))[::-1], 3) == first and hashes([2, 4, 0, 7, 6, 1, 5, 3], 1000) == first
+
+
+def test_a_very_long_text_leaves_nothing_behind():
+    import tracemalloc
+    text = (b"word%d " * 2_000_000) % tuple(range(2_000_000))
+    J.shingle_sets([text[:1 << 16]])
+    tracemalloc.start()
+    assert len(J.shingle_sets([text])[0]) > 1_900_000
+    assert tracemalloc.get_traced_memory()[0] < 4 << 20          # power tables have a fixed length
+    tracemalloc.stop()
+
+
 def test_bounds_never_underestimate():
     rng = np.random.RandomState(1)
     for n, m in ((30, 25), (300, 320), (3000, 2600)):

@@ -16,7 +16,6 @@ from tripmart.llm import token_store as S
 
 def encode(name, texts, end):
     t = Tokenizer.from_file(P.path(name))
-    t.encode_special_tokens = True
     return [e.ids + [end] for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 

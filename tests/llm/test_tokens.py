@@ -19,7 +19,6 @@ _REF: dict = {}
 def reference(name, texts):
     if name not in _REF:
         _REF[name] = Tokenizer.from_file(P.path(name))
-        _REF[name].encode_special_tokens = True
     return [e.ids for e in _REF[name].encode_batch(texts, add_special_tokens=False)]
 
 
@@ -31,7 +30,8 @@ def mine(name, spaced, texts):
 TEXTS = [t or "" for _, t in edge_rows()] + [
     "", " ", "\n", "a", " a", "a ", "a\nb", "a \n b", "a\n\nb", "A.b,c", "..", "a..b", "a .b", "it's we'll 's", "don't.",
     "THE!! É,ê", "x\ty\rz", "a b", "1,000.50", "a1b2", "é ́a", "İstanbul Σσς", "​z",
-    "<|endoftext|> a<|startoftext|>", "tab\there", "日本語テキスト。x", "\U0001F600\U0001F601 !", "###*** &&& ---", "a\x00b \x1c c",
+    "<|endoftext|> a<|startoftext|>", " <|endoftext|>", "a<|ENDOFTEXT|> b", "<|endoftext", "one <|endoftext|><|endoftext|>two", "<| x",
+    "tab\there", "日本語テキスト。x", "\U0001F600\U0001F601 !", "###*** &&& ---", "a\x00b \x1c c",
     "ß ẞ ŒŸ", "x" * 5000, "word " * 3000, "ªº µ ²³ ¼", "а б в Г", "-a -b", "(a) [b]{c}", "­ soft"]
 
 
@@ -54,6 +54,14 @@ def test_random_texts(texts):
         assert mine(name, spaced, texts) == reference(name, texts)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|", "|>", " ", "a", "Word", "É", ".", "\n"]),
+                         max_size=12).map("".join), max_size=4))
+def test_texts_with_special_strings(texts):
+    for name, spaced in KINDS:
+        assert mine(name, spaced, texts) == reference(name, texts)
+
+
 def test_full_memo_changes_nothing(monkeypatch):
     monkeypatch.setattr(T, "MEMO_UNITS", 20)
     rng = random.Random(0)

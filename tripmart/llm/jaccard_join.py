@@ -79,16 +79,17 @@ _BYTE_CODE = np.random.RandomState(20240229).randint(1, 2**62, 256).astype(np.ui
 _BASE = np.uint64(0x9E3779B97F4A7C15)                       # odd: has an inverse modulo 2**64
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _MIX1, _MIX2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
-_POWERS: dict[str, np.ndarray] = {}
+_SPAN = 1 << 16       # bytes hashed at once
 
 
-def _powers(name: str, base: np.uint64, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64 (kept and grown in the worker)."""
-    if name not in _POWERS or len(_POWERS[name]) < n:
-        out = np.full(max(n, 1 << 16), base, np.uint64)
-        out[0] = 1
-        _POWERS[name] = np.cumprod(out)
-    return _POWERS[name][:n]
+def _powers(base: np.uint64) -> np.ndarray:
+    """base**0 .. base**(_SPAN - 1) modulo 2**64."""
+    out = np.full(_SPAN, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out)
+
+
+_UP, _DOWN = _powers(_BASE), _powers(_BASE_INVERSE)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -98,12 +99,24 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def byte_run_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the byte runs [start, end): prefix sums of byte codes
-    times powers of the base, shifted back to each run's start."""
-    code = _BYTE_CODE[raw] * _powers("up", _BASE, len(raw))
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(code)])
-    return mix((total[end] - total[start]) * _powers("down", _BASE_INVERSE, len(raw))[start]
-               + (end - start).astype(np.uint64))
+    """64-bit hashes of the byte runs [start, end), given in order: prefix sums
+    of byte codes times powers of the base, shifted back to each run's start.
+    Bytes are taken ``_SPAN`` at a time; longer runs are hashed one by one."""
+    out = np.empty(len(start), np.uint64)
+    at = 0
+    while at < len(start):
+        base = int(start[at])
+        stop = max(at + 1, int(np.searchsorted(end, base + _SPAN, side="right")))
+        s, e = start[at:stop] - base, end[at:stop] - base
+        if e[-1] <= _SPAN:
+            size = int(e[-1])
+            total = np.zeros(size + 1, np.uint64)
+            np.cumsum(_BYTE_CODE[raw[base:base + size]] * _UP[:size], out=total[1:])
+            out[at:stop] = mix((total[e] - total[s]) * _DOWN[s] + (e - s).astype(np.uint64))
+        at = stop
+    for k in np.flatnonzero(end - start > _SPAN // 2).tolist():      # these never depend on where a span began
+        out[k] = xxhash.xxh3_64_intdigest(raw[start[k]:end[k]].tobytes())
+    return out
 
 
 def shingle_sets(texts: list[bytes | None], words: int = WORDS) -> list[np.ndarray]:
@@ -703,11 +716,23 @@ def _named(prints: DataFrame, label: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each component (its smallest id)."""
+    """``docs`` with one document of each component: a row with its smallest
+    id, and of several such rows the one whose text hashes least. Whether a
+    row stays hangs on the row, not on its id alone: rows that share an id
+    but not a component are told apart by their set. Rows without shingles
+    all stay; rows without an id stay only where no row of the component has one."""
     plain, names = numbered(docs)
-    found = similar_components(plain, names[id_col], names[text_col], **options)
-    gone = found.filter(F.col(names[id_col]) != F.col("component_id")).select(F.col(names[id_col]).alias("_gone"))
-    out = plain.join(gone.distinct(), plain[names[id_col]] == F.col("_gone"), "left_anti")
+    key = F.monotonically_increasing_id()
+    rows = staged(plain.withColumn("_row", key), "jaccard-rows")        # numbers each row once and for all
+    found = similar_components(rows.select("_row", F.col(names[text_col]).alias("text")), "_row", "text", **options)
+    # of each component's rows the one that stays; a component is named by its smallest row number
+    ranked = (rows.select("_row", F.col(names[id_col]).alias("_id"), F.xxhash64(names[text_col]).alias("_hash"))
+              .join(found, "_row"))
+    order = F.struct(F.col("_id").isNull().alias("n"), F.col("_id"), F.col("_hash"), F.col("_row"))
+    groups = ranked.groupBy("component_id").agg(F.min(order).alias("k"), F.count("*").alias("n")).filter("n > 1")
+    stays = staged(groups.select("component_id", F.col("k._row").alias("_stays")), "jaccard-stays")
+    gone = (found.join(stays, "component_id").filter("_row <> _stays").select("_row"))
+    out = rows.join(staged(gone, "jaccard-gone"), "_row", "left_anti").drop("_row")
     return out.toDF(*docs.columns)
 
 

@@ -129,11 +129,11 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, spaced: bool = Tr
     return out.withColumnRenamed("id", id_col)
 
 
-def place(made: DataFrame, size: int = SIZE, counts_from: DataFrame | None = None) -> DataFrame:
+def place(made: DataFrame, size: int = SIZE, digest: bool = False) -> DataFrame:
     """``made`` (staged pieces, with any other columns) with sequence_id and
-    offset instead of the task's numbers."""
-    counts = staged((counts_from if counts_from is not None else made)
-                    .groupBy("part", "length").agg(F.count("*").alias("n")), "pack-counts")
+    offset instead of the task's numbers; with ``digest`` ids_crc32 instead of
+    the ids."""
+    counts = staged(made.groupBy("part", "length").agg(F.count("*").alias("n")), "pack-counts")
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     found = places(shortest_pack_first(histogram, size))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -142,16 +142,22 @@ def place(made: DataFrame, size: int = SIZE, counts_from: DataFrame | None = Non
     ranked = made.join(base, ["part", "length"])
     keep = [c for c in made.columns if c not in ("part", "nth")]
     ranked = ranked.select(*keep, (F.col("before") + F.col("nth")).alias("rank"))
+    at = keep.index("ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                length = b.column(b.schema.get_field_index("length")).to_numpy()
-                sequence, offset = found.find(length, b.column(b.num_columns - 1).to_numpy())
-                yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(sequence), pa.array(offset)],
-                                                 [*b.schema.names[:-1], "sequence_id", "offset"])
+        for b in slices(batches, "ids"):
+            length = b.column(b.schema.get_field_index("length")).to_numpy()
+            sequence, offset = found.find(length, b.column(b.num_columns - 1).to_numpy())
+            cells, names = list(b.columns[:-1]), list(b.schema.names[:-1])
+            if digest:
+                cells[at] = pa.array(checksums(b.column(at).to_pylist(), length.tolist()), pa.int64())
+                names[at] = "ids_crc32"
+            yield pa.RecordBatch.from_arrays([*cells, pa.array(sequence), pa.array(offset)], [*names, "sequence_id", "offset"])
 
-    return ranked.mapInArrow(run, extended(ranked.drop("rank"), "sequence_id long, offset long"))
+    out = ranked.drop("rank")
+    if digest:
+        out = out.withColumn("ids", F.lit(0).cast("bigint")).withColumnRenamed("ids", "ids_crc32")
+    return ranked.mapInArrow(run, extended(out, "sequence_id long, offset long"))
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int, spaced: bool = True, size: int = SIZE,
@@ -174,6 +180,10 @@ def crc_of(ids: bytes, width: int) -> int:
     return zlib.crc32(np.frombuffer(ids, f"<u{width}").astype("<u4").tobytes())
 
 
+def checksums(ids: list[bytes], lengths: list[int]) -> list[int]:
+    return [crc_of(x, len(x) // k if k else 4) for x, k in zip(ids, lengths)]
+
+
 def with_crc(df: DataFrame, length_col: str = "length") -> DataFrame:
     """``df`` with ids_crc32 instead of the ids."""
     at, n = df.columns.index("ids"), df.columns.index(length_col)
@@ -181,7 +191,7 @@ def with_crc(df: DataFrame, length_col: str = "length") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "ids"):
-            crc = [crc_of(x, len(x) // k if k else 4) for x, k in zip(b.column(at).to_pylist(), b.column(n).to_pylist())]
+            crc = checksums(b.column(at).to_pylist(), b.column(n).to_pylist())
             yield pa.RecordBatch.from_arrays([c for i, c in enumerate(b.columns) if i != at] + [pa.array(crc, pa.int64())],
                                              [*rest, "ids_crc32"])
 

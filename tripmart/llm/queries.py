@@ -114,7 +114,7 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 def packed_digest(docs: DataFrame) -> DataFrame:
     """Pieces of ``docs`` with their places; the ids as a checksum."""
     made = staged(packing.token_pieces(docs.select("doc_id", "text"), tokenizer("byte_bpe_50k.json"), 0), "pack-pieces")
-    return packing.place(packing.with_crc(made), counts_from=made)
+    return packing.place(made, digest=True)
 
 
 @register()

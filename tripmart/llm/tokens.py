@@ -8,14 +8,14 @@ whole text (``tests/llm/test_tokens.py`` checks it) and saves most of the
 merge work. The memo is a cache of at most ``MEMO_UNITS`` units; it is
 emptied when full, so its memory is bounded and results never depend on it.
 
-Special-token strings inside a text are ordinary text.
+A text that may hold the string of a special token goes to the library whole
+and gets that token's id, as the library does.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from unicodedata import is_normalized
 
 import numpy as np
 
@@ -112,59 +112,58 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
         vocab = self.tok.get_vocab_size(with_added_tokens=True)
         self.width = 2 if vocab <= 65_536 else 4
         self.dtype = np.dtype("<u2" if self.width == 2 else "<u4")
         self.spaced = spaced
         self.cut = cut_spaced if spaced else cut_dropped
-        self.letters = _byte_letters()
+        # beginnings of special tokens: texts that hold one are not cut
+        self.special = {t.content[:2] for t in self.tok.get_added_tokens_decoder().values()}
+        letters = _byte_letters()
+        del letters[ord("\n")]                       # joins the words of one call
+        self.letters = letters
         # the same model over words that are already pre-tokens, one per line
         self.words = Tokenizer.from_file(path)
-        self.words.encode_special_tokens = True
         self.words.pre_tokenizer = pre_tokenizers.Split("\n", "removed")
         if not spaced:
             from tokenizers import normalizers
             self.words.normalizer = normalizers.Sequence([])
+        # units that are one pre-token of Latin-1 letters (as lower case as the vocabulary wants them)
+        word = " ?[A-Za-zÀ-ÖØ-öø-ÿ]{1,200}" if spaced else "[a-zß-öø-ÿ]{1,200}"
+        self.plain = re.compile(f"^{word}$", re.M)
+        # such a word with marks behind it: the marks start a pre-token
+        self.marked = re.compile(f"^({word})([!#$%&*+/:;=?@~-]+)$", re.M)
         self.memo: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
 
-    def _pre_token(self, unit: str) -> str | None:
-        """The unit in the model's alphabet if it is one pre-token of letters."""
-        word = unit
-        if self.spaced:
-            if unit[:1] == " ":
-                word = unit[1:]
-        elif not unit.islower() or not (unit.isascii() or is_normalized("NFC", unit)):
-            return None
-        if not word.isalpha() or len(word) > 200:
-            return None
-        return unit if unit.isascii() and word is unit else unit.encode().decode("latin-1").translate(self.letters)
-
     def _learn(self, units: set[str], memo: dict[str, bytes]) -> None:
         """Encode the units with the library and put their ids into ``memo``."""
-        plain, texts, odd = [], [], []
-        for u in units:
-            t = self._pre_token(u)
-            if t is None:
-                odd.append(u)
-            else:
-                plain.append(u)
-                texts.append(t)
+        lines = "\n".join(units)
+        plain, marked = self.plain.findall(lines), self.marked.findall(lines)
+        units = units.difference(plain)
+        if marked:
+            units.difference_update([w + m for w, m in marked])
+            units.update({m for _, m in marked if m not in memo})
+            plain += {w for w, _ in marked}.difference(plain, memo)
         for i in range(0, len(plain), 1000):
-            enc = self.words.encode("\n".join(texts[i:i + 1000]), add_special_tokens=False)
+            some = plain[i:i + 1000]
+            text = "\n".join(some).encode().decode("latin-1").translate(self.letters)
+            enc = self.words.encode(text, add_special_tokens=False)
             flat = np.array(enc.ids, self.dtype).tobytes()
-            ends = np.cumsum(np.bincount(enc.word_ids, minlength=len(plain[i:i + 1000]))) * self.width
-            start = 0
-            for u, end in zip(plain[i:i + 1000], ends.tolist()):
-                memo[u] = flat[start:end]
-                start = end
+            ends = (np.cumsum(np.bincount(enc.word_ids, minlength=len(some))) * self.width).tolist()
+            memo.update(zip(some, [flat[s:e] for s, e in zip([0, *ends], ends)]))
+        odd = list(units)
         for u, enc in zip(odd, self.tok.encode_batch(odd, add_special_tokens=False)):
             memo[u] = np.array(enc.ids, self.dtype).tobytes()
+        memo.update([(w + m, memo[w] + memo[m]) for w, m in marked])
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each whole text (null: none); pass a few MB at a time."""
-        cut = [self.cut(t) if t else [] for t in texts]
+        whole = {i: self._whole(t) for i, t in enumerate(texts) if t and any(m in t for m in self.special)}
+        cut = [self.cut(t) if t and i not in whole else [] for i, t in enumerate(texts)]
         if len(self.memo) > MEMO_UNITS // 2:
             self.memo, self.old = {"": b""}, self.memo
         new = set().union(*cut).difference(self.memo)
@@ -175,10 +174,14 @@ class Encoder:
         self._learn(brief, self.memo)
         memo = self.memo
         if len(brief) < len(new):
-            memo = dict.fromkeys(())
+            memo = {}
             self._learn({u for u in new if u} - brief, memo)
-            return [b"".join([self.memo[u] if u in self.memo else memo[u] for u in us]) for us in cut]
-        return [b"".join(map(memo.__getitem__, us)) for us in cut]
+            out = [b"".join([self.memo[u] if u in self.memo else memo[u] for u in us]) for us in cut]
+        else:
+            out = [b"".join(map(memo.__getitem__, us)) for us in cut]
+        for i, ids in whole.items():
+            out[i] = ids
+        return out
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
