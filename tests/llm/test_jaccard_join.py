@@ -48,8 +48,11 @@ def near_copies(rng, base, n, first_id):
     return out
 
 
-@pytest.mark.parametrize("tile", [4096, 4])
-def test_chains_boilerplate_and_edges(spark, tile):
+@pytest.mark.parametrize("tile,words_of_map", [(4096, None), (4, None), (64, 0)])
+def test_chains_boilerplate_and_edges(spark, tile, words_of_map, monkeypatch):
+    if words_of_map is not None:                          # joins by key in place of bit maps
+        monkeypatch.setattr(J, "_fits", lambda keys: False)
+        monkeypatch.setattr(J, "PARTNERS", 3)
     rng = random.Random(tile)
     rows = edge_rows()
     common = words(rng, 30)
@@ -141,6 +144,25 @@ def test_shingles_equal_plain_sets():
     assert (mine[-3] == mine[-2]).all() and mine[-3][0] in mine[-1]
 
 
+def test_tree_gives_every_pair_that_may_link():
+    rng = np.random.RandomState(7)
+    base = rng.poisson(1.5, (40, J.GROUPS))
+    vectors = np.concatenate([np.maximum(0, base[rng.randint(40, size=20)] + rng.randint(-1, 2, (20, J.GROUPS))) for _ in range(60)])
+    sizes, comps = vectors.sum(axis=1), rng.randint(0, 500, len(vectors))
+    tree, half = J.CountTree(vectors, sizes, comps), J.CountTree(vectors[:200], sizes[:200], comps[:200])
+    assert len(tree.levels) >= 3 and sorted(tree.order) == list(range(len(vectors)))
+
+    def plain(n):
+        return {(min(i, j), max(i, j)) for i in range(n) for j in range(len(vectors)) if i != j and (n == 200 or i < j)
+                and comps[i] != comps[j] and 100 * min(sizes[i], sizes[j]) >= 80 * max(sizes[i], sizes[j])
+                and np.minimum(vectors[i], vectors[j]).sum() >= J.least_overlap(sizes[i] + sizes[j])}
+
+    mine = [(i, j) for x, y in tree.pairs(tree) for i, j in zip(x, y)]
+    assert len(mine) == len(set(mine)) and {(min(p), max(p)) for p in mine} == plain(len(vectors))
+    across = {(min(p), max(p)) for x, y in half.pairs(tree) for p in zip(x, y) if p[0] != p[1]}
+    assert across == plain(200)
+
+
 def test_components_of_long_chains(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 100)], "a long, b long")
     got = {r.node: r.root for r in J.components(edges).collect()}

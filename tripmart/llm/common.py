@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
+from ..session import _sc, scratch_path
 
 CHUNK_BYTES = 4 << 20      # text handled at once inside a task
 
@@ -36,6 +36,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that :func:`staged` wrote once no later step reads them."""
+    for df in tables:
+        sc = _sc(df.sparkSession)
+        if sc is None:                       # no file system at hand: they stay
+            return
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            place = sc._jvm.org.apache.hadoop.fs.Path(sc._jvm.java.net.URI(folder))
+            place.getFileSystem(sc._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def pieces(batches: Iterable[pa.RecordBatch], column: str,
            max_bytes: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into slices of about ``max_bytes`` of ``column``

@@ -20,16 +20,20 @@ The join, exact at every size:
    Blocks of one node, and nodes that no other one of their block can link
    with by its size and the shingle's place, drop out early.
 4. Blocks whose nodes are still in several components build an R-tree over
-   the nodes' count vectors of ``GROUPS`` groups (leaves by set size; a node's
-   bound is the vector of its maxima). Pairs of subtrees are skipped when the
-   summed coordinate minima, the sizes or a common component rule them out,
-   pairs of points by the same bound at their full number of groups. Pairs
+   the nodes' count vectors of ``GROUPS`` groups (sort-tile-recursive over the
+   coordinates of the largest spread, the set size among them; a node's bound
+   is the vector of its maxima). The join descends pairs of subtrees from the
+   root; a pair is skipped when the summed coordinate minima, the sizes or a
+   common component rule it out, pairs of points by the same bound at their
+   full number of groups. Pairs
    already connected need no verification: the first round takes only a
    forest of each block's candidate pairs, the likeliest first, and only
    blocks where pairs were left out go on; the last round takes every pair
    that is still between two components.
-5. Candidates are verified on their whole shingle sets, recomputed from the
-   texts of the documents concerned.
+5. Candidates are verified on their whole shingle sets. Pairs are grouped by
+   one of their two nodes (groups of more than ``PARTNERS`` pairs are split),
+   one text of each node concerned is sent to its groups, and sets are
+   recomputed there; the other texts never leave their place.
 6. Components by repeated contraction to the smallest neighbour, each round
    written to the shared folder.
 
@@ -45,7 +49,8 @@ collide (one in 30 at a billion documents).
 Scale: what shuffles is a few numbers for each prefix shingle (a fifth of
 the shingles). A block of more than ``TILE`` nodes is split into tiles, and
 each pair of tiles is its own unit of work. Only a bit map of bounded size
-(4 MB) is broadcast.
+(32 MB) is broadcast; beyond it a join by key takes its place. Tables that a
+later step no longer needs are removed.
 """
 
 from __future__ import annotations
@@ -58,7 +63,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import numbered, pieces, rename_clashes, staged, text_bytes
+from .common import discard, numbered, pieces, rename_clashes, staged, text_bytes
 
 WORDS = 5
 PERCENT = 80
@@ -69,7 +74,9 @@ CENTRES = 4           # least shingles by which a node is pre-linked
 COMMON = 6            # documents of a slice of text that make a shingle common
 TILE = 4096           # nodes of a block that one task compares
 LEAF = 32             # points of an R-tree leaf
-BITMAP_WORDS = 1 << 19
+FANOUT = 8            # children of an R-tree node above the leaves
+PARTNERS = 256        # pairs of one group that are verified together
+BITMAP_WORDS = 1 << 22
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
@@ -208,8 +215,14 @@ def common_shingles(docs: DataFrame, text_col: str, words: int) -> DataFrame:
     return docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(run, "shingle long").distinct()
 
 
+def addressed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, text, and a hash of both by which a row is found again."""
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    return rows.withColumn("at", F.xxhash64("id", "text"))
+
+
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
-    """id, n_shingles, node, prefix shingles (common ones last), the first
+    """id, its row's address, n_shingles, node, prefix shingles (common ones last), the first
     shingles in plain hash order, and the count vector of every row."""
     common = _bitmap(staged(common_shingles(docs, text_col, words), "jaccard-common"))
 
@@ -217,7 +230,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int, percen
         last = in_bits(s, common)
         return np.concatenate([s[~last], s[last]])[:prefix_length(len(s), percent)].view(np.int64)
 
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    rows = addressed(docs, id_col, text_col)
     id_type = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,80 +238,96 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int, percen
             sets = shingle_sets(text_bytes(b, "text"), words)
             yield pa.RecordBatch.from_arrays([
                 b.column(b.schema.get_field_index("id")),
+                b.column(b.schema.get_field_index("at")),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
                 pa.array([prefix(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
                 pa.array([s[:CENTRES].view(np.int64) if len(s) else None for s in sets], pa.list_(pa.int64())),
                 pa.array([pack_vector(count_vector(s)) if len(s) else None for s in sets], pa.binary()),
-            ], ["id", "n_shingles", "node", "prefix", "least", "vector"])
+            ], ["id", "at", "n_shingles", "node", "prefix", "least", "vector"])
 
-    return rows.mapInArrow(run, f"id {id_type}, n_shingles long, node long, prefix array<long>, least array<long>, "
-                                "vector binary")
+    return rows.mapInArrow(run, f"id {id_type}, at long, n_shingles long, node long, prefix array<long>, "
+                                "least array<long>, vector binary")
 
 
 # --- verification ----------------------------------------------------------------
 
-def _bits(keys: DataFrame) -> tuple[DataFrame, int]:
+def _bits(keys: DataFrame, most: int = BITMAP_WORDS) -> tuple[DataFrame, int]:
     """Bit map (w, b) of a column of 64-bit hashes, and its number of words,
-    at most ``BITMAP_WORDS``: false hits only cost work."""
+    at most ``most``: false hits only cost work."""
     key = keys.columns[0]
-    words = min(BITMAP_WORDS, 1 << max(4, (max(1, keys.count()) // 4).bit_length()))
+    words = min(most, 1 << max(4, (max(1, keys.count()) // 4).bit_length()))
     rows = keys.select(F.pmod(F.shiftright(key, 6), F.lit(words)).alias("w"),
                        F.expr(f"shiftleft(1L, CAST({key} & 63 AS INT))").alias("b"))
     return rows.groupBy("w").agg(F.bit_or("b").alias("b")), words
 
 
-def _in_bitmap(rows: DataFrame, col: str, keys: DataFrame) -> DataFrame:
-    """The rows whose key is in the bit map of ``keys`` (and a few more)."""
-    bits, words = _bits(keys)
-    bits = F.broadcast(staged(bits, "jaccard-bits"))          # at most 8 MB
-    hit = F.expr(f"shiftrightunsigned(b, CAST({col} & 63 AS INT)) & 1") == 1
-    return (rows.withColumn("w", F.pmod(F.shiftright(col, 6), F.lit(words))).join(bits, "w")
-            .filter(hit).select(*rows.columns))
-
-
-def _bitmap(nodes: DataFrame) -> np.ndarray:
-    """The bit map as an array, for tasks."""
-    rows, words = _bits(nodes)
+def _bitmap(keys: DataFrame) -> np.ndarray:
+    """The bit map as an array, for tasks (at most 32 MB)."""
+    rows, words = _bits(keys)
     out = np.zeros(words, np.int64)
     got = rows.toPandas()
     out[got["w"].to_numpy(np.int64)] = got["b"].to_numpy(np.int64)
     return out
 
 
-def sets_of(docs: DataFrame, text_col: str, nodes: DataFrame, words: int) -> DataFrame:
-    """(node, shingles) of the given nodes, recomputed from the texts."""
-    bits = _bitmap(nodes)
+def _fits(keys: DataFrame) -> bool:
+    """Whether a bit map of the keys stays sparse enough to tell rows apart."""
+    return keys.count() <= BITMAP_WORDS * 8
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for b in pieces(batches, "text"):
-            ids, sets = [], []
-            for s in shingle_sets(text_bytes(b, "text"), words):
-                if len(s):
-                    node = node_of(s)
-                    if (int(bits[(node >> 6) % len(bits)]) >> (node & 63)) & 1 == 1 and node not in seen:
-                        if len(seen) > 200_000:         # only to send fewer copies
-                            seen.clear()
-                        seen.add(node)
-                        ids.append(node)
-                        sets.append(s.view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
-
-    found = docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(run, "node long, shingles array<long>")
-    return found.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
-
-
-def verified(pairs: DataFrame, docs: DataFrame, text_col: str, words: int, percent: int) -> DataFrame:
+
+def _with_key(rows: DataFrame, col: str, keys: DataFrame) -> DataFrame:
+    """The rows whose key is in ``keys`` (one column of that name): rows that
+    a bit map rules out do not shuffle."""
+    if not _fits(keys):
+        return rows
+    bits, words = _bits(keys, 1 << 20)                           # at most 16 MB of pairs
+    bits = F.broadcast(staged(bits, "jaccard-bits"))
+    hit = F.expr(f"shiftrightunsigned(b, CAST({col} & 63 AS INT)) & 1") == 1
+    return (rows.withColumn("w", F.pmod(F.shiftright(col, 6), F.lit(words))).join(bits, "w")
+            .filter(hit).select(*rows.columns))
+
+
+def _agree(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) of groups of texts sorted by (a, part, side): the group's
+    own text first, then those to compare with it."""
+    held: tuple | None = None                   # group and set of its own text
+    for batch in pieces(batches, "text"):
+        a, part, side, node = (batch.column(i).to_pylist() for i in range(4))
+        found: list[tuple[int, int]] = []
+        for i, s in enumerate(shingle_sets(text_bytes(batch, "text"), words)):
+            if not len(s) or node_of(s) != node[i]:               # another row with the same address
+                continue
+            if side[i] == 0:
+                held = (a[i], part[i], s)
+            elif held is not None and held[:2] == (a[i], part[i]):
+                common = len(np.intersect1d(held[2], s, assume_unique=True))
+                if 100 * common >= percent * (len(held[2]) + len(s) - common):
+                    found.append((a[i], node[i]))
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()),
+                                          pa.array([y for _, y in found], pa.int64())], ["a", "b"])
+
+
+def verified(pairs: DataFrame, prints: DataFrame, docs: DataFrame, id_col: str, text_col: str, words: int,
+             percent: int) -> DataFrame:
     """The pairs (a, b) that link, by their whole sets."""
-    nodes = staged(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "jaccard-nodes")
-    sets = staged(sets_of(docs, text_col, nodes, words), "jaccard-sets")
-    both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
-            .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b"))
-    common = F.size(F.array_intersect("sa", "sb")).cast("long")
-    union = F.size("sa").cast("long") + F.size("sb").cast("long") - common
-    return both.filter(100 * common >= percent * union).select("a", "b")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = staged(pairs.select("a", "b"), "jaccard-wanted")
+    groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("parts"))
+    dealt = pairs.join(groups, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
+    sent = (dealt.select("a", "part", F.lit(1).alias("side"), F.col("b").alias("node"))
+            .unionByName(groups.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+                                       F.lit(0).alias("side"), F.col("a").alias("node"))))
+    nodes = sent.select("node").distinct()
+    rows = prints.select("node", "at").join(nodes, "node", "left_semi").groupBy("node").agg(F.min("at").alias("at"))
+    sent = staged(sent.join(rows, "node"), "jaccard-sent")
+    texts = _with_key(addressed(docs, id_col, text_col).select("at", "text"), "at", sent.select("at").distinct())
+    order = ["a", "part", "side"]
+    met = (texts.join(sent, "at").select(*order, "node", "text")
+           .repartition(parts, "a", "part").sortWithinPartitions(*order))
+    links = staged(met.mapInArrow(lambda b: _agree(b, words, percent), "a long, b long"), "jaccard-links")
+    discard(pairs, sent)
+    return links
 
 
 # --- components --------------------------------------------------------------------
@@ -358,41 +387,84 @@ def least_overlap(sizes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 
 
 class CountTree:
-    """R-tree over count vectors: leaves of ``LEAF`` points in order of set
-    size; each node keeps its points' largest counts, smallest and largest
-    size, and their component if they share one."""
+    """R-tree over count vectors, bulk-loaded sort-tile-recursive: points are
+    cut into slabs along the coordinate of the largest spread and each slab
+    into leaves of ``LEAF`` points along the next (the set size counts as a
+    coordinate); ``FANOUT`` neighbouring nodes make one of the level above. A
+    node keeps its points' largest counts, smallest and largest size, and its
+    components' range."""
 
     def __init__(self, vectors: np.ndarray, sizes: np.ndarray, comps: np.ndarray):
-        self.order = np.argsort(sizes, kind="stable")
+        self.order = self._tiles(np.column_stack([sizes, vectors]).astype(float))
         self.vectors = vectors[self.order]
         self.sizes, self.comps = sizes[self.order], comps[self.order]
-        at = np.arange(0, len(sizes), LEAF)
-        self.starts, self.ends = at, np.append(at[1:], len(sizes))
-        self.most = np.maximum.reduceat(self.vectors, at, axis=0)
-        self.small, self.large = self.sizes[at], self.sizes[self.ends - 1]
-        low, high = np.minimum.reduceat(self.comps, at), np.maximum.reduceat(self.comps, at)
-        self.mixed, self.comp = low != high, low
+        n = len(sizes)
+        self.levels: list[dict] = []                 # from the leaves up; "at": first point of each node
+        step = LEAF
+        while True:
+            at = np.arange(0, n, step)
+            self.levels.append({"at": at, "most": np.maximum.reduceat(self.vectors, at, axis=0),
+                                "small": np.minimum.reduceat(self.sizes, at), "large": np.maximum.reduceat(self.sizes, at)})
+            if len(at) <= FANOUT:
+                break
+            step *= FANOUT
+        self._find_components()
+        self.starts, self.ends = self.levels[0]["at"], np.append(self.levels[0]["at"][1:], n)
+
+    @staticmethod
+    def _tiles(points: np.ndarray) -> np.ndarray:
+        first, second = np.argsort(-points.var(axis=0), kind="stable")[:2]
+        leaves = -(-len(points) // LEAF)
+        slab = LEAF * -(-leaves // max(1, round(leaves ** 0.5)))
+        by = np.argsort(points[:, first], kind="stable")
+        return np.concatenate([p[np.argsort(points[p, second], kind="stable")]
+                               for p in (by[i:i + slab] for i in range(0, len(by), slab))])
+
+    def _find_components(self) -> None:
+        for v in self.levels:
+            v["low"] = np.minimum.reduceat(self.comps, v["at"])
+            v["high"] = np.maximum.reduceat(self.comps, v["at"])
 
     def merge(self, old: int, new: int) -> None:
         """Make two components one."""
         moved = self.comps == old
         if moved.any():
             self.comps[moved] = new
-            low, high = np.minimum.reduceat(self.comps, self.starts), np.maximum.reduceat(self.comps, self.starts)
-            self.mixed, self.comp = low != high, low
+            self._find_components()
+
+    def _apart(self, other: "CountTree", level: int, i, j):
+        """Whether two nodes hold points of different components."""
+        v, w = self.levels[level], other.levels[level]
+        return (v["low"][i] != v["high"][i]) | (w["low"][j] != w["high"][j]) | (v["low"][i] != w["low"][j])
 
     def _leaf_pairs(self, other: "CountTree", percent: int) -> Iterator[tuple[int, int]]:
-        for i in range(len(self.starts)):
-            ok = (100 * other.large >= percent * self.small[i]) & (100 * self.large[i] >= percent * other.small)
-            ok &= self.mixed[i] | other.mixed | (other.comp != self.comp[i])
+        """Pairs of leaves that may hold a link, by descent from the top."""
+        level = min(len(self.levels), len(other.levels)) - 1
+        i, j = (x.ravel() for x in np.indices((len(self.levels[level]["at"]), len(other.levels[level]["at"]))))
+        while True:
+            v, w = self.levels[level], other.levels[level]
+            ok = (100 * w["large"][j] >= percent * v["small"][i]) & (100 * v["large"][i] >= percent * w["small"][j])
+            ok &= self._apart(other, level, i, j)
             if self is other:
-                ok[:i] = False
-            at = np.flatnonzero(ok)
-            bound = np.minimum(self.most[i], other.most[at]).sum(axis=1)
-            for j in at[bound >= least_overlap(self.small[i] + other.small[at], percent)].tolist():
-                # components may have merged since
-                if self.mixed[i] or other.mixed[j] or self.comp[i] != other.comp[j]:
-                    yield i, j
+                ok &= i <= j
+            i, j = i[ok], j[ok]
+            near = np.zeros(len(i), bool)
+            for s in range(0, len(i), 4096):
+                x, y = i[s:s + 4096], j[s:s + 4096]
+                bound = np.minimum(v["most"][x], w["most"][y]).sum(axis=1)
+                near[s:s + 4096] = bound >= least_overlap(v["small"][x] + w["small"][y], percent)
+            i, j = i[near], j[near]
+            if level == 0:
+                break
+            level -= 1
+            step = np.arange(FANOUT)
+            i = np.repeat(i[:, None] * FANOUT + step, FANOUT, axis=1).ravel()
+            j = np.tile(j[:, None] * FANOUT + step, FANOUT).ravel()
+            real = (i < len(self.levels[level]["at"])) & (j < len(other.levels[level]["at"]))
+            i, j = i[real], j[real]
+        for x, y in zip(i.tolist(), j.tolist()):
+            if self._apart(other, 0, x, y):              # components may have merged since
+                yield x, y
 
     def pairs(self, other: "CountTree", percent: int = PERCENT) -> Iterator[tuple[list[int], list[int]]]:
         """Positions (in the given order of each tree) of pairs that may link,
@@ -423,6 +495,7 @@ class _Points:
         self.percent = percent
         self.vectors: dict[int, np.ndarray] = {}
         self.bounds: dict[tuple[int, int], float] = {}
+        self.left_out = False
 
     def vector(self, row: tuple) -> np.ndarray:
         node = row[0]
@@ -447,11 +520,11 @@ class _Points:
             got = self.bounds[key] = int(np.minimum(f, g).sum()) / need
         return got
 
-    def pairs(self, rows: list[tuple], every: bool) -> tuple[list[tuple[int, int]], bool]:
+    def pairs(self, rows: list[tuple], every: bool) -> Iterator[tuple[int, int]]:
         """Positions of pairs of a cell's rows that may link. Unless ``every``
         pair is wanted, each pair found merges its components for the rest of
-        the cell, so the pairs are a forest; the flag says whether pairs were
-        passed over for that."""
+        the cell, so the pairs are a forest; ``left_out`` then says whether
+        pairs were passed over for that."""
         tiles = sorted({r[3] for r in rows})
         parts = [[i for i, r in enumerate(rows) if r[3] == t] for t in tiles] if len(tiles) > 1 else [range(len(rows))]
         comp = [r[2] for r in rows]
@@ -465,20 +538,21 @@ class _Points:
             second = 1 if len(parts) == 2 else 0
             near = (([parts[0][i] for i in x], [parts[second][j] for j in y])
                     for x, y in trees[0].pairs(trees[second], self.percent))
-        out, passed = [], False
+        found = passed = False
         for x, y in near:
             for i, j in zip(x, y):
                 if comp[i] == comp[j]:
                     passed = True
                 elif self.bound(rows[i], rows[j]) >= 1:
-                    out.append((i, j))
+                    found = True
+                    yield i, j
                     if not every:
                         old, new = comp[j], comp[i]
                         comp = [new if c == old else c for c in comp]
                         for t in trees:
                             t.merge(old, new)
         # a leaf whose pairs all became connected meanwhile was passed over too
-        return out, passed or (not every and len(rows) > LEAF and len(out) > 0)
+        self.left_out = not every and (passed or (len(rows) > LEAF and found))
 
     def _leaf(self, rows: list[tuple]) -> Iterator[tuple[list[int], list[int]]]:
         """Pairs of a block that is a single leaf, by size and component."""
@@ -523,19 +597,18 @@ def _cell_pairs(batches: Iterator[pa.RecordBatch], percent: int, last_round: boo
     for block, rows in _cells(batches):
         if len(rows) < 2:
             continue
-        chosen, left_out = points.pairs(rows, last_round)
-        for x, y in chosen:
+        for x, y in points.pairs(rows, last_round):
             pair = min(rows[x][0], rows[y][0]), max(rows[x][0], rows[y][0])
             if pair[0] != pair[1] and pair not in sent:
                 if len(sent) > 200_000:                 # only to send fewer repeats
                     sent.clear()
                 sent.add(pair)
                 out.append((*pair, None))
-        if left_out:
+                if len(out) > 10_000:
+                    yield batch()
+                    out = []
+        if points.left_out:
             out.append((None, None, block))
-        if len(out) > 10_000:
-            yield batch()
-            out = []
     if out:
         yield batch()
 
@@ -545,14 +618,36 @@ def shared_blocks(prints: DataFrame) -> DataFrame:
     and a few more; ``pos`` is the shingle's place in its set's order.
 
     Rows are first counted by a few bits of the block's hash (six more than
-    their number needs); blocks on their own drop out before the rows shuffle.
+    their number needs); blocks on their own drop out before the rows shuffle,
+    by a bit map while that stays sparse, else by a join with the counted keys.
     """
     total = prints.agg(F.sum(F.size("prefix"))).first()[0] or 0
     mask = (1 << (int(total).bit_length() + 6)) - 1
-    rows = prints.select("node", "n_shingles", F.posexplode("prefix").alias("pos", "block"))
-    rows = rows.withColumn("key", F.col("block").bitwiseAND(F.lit(mask).cast("long")))
-    often = staged(rows.groupBy("key").agg(F.count("*").alias("k")).filter("k > 1").select("key"), "jaccard-often")
-    return _in_bitmap(rows, "key", often).drop("key").distinct()      # equal sets: one row
+    keys = prints.select(F.explode("prefix").alias("block")).select(
+        F.col("block").bitwiseAND(F.lit(mask).cast("long")).alias("key"))
+    often = staged(keys.groupBy("key").agg(F.count("*").alias("k")).filter("k > 1").select("key"), "jaccard-often")
+    if _fits(often):
+        bits, low = _bitmap(often), np.int64(mask)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                lists = b.column(2)
+                block = lists.flatten().to_numpy()
+                sizes = lists.value_lengths().to_numpy()
+                own = np.repeat(np.arange(len(sizes)), sizes)
+                pos = np.arange(len(block)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                hit = np.flatnonzero(in_bits((block & low).view(np.uint64), bits))
+                at = pa.array(own[hit])
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).take(at), b.column(1).take(at), pa.array(pos[hit].astype(np.int32)), pa.array(block[hit])],
+                    ["node", "n_shingles", "pos", "block"])
+
+        rows = prints.select("node", "n_shingles", "prefix").mapInArrow(run, "node long, n_shingles long, pos int, block long")
+    else:
+        rows = prints.select("node", "n_shingles", F.posexplode("prefix").alias("pos", "block"))
+        rows = rows.withColumn("key", F.col("block").bitwiseAND(F.lit(mask).cast("long")))
+        rows = rows.join(often, "key", "left_semi").drop("key")
+    return rows.distinct()                                               # equal sets: one row
 
 
 def _compatible(n: np.ndarray, pos: np.ndarray, comp: np.ndarray, percent: int) -> np.ndarray:
@@ -620,7 +715,9 @@ def crossing(rows: DataFrame, label: DataFrame, percent: int) -> DataFrame:
     known = known.repartition(parts, "block").sortWithinPartitions("block", "n_shingles")
     known = staged(known.mapInArrow(lambda b: _compatible_rows(b, percent), known.schema), "jaccard-blocks")
     sizes = staged(known.groupBy("block").agg(F.count("*").alias("k")), "jaccard-sizes")
-    return known.join(sizes, "block")
+    out = staged(known.join(sizes, "block"), "jaccard-cross")
+    discard(known, sizes)
+    return out
 
 
 def candidates(rows: DataFrame, points: DataFrame, percent: int, tile: int, last_round: bool) -> DataFrame:
@@ -659,7 +756,7 @@ def vectors_of(prints: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def likely(pairs: DataFrame, prints: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b, na, nb) whose count vectors allow a link."""
+    """The pairs (a, b, na, nb) whose count vectors allow a link, written."""
     pairs = staged(pairs, "jaccard-pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     v = staged(vectors_of(prints, ends), "jaccard-vectors")
@@ -675,7 +772,9 @@ def likely(pairs: DataFrame, prints: DataFrame, percent: int) -> DataFrame:
             hit = x.filter(pa.array(ok, pa.bool_()))
             yield hit.select(["a", "b"])
 
-    return both.select("a", "b", "na", "nb", "va", "vb").mapInArrow(run, "a long, b long")
+    out = staged(both.select("a", "b", "na", "nb", "va", "vb").mapInArrow(run, "a long, b long"), "jaccard-centres")
+    discard(pairs, v)
+    return out
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
@@ -683,23 +782,26 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """One row per row of ``docs``: its id, n_shingles and component_id."""
     prints = staged(fingerprints(docs, id_col, text_col, words, percent), "jaccard-prints")
     sets = prints.filter("node IS NOT NULL")
-    near = staged(likely(centre_pairs(sets, percent), sets, percent), "jaccard-centres")
-    links = staged(verified(near, docs, text_col, words, percent), "jaccard-links")
+    check = lambda pairs: verified(pairs, sets, docs, id_col, text_col, words, percent)
+    near = likely(centre_pairs(sets, percent), sets, percent)
+    links = check(near)
     label = star_labels(links)
     rows = staged(shared_blocks(sets), "jaccard-shared")
     for n in range(ROUNDS):
-        cross = staged(crossing(rows, label, percent), "jaccard-cross")
+        cross = crossing(rows, label, percent)
+        discard(rows)
         points = staged(vectors_of(sets, cross.select("node").distinct()), "jaccard-points")
         found = staged(candidates(cross, points, percent, tile, n == ROUNDS - 1), "jaccard-candidates")
+        discard(points)
         pairs = found.filter("a IS NOT NULL").select("a", "b")
         if not pairs.isEmpty():
-            more = staged(verified(pairs, docs, text_col, words, percent), "jaccard-links")
-            links = links.unionByName(more)
+            links = links.unionByName(check(pairs))
         label = components(links)
         left = found.filter("block IS NOT NULL").select("block").distinct()
         if left.isEmpty():
             break
         rows = staged(cross.drop("comp", "k").join(left, "block", "left_semi"), "jaccard-left")
+        discard(cross)
     return _named(prints, label).withColumnRenamed("id", id_col)
 
 
