@@ -266,8 +266,9 @@ def _bitmap(keys: DataFrame) -> np.ndarray:
     """The bit map as an array, for tasks (at most 32 MB)."""
     rows, words = _bits(keys)
     out = np.zeros(words, np.int64)
-    got = rows.toPandas()
-    out[got["w"].to_numpy(np.int64)] = got["b"].to_numpy(np.int64)
+    # sixteen bytes a word, in Arrow batches of many words
+    got = rows.toArrow()
+    out[got["w"].to_numpy()] = got["b"].to_numpy()
     return out
 
 
