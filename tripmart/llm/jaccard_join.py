@@ -170,10 +170,10 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
 
 
 def groups_for(n: int) -> int:
-    """Groups of a set of ``n`` shingles: about half as many, a power of two,
+    """Groups of a set of ``n`` shingles: about a quarter as many, a power of two,
     so that the bound is sharp for long texts too. Halves of a vector add up
     to the vector of half as many groups (:func:`fold`)."""
-    return min(MOST_GROUPS, max(GROUPS, 1 << (n // 2).bit_length()))
+    return min(MOST_GROUPS, max(GROUPS, 1 << (n // 4).bit_length()))
 
 
 def count_vector(shingles: np.ndarray) -> np.ndarray:
