@@ -3,6 +3,7 @@
 import datetime as dt
 import hashlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from tripmart.functions import exprs as X
@@ -83,3 +84,17 @@ def test_on_date_is_half_open(spark):
           dt.datetime(2024, 1, 6)]
     df = spark.createDataFrame([(t,) for t in ts], "t timestamp_ntz")
     assert df.filter(X.on_date("t", "2024-01-05")).count() == 2
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_number_text_in_both_modes(spark, ansi):
+    was = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        texts = ["0", "0.0000001", "-0.0000001", "12.50", "-3", "9999999999999999999.999999999", "100", "0.5", "-0"]
+        df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string")
+        for kind in ("decimal(28,9)", "decimal(30,10)"):
+            got = [r[0] for r in df.select(X.number_text(F.col("t").cast(kind))).collect()]
+            assert got == ["0", "0.0000001", "-0.0000001", "12.5", "-3", "9999999999999999999.999999999", "100", "0.5", "0", None]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", was)

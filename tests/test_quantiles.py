@@ -62,3 +62,17 @@ def test_groups_with_a_third_of_all_rows_in_one(spark):
         assert np.allclose(got[g], np.quantile(v, [0.5, 0.95]), atol=1e-9)
     # no group buffer: only sums and counts are aggregated
     assert "percentile" not in plan_string(out) and "ObjectHashAggregate" not in plan_string(out)
+
+
+def test_only_wanted_values_shuffle(spark):
+    df = spark.range(20_000).select((F.col("id") % 3).alias("g"), (F.col("id") * 1.37).alias("v"))
+    seen = []
+    for stage in (False, True):
+        out = QT.grouped_percentiles(df, ["g"], F.col("v"), {"p50": 0.5, "p95": 0.95}, stage=stage)
+        plan = plan_string(out)
+        # values meet the wanted buckets before any exchange, and those are broadcast by their size
+        assert plan.count("BroadcastHashJoin") == 2 and "LeftSemi" in plan
+        below = plan[plan.index("LeftSemi"):]
+        assert below.count("Exchange hashpartitioning") == 0
+        seen.append(sorted(map(tuple, out.collect())))
+    assert seen[0] == seen[1] and len(seen[0]) == 3

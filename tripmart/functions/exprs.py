@@ -37,9 +37,17 @@ def as_text(c) -> Column:
 
 
 def number_text(c) -> Column:
-    """Text of a decimal without trailing zeros (5.00 is '5', 12.50 '12.5'),
-    so a row id does not depend on the declared scale."""
-    return F.regexp_replace(F.regexp_replace(as_text(c), r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
+    """Text of a decimal (up to 36 places) without trailing zeros (5.00 is
+    '5', 12.50 '12.5'), so a row id does not depend on the declared scale.
+
+    A plain cast writes small values with an exponent when ANSI mode is off.
+    Whole numbers and numbers from 1 on never take one, so the text is put
+    together from the whole part and from 1 + the rest: the same in both modes."""
+    c = _c(c)
+    whole = F.floor(F.abs(c))
+    rest = F.substring((F.lit(1) + (F.abs(c) - whole)).cast("string"), 2, 40)
+    text = F.concat(F.when(c < 0, "-").otherwise(""), whole.cast("string"), rest)
+    return F.regexp_replace(F.regexp_replace(text, r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
 
 
 # --- row ids -------------------------------------------------------------

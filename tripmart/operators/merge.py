@@ -89,17 +89,22 @@ def _read_target(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 def append_new(spark: SparkSession, batch: DataFrame, target_path: str, key: str = "unique_row_id",
                ts_col: str = "pickup_datetime", date_col: str = "pickup_date",
-               key_holds_date: bool = False) -> None:
+               key_holds_date: bool = False, first_by: str | None = None, keep_first_by: bool = True) -> None:
     """Merge one batch into a date-partitioned parquet target (insert only).
 
     The batch is written once to the shared folder (read and hashed once; a
     lost executor reads it again from there), then anti-joined on the key
-    against the whole target. With ``key_holds_date`` (equal keys imply equal
+    against the whole target. ``first_by`` names a column that holds each
+    row's file: of several files with a key the first brings it (see
+    :func:`first_file_rows`), decided on the written batch. With ``key_holds_date`` (equal keys imply equal
     dates, as for ids that hash the pickup time) only the target's dates
     between the batch's first and last, and its NULL date, are read.
     """
     batch = batch.withColumn(date_col, F.to_date(F.col(ts_col)))
     batch = persist_table(batch, scratch_path(spark, "merge_batch"))
+    if first_by:
+        batch = first_file_rows(batch, key, first_by)
+        batch = batch if keep_first_by else batch.drop(first_by)
     target = _read_target(spark, target_path, batch.schema)
     add = batch
     if target is not None:
@@ -127,19 +132,51 @@ def ingest_files(spark: SparkSession, files: DataFrame, target_path: str, varian
     column ``filename``. The result is that of loading the files one after
     the other in order of their names: a row id that a file brings is taken
     from the first file that has it, with that file's repeats (T10)."""
-    hashed = with_row_id(files, variant)
-    append_new(spark, first_file_rows(hashed, "unique_row_id", "filename"), target_path, ts_col=ts_col,
-               key_holds_date=True)
+    append_new(spark, with_row_id(files, variant), target_path, ts_col=ts_col, key_holds_date=True, first_by="filename")
 
 
 def first_file_rows(df: DataFrame, key: str, file_col: str) -> DataFrame:
     """Rows whose file is the first (by name) that holds their key. Rows
-    without a key all stay, as an insert-only merge keeps them."""
-    first = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.min(file_col).alias("_first"))
+    without a key all stay, as an insert-only merge keeps them.
+
+    ``df`` is a written table. Only keys that several files hold can lose a
+    row; one aggregate finds them, and they are few where files are months."""
+    spans = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(
+        F.min(file_col).alias("_first"), F.max(file_col).alias("_last"))
+    first = spans.filter(F.col("_first") < F.col("_last")).drop("_last")
     later = (df[key] == first["_key"]) & (df[file_col] > first["_first"])
     return df.join(first, later, "left_anti")
 
 
+# --- a target bucketed by its key -----------------------------------------------------
+
+def ensure_bucketed(spark: SparkSession, name: str, schema: T.StructType, buckets: int,
+                    key: str = "unique_row_id", path: str | None = None) -> None:
+    """A target table clustered by its key into ``buckets`` buckets, made once.
+    Size the buckets for the table to come (a few hundred MB each): their
+    number stays."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    place = f" LOCATION '{path}'" if path else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+              f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS{place}")
+
+
+def new_bucketed_rows(spark: SparkSession, batch: DataFrame, name: str, buckets: int, key: str = "unique_row_id") -> DataFrame:
+    """The rows of a written batch whose key the bucketed table lacks. The
+    batch is dealt to the buckets; the table is read where it lies."""
+    dealt = batch.repartition(buckets, F.col(key))           # the hash and number of a bucketed write
+    return new_rows(dealt, spark.table(name).hint("merge"), key)
+
+
+def append_bucketed(spark: SparkSession, batch: DataFrame, name: str, buckets: int, key: str = "unique_row_id") -> None:
+    """K8 on a bucketed target: insert-only merge in which only the batch
+    shuffles, once, for the join and the write alike. The batch is written
+    first, so that it is read and hashed once."""
+    batch = persist_table(batch, scratch_path(spark, "merge_batch"))
+    add = new_bucketed_rows(spark, batch, name, buckets, key).select(*spark.table(name).columns)
+    add.write.mode("append").format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+
+
 def month_file(service: str, ts_col: str = "pickup_datetime"):
     """Name of the monthly file that holds a row (a column)."""
     return F.concat(F.lit(f"{service}_tripdata_"), F.date_format(ts_col, "yyyy-MM"), F.lit(".csv"))
@@ -161,4 +198,4 @@ def month_slice(df: DataFrame, year: int, month: int, ts_col: str = "pickup_date
 
 
 __all__ = ["new_rows", "merge_insert_new", "with_row_id", "tag_file", "append_new", "ingest_month",
-           "ingest_files", "first_file_rows", "month_file_name", "month_bounds", "month_slice"]
+           "ingest_files", "first_file_rows", "ensure_bucketed", "new_bucketed_rows", "append_bucketed", "month_file_name", "month_bounds", "month_slice"]

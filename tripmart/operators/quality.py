@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import config
@@ -82,40 +82,74 @@ SUITE_SEVERITY = {
 }
 
 
+def _with_known(trips: DataFrame, zones: DataFrame) -> DataFrame:
+    """Trips with ``_service``, and for either location whether a zone has it."""
+    ids = zones.select(F.col("locationid").alias("_id"), F.lit(True).alias("_known")).distinct()
+    t = trips.withColumn("_service", F.lower("service_type"))
+    for side in ("pickup", "dropoff"):
+        z = ids.select(F.col("_id").alias(f"_{side}"), F.col("_known").alias(f"_{side}_known"))
+        t = t.join(z, t[f"{side}_locationid"] == z[f"_{side}"], "left")
+    return t
+
+
+def _row_failures() -> dict:
+    """Conditions under which a row of :func:`_with_known` fails a test."""
+    lost = {s: F.col(f"{s}_locationid").isNotNull() & F.col(f"_{s}_known").isNull() for s in ("pickup", "dropoff")}
+    return {"not_null": F.col("tripid").isNull(), **lost}
+
+
+def build_observed(trips: DataFrame, zones: DataFrame, path: str) -> tuple[DataFrame, dict[str, dict[str, int]]]:
+    """Write the staged trips and take the counts of the null and relationship
+    tests while writing (no scan of their own): the written table, and failures
+    by service and test. The counts are taken in the writing stage, so a task
+    that runs again counts once."""
+    seen = Observation()
+    rows = _with_known(trips, zones)
+    counts = [F.count_if((F.col("_service") == s) & bad).alias(f"{s}_{k}")
+              for s in SUITE_SEVERITY for k, bad in _row_failures().items()]
+    rows.observe(seen, *counts).select(*trips.columns).write.mode("errorifexists").parquet(path)
+    got = seen.get
+    failures = {s: {k: got[f"{s}_{k}"] for k in _row_failures()} for s in SUITE_SEVERITY}
+    return trips.sparkSession.read.parquet(path), failures
+
+
+def _keyed_failures(trips: DataFrame, accepted: Sequence[int]) -> DataFrame:
+    """(_service, unique, accepted): ids that occur more than once and values
+    outside the list, by one aggregate over two grouping sets."""
+    strange = F.when(~F.col("payment_type").isin(list(accepted)), F.col("payment_type"))
+    t = trips.select(F.lower("service_type").alias("_service"), "tripid", strange.alias("_value"))
+    sets = t.groupingSets([[F.col("_service"), F.col("tripid")], [F.col("_service"), F.col("_value")]],
+                          "_service", "tripid", "_value").agg(F.count(F.lit(1)).alias("_n"), F.grouping("tripid").alias("_of_value"))
+    return sets.groupBy("_service").agg(
+        F.count_if((F.col("_of_value") == 0) & F.col("tripid").isNotNull() & (F.col("_n") > 1)).alias("unique"),
+        F.count_if((F.col("_of_value") == 1) & F.col("_value").isNotNull()).alias("accepted"))
+
+
 def run_suite(staged_trips: DataFrame, zones: DataFrame, monthly: DataFrame,
-              accepted: Sequence[int] = config.PAYMENT_TYPE_VALUES) -> DataFrame:
+              accepted: Sequence[int] = config.PAYMENT_TYPE_VALUES,
+              observed: dict[str, dict[str, int]] | None = None) -> DataFrame:
     """The project's test suite: five tests on each staged service and one on
     the monthly mart, one report row each (model, check_name, column_name,
     severity, failures, status).
 
-    ``staged_trips`` holds both services (service_type Green or Yellow). One
-    pass counts the null, relationship and accepted-value failures of both
-    services (zones joined by left joins); only ``unique`` needs its own
-    aggregate, on the trip id.
+    ``staged_trips`` holds both services (service_type Green or Yellow).
+    ``observed`` are the row counts that :func:`build_observed` took while
+    writing; without them one more pass counts (zones joined by left joins).
+    ``unique`` and ``accepted_values`` share one aggregate.
     """
-    ids = zones.select(F.col("locationid").alias("_id"), F.lit(True).alias("_known")).distinct()
-    t = staged_trips.withColumn("_service", F.lower("service_type"))
-    for side in ("pickup", "dropoff"):
-        z = ids.select(F.col("_id").alias(f"_{side}"), F.col("_known").alias(f"_{side}_known"))
-        t = t.join(z, t[f"{side}_locationid"] == z[f"_{side}"], "left")
-    strange = F.when(~F.col("payment_type").isin(list(accepted)), F.col("payment_type"))
-    lost = {s: F.count_if(F.col(f"{s}_locationid").isNotNull() & F.col(f"_{s}_known").isNull()) for s in ("pickup", "dropoff")}
-    # a test on accepted values fails once per value, so the few values are kept apart
-    rows = t.groupBy("_service", strange.alias("_value")).agg(
-        F.count_if(F.col("tripid").isNull()).alias("not_null"), lost["pickup"].alias("pickup"),
-        lost["dropoff"].alias("dropoff"))
-    once = rows.groupBy("_service").agg(
-        F.sum("not_null").alias("not_null"), F.sum("pickup").alias("pickup"), F.sum("dropoff").alias("dropoff"),
-        F.count("_value").alias("accepted"))
-    repeated = (staged_trips.filter(F.col("tripid").isNotNull())
-                .groupBy(F.lower("service_type").alias("_service"), "tripid").agg(F.count(F.lit(1)).alias("_n"))
-                .groupBy("_service").agg(F.count_if(F.col("_n") > 1).alias("unique")))
-    counts = once.join(repeated, "_service", "left")
+    spark, kinds = staged_trips.sparkSession, list(_row_failures())
+    if observed is None:
+        once = _with_known(staged_trips, zones).groupBy("_service").agg(
+            *[F.count_if(bad).alias(k) for k, bad in _row_failures().items()])
+    else:
+        once = spark.createDataFrame([(s, *[v[k] for k in kinds]) for s, v in observed.items()],
+                                     "_service string, " + ", ".join(f"{k} long" for k in kinds))
+    counts = once.join(_keyed_failures(staged_trips, accepted), "_service", "left")
     names = [("unique", "unique", "tripid"), ("not_null", "not_null", "tripid"),
              ("relationships", "pickup", "pickup_locationid"), ("relationships", "dropoff", "dropoff_locationid"),
              ("accepted_values", "accepted", "payment_type")]
     # every declared test reports, also for a service without a row
-    declared = staged_trips.sparkSession.createDataFrame(
+    declared = spark.createDataFrame(
         [(s, k, n, c, SUITE_SEVERITY[s][k]) for s in SUITE_SEVERITY for n, k, c in names],
         "_service string, _key string, check_name string, column_name string, severity string")
     long = counts.select("_service", F.inline(F.array(*[

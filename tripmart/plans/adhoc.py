@@ -137,18 +137,19 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> DataFr
     """A10: count, mean, stddev, min, exact quartiles, max: one row per
     statistic, one column per numeric column (all of them by default).
 
-    The columns are stacked into (column, value) rows once: the moments are
-    one aggregate by column, the quartiles the distributed exact percentile
-    by column (no task holds all distinct values of a column).
+    The moments of all columns are one global aggregate. The quartiles are the
+    exact percentile by column over (column, value) rows: values are counted
+    by buckets and only the few wanted buckets' values shuffle.
     """
     cols = list(cols) if cols is not None else [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
-    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").cast("double").alias("x")) for c in cols])
-    long = df.select(F.inline(pairs))
-    basic = long.groupBy("name").agg(
-        F.count("x").cast("double").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("stddev"),
-        (F.min("x") + 0.0).alias("min"), (F.max("x") + 0.0).alias("max"))
-    quarters = QT.grouped_percentiles(long, ["name"], F.col("x"), {"25%": 0.25, "50%": 0.5, "75%": 0.75})
-    both = basic.join(quarters, "name", "left")          # a row a column
+    x = {c: F.col(f"`{c}`").cast("double") for c in cols}
+    pairs = F.array(*[F.struct(F.lit(c).alias("name"), x[c].alias("x")) for c in cols])
+    moments = df.agg(F.array(*[F.struct(
+        F.lit(c).alias("name"), F.count(x[c]).cast("double").alias("count"), F.avg(x[c]).alias("mean"),
+        F.stddev_samp(x[c]).alias("stddev"), (F.min(x[c]) + 0.0).alias("min"), (F.max(x[c]) + 0.0).alias("max"))
+        for c in cols]).alias("m"))
+    quarters = QT.grouped_percentiles(df.select(F.inline(pairs)), ["name"], F.col("x"), {"25%": 0.25, "50%": 0.5, "75%": 0.75})
+    both = moments.select(F.inline("m")).join(quarters, "name", "left")          # a row a column
     stats = F.array(*[F.struct(F.lit(s).alias("summary"), F.col(f"`{s}`").alias("v")) for s in SUMMARY])
     return (both.select("name", F.inline(stats)).groupBy("summary")
             .agg(*[F.max(F.when(F.col("name") == c, F.col("v"))).alias(c) for c in cols]))

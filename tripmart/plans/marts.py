@@ -102,15 +102,15 @@ def fare_percentiles(fact: DataFrame, labels: Sequence[str] = FARE_LABELS,
                      probs: Sequence[float] = (0.90, 0.95, 0.97)) -> DataFrame:
     """Exact interpolated fare percentiles per service and month.
 
-    Exact without a buffer per group: fares are counted, cut into fixed value
-    buckets, and only the buckets that hold a wanted rank are ordered
-    (operators/quantiles.py), so a hot month is spread over many tasks.
+    Exact without a buffer per group: the fares (written once, with their
+    keys) are counted by fixed value buckets, and only values in the buckets
+    that hold a wanted rank shuffle (operators/quantiles.py).
     """
     valid = fact.filter((F.col("fare_amount") > 0) & (F.col("trip_distance") > 0)
                         & F.col("payment_type_description").isin(list(labels)))
     keys = ["service_type", "year", "month"]
     names = [f"p{round(p * 100):d}" for p in probs]
-    out = QT.grouped_percentiles(valid, keys, F.col("fare_amount"), dict(zip(names, probs)))
+    out = QT.grouped_percentiles(valid, keys, F.col("fare_amount"), dict(zip(names, probs)), stage=True)
     return out.select(*keys, *names)
 
 

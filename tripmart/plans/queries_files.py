@@ -189,3 +189,44 @@ def q_dropped_table(m: Models):
 def q_tightened_types(m: Models):
     """A float column of whole numbers becomes bigint, another stays."""
     return S.tighten_types(m.table("lineitem").select("l_orderkey", "l_quantity", "l_tax"), ["l_quantity", "l_tax"])
+
+
+@register("external_catalog", "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
+def q_external_catalog(m: Models):
+    """A catalog table over partition folders; one of them lands after the
+    table was made, and another session of the catalog reads it too."""
+    path, name = scratch_path(m.spark, "external"), _name("external")
+    orders = m.table("orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    late = F.col("o_orderstatus") == "P"
+    orders.filter(~late).write.partitionBy("o_orderstatus").parquet(path)
+    R.external_catalog_table(m.spark, name, path, schema=orders.schema, partition_by=["o_orderstatus"])
+    orders.filter(late).write.mode("append").partitionBy("o_orderstatus").parquet(path)
+    R.refresh_external(m.spark, name)
+    return m.spark.table(name)
+
+
+@register("metadata_counts", """SELECT CAST(count(*) AS BIGINT) AS n_rows, min(l_orderkey) AS min_l_orderkey,
+  max(l_orderkey) AS max_l_orderkey, min(l_extendedprice) AS min_l_extendedprice, max(l_extendedprice) AS max_l_extendedprice
+FROM lineitem""")
+def q_metadata_counts(m: Models):
+    """A1 from file footers: rows, least and largest of two columns of lineitem."""
+    return R.metadata_summary(m.spark, f"{m.sf_dir.rstrip('/')}/lineitem.parquet", ["l_orderkey", "l_extendedprice"])
+
+
+@register("models_by_kind", O.sql("""SELECT service_type, year, CAST(total AS DOUBLE) AS total, CAST(n AS BIGINT) AS trips
+FROM (SELECT service_type, year, sum(total_amount) AS total, count(*) AS n FROM fact_trips GROUP BY service_type, year)""",
+                                  "fact_trips"))
+def q_models_by_kind(m: Models):
+    """Staging models go to the staging schema, the core model
+    built from them to the target schema; the result reads both."""
+    tag = uuid.uuid4().hex[:8]
+    schemas = {"core": f"tm_core_{tag}", "staging": f"tm_staging_{tag}"}
+
+    def model(df, name, kind):
+        return W.materialize(df, name, "table", model_kind=kind, path=scratch_path(m.spark, name), schemas=schemas)
+
+    green, yellow = model(m.stg_green, "stg_green", "staging"), model(m.stg_yellow, "stg_yellow", "staging")
+    zones = model(m.dim_zones, "dim_zones", "core")
+    model(M.fact_trips(green, yellow, zones), "fact_trips", "core")
+    fact = m.spark.table(f"{schemas['core']}.fact_trips")
+    return neutral(fact.groupBy("service_type", "year").agg(F.sum("total_amount").alias("total"), F.count(F.lit(1)).alias("trips")))

@@ -7,7 +7,8 @@ layout, create-if-absent, views vs. tables).
 
 from __future__ import annotations
 
-from typing import Sequence
+import uuid
+from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,12 +29,60 @@ def _table_writer(df: DataFrame, mode: str, path: str | None):
     return w.option("path", path) if path else w
 
 
-def load_overwrite(spark: SparkSession, name: str, glob: str, fmt: str = "parquet", path: str | None = None) -> DataFrame:
-    """Bulk load files into a table, replacing its contents."""
-    _table_writer(spark.read.format(fmt).load(glob), "overwrite", path).saveAsTable(name)
+def replace_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Replace a table's rows without a gap: the new rows are written to a
+    fresh folder (below ``path``, or beside the table's own), then the table
+    is pointed at it. Readers see the old rows until then, a query that began
+    earlier finishes on the old files, and a failed write changes nothing.
+    Old folders stay until :func:`remove_versions`. Only where the columns
+    change is the catalog entry dropped and made anew, after the write."""
+    spark = df.sparkSession
+    exists = spark.catalog.tableExists(name)
+    if not exists and not path:
+        df.write.format("parquet").saveAsTable(name)
+        return spark.table(name)
+    base = path or table_location(spark, name).rstrip("/")
+    place = f"{base}/{VERSION}{uuid.uuid4().hex[:12]}" if path else f"{base}-{VERSION}{uuid.uuid4().hex[:12]}"
+    df.write.parquet(place)
+    same = exists and [(f.name, f.dataType) for f in spark.table(name).schema] == [(f.name, f.dataType) for f in df.schema]
+    if same:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION {_text(place)}")
+        spark.catalog.refreshTable(name)
+    else:
+        if exists:
+            spark.sql(f"DROP TABLE {name}")
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION {_text(place)}")
     return spark.table(name)
 
 
+VERSION = "version-"
+
+
+def table_location(spark: SparkSession, name: str) -> str:
+    """Where a table's files lie now."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()     # one row
+    return rows[0].data_type
+
+
+def remove_versions(spark: SparkSession, name: str, path: str) -> int:
+    """Remove the folders below ``path`` that :func:`replace_table` left and
+    the table no longer uses; returns their number."""
+    jvm, now = spark.sparkContext._jvm, table_location(spark, name).rstrip("/")
+    base = jvm.org.apache.hadoop.fs.Path(path)
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    gone = [f.getPath() for f in fs.listStatus(base)
+            if f.getPath().getName().startswith(VERSION) and f.getPath().getName() != now.rsplit("/", 1)[1]]
+    for place in gone:
+        fs.delete(place, True)
+    return len(gone)
+
+
+def load_overwrite(spark: SparkSession, name: str, glob: str, fmt: str = "parquet", path: str | None = None) -> DataFrame:
+    """Bulk load files into a table, replacing its contents without a gap."""
+    return replace_table(spark.read.format(fmt).load(glob), name, path)
+
+
 def persist_table(df: DataFrame, path: str) -> DataFrame:
     """Write a model once to the shared folder and read it back: later
     plans scan the written files instead of re-deriving the model, and a
@@ -61,8 +110,11 @@ def export_data(df: DataFrame, path: str, overwrite: bool = False,
 
 
 def create_table_as(df: DataFrame, name: str, replace: bool = True, path: str | None = None) -> None:
-    """K4: CTAS / CREATE OR REPLACE TABLE."""
-    _table_writer(df, "overwrite" if replace else "errorifexists", path).saveAsTable(name)
+    """K4: CTAS / CREATE OR REPLACE TABLE (readers never meet a missing table)."""
+    if replace:
+        replace_table(df, name, path)
+    else:
+        _table_writer(df, "errorifexists", path).saveAsTable(name)
 
 
 def with_date_column(df: DataFrame, ts_col: str, date_col: str | None = None) -> DataFrame:
@@ -74,14 +126,14 @@ def write_partitioned(df: DataFrame, path: str, ts_col: str, cluster_by: Sequenc
     """K5: partition by the date of ``ts_col``, cluster (sort) within files.
     ``mode="overwrite"`` replaces the whole table, older dates included.
 
-    Rows are range-partitioned on (date, cluster columns): a small date
-    lands in one task (one file), a large or hot date is split over as many
-    tasks as its size needs, never one task per date. Files are sorted by the
-    clustering columns so parquet row-group statistics skip blocks. Returns
-    the partition column name (filter on it to prune).
+    The input is read once: rows are dealt by date and rebalanced by the sizes
+    that the shuffle itself measured (no sampling pass). Small dates share a
+    task, a large or hot date is split over as many as its size needs. Files
+    are sorted by the clustering columns so parquet row-group statistics skip
+    blocks. Returns the partition column name (filter on it to prune).
     """
     date_col = date_col or f"{ts_col}_date"
-    out = with_date_column(df, ts_col, date_col).repartitionByRange(date_col, *cluster_by)
+    out = with_date_column(df, ts_col, date_col).hint("rebalance", date_col)
     out = out.sortWithinPartitions(date_col, *cluster_by)
     (out.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(date_col).parquet(path))
     return date_col
@@ -128,35 +180,39 @@ def ensure_trips_table(spark: SparkSession, name: str, service: str, path: str |
 
 def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """K7: truncate-and-load staging: the table holds this batch only."""
-    _table_writer(df, "overwrite", path).saveAsTable(name)
-    return df.sparkSession.table(name)
+    return replace_table(df, name, path)
 
 
 def write_table(df: DataFrame, name: str, mode: str = "append", path: str | None = None) -> None:
-    """K9: replace ('overwrite') or add to ('append') a table."""
-    _table_writer(df, mode, path).saveAsTable(name)
-
-
-def model_schema(spark: SparkSession, model_kind: str) -> str:
-    """V2: the schema (database) a model goes to by its kind, made if new."""
-    schema = config.schema_for(model_kind)
+    """K9: replace ('overwrite', without a gap) or add to ('append') a table."""
+    if mode == "overwrite":
+        replace_table(df, name, path)
+    elif mode == "append" and df.sparkSession.catalog.tableExists(name):
+        df.select(*df.sparkSession.table(name).columns).write.insertInto(name)
+    else:
+        _table_writer(df, mode, path).saveAsTable(name)
+
+
+def model_schema(spark: SparkSession, model_kind: str, schemas: Mapping[str, str] | None = None) -> str:
+    """V2: the schema (database) a model goes to by its kind, made if new:
+    from ``schemas``, else from the environment (:func:`config.schema_for`)."""
+    schema = (schemas or {}).get(model_kind) or config.schema_for(model_kind)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
     return schema
 
 
 def materialize(df: DataFrame, name: str, kind: str = "view", model_kind: str | None = None,
-                path: str | None = None) -> DataFrame:
+                path: str | None = None, schemas: Mapping[str, str] | None = None) -> DataFrame:
     """A model as a temp view ('view'), a table ('table') or
     nothing ('ephemeral': the DataFrame is inlined where it is used). With a
     ``model_kind`` a table goes to that kind's schema (V2)."""
     if kind == "table" and model_kind:
-        name = f"{model_schema(df.sparkSession, model_kind)}.{name}"
+        name = f"{model_schema(df.sparkSession, model_kind, schemas)}.{name}"
     if kind == "view":
         df.createOrReplaceTempView(name)
         return df
     if kind == "table":
-        _table_writer(df, "overwrite", path).saveAsTable(name)
-        return df.sparkSession.table(name)
+        return replace_table(df, name, path)
     if kind == "ephemeral":
         return df
     raise ValueError(f"unknown materialization {kind!r}")

@@ -6,6 +6,9 @@ by ``read_inferred`` for exploration, never by the marts.
 
 from __future__ import annotations
 
+from typing import Mapping, Sequence
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -188,6 +191,49 @@ def external_table(spark: SparkSession, name: str, glob: str, fmt: str = "parque
     return df
 
 
+def external_catalog_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet",
+                           schema: T.StructType | str | None = None, partition_by: Sequence[str] = (),
+                           options: Mapping[str, str] | None = None) -> DataFrame:
+    """A catalog table over files where they lie, seen by every session of
+    the catalog. Nothing is copied, and dropping it leaves the files. Without
+    a schema the files' own is declared; ``partition_by`` are its folder
+    columns. Partitions that come later are found by :func:`refresh_external`."""
+    if schema is None:
+        reader = spark.read.format(fmt)
+        schema = (reader.options(**options) if options else reader).load(path).schema
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    given = f" OPTIONS ({', '.join(f'{k!r} {v!r}' for k, v in options.items())})" if options else ""
+    parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt}{given}{parts} LOCATION '{path}'")
+    if partition_by:
+        refresh_external(spark, name)
+    return spark.table(name)
+
+
+def refresh_external(spark: SparkSession, name: str) -> None:
+    """Make files and partition folders that came after the table was read
+    visible: a catalog that keeps partitions recovers them, another lists
+    the folders anew."""
+    try:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    except AnalysisException:               # not partitioned, or the catalog keeps no partitions
+        pass
+    spark.catalog.refreshTable(name)
+
+
+def metadata_summary(spark: SparkSession, path: str, cols: Sequence[str] = ()) -> DataFrame:
+    """A1: number of rows, and ``min_<c>`` / ``max_<c>`` of each column, from
+    the footers of parquet files: no column is read. Columns must have a type
+    whose footer statistics are exact (numbers, dates). The aggregate is
+    pushed into the scan by a session of its own, which has the setting."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    both = [f(c).alias(f"{n}_{c}") for c in cols for n, f in (("min", F.min), ("max", F.max))]
+    return own.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows"), *both)
+
+
 def read_json_records(spark: SparkSession, path: str, field: str,
                       item_type: str = "map<string,string>") -> DataFrame:
     """A JSON document holding an array of records -> one row per record.
