@@ -110,3 +110,45 @@ def test_landed_raw_tables_equal_the_fixture_plans(spark, sf_small):
         a, b = getattr(landed, name), getattr(plain, name)
         assert a.columns == b.columns
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_bucketed_target_is_not_moved(spark, tmp_path):
+    name = "bucketed_target"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    schema = spark.createDataFrame([], "unique_row_id string, v int").schema
+    for _ in range(2):
+        MG.ensure_bucketed(spark, name, schema, 4, path=str(tmp_path / "t"))
+    first = spark.createDataFrame([(f"k{i}", i) for i in range(500)], schema)
+    later = spark.createDataFrame([(f"k{i}", -i) for i in range(400, 700)] + [("k650", 7), (None, 1)], schema)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        for batch in (first, later, first):
+            MG.append_bucketed(spark, batch, name, 4)
+        got = sorted((str(r.unique_row_id), r.v) for r in spark.table(name).collect())
+        want = [(f"k{i}", i) for i in range(500)] + [(f"k{i}", -i) for i in range(500, 700)] + [("k650", 7), ("None", 1)]
+        assert got == sorted(want)
+        add = MG.new_bucketed_rows(spark, later, name, 4)
+        plan = plan_string(add)
+        # one exchange, of the batch; the table's buckets meet it as they lie
+        assert plan.split("\n\n(1)")[0].count(" Exchange (") == 1 and "Bucketed: true" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_a_batch_is_read_once(spark, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    rows = [("a.csv", i, dt.datetime(2024, 1, 1 + i % 3)) for i in range(60)] + [("b.csv", i, dt.datetime(2024, 1, 1 + i % 3)) for i in range(50, 70)]
+    files = spark.createDataFrame(rows, "filename string, unique_row_id long, pickup_datetime timestamp_ntz")
+    counted = files.mapInArrow(seen, files.schema)
+    for _ in range(2):
+        MG.append_new(spark, counted, str(tmp_path / "t"), first_by="filename", key_holds_date=True)
+    assert reads.value == 2 * len(rows)
+    got = spark.read.parquet(str(tmp_path / "t")).groupBy("filename").count().collect()
+    assert {r.filename: r["count"] for r in got} == {"a.csv": 60, "b.csv": 10}

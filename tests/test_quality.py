@@ -41,3 +41,20 @@ def test_report_and_severity(spark):
 def test_default_severity_is_error(spark):
     df = spark.createDataFrame([(None,)], "id int")
     assert Q.Check("not_null", "id", Q.check_not_null(df, "id")).severity == "error"
+
+
+def test_counts_taken_while_writing_equal_a_pass_of_their_own(spark, tmp_path):
+    zones = spark.createDataFrame([(1,), (2,)], "locationid int")
+    rows = [("Green", "a", 1, 2, 1), ("Green", "a", 1, 9, 7), ("Green", None, None, 2, 7), ("Green", None, 8, 8, 8),
+            ("Yellow", "b", 2, 1, None), ("Yellow", "b", 5, None, 0)]
+    trips = spark.createDataFrame(rows, "service_type string, tripid string, pickup_locationid int, dropoff_locationid int, payment_type int")
+    monthly = spark.createDataFrame([(1.0,), (None,)], "revenue_monthly_total_amount double")
+    written, observed = Q.build_observed(trips, zones, str(tmp_path / "t"))
+    assert written.count() == len(rows) and written.columns == trips.columns
+    one = sorted(map(tuple, Q.run_suite(written, zones, monthly, observed=observed).collect()))
+    two = sorted(map(tuple, Q.run_suite(trips, zones, monthly).collect()))
+    assert one == two and len(one) == 11
+    by = {(r[0], r[1], r[2]): r[4] for r in one}
+    assert by["stg_green", "unique", "tripid"] == 1 and by["stg_green", "not_null", "tripid"] == 2
+    assert by["stg_green", "relationships", "dropoff_locationid"] == 2 and by["stg_green", "accepted_values", "payment_type"] == 2
+    assert by["stg_yellow", "relationships", "pickup_locationid"] == 1 and by["stg_yellow", "accepted_values", "payment_type"] == 1

@@ -3,6 +3,7 @@
 import json
 
 import pytest
+import datetime as dt
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
@@ -222,3 +223,76 @@ def test_scale_conf_sizes_partitions():
     big = scale_conf(100 * 1024 ** 4, 8000)
     assert big["spark.sql.shuffle.partitions"] == "200000"          # 100 TB / 256 MB, capped
     assert big["spark.sql.sources.parallelPartitionDiscovery.parallelism"] == "10000"
+
+
+def test_replacing_leaves_no_gap_and_a_failed_write_nothing(spark, tmp_path):
+    name, path = "replaced_table", str(tmp_path / "replaced")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    W.replace_table(spark.range(5), name, path)
+    running = spark.table(name)
+    bad = spark.range(50).select(F.when(F.col("id") == 49, F.raise_error(F.lit("stop")).cast("bigint")).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        W.replace_table(bad, name, path)
+    assert spark.table(name).count() == 5
+    W.replace_table(spark.range(7), name, path)
+    assert spark.table(name).count() == 7 and running.count() == 5          # an older reader keeps its files
+    W.replace_table(spark.table(name).select((F.col("id") * 2).alias("id")), name, path)      # from its own rows
+    assert sorted(r.id for r in spark.table(name).collect()) == list(range(0, 14, 2))
+    W.replace_table(spark.range(3).select("id", F.lit("x").alias("more")), name, path)        # other columns
+    assert spark.table(name).columns == ["id", "more"] and spark.table(name).count() == 3
+    assert W.remove_versions(spark, name, path) >= 3 and spark.table(name).count() == 3
+    W.write_table(spark.table(name).limit(1), name, "append")
+    assert spark.table(name).count() == 4
+
+
+def test_managed_tables_are_replaced_too(spark):
+    name = "replaced_managed"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    for n in (3, 8):
+        W.stage(spark.range(n), name)
+        assert spark.table(name).count() == n
+    W.drop_table(spark, name)
+    assert not spark.catalog.tableExists(name)
+
+
+def test_catalog_table_over_files(spark, tmp_path):
+    name, path = "external_events", str(tmp_path / "ext")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    rows = spark.range(10).select("id", (F.col("id") % 2).cast("int").alias("part"))
+    rows.filter("part = 0").write.partitionBy("part").parquet(path)
+    assert R.external_catalog_table(spark, name, path, schema=rows.schema, partition_by=["part"]).count() == 5
+    rows.filter("part = 1").write.mode("append").partitionBy("part").parquet(path)
+    R.refresh_external(spark, name)
+    other = spark.newSession()                                # the catalog is shared, temp views are not
+    assert other.table(name).count() == 10 and other.table(name).filter("part = 1").count() == 5
+    W.drop_table(spark, name)
+    assert spark.read.parquet(path).count() == 10             # the files stay
+    csv = str(tmp_path / "csv")
+    spark.range(4).write.option("header", True).csv(csv)
+    spark.sql("DROP TABLE IF EXISTS external_csv")
+    assert R.external_catalog_table(spark, "external_csv", csv, "csv", "id bigint", options={"header": "true"}).count() == 4
+
+
+def test_counts_from_footers(spark, sf_small):
+    out = R.metadata_summary(spark, f"{sf_small}/lineitem.parquet", ["l_orderkey"])
+    plan = plan_string(out)
+    assert "PushedAggregation: [COUNT(*), MIN(l_orderkey), MAX(l_orderkey)]" in plan
+    li = spark.read.parquet(f"{sf_small}/lineitem.parquet")
+    want = li.agg(F.count("*"), F.min("l_orderkey"), F.max("l_orderkey")).first()
+    assert tuple(out.first()) == tuple(want)
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
+def test_partitioned_write_reads_its_input_once(spark, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame([(i, dt.datetime(2024, 1, 1 + i % 5)) for i in range(300)], "id int, ts timestamp_ntz")
+    W.write_partitioned(df.mapInArrow(seen, df.schema), str(tmp_path / "p"), "ts", ["id"], "day")
+    assert reads.value == 300
+    back = spark.read.parquet(str(tmp_path / "p"))
+    assert back.count() == 300 and back.select("day").distinct().count() == 5

@@ -43,3 +43,24 @@ def test_same_result_for_one_and_many_files_per_batch(spark, tmp_path):
         ST.ingest_available(spark, drop, SCHEMA, target, ckpt, key="event_id", ts_col="ts", files_per_batch=n)
         got.append(sorted((r.event_id, r.value) for r in spark.read.parquet(target).collect()))
     assert got[0] == got[1] == [(1, 1.0), (2, 2.0), (2, 2.0), (3, 13.0), (4, 24.0), (4, 24.0)]
+
+
+def test_bad_rows_go_to_quarantine_once(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from tripmart.sources import readers as R
+    schema = T.StructType.fromDDL(SCHEMA)
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    landing, target, bad, ckpt = (str(tmp_path / n) for n in ("landing", "target", "bad", "ckpt"))
+    spark.createDataFrame([("1", "2024-01-01 00:00:00", "1.5"), ("2", "2024-01-01 00:00:00", "oops"), ("x", "never", "2")],
+                          texts).coalesce(1).write.csv(landing)
+
+    def run(place):
+        return ST.ingest_available(spark, landing, texts, target, place, key="event_id", ts_col="ts", fmt="csv",
+                                   prepare=lambda df: R.typed(df, schema, "report"), quarantine=bad)
+
+    run(ckpt)
+    for again in (ckpt, str(tmp_path / "lost")):              # nothing new, then the batch replayed from the start
+        run(again)
+        assert [(r.event_id, r.value) for r in spark.read.parquet(target).collect()] == [(1, 1.5)]
+        assert sorted(r.bad_columns for r in spark.read.parquet(bad).collect()) == [["event_id", "ts"], ["value"]]

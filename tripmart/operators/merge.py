@@ -67,12 +67,14 @@ ROWS_PER_FILE = 5_000_000
 def _layout(df: DataFrame, batch: DataFrame, date_col: str, key: str) -> DataFrame:
     """Deal rows by (date, hash of the key) in one pass: a date of the batch
     gets a task for each ``ROWS_PER_FILE`` rows, so a hot date is split and a
-    small one makes one file. Files are sorted by key."""
+    small one makes one file. Files are sorted by key. The number of tasks is
+    given: merging small ones would open thousands of date files in a row."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sizes = (batch.groupBy(F.col(date_col).alias("_date"))
              .agg(F.ceil(F.count(F.lit(1)) / ROWS_PER_FILE).cast("int").alias("_tasks")))
     dealt = df.join(sizes, df[date_col].eqNullSafe(sizes["_date"]), "left")
     part = F.pmod(F.xxhash64(key), F.coalesce("_tasks", F.lit(1)))
-    return (dealt.repartition(F.col(date_col), part).select(*df.columns)
+    return (dealt.repartition(tasks, F.col(date_col), part).select(*df.columns)
             .sortWithinPartitions(date_col, key))
 
 

@@ -71,9 +71,9 @@ def grouped_percentiles(df: DataFrame, keys: Sequence[str], value: Column, probs
     keys, spark = list(keys), df.sparkSession
     x = df.select(*keys, value.cast("double").alias("_x")).filter(value_filter(F.col("_x")))
     if stage:
-        x = persist_table(x, scratch_path(spark, "percentile_values"))
+        x = persist_table(x, scratch_path(spark, "rank_values"))
     x = x.withColumn("_bucket", value_bucket(F.col("_x")))
-    needed = persist_table(wanted_buckets(x, keys, list(probs.values())), scratch_path(spark, "percentile_buckets"))
+    needed = persist_table(wanted_buckets(x, keys, list(probs.values())), scratch_path(spark, "rank_buckets"))
     names = {k: f"_k{i}" for i, k in enumerate(keys)}
     needed = needed.select(*[F.col(k).alias(n) for k, n in names.items()], F.col("_bucket").alias("_kb"),
                            "_start", "_n", "_ranks")
