@@ -69,3 +69,11 @@ def test_full_memo_changes_nothing(monkeypatch):
     e = T.Encoder(P.path("byte_bpe_50k.json"), True)
     got = [np.frombuffer(x, e.dtype).tolist() for t in texts for x in e.encode_all([t])]
     assert got == reference("byte_bpe_50k.json", texts)
+
+
+def test_other_operators_release_the_vocabulary():
+    from tripmart.llm.common import release_kept
+    first = T.encoder(P.path("byte_bpe_50k.json"), True)
+    assert T.encoder(P.path("byte_bpe_50k.json"), True) is first
+    release_kept()
+    assert T.encoder(P.path("byte_bpe_50k.json"), True) is not first

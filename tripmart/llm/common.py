@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from typing import Callable, Iterable, Iterator
 
 import numpy as np
@@ -36,6 +37,22 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: What modules keep in a Python worker for its next task: functions that drop it.
+KEPT: list[Callable[[], None]] = []
+
+
+def release_kept() -> None:
+    """Drop what other operators keep in this worker (vocabularies, memos) and
+    give freed memory back. Called by tasks that need none of it, since Spark
+    hands a worker from stage to stage."""
+    for drop in KEPT:
+        drop()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):          # another C library
+        pass
+
+
 def discard(*tables: DataFrame) -> None:
     """Remove tables that :func:`staged` wrote once no later step reads them."""
     for df in tables:

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import extended, numbered, pieces, rename_clashes, staged, text_bytes
+from .common import extended, numbered, pieces, release_kept, rename_clashes, staged, text_bytes
 
 WINDOW = 10
 BLOCK_WORDS = 1_000_000
@@ -250,6 +250,7 @@ def _scanned(batches: Iterator[pa.RecordBatch], text_col: str, block: Block) ->
             yield b, [len(w) for w in words[row:row + b.num_rows]], matches[row:row + b.num_rows]
             row += b.num_rows
 
+    release_kept()
     for b in pieces(batches, text_col):
         words.extend(word_ids(words_of(t), block) for t in text_bytes(b, text_col))
         held.append(b)

@@ -63,7 +63,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, numbered, pieces, rename_clashes, staged, text_bytes
+from .common import discard, numbered, pieces, release_kept, rename_clashes, staged, text_bytes
 
 WORDS = 5
 PERCENT = 80
@@ -207,6 +207,7 @@ def common_shingles(docs: DataFrame, text_col: str, words: int) -> DataFrame:
     last in the order of shingles, so that few blocks hold many documents;
     any order gives the same links."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_kept()
         for b in pieces(batches, "text"):
             sets = {s.tobytes(): s for s in shingle_sets(text_bytes(b, "text"), words)}
             seen, n = np.unique(np.concatenate(list(sets.values())), return_counts=True)
@@ -234,6 +235,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int, percen
     id_type = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_kept()
         for b in pieces(batches, "text"):
             sets = shingle_sets(text_bytes(b, "text"), words)
             yield pa.RecordBatch.from_arrays([
@@ -292,6 +294,7 @@ def _with_key(rows: DataFrame, col: str, keys: DataFrame) -> DataFrame:
 def _agree(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Links (a, b) of groups of texts sorted by (a, part, side): the group's
     own text first, then those to compare with it."""
+    release_kept()
     held: tuple | None = None                   # group and set of its own text
     for batch in pieces(batches, "text"):
         a, part, side, node = (batch.column(i).to_pylist() for i in range(4))
@@ -510,7 +513,7 @@ class _Points:
     def vector(self, row: tuple) -> np.ndarray:
         node = row[0]
         if node not in self.vectors:
-            if len(self.vectors) > 20_000:
+            if len(self.vectors) > 5_000:
                 self.vectors.clear()
             self.vectors[node] = unpack_vector(row[4])
         return self.vectors[node]
@@ -520,7 +523,7 @@ class _Points:
         key = (x[0], y[0]) if x[0] < y[0] else (y[0], x[0])
         got = self.bounds.get(key)
         if got is None:
-            if len(self.bounds) > 500_000:
+            if len(self.bounds) > 100_000:
                 self.bounds.clear()
             f, g = self.vector(x), self.vector(y)
             if len(f) != len(g):
@@ -597,6 +600,7 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]
 def _cell_pairs(batches: Iterator[pa.RecordBatch], percent: int, last_round: bool) -> Iterator[pa.RecordBatch]:
     """Candidate pairs (a, b) of all cells. Before the last round only a
     forest of each cell's pairs is given, and the block where some were left out."""
+    release_kept()
     points = _Points(percent)
     sent: set[tuple[int, int]] = set()
     out: list[tuple[int | None, int | None, int | None]] = []
@@ -610,7 +614,7 @@ def _cell_pairs(batches: Iterator[pa.RecordBatch], percent: int, last_round: boo
         for x, y in points.pairs(rows, last_round):
             pair = min(rows[x][0], rows[y][0]), max(rows[x][0], rows[y][0])
             if pair[0] != pair[1] and pair not in sent:
-                if len(sent) > 200_000:                 # only to send fewer repeats
+                if len(sent) > 100_000:                 # only to send fewer repeats
                     sent.clear()
                 sent.add(pair)
                 out.append((*pair, None))

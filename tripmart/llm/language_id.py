@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import extended, pieces, rename_clashes
+from .common import extended, pieces, release_kept, rename_clashes
 
 PROFILE = 400
 UNKNOWN = "und"
@@ -148,6 +148,7 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]], text_col: str = "t
     docs = rename_clashes(docs, ["lang_pred", "score"])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_kept()
         ranker = Ranker(profiles, size)
         for batch in pieces(batches, text_col):
             found = [ranker.predict(t) for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]

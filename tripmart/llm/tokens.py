@@ -19,6 +19,8 @@ import re
 
 import numpy as np
 
+from .common import KEPT
+
 MEMO_UNITS = 600_000
 TEXT_BYTES = 2 << 20  # text to encode at once
 LONG_UNIT = 64       # longer units are encoded each time, not kept
@@ -185,10 +187,11 @@ class Encoder:
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
+KEPT.append(_ENCODERS.clear)
 
 
 def encoder(path: str, spaced: bool) -> Encoder:
-    """The worker's encoder for one vocabulary file (kept while the worker lives)."""
+    """The worker's encoder for one vocabulary file (kept for its next task)."""
     key = (path, spaced)
     if key not in _ENCODERS:
         _ENCODERS[key] = Encoder(path, spaced)
