@@ -82,6 +82,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays(
             [pa.array([lang] * len(codes), pa.string()), pa.array(codes), pa.array(counts)], ["lang", "gram", "n"])
 
+    release_kept()
     for batch in pieces(batches, "text"):
         langs = np.array(batch.column(batch.schema.get_field_index("lang")).to_pylist(), object)
         texts = np.array(batch.column(batch.schema.get_field_index("text")).to_pylist(), object)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import extended, pieces as slices, staged
+from .common import extended, pieces as slices, release_kept, staged
 
 SIZE = 1024
 
@@ -145,6 +145,7 @@ def place(made: DataFrame, size: int = SIZE, digest: bool = False) -> DataFrame:
     at = keep.index("ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_kept()                # the texts are encoded by now
         for b in slices(batches, "ids"):
             length = b.column(b.schema.get_field_index("length")).to_numpy()
             sequence, offset = found.find(length, b.column(b.num_columns - 1).to_numpy())
@@ -190,6 +191,7 @@ def with_crc(df: DataFrame, length_col: str = "length") -> DataFrame:
     rest = [c for c in df.columns if c != "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_kept()
         for b in slices(batches, "ids"):
             crc = checksums(b.column(at).to_pylist(), b.column(n).to_pylist())
             yield pa.RecordBatch.from_arrays([c for i, c in enumerate(b.columns) if i != at] + [pa.array(crc, pa.int64())],
