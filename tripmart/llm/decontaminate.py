@@ -45,7 +45,7 @@ from .common import extended, numbered, pieces, release_kept, rename_clashes, st
 
 WINDOW = 10
 BLOCK_WORDS = 1_000_000
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 4 << 20
 MATCH = "struct<item_id:string,item_start:int,doc_start:int,length:int>"
 _MATCH_ARROW = pa.list_(pa.struct([("item_id", pa.string()), ("item_start", pa.int32()),
                                    ("doc_start", pa.int32()), ("length", pa.int32())]))
