@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import ID_TEXT, edge_rows, frame, words
@@ -45,10 +46,46 @@ def test_edges_and_random_rows(spark):
     assert not python_nodes(df)
 
 
-def test_filter_beyond_the_broadcast_bound_is_joined(spark):
-    rows = [(i, f"t{i % 700}") for i in range(1000)]
-    df = E.exact_groups(frame(spark, rows), broadcast_words=0)
-    assert order(got(df)) == order(brute(rows))
+def moved_columns(df):
+    """Column names of what the plan's hash and range exchanges move."""
+    plan = df._jdf.queryExecution().executedPlan()
+    found, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.initialPlan())
+            continue
+        if node.nodeName() == "Exchange":
+            out = node.output()
+            found.append({out.apply(i).name() for i in range(out.size())})
+        kids = node.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+    return found
+
+
+@pytest.mark.parametrize("segment", [256, 512, 1 << 24])
+def test_filter_in_segments(spark, segment):
+    """Beyond the broadcast bound each segment takes a pass; results stay."""
+    rows = edge_rows() + [(100 + i, f"t{i % 2100}") for i in range(3000)]      # 1024 words, up to 4 segments
+    assert E.filter_words(len(rows)) == 1024
+    assert order(got(E.exact_groups(frame(spark, rows), broadcast_words=segment))) == order(brute(rows))
+    wide = frame(spark, rows).withColumn("x", F.lit(1))
+    assert order(got(E.exact_groups(wide, broadcast_words=segment))) == order(brute(rows))
+
+
+def test_unique_rows_pass_without_an_exchange(spark, tmp_path):
+    """Only the branch of rows flagged as repeated moves texts, and it holds
+    the filter's flag; the rows' own hashes are probed by broadcast."""
+    rows = [(i, f"t{i % 900}") for i in range(1000)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = E.exact_groups(frame(spark, rows).withColumn("x", F.lit(1)))
+        moved = [m for m in moved_columns(df) if "text" in m]
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert len(moved) == 1 and "strategy=broadcast" in plan
+        assert order(got(df)) == order(brute(rows))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_crowded_filter_loses_nothing(spark):
