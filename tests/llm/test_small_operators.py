@@ -1,6 +1,7 @@
 """op1, op2, op7 and op8: brute force, accuracy, edges."""
 
 import datetime  # noqa: F401
+import random
 
 import numpy as np
 import pytest
@@ -204,3 +205,56 @@ def test_long_chain_of_later_references(spark):
 def test_a_call_follows_an_earlier_one_that_moved(spark):
     calls = [(1, 0, "a", "t", '{"a":"x"}', "c"), (1, 1, "b", "t", '{"a":"x"}', "a"), (1, 2, "c", "t", '{"a":"x"}', None)]
     assert [r.call_id for r in formatted(spark, calls, [])] == ["c", "a", "b"]
+
+
+def plain_order(calls):
+    """order_turn, order_step and cycle of every call, by walking each chain."""
+    turn = {(c, i): t for c, t, i, _, _, _ in calls}
+    needs = {(c, i): (c, n) for c, _, i, _, _, n in calls if (c, n) in turn}
+
+    def cycle(at):
+        """The calls of a cycle through ``at``, or none."""
+        seen, x = [at], needs.get(at)
+        while x is not None and x != at and x not in seen:
+            seen.append(x)
+            x = needs.get(x)
+        return seen if x == at else []
+
+    cut = {at for at in turn if cycle(at) and turn[at] == max(turn[x] for x in cycle(at))}
+    out = {}
+    for at in turn:
+        best, x, s = (turn[at], 0, at[1]), at, 0
+        while x in needs and x not in cut:
+            x, s = needs[x], s + 1
+            best = max(best, (turn[x], s, x[1]))
+        out[at] = (best[0], best[1], at in cut)
+    return out
+
+
+def test_order_of_random_needs_with_cycles(spark):
+    rng = random.Random(8)
+    calls = []
+    for conv in range(60):
+        n = rng.choice([1, 2, 3, 5, 9, 17])
+        for i in range(n):
+            calls.append((conv, rng.randrange(6), f"c{i}", "t", '{"a":"x"}', rng.choice([None, *(f"c{j}" for j in range(n + 1))])))
+    got = {(r.conv_id, r.call_id): (r.order_turn, r.order_step, r.errors == "cycle") for r in formatted(spark, calls, [])}
+    assert got == plain_order(calls)
+    assert any(v[2] for v in got.values())
+
+
+def test_chain_of_five_thousand_takes_log_rounds(spark, monkeypatch):
+    rounds = []
+    real = chat.staged
+    monkeypatch.setattr(chat, "staged", lambda df, name: (rounds.append(name), real(df, name))[1])
+    calls = [(1, i, f"c{i}", "t", '{"a":"x"}', f"c{i + 1}" if i < 4999 else None) for i in range(5000)]
+    got = {r.call_id: (r.order_turn, r.order_step) for r in formatted(spark, calls, [])}
+    assert got == {f"c{i}": (4999, 4999 - i) for i in range(5000)}
+    assert rounds.count("chat-keys") <= 14 + 1          # the first table is no round
+
+
+def test_schema_fields_with_dots_quotes_and_blanks(spark):
+    schema = {"t": {"a.b": ("string", True), "c d": ("integer", True), "e'f": ("boolean", True)}}
+    calls = [(1, 0, "x", "t", '{"a.b":"v","c d":1,"e\'f":true}', None), (1, 1, "y", "t", '{"a":{"b":"v"},"c d":"1"}', None)]
+    rows = chat.format_calls(spark.createDataFrame(calls, CALL), spark.createDataFrame([], RESULT), schema).collect()
+    assert {r.call_id: r.errors for r in rows} == {"x": "", "y": "missing:a.b,type:c d,missing:e'f,unexpected:a"}

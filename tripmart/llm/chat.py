@@ -33,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import discard, staged
 
 #: JSON types of a declared field, as Spark's variant functions name them.
 TYPES = {"string": ["STRING"], "integer": ["BIGINT"], "number": ["BIGINT", "DOUBLE"], "boolean": ["BOOLEAN"]}
@@ -68,33 +68,63 @@ def link(calls: DataFrame, results: DataFrame) -> DataFrame:
     return linked.unionByName(again).unionByName(extra)
 
 
+def _follow(edges: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Keys of the calls of ``edges`` (conv_id, call_id, own, needs, first) by
+    pointer doubling: conv_id, call_id, k, and the rows whose chain never ends
+    (they lead into a cycle; None if there are none), with the call a power of
+    two of steps on (``next``, on the cycle).
+
+    After r rounds a row holds the largest key of its next 2**r calls and
+    points 2**r calls on, to null once its chain has ended.
+    """
+    step = lambda k, n: F.struct(k["t"].alias("t"), (k["s"] + n).alias("s"), k["a"].alias("a"))
+    rows = staged(edges.select("conv_id", "call_id", F.greatest("own", step(F.col("first"), 1)).alias("k"),
+                               F.col("needs").alias("next")), "chat-keys")
+    longest = None
+    reach = 1
+    while not rows.filter("next IS NOT NULL").isEmpty():
+        if longest is None:             # no chain without a cycle is longer than its conversation
+            longest = rows.groupBy("conv_id").count().agg(F.max("count")).first()[0]
+        if reach > longest:
+            return rows.filter("next IS NULL"), rows.filter("next IS NOT NULL")
+        ahead = rows.select("conv_id", F.col("call_id").alias("next"), F.col("k").alias("nk"), F.col("next").alias("after"))
+        moved = (rows.filter("next IS NOT NULL").join(ahead, ["conv_id", "next"], "left")
+                 .select("conv_id", "call_id", F.greatest("k", F.when(F.col("nk").isNotNull(), step(F.col("nk"), reach))).alias("k"),
+                         F.col("after").alias("next")))
+        now = staged(rows.filter("next IS NULL").unionByName(moved), "chat-keys")
+        discard(rows)
+        rows, reach = now, 2 * reach
+    return rows, None
+
+
 def order(linked: DataFrame) -> DataFrame:
     """``linked`` with order_turn, order_step and cyclic.
 
-    A key is (turn, step, call it goes back to); a call takes the larger of
-    its own key and the key of the call it needs, one step on, until nothing
-    moves. A key that comes back to its own call closes a cycle: that call
-    (the latest of the cycle) keeps its own key.
+    A key is (turn, step, call it goes back to); a call takes the largest of
+    its own key and the keys of the calls along its chain of needs, one step
+    on for each. A cycle is cut at its latest call, which keeps its own key;
+    the calls that lead there are then followed once more.
     """
     own = linked.filter("status IN ('linked', 'missing')")
-    key = F.struct(F.col("turn").alias("t"), F.lit(0).alias("s"), F.col("call_id").alias("a"))
+    key = F.struct(F.col("turn").alias("t"), F.lit(0).cast("bigint").alias("s"), F.col("call_id").alias("a"))
     ids = own.select("conv_id", "call_id", "needs", key.alias("own"))
     target = ids.select("conv_id", F.col("call_id").alias("needs"), F.col("own").alias("first"))
     edges = staged(ids.join(target, ["conv_id", "needs"]), "chat-needs")
-    keys = edges.select("conv_id", "call_id", F.col("own").alias("k"), F.lit(False).alias("cyclic"))
-    moving = not edges.isEmpty()
-    while moving:
-        now = keys.select("conv_id", F.col("call_id").alias("needs"), F.col("k").alias("nk"))
-        mine = keys.select("conv_id", "call_id", "k", "cyclic")
-        both = edges.join(now, ["conv_id", "needs"], "left").join(mine, ["conv_id", "call_id"])
-        after = F.coalesce("nk", "first")
-        after = F.struct(after["t"].alias("t"), (after["s"] + 1).alias("s"), after["a"].alias("a"))
-        cyclic = F.col("cyclic") | ((after["a"] == F.col("call_id")) & (after > F.col("k")))
-        new = both.select("conv_id", "call_id", F.when(cyclic, F.col("own")).otherwise(F.greatest("k", after)).alias("k"),
-                          cyclic.alias("cyclic"), F.col("k").alias("was"))
-        keys = staged(new, "chat-keys")
-        moving = not keys.filter("k <> was").isEmpty()
-    keys = keys.select("conv_id", "call_id", F.col("k").alias("late"), "cyclic")
+    keys, looped = _follow(edges)
+    keys = keys.select("conv_id", "call_id", F.col("k").alias("late"), F.lit(False).alias("cyclic"))
+    if looped is not None:
+        # each call of a cycle is some call's ``next``, and its key holds the cycle's latest turn
+        ring = looped.select("conv_id", F.col("next").alias("call_id")).distinct()
+        ring = looped.join(ring, ["conv_id", "call_id"]).select(
+            "conv_id", "call_id", F.col("k.t").alias("latest"), F.lit(True).alias("in_ring"))
+        open_ = edges.join(looped.select("conv_id", "call_id"), ["conv_id", "call_id"]).join(ring, ["conv_id", "call_id"], "left")
+        cut = F.coalesce("in_ring", F.lit(False)) & F.col("own.t").eqNullSafe(F.col("latest"))
+        parted = staged(open_.withColumn("cut", cut).drop("latest", "in_ring"), "chat-cycles")
+        rest, endless = _follow(parted.filter("NOT cut").drop("cut"))
+        assert endless is None                  # every cycle is cut
+        keys = (keys.unionByName(rest.select("conv_id", "call_id", F.col("k").alias("late"), F.lit(False).alias("cyclic")))
+                .unionByName(parted.filter("cut").select("conv_id", "call_id", F.col("own").alias("late"),
+                                                         F.lit(True).alias("cyclic"))))
     out = linked.join(keys, ["conv_id", "call_id"], "left")
     ordered = F.col("status").isin("linked", "missing") & F.col("late").isNotNull()
     return (out.withColumn("order_turn", F.when(ordered, F.col("late.t")).otherwise(F.col("turn")))
@@ -111,7 +141,7 @@ def argument_errors(schemas: dict[str, dict[str, tuple[str, bool]]]) -> Column:
     for tool, fields in schemas.items():
         found = []
         for field, (kind, required) in sorted(fields.items()):
-            value = F.try_variant_get(parsed, f"$.{field}", "variant")
+            value = F.try_variant_get(parsed, f"$['{field}']" if "'" not in field else f'$["{field}"]', "variant")
             there = value.isNotNull() & ~F.is_variant_null(value)
             kind_ok = F.regexp_replace(F.schema_of_variant(value), r"\(.*", "").isin(
                 TYPES[kind] + (["DECIMAL"] if kind == "number" else []))

@@ -19,8 +19,8 @@ an empty result; input columns named like a result column are replaced.
 
 Scale: the hash rows shuffle as 8-byte bit positions, combined before the
 shuffle. A filter is broadcast as blocks of ``BLOCK`` words found by block
-number, a little over 8 bytes a word: ``broadcast_words`` (2**24, 67 million
-rows, 150 MB by default) bounds what an executor holds. A larger filter is
+number, about 9 bytes a word: ``broadcast_words`` (2**24, 67 million rows,
+150 MB by default) bounds what an executor holds. A larger filter is
 cut into segments of that size and each takes a pass of its own, whose rows
 are written to the shared folder; still nothing but possibly repeated rows
 shuffles. The passes over whole rows follow the number of repeated hashes
