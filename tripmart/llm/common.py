@@ -15,10 +15,19 @@ from pyspark.sql import types as T
 from ..session import _sc, scratch_path
 
 CHUNK_BYTES = 4 << 20      # text handled at once inside a task
+BATCH_BYTES = 8 << 20      # of an Arrow batch between the JVM and Python
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Hold the session's Arrow batches to ``BATCH_BYTES``. Spark's default of
+    64 MB stands several times over in an executor (both directions, in the
+    JVM's buffers and in Python) for each task that runs."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables (a parquet file or folder)."""
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -47,6 +56,7 @@ def release_kept() -> None:
     hands a worker from stage to stage."""
     for drop in KEPT:
         drop()
+    pa.default_memory_pool().release_unused()      # Arrow keeps what batches used
     try:
         ctypes.CDLL(None).malloc_trim(0)
     except (OSError, AttributeError):          # another C library
