@@ -13,13 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm import decontaminate, exact_dedup, jaccard_join, language_id, queries
-from tripmart.llm.common import numbered, staged, table
+from tripmart.llm.common import bounded_batches, numbered, staged, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the learned languages stay; a text without any
     letter (or no text) is of no language and goes. Profiles are learned from
     this stage's own input."""
+    bounded_batches(spark)
     profiles = queries.learn_languages(docs.select("doc_id", "text", "lang"))
     plain, names = numbered(docs)
     found = language_id.identify(plain, profiles, names["text"])
