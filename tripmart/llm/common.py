@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from ..session import _sc, scratch_path
 
 CHUNK_BYTES = 4 << 20      # text handled at once inside a task
+LEAN_BYTES = 1 << 20       # where arrays hold many bytes for each byte of text
 BATCH_BYTES = 8 << 20      # of an Arrow batch between the JVM and Python
 
 

@@ -63,7 +63,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, numbered, pieces, release_kept, rename_clashes, staged, text_bytes
+from .common import LEAN_BYTES, discard, numbered, pieces, release_kept, rename_clashes, staged, text_bytes
 
 WORDS = 5
 PERCENT = 80
@@ -208,7 +208,7 @@ def common_shingles(docs: DataFrame, text_col: str, words: int) -> DataFrame:
     any order gives the same links."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_kept()
-        for b in pieces(batches, "text"):
+        for b in pieces(batches, "text", LEAN_BYTES):
             sets = {s.tobytes(): s for s in shingle_sets(text_bytes(b, "text"), words)}
             seen, n = np.unique(np.concatenate(list(sets.values())), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(seen[n >= COMMON].view(np.int64))], ["shingle"])
@@ -236,7 +236,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int, percen
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_kept()
-        for b in pieces(batches, "text"):
+        for b in pieces(batches, "text", LEAN_BYTES):
             sets = shingle_sets(text_bytes(b, "text"), words)
             yield pa.RecordBatch.from_arrays([
                 b.column(b.schema.get_field_index("id")),

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import extended, pieces, release_kept, rename_clashes
+from .common import LEAN_BYTES, extended, pieces, release_kept, rename_clashes
 
 PROFILE = 400
 UNKNOWN = "und"
@@ -83,7 +83,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array([lang] * len(codes), pa.string()), pa.array(codes), pa.array(counts)], ["lang", "gram", "n"])
 
     release_kept()
-    for batch in pieces(batches, "text"):
+    for batch in pieces(batches, "text", LEAN_BYTES):
         langs = np.array(batch.column(batch.schema.get_field_index("lang")).to_pylist(), object)
         texts = np.array(batch.column(batch.schema.get_field_index("text")).to_pylist(), object)
         for lang in dict.fromkeys(langs):
@@ -151,7 +151,7 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]], text_col: str = "t
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_kept()
         ranker = Ranker(profiles, size)
-        for batch in pieces(batches, text_col):
+        for batch in pieces(batches, text_col, LEAN_BYTES):
             found = [ranker.predict(t) for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())],
