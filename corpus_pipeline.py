@@ -57,7 +57,7 @@ STAGES = [
 ]
 
 #: SQL can express neither the language model nor the tokenizer; the tests
-#: hold run() against a brute-force version.
+#: take the stages one by one, and no test calls run().
 ORACLE_SQL = None
 
 
