@@ -56,8 +56,8 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: SQL can express neither the language model nor the tokenizer; the tests
-#: take the stages one by one, and no test calls run().
+#: SQL can express neither the language model nor the tokenizer; the tests take
+#: the stages one by one and run() as a whole against plain versions.
 ORACLE_SQL = None
 
 
