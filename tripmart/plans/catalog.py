@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import staging as S
 from ..sources import fixtures as FX
 from . import marts as M
-from ..session import _sc, apply_runtime_conf, scratch_path
+from ..session import _sc, apply_runtime_conf, scratch_path, small_tasks
 from ..sinks import writers as W
 from .outputs import neutral
 
@@ -36,6 +36,11 @@ class Models:
             self._tables[name] = FX.table(self.spark, self.sf_dir, name)
         return self._tables[name]
 
+    @cached_property
+    def n_trips(self) -> int:
+        """Rows of lineitem, from the file footers."""
+        return self.table("lineitem").count()
+
     @cached_property
     def trips_raw(self) -> DataFrame:
         """The raw trips, landed once per session as a table in the shared
@@ -46,7 +51,8 @@ class Models:
         if not self.materialize_inputs:
             return raw
         path = scratch_path(self.spark, "trips_raw")
-        raw.write.partitionBy("service").parquet(path)
+        with small_tasks(self.spark, self.n_trips, folders=8):
+            raw.write.partitionBy("service").option("compression", "zstd").parquet(path)
         return self.spark.read.parquet(path).select(*raw.columns)
 
     @cached_property
@@ -55,8 +61,10 @@ class Models:
         table of the queries that ask for dates. Written in one step from the
         landed trips, clustered by pickup location within a date."""
         path = scratch_path(self.spark, "trips_by_date")
-        self.date_col = W.write_partitioned(self.trips_raw, path, "pickup_datetime",
-                                            cluster_by=["service", "pickup_location_id"], date_col="pickup_date")
+        trips = self.trips_raw
+        with small_tasks(self.spark, self.n_trips):
+            self.date_col = W.write_partitioned(trips, path, "pickup_datetime",
+                                                cluster_by=["service", "pickup_location_id"], date_col="pickup_date")
         return self.spark.read.parquet(path)
 
     @cached_property

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -91,6 +92,32 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(min(10_000, 2 * cores(spark))))
 
 
+ROWS_PER_TASK = 400_000
+TASK_BYTES = 16 * 1024 * 1024
+
+
+@contextmanager
+def small_tasks(spark: SparkSession, rows: int, folders: int = 0):
+    """For writes of ``rows`` wide rows: a shuffle inside gets at least a
+    partition for each ``ROWS_PER_TASK`` rows, and AQE merges them only up to
+    ``TASK_BYTES``, so that a task sorts in memory at any size of the table
+    (64 MB of shuffled rows are 1 GB in two sorts, which spilled). ``folders``
+    is the number of partition folders that a task may keep open: up to it,
+    rows go to their folders without a sort. The old settings come back."""
+    new = {"spark.sql.shuffle.partitions": str(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_TASK))),
+           "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TASK_BYTES)}
+    if folders:
+        new["spark.sql.maxConcurrentOutputFileWriters"] = str(folders)
+    old = {k: spark.conf.get(k) for k in new}
+    try:
+        for k, v in new.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def _sc(spark: SparkSession):
     """The SparkContext, or None on a session without one (Spark Connect)."""
     try:
