@@ -30,3 +30,32 @@ def test_landed_trips_keep_every_row(spark):
     m = catalog.Models(spark, SMOKE)
     plain = catalog.Models(spark, SMOKE, materialize_inputs=False).trips_raw
     assert m.trips_raw.exceptAll(plain).isEmpty() and plain.exceptAll(m.trips_raw).isEmpty()
+
+
+def _rows(spark, rows):
+    return spark.createDataFrame(rows, "unique_row_id string, filename string, t string").select(
+        "unique_row_id", "filename", F.col("t").cast("timestamp_ntz").alias("pickup_datetime"))
+
+
+def test_stored_batch_is_not_written_again(spark, tmp_path):
+    path = str(tmp_path / "target")
+    old = _rows(spark, [("a", "f1", "2020-01-01 10:00:00"), ("b", "f1", "2020-01-02 10:00:00"), (None, "f1", None)])
+    new = _rows(spark, [("b", "f2", "2020-01-02 10:00:00"), ("c", "f2", "2020-01-02 11:00:00"), ("c", "f2", "2020-01-02 11:00:00"),
+                        ("d", "f2", "2020-03-01 10:00:00"), (None, "f2", None), ("e", "f2", None)])
+    before = _folders(spark, "merge_batch")
+    for batch in (old, new, new.filter(F.col("unique_row_id").isNotNull())):
+        MG.append_new(spark, batch, path, key_holds_date=True, stored=True)
+    assert _folders(spark, "merge_batch") == before
+    got = sorted((r.unique_row_id or "", r.filename) for r in spark.read.parquet(path).collect())
+    assert got == [("", "f1"), ("", "f2"), ("a", "f1"), ("b", "f1"), ("c", "f2"), ("c", "f2"), ("d", "f2"), ("e", "f2")]
+
+
+def test_first_file_needs_no_shuffle_of_the_rows(spark, tmp_path):
+    rows = [("a", "f1"), ("a", "f1"), ("a", "f2"), ("b", "f2"), ("b", "f2"), (None, "f1"), (None, "f2"), ("c", "f3")]
+    path = str(tmp_path / "batch")
+    spark.createDataFrame(rows, "k string, f string").write.parquet(path)
+    out = MG.first_file_rows(spark.read.parquet(path), "k", "f")
+    got = sorted(((r.k or "", r.f) for r in out.collect()))
+    assert got == [("", "f1"), ("", "f2"), ("a", "f1"), ("a", "f1"), ("b", "f2"), ("b", "f2"), ("c", "f3")]
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" not in plan and "HashAggregate" not in plan and "SortAggregate" not in plan

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import exprs as X
-from ..session import scratch_path
+from ..session import scratch_path, small_tasks
 from ..sinks.writers import persist_table
 
 # Fields of the two row-id variants (fixed values, in hashing order).
@@ -27,6 +27,7 @@ ROW_ID_TEXT_FIELDS = ["vendor_id", "pickup_datetime", "dropoff_datetime", "picku
                       "dropoff_location_id", "fare_amount", "trip_distance"]
 ROW_ID_BYTES_FIELDS = ["vendor_id", "pickup_datetime", "dropoff_datetime", "pickup_location_id",
                        "dropoff_location_id"]
+CODEC = {"compression": "zstd"}      # md5 text takes half the room of snappy's
 
 
 def new_rows(source: DataFrame, target: DataFrame, key: str = "unique_row_id") -> DataFrame:
@@ -91,7 +92,8 @@ def _read_target(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 def append_new(spark: SparkSession, batch: DataFrame, target_path: str, key: str = "unique_row_id",
                ts_col: str = "pickup_datetime", date_col: str = "pickup_date",
-               key_holds_date: bool = False, first_by: str | None = None, keep_first_by: bool = True) -> None:
+               key_holds_date: bool = False, first_by: str | None = None, keep_first_by: bool = True,
+               stored: bool = False) -> None:
     """Merge one batch into a date-partitioned parquet target (insert only).
 
     The batch is written once to the shared folder (read and hashed once; a
@@ -100,41 +102,60 @@ def append_new(spark: SparkSession, batch: DataFrame, target_path: str, key: str
     row's file: of several files with a key the first brings it (see
     :func:`first_file_rows`), decided on the written batch. With ``key_holds_date`` (equal keys imply equal
     dates, as for ids that hash the pickup time) only the target's dates
-    between the batch's first and last, and its NULL date, are read.
+    between the batch's first and last, and its NULL date, are read, and only
+    the batch's rows between the target's first and last of these are joined.
+    ``stored``: the batch is a plain scan of written files (and hashes of its
+    columns), so that it is not written once more.
     """
     batch = batch.withColumn(date_col, F.to_date(F.col(ts_col)))
-    batch = persist_table(batch, scratch_path(spark, "merge_batch"))
+    if not stored:
+        batch = persist_table(batch, scratch_path(spark, "merge_batch"), **CODEC)
+    with small_tasks(spark, batch.count()):
+        _append_written(spark, batch, target_path, key, date_col, key_holds_date, first_by, keep_first_by)
+
+
+def _append_written(spark: SparkSession, batch: DataFrame, target_path: str, key: str, date_col: str,
+                    key_holds_date: bool, first_by: str | None, keep_first_by: bool) -> None:
+    """:func:`append_new` of a batch that lies in files."""
     if first_by:
         batch = first_file_rows(batch, key, first_by)
         batch = batch if keep_first_by else batch.drop(first_by)
     target = _read_target(spark, target_path, batch.schema)
     add = batch
-    if target is not None:
-        if key_holds_date:
-            span = batch.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).first()
-            dates = F.col(date_col).isNull()
-            if span.lo is not None:
-                dates = dates | F.col(date_col).between(F.lit(span.lo), F.lit(span.hi))
-            target = target.filter(dates)
+    if target is not None and key_holds_date:
+        span = batch.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).first()
+        dates = F.col(date_col).isNull()
+        if span.lo is not None:
+            dates = dates | F.col(date_col).between(F.lit(span.lo), F.lit(span.hi))
+        target = target.filter(dates)
+        held = target.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).first()
+        both = F.col(date_col).isNull()
+        if held.lo is not None:
+            both = both | F.col(date_col).between(F.lit(held.lo), F.lit(held.hi))
+        # rows of dates that the target lacks are new without a look at it
+        add = (batch.filter(~both)
+               .unionByName(new_rows(batch.filter(both), target.select(key), key).select(*batch.columns)))
+    elif target is not None:
         add = new_rows(batch, target.select(key), key).select(*batch.columns)
-    (_layout(add, batch, date_col, key).write.mode("append").partitionBy(date_col).parquet(target_path))
+    (_layout(add, batch, date_col, key).write.mode("append").options(**CODEC).partitionBy(date_col).parquet(target_path))
 
 
 def ingest_month(spark: SparkSession, month_df: DataFrame, target_path: str, filename: str,
-                 variant: str = "text", ts_col: str = "pickup_datetime") -> None:
+                 variant: str = "text", ts_col: str = "pickup_datetime", stored: bool = False) -> None:
     """Type (already done by the reader), hash, tag the file, merge. Row
     ids hash the pickup time, so equal ids share a date."""
     staged = tag_file(with_row_id(month_df, variant), filename)
-    append_new(spark, staged, target_path, ts_col=ts_col, key_holds_date=True)
+    append_new(spark, staged, target_path, ts_col=ts_col, key_holds_date=True, stored=stored)
 
 
 def ingest_files(spark: SparkSession, files: DataFrame, target_path: str, variant: str = "text",
-                 ts_col: str = "pickup_datetime") -> None:
+                 ts_col: str = "pickup_datetime", stored: bool = False) -> None:
     """I1 for any number of files at once. ``files`` are typed rows with the
     column ``filename``. The result is that of loading the files one after
     the other in order of their names: a row id that a file brings is taken
     from the first file that has it, with that file's repeats (T10)."""
-    append_new(spark, with_row_id(files, variant), target_path, ts_col=ts_col, key_holds_date=True, first_by="filename")
+    append_new(spark, with_row_id(files, variant), target_path, ts_col=ts_col, key_holds_date=True, first_by="filename",
+               stored=stored)
 
 
 def first_file_rows(df: DataFrame, key: str, file_col: str) -> DataFrame:
@@ -142,10 +163,20 @@ def first_file_rows(df: DataFrame, key: str, file_col: str) -> DataFrame:
     without a key all stay, as an insert-only merge keeps them.
 
     ``df`` is a written table. Only keys that several files hold can lose a
-    row; one aggregate finds them, and they are few where files are months."""
-    spans = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(
+    row; one aggregate finds them, and they are few where files are months.
+    It counts by a hash: a key of one row needs no look at its file, and
+    of the others only the rows with a hash that repeats go on by their key.
+    Both small results are written, so that Spark plans the joins by their
+    sizes and leaves the rows of ``df`` where they are."""
+    code = F.xxhash64(key)
+    keyed = df.filter(F.col(key).isNotNull()).select(F.col(key), F.col(file_col), code.alias("_code"))
+    repeated = keyed.groupBy(F.col("_code").alias("_again")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_again")
+    repeated = persist_table(repeated, scratch_path(df.sparkSession, "repeated_keys"))
+    keyed = keyed.join(repeated, keyed["_code"] == repeated["_again"], "left_semi")
+    spans = keyed.groupBy(F.col(key).alias("_key")).agg(
         F.min(file_col).alias("_first"), F.max(file_col).alias("_last"))
     first = spans.filter(F.col("_first") < F.col("_last")).drop("_last")
+    first = persist_table(first, scratch_path(df.sparkSession, "first_files"))
     later = (df[key] == first["_key"]) & (df[file_col] > first["_first"])
     return df.join(first, later, "left_anti")
 

@@ -138,8 +138,9 @@ def q_merge_insert_new(m: Models):
     hashed = MG.with_row_id(m.trips_raw, "text")
     path = scratch_path(m.spark, "merge_target")
     MG.append_new(m.spark, hashed.filter(F.col("pickup_datetime") < F.lit("1998-01-01").cast("timestamp_ntz")),
-                  path)
-    MG.append_new(m.spark, hashed.filter(F.col("pickup_datetime") >= F.lit("1997-12-01").cast("timestamp_ntz")), path)
+                  path, key_holds_date=True, stored=True)
+    MG.append_new(m.spark, hashed.filter(F.col("pickup_datetime") >= F.lit("1997-12-01").cast("timestamp_ntz")), path,
+                  key_holds_date=True, stored=True)
     return neutral(m.spark.read.parquet(path).select(*_KEEP))
 
 
@@ -180,9 +181,9 @@ def q_ingest_month(m: Models):
     adds nothing); 5-field byte row ids, file names kept."""
     path = scratch_path(m.spark, "ingest_target")
     files = m.raw_yellow.withColumn("filename", MG.month_file("yellow"))
-    MG.ingest_files(m.spark, files, path, variant="bytes")
+    MG.ingest_files(m.spark, files, path, variant="bytes", stored=True)
     again = MG.month_slice(m.raw_yellow, 1997, 12)
-    MG.ingest_month(m.spark, again, path, MG.month_file_name("yellow", 1997, 12), variant="bytes")
+    MG.ingest_month(m.spark, again, path, MG.month_file_name("yellow", 1997, 12), variant="bytes", stored=True)
     t = m.spark.read.parquet(path)
     return neutral(t.select(F.lower(F.hex("unique_row_id")).alias("unique_row_id_hex"), "filename",
                             "vendor_id", "pickup_datetime", "dropoff_datetime", "total_amount"))

@@ -83,11 +83,11 @@ def load_overwrite(spark: SparkSession, name: str, glob: str, fmt: str = "parque
     return replace_table(spark.read.format(fmt).load(glob), name, path)
 
 
-def persist_table(df: DataFrame, path: str) -> DataFrame:
+def persist_table(df: DataFrame, path: str, **options: str) -> DataFrame:
     """Write a model once to the shared folder and read it back: later
     plans scan the written files instead of re-deriving the model, and a
     lost executor recomputes from the files (lineage cut), not from raw."""
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").options(**options).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
