@@ -59,3 +59,8 @@ def test_first_file_needs_no_shuffle_of_the_rows(spark, tmp_path):
     assert got == [("", "f1"), ("", "f2"), ("a", "f1"), ("a", "f1"), ("b", "f2"), ("b", "f2"), ("c", "f3")]
     plan = out._jdf.queryExecution().sparkPlan().toString()
     assert "SortMergeJoin" not in plan and "HashAggregate" not in plan and "SortAggregate" not in plan
+
+
+def test_buckets_follow_the_rows():
+    assert MG.bucket_count(1000) == 8
+    assert MG.bucket_count(216_000_000) == 540

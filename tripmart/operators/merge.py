@@ -194,6 +194,15 @@ def ensure_bucketed(spark: SparkSession, name: str, schema: T.StructType, bucket
               f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS{place}")
 
 
+BUCKET_ROWS = 400_000
+
+
+def bucket_count(rows: int, least: int = 8) -> int:
+    """Buckets for a table of about ``rows`` rows: a bucket is one task's work
+    in every merge, so their number follows the table."""
+    return max(least, -(-rows // BUCKET_ROWS))
+
+
 def new_bucketed_rows(spark: SparkSession, batch: DataFrame, name: str, buckets: int, key: str = "unique_row_id") -> DataFrame:
     """The rows of a written batch whose key the bucketed table lacks. The
     batch is dealt to the buckets; the table is read where it lies."""

@@ -160,7 +160,7 @@ def q_merge_bucketed(m: Models):
     """The merge of ``merge_insert_new`` on a target bucketed by
     the row id: only the batch shuffles, the target is read where it lies."""
     hashed = MG.with_row_id(m.trips_raw, "text").select(*_KEEP)
-    name, buckets = f"tm_bucketed_{uuid.uuid4().hex[:10]}", 8
+    name, buckets = f"tm_bucketed_{uuid.uuid4().hex[:10]}", MG.bucket_count(m.n_trips)
     MG.ensure_bucketed(m.spark, name, hashed.schema, buckets, path=scratch_path(m.spark, "bucketed"))
     split = F.lit("1998-01-01").cast("timestamp_ntz")
     MG.append_bucketed(m.spark, hashed.filter(F.col("pickup_datetime") < split), name, buckets)
