@@ -64,3 +64,11 @@ def test_first_file_needs_no_shuffle_of_the_rows(spark, tmp_path):
 def test_buckets_follow_the_rows():
     assert MG.bucket_count(1000) == 8
     assert MG.bucket_count(216_000_000) == 540
+
+
+def test_documents_need_no_folder_each(spark):
+    before = _folders(spark, "json_records")
+    q = catalog.load()[0]["json_records"]
+    assert q(spark, SMOKE).count() == spark.read.parquet(f"{SMOKE}/events.parquet").count()
+    (place,) = _folders(spark, "json_records") - before
+    assert not [d for d in os.listdir(place) if os.path.isdir(os.path.join(place, d))]

@@ -46,7 +46,7 @@ def q_json_records(m: Models):
     """Documents that hold an array of records, one file each."""
     path = scratch_path(m.spark, "json_records")
     docs = _event_arrays(m).select("page", F.concat(F.lit('{"source":"app","records":'), "items", F.lit("}")).alias("value"))
-    docs.write.partitionBy("page").text(path)
+    docs.select("value").write.option("maxRecordsPerFile", 1).text(path)     # no folder for each document
     r = R.read_json_records(m.spark, path, "records").select("record")
     return r.select(F.col("record")["event_id"].cast("bigint").alias("event_id"),
                     F.col("record")["user_id"].cast("bigint").alias("user_id"),
@@ -58,7 +58,8 @@ def q_json_pages(m: Models):
     """Landed pages, each a JSON array; an empty page adds nothing."""
     path = scratch_path(m.spark, "json_pages")
     pages = _event_arrays(m).select("page", F.col("items").alias("value"))
-    pages.unionByName(m.spark.sql("SELECT -1 AS page, '[]' AS value")).write.partitionBy("page").text(path)
+    pages = pages.unionByName(m.spark.sql("SELECT -1 AS page, '[]' AS value"))
+    pages.select("value").write.option("maxRecordsPerFile", 1).text(path)
     return (R.read_json_pages(m.spark, path, "event_id bigint, user_id bigint, event_type string")
             .select("event_id", "user_id", "event_type"))
 
