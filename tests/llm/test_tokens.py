@@ -77,3 +77,25 @@ def test_other_operators_release_the_vocabulary():
     assert T.encoder(P.path("byte_bpe_50k.json"), True) is first
     release_kept()
     assert T.encoder(P.path("byte_bpe_50k.json"), True) is not first
+
+
+@pytest.mark.parametrize("name,spaced", KINDS)
+def test_only_distinct_units_become_strings(name, spaced, monkeypatch):
+    e = T.Encoder(P.path(name), spaced)
+    seen, ids_of = [], e._ids_of
+    monkeypatch.setattr(e, "_ids_of", lambda units: seen.append(units) or ids_of(units))
+    texts = ["one two one two. " * 500 + "end", None, "a\0b two", "", "two one"]
+    got = [np.frombuffer(b, e.dtype).tolist() for b in e.encode_all(texts)]
+    assert got == reference(name, [t or "" for t in texts])
+    assert len(seen) == 1 and len(set(seen[0])) == len(seen[0]) < 12
+
+
+def test_an_encoder_takes_the_place_of_what_others_kept(monkeypatch):
+    from tripmart.llm import common
+    common.release_kept()
+    kept = ["an index of an earlier stage"]
+    monkeypatch.setattr(common, "KEPT", [*common.KEPT, kept.clear])
+    first = T.encoder(P.path("byte_bpe_50k.json"), True)
+    assert not kept
+    kept.append("of the same stage")
+    assert T.encoder(P.path("byte_bpe_50k.json"), True) is first and kept

@@ -3,13 +3,16 @@
 BPE works on one pre-token at a time, so a text is cut only where the
 tokenizer itself always cuts (:func:`cut_spaced`, :func:`cut_dropped`), each
 distinct unit is encoded once per Python worker by the library, and a
-document's ids are the joined ids of its units. That equals encoding the
+document's ids are the joined ids of its units. Units are cut, told apart and
+joined as Arrow columns; only the distinct ones of a few MB of text become
+Python strings. That equals encoding the
 whole text (``tests/llm/test_tokens.py`` checks it) and saves most of the
 merge work. The memo is a cache of at most ``MEMO_UNITS`` units; it is
 emptied when full, so its memory is bounded and results never depend on it.
 
 A text that may hold the string of a special token goes to the library whole
-and gets that token's id, as the library does.
+and gets that token's id, as the library does; so does a text with a NUL,
+which marks the cuts.
 """
 
 from __future__ import annotations
@@ -18,11 +21,15 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-from .common import KEPT
+from .common import KEPT, release_kept
 
+CUT = "\0"           # between the units of a cut text
 MEMO_UNITS = 600_000
 TEXT_BYTES = 2 << 20  # text to encode at once
+WORDS_AT_ONCE = 200  # new words of one call to the library
 LONG_UNIT = 64       # longer units are encoded each time, not kept
 
 _CAREFUL_CUT = re.compile(r"(?<=[0-9A-Za-z])(?= [0-9A-Za-z])")
@@ -65,8 +72,8 @@ def _stops_follow_words(kinds: np.ndarray) -> bool:
     return not len(at) or bool(at[0] > 0 and (kinds[at - 1] == WORD).all())
 
 
-def cut_spaced(text: str) -> list[str]:
-    """Cut for a byte-level pattern in which a blank belongs to the word after it.
+def cut_spaced(text: str) -> str:
+    """Cuts (marked by ``CUT``) for a byte-level pattern in which a blank belongs to the word after it.
 
     A single blank or line feed between two non-space characters starts a
     pre-token, and so does a stop right after a letter or digit. Other texts
@@ -74,24 +81,23 @@ def cut_spaced(text: str) -> list[str]:
     """
     kinds = _kinds(text)
     if kinds is None:
-        return _CAREFUL_CUT.split(text)
+        return _CAREFUL_CUT.sub(CUT, text)
     space = kinds == SPACE
     if space[0] or space[-1] or (space[1:] & space[:-1]).any() or not _stops_follow_words(kinds):
-        return _CAREFUL_CUT.split(text)
-    return (text.replace(" ", "\0 ").replace("\n", "\0\n\0").replace(".", "\0.").replace(",", "\0,")
-            .split("\0"))
+        return _CAREFUL_CUT.sub(CUT, text)
+    return text.replace(" ", "\0 ").replace("\n", "\0\n\0").replace(".", "\0.").replace(",", "\0,")
 
 
-def cut_dropped(text: str) -> list[str]:
-    """Cut for a lower-casing pattern that drops white space: no pre-token
+def cut_dropped(text: str) -> str:
+    """Cuts (marked by ``CUT``) for a lower-casing pattern that drops white space: no pre-token
     spans a blank, and a stop right after a letter or digit starts one."""
     kinds = _kinds(text)
     if kinds is None:
-        return text.split(" ")
+        return text.replace(" ", CUT)
     text = text.lower().replace("\n", " ")      # Latin-1: lower case is one to one
     if _stops_follow_words(kinds):
         text = text.replace(".", " .").replace(",", " ,")
-    return text.split(" ")
+    return text.replace(" ", CUT)
 
 
 def _byte_letters() -> dict[int, str]:
@@ -119,17 +125,17 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.width == 2 else "<u4")
         self.spaced = spaced
         self.cut = cut_spaced if spaced else cut_dropped
-        # beginnings of special tokens: texts that hold one are not cut
-        self.special = {t.content[:2] for t in self.tok.get_added_tokens_decoder().values()}
-        letters = _byte_letters()
-        del letters[ord("\n")]                       # joins the words of one call
-        self.letters = letters
-        # the same model over words that are already pre-tokens, one per line
-        self.words = Tokenizer.from_file(path)
-        self.words.pre_tokenizer = pre_tokenizers.Split("\n", "removed")
-        if not spaced:
-            from tokenizers import normalizers
-            self.words.normalizer = normalizers.Sequence([])
+        # beginnings of special tokens, and the mark of a cut: texts that hold one are not cut
+        self.special = {CUT, *(t.content[:2] for t in self.tok.get_added_tokens_decoder().values())}
+        self.letters = _byte_letters()
+        # the same model (in memory once) over words that are already pre-tokens, one per line;
+        # the id of a line feed, which no word holds, ends each
+        self.words = Tokenizer(self.tok.model)
+        line = self.letters[ord("\n")]
+        self.words.pre_tokenizer = pre_tokenizers.Split(line, "isolated")
+        if spaced and self.tok.normalizer is not None:
+            self.words.normalizer = self.tok.normalizer
+        self.line, = self.words.encode(line, add_special_tokens=False).ids
         # units that are one pre-token of Latin-1 letters (as lower case as the vocabulary wants them)
         word = " ?[A-Za-zÀ-ÖØ-öø-ÿ]{1,200}" if spaced else "[a-zß-öø-ÿ]{1,200}"
         self.plain = re.compile(f"^{word}$", re.M)
@@ -147,13 +153,13 @@ class Encoder:
             units.difference_update([w + m for w, m in marked])
             units.update({m for _, m in marked if m not in memo})
             plain += {w for w, _ in marked}.difference(plain, memo)
-        for i in range(0, len(plain), 1000):
-            some = plain[i:i + 1000]
-            text = "\n".join(some).encode().decode("latin-1").translate(self.letters)
-            enc = self.words.encode(text, add_special_tokens=False)
-            flat = np.array(enc.ids, self.dtype).tobytes()
-            ends = (np.cumsum(np.bincount(enc.word_ids, minlength=len(some))) * self.width).tolist()
-            memo.update(zip(some, [flat[s:e] for s, e in zip([0, *ends], ends)]))
+        for i in range(0, len(plain), WORDS_AT_ONCE):
+            some = plain[i:i + WORDS_AT_ONCE]
+            text = "\n".join([*some, ""]).encode().decode("latin-1").translate(self.letters)
+            ids = np.array(self.words.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+            ends = (np.flatnonzero(ids == self.line) * self.width).tolist()
+            flat = ids.tobytes()
+            memo.update(zip(some, [flat[s:e] for s, e in zip([0, *(e + self.width for e in ends)], ends)]))
         odd = list(units)
         for u, enc in zip(odd, self.tok.encode_batch(odd, add_special_tokens=False)):
             memo[u] = np.array(enc.ids, self.dtype).tobytes()
@@ -162,27 +168,39 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each whole text (null: none); pass a few MB at a time."""
-        whole = {i: self._whole(t) for i, t in enumerate(texts) if t and any(m in t for m in self.special)}
-        cut = [self.cut(t) if t and i not in whole else [] for i, t in enumerate(texts)]
+    def _ids_of(self, units: list[str]) -> list[bytes]:
+        """The ids of distinct units, learned where the memo lacks them."""
         if len(self.memo) > MEMO_UNITS // 2:
             self.memo, self.old = {"": b""}, self.memo
-        new = set().union(*cut).difference(self.memo)
-        known = new & self.old.keys() if len(new) < len(self.old) else {u for u in self.old if u in new}
-        self.memo.update((u, self.old[u]) for u in known)
-        new -= known
-        brief = {u for u in new if len(u) <= LONG_UNIT and u}
-        self._learn(brief, self.memo)
-        memo = self.memo
+        memo, old, once = self.memo, self.old, {}
+        ids = list(map(memo.get, units))
+        lack = [i for i, x in enumerate(ids) if x is None]
+        new = [units[i] for i in lack]
+        memo.update([(u, old[u]) for u in new if u in old])
+        new = {u for u in new if u not in memo}
+        brief = {u for u in new if len(u) <= LONG_UNIT}
+        self._learn(brief, memo)
         if len(brief) < len(new):
-            memo = {}
-            self._learn({u for u in new if u} - brief, memo)
-            out = [b"".join([self.memo[u] if u in self.memo else memo[u] for u in us]) for us in cut]
-        else:
-            out = [b"".join(map(memo.__getitem__, us)) for us in cut]
-        for i, ids in whole.items():
-            out[i] = ids
+            self._learn(new - brief, once)
+        for i in lack:
+            u = units[i]
+            ids[i] = memo[u] if u in memo else once[u]
+        return ids
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each whole text (null: none); pass a few MB at a time."""
+        whole = {i: self._whole(t) for i, t in enumerate(texts) if t and any(m in t for m in self.special)}
+        cut = pc.split_pattern(pa.array([self.cut(t) if t and i not in whole else "" for i, t in enumerate(texts)],
+                                        pa.large_string()), CUT)
+        units = cut.flatten().dictionary_encode()
+        ids = pa.array(self._ids_of(units.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(units.indices)
+        ends = np.zeros(len(ids) + 1, np.int64)          # bytes of ids up to each unit
+        np.cumsum(pc.binary_length(ids).to_numpy(), out=ends[1:])
+        ends = ends[cut.offsets.to_numpy()].tolist()
+        flat = memoryview(ids.buffers()[2] or b"")
+        out = [bytes(flat[s:e]) for s, e in zip(ends, ends[1:])]
+        for i, x in whole.items():
+            out[i] = x
         return out
 
 
@@ -191,8 +209,10 @@ KEPT.append(_ENCODERS.clear)
 
 
 def encoder(path: str, spaced: bool) -> Encoder:
-    """The worker's encoder for one vocabulary file (kept for its next task)."""
+    """The worker's encoder for one vocabulary file (kept for its next task);
+    it takes the place of what earlier stages kept in the worker."""
     key = (path, spaced)
     if key not in _ENCODERS:
+        release_kept()
         _ENCODERS[key] = Encoder(path, spaced)
     return _ENCODERS[key]
