@@ -180,3 +180,29 @@ def test_large_blocks_pass_whole(monkeypatch):
         got = out.to_pylist()
         assert len([r for r in got if r["block"] == 2]) == 20 and len([r for r in got if r["block"] == 4]) == 9
         assert [r["node"] for r in got if r["block"] in (1, 3)] == [10, 11, 12, 33, 34]
+
+
+def test_sets_just_too_different_to_link_seldom_pass():
+    rng = np.random.RandomState(3)
+    for n in (146, 600):
+        common = rng.randint(0, 2**63, n * 27 // 32).astype(np.uint64)
+        sets = [np.unique(np.concatenate([common, rng.randint(0, 2**63, n - len(common)).astype(np.uint64)])) for _ in range(100)]
+        rows = [(k, len(s), k, 0, J.pack_vector(J.count_vector(s))) for k, s in enumerate(sets)]      # 73 of 100 alike
+        assert len(list(J._Points(80).pairs(rows, True))) < 100 * 99 / 2 / 4
+
+
+def test_packed_counts_come_back():
+    for most in (1, 3, 4, 255, 256, 70_000):
+        v = np.zeros(J.GROUPS, "<u4")
+        v[[0, 5, 63]] = most, 2, max(most - 1, 1)
+        assert (J.unpack_vector(J.pack_vector(v)) == v).all()
+
+
+def test_blocks_are_counted_where_they_are_whole(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(J, "TILE", 6)
+    t = pa.table({"block": [1] * 3 + [2] * 20 + [3] + [4] * 6, "node": list(range(30))})
+    for step in (1, 4, 7, 100):
+        got = pa.Table.from_batches(list(J._sized_rows(iter(t.to_batches(max_chunksize=step))))).to_pydict()
+        assert got["node"] == list(range(30)) and got["k"][3:23] in ([None] * 20, [20] * 20)
+        assert got["k"][:3] + got["k"][23:] == [3] * 3 + [1] + [6] * 6

@@ -6,7 +6,7 @@ A document's set is its distinct word shingles. Two documents link when
 The join, exact at every size:
 
 1. Shingles are hashed to 64 bits and each set's shingles are counted in
-   hash groups: the set's *count vector*. The overlap of two sets is at most
+   hash groups, up to two for each shingle: the set's *count vector*. The overlap of two sets is at most
    the sum over the groups of the smaller count. Longer sets have more
    groups; a vector folds to fewer groups by adding its halves.
 2. Equal sets collapse into one node. Sets that can link share one of their
@@ -63,12 +63,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LEAN_BYTES, discard, numbered, pieces, release_kept, rename_clashes, staged, text_bytes
+from .common import LEAN_BYTES, discard, extended, numbered, pieces, release_kept, rename_clashes, staged, text_bytes
 
 WORDS = 5
 PERCENT = 80
 GROUPS = 64           # hash groups of the R-tree's vectors, the fewest of any
-MOST_GROUPS = 1024    # bound of a vector's size
+MOST_GROUPS = 4096    # bound of a vector's size
 ROUNDS = 2            # rounds of the R-tree join at most; the last one is complete
 CENTRES = 4           # least shingles by which a node is pre-linked
 COMMON = 6            # documents of a slice of text that make a shingle common
@@ -170,10 +170,12 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
 
 
 def groups_for(n: int) -> int:
-    """Groups of a set of ``n`` shingles: about a quarter as many, a power of two,
-    so that the bound is sharp for long texts too. Halves of a vector add up
-    to the vector of half as many groups (:func:`fold`)."""
-    return min(MOST_GROUPS, max(GROUPS, 1 << (n // 4).bit_length()))
+    """Groups of a set of ``n`` shingles: up to twice as many, a power of two, so
+    that shingles two sets don't share seldom meet in a group and the bound
+    comes close to the overlap (a quarter as many let through every pair of
+    large groups of documents that are just too different to link). Halves of
+    a vector add up to the vector of half as many groups (:func:`fold`)."""
+    return min(MOST_GROUPS, max(GROUPS, 1 << n.bit_length()))
 
 
 def count_vector(shingles: np.ndarray) -> np.ndarray:
@@ -183,17 +185,31 @@ def count_vector(shingles: np.ndarray) -> np.ndarray:
 
 def fold(vector: np.ndarray, groups: int) -> np.ndarray:
     """The count vector of fewer groups."""
-    return vector.reshape(-1, groups).sum(axis=0)
+    return vector.reshape(-1, groups).sum(axis=0, dtype=np.int64)
+
+
+_QUARTERS = (np.arange(256, dtype=np.uint8)[:, None] >> np.array([0, 2, 4, 6], np.uint8)) & 3
 
 
 def pack_vector(vector: np.ndarray) -> bytes:
-    """Counts as 1, 2 or 4 bytes each, after a byte that says which."""
+    """Two bits a count, after a byte for the number of groups (a power of two)
+    and one for the width of what follows: the counts of three and more, in
+    order, as 1, 2 or 4 bytes each."""
+    low = np.minimum(vector, 3).astype(np.uint8)
     width = 1 if vector.max() < 1 << 8 else 2 if vector.max() < 1 << 16 else 4
-    return bytes([width]) + vector.astype(f"<u{width}").tobytes()
+    return (bytes([len(vector).bit_length() - 1, width]) + (low[::4] | low[1::4] << 2 | low[2::4] << 4 | low[3::4] << 6).tobytes()
+            + vector[low == 3].astype(f"<u{width}").tobytes())
 
 
 def unpack_vector(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int32)
+    size, width = (1 << data[0]) // 4, data[1]
+    out = _QUARTERS[np.frombuffer(data, np.uint8, size, 2)].ravel()
+    more = np.frombuffer(data, f"<u{width}", offset=2 + size)
+    if len(more):
+        high = out == 3
+        out = out.astype(more.dtype)
+        out[high] = more
+    return out
 
 
 def in_bits(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
@@ -683,42 +699,66 @@ def _compatible(n: np.ndarray, pos: np.ndarray, comp: np.ndarray, percent: int)
     return keep
 
 
-def _compatible_rows(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Rows (block, n_shingles, node, comp, pos), sorted by block and size,
-    that have a compatible partner."""
-    def kept(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        block, n, pos, comp = (t[c].to_numpy() for c in ("block", "n_shingles", "pos", "comp"))
-        keep = np.zeros(len(block), bool)
-        change = np.flatnonzero(np.diff(block)) + 1
-        starts, ends = np.concatenate([[0], change]), np.concatenate([change, [len(block)]])
-        for a, b in zip(starts.tolist(), ends.tolist()):
-            if b - a > 1:
-                keep[a:b] = _compatible(n[a:b], pos[a:b], comp[a:b], percent)
-        yield from t.filter(pa.array(keep)).combine_chunks().to_batches()
-
+def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, pa.Table]]:
+    """Rows sorted by their first column, the block, as tables of whole blocks
+    (True), and as parts of one block that is too large to look at whole (False)."""
     held: list[pa.RecordBatch] = []
-    passing: int | None = None             # a block too large to look at whole: all its rows stay
+    passing: int | None = None
     for b in batches:
         if not b.num_rows:
             continue
         block = b.column(0).to_numpy()
         if passing is not None:
             own = int(np.searchsorted(block != passing, True))
-            yield b.slice(0, own)
+            yield False, pa.Table.from_batches([b.slice(0, own)])
             b, block = b.slice(own), block[own:]
             if not b.num_rows:
                 continue
             passing = None
+        if held and held[0].column(0)[0].as_py() != block[0]:
+            yield True, pa.Table.from_batches(held)
+            held = []
         cut = int(np.searchsorted(block, block[-1], side="left"))     # the last block may go on
         if cut:
-            yield from kept(pa.Table.from_batches([*held, b.slice(0, cut)]))
+            yield True, pa.Table.from_batches([*held, b.slice(0, cut)])
             held = []
         held.append(b.slice(cut))
         if sum(x.num_rows for x in held) > TILE:
-            yield from held
+            yield False, pa.Table.from_batches(held)
             held, passing = [], int(block[-1])
     if held:
-        yield from kept(pa.Table.from_batches(held))
+        yield True, pa.Table.from_batches(held)
+
+
+def _spans(block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First row of each block, and the row after its last."""
+    change = np.flatnonzero(np.diff(block)) + 1
+    return np.concatenate([[0], change]), np.concatenate([change, [len(block)]])
+
+
+def _compatible_rows(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows (block, n_shingles, node, comp, pos), sorted by block and size,
+    that have a compatible partner; all rows of a block too large to look at whole."""
+    for whole, t in _by_block(batches):
+        if whole:
+            block, n, pos, comp = (t[c].to_numpy() for c in ("block", "n_shingles", "pos", "comp"))
+            keep = np.zeros(len(block), bool)
+            for a, b in zip(*(x.tolist() for x in _spans(block))):
+                if b - a > 1:
+                    keep[a:b] = _compatible(n[a:b], pos[a:b], comp[a:b], percent)
+            t = t.filter(pa.array(keep))
+        yield from t.combine_chunks().to_batches()
+
+
+def _sized_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows, sorted by block, with their block's number of rows ``k``; null
+    for a block too large to look at whole."""
+    for whole, t in _by_block(batches):
+        k = pa.nulls(t.num_rows, pa.int64())
+        if whole:
+            a, b = _spans(t["block"].to_numpy())
+            k = pa.array(np.repeat(b - a, b - a))
+        yield from t.append_column("k", k).combine_chunks().to_batches()
 
 
 def crossing(rows: DataFrame, label: DataFrame, percent: int) -> DataFrame:
@@ -727,11 +767,13 @@ def crossing(rows: DataFrame, label: DataFrame, percent: int) -> DataFrame:
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     known = rows.join(label, "node", "left").select("block", "n_shingles", "node", F.coalesce("root", "node").alias("comp"), "pos")
     known = known.repartition(parts, "block").sortWithinPartitions("block", "n_shingles")
-    known = staged(known.mapInArrow(lambda b: _compatible_rows(b, percent), known.schema), "jaccard-blocks")
-    sizes = staged(known.groupBy("block").agg(F.count("*").alias("k")), "jaccard-sizes")
-    out = staged(known.join(sizes, "block"), "jaccard-cross")
-    discard(known, sizes)
-    return out
+    out = staged(known.mapInArrow(lambda b: _sized_rows(_compatible_rows(b, percent)), extended(known, "k long")), "jaccard-cross")
+    # the few blocks that no task saw whole are counted here
+    large = out.filter("k IS NULL").drop("k")
+    sizes = staged(large.groupBy("block").agg(F.count("*").alias("k")), "jaccard-sizes")
+    if sizes.isEmpty():
+        return out
+    return out.filter("k IS NOT NULL").unionByName(large.join(sizes, "block"))
 
 
 def candidates(rows: DataFrame, points: DataFrame, percent: int, tile: int, last_round: bool) -> DataFrame:
