@@ -206,3 +206,42 @@ def test_blocks_are_counted_where_they_are_whole(monkeypatch):
         got = pa.Table.from_batches(list(J._sized_rows(iter(t.to_batches(max_chunksize=step))))).to_pydict()
         assert got["node"] == list(range(30)) and got["k"][3:23] in ([None] * 20, [20] * 20)
         assert got["k"][:3] + got["k"][23:] == [3] * 3 + [1] + [6] * 6
+
+
+def test_lists_of_linking_sets_share_enough():
+    rng = np.random.RandomState(5)
+    for n in [*range(1, 60), 200, 501]:
+        for _ in range(6):
+            both = rng.choice(10 * n + 50, n, replace=False)
+            other = np.concatenate([both[rng.randint(0, n // 5 + 1):], -1 - rng.choice(10 * n, rng.randint(0, n // 5 + 1), replace=False)])
+            k = len(np.intersect1d(both, other))
+            if 100 * k < 80 * (len(both) + len(other) - k):
+                continue
+            lists = [np.sort(x)[:J.listed_length(len(x))] for x in (both, other)]
+            assert len(np.intersect1d(*lists)) >= max(J.least_shared(len(both)), J.least_shared(len(other)))
+
+
+def test_nodes_with_few_shared_shingles_go_to_no_block(spark):
+    rng = random.Random(11)
+    passage = words(rng, 20)                   # 16 of about 96 shingles; near copies share most
+    rows = [(i, " ".join([f"a{i}x{k}" for k in range(40)] + passage + [f"b{i}x{k}" for k in range(40)])) for i in range(5)]
+    rows += [(10 + i, " ".join([f"c{k}" for k in range(90)] + [f"d{i}"])) for i in range(2)]
+    prints = J.fingerprints(frame(spark, rows), "doc_id", "text", 5, 80)
+    near = {r.node for r in prints.filter("id >= 10").collect()}
+    assert {r.node for r in J.shared_blocks(prints).collect()} == near
+
+
+def test_repeated_keys(spark, monkeypatch):
+    monkeypatch.setattr(J, "KEYS", 4)
+    lists = [[1, 2, 3], [2, -7, 2**62], [], [5, 2, 2**62, 9], [-7], [2]]
+    frame_ = spark.createDataFrame([(x,) for x in lists], "prefix array<long>").repartition(3)
+    often, mask = J.repeated_keys(frame_, sum(map(len, lists)))
+    flat = [x & mask for x in sum(lists, [])]
+    assert sorted(r.key for r in often.collect()) == sorted({x for x in flat if flat.count(x) > 1})
+
+
+def test_blocks_of_the_same_nodes_go_on_once(spark):
+    rows = [(b, 100, n, 0) for b in range(30) for n in (7, 8)] + [(b, 100, n, 0) for b in range(30, 34) for n in (7, 8, 9)]
+    label = spark.createDataFrame([], "node long, root long")
+    cross = J.crossing(spark.createDataFrame(rows, "block long, n_shingles long, node long, pos int"), label, 80).collect()
+    assert sorted((r.node, r.k) for r in cross) == [(7, 2), (7, 3), (8, 2), (8, 3), (9, 3)]

@@ -14,6 +14,10 @@ The join, exact at every size:
    node goes to the blocks of those shingles; that spreads the join.
    In that order shingles common to many documents come last, so that shared
    lines and passages make few large blocks.
+   The list goes on for ``MORE`` hundredths of the set beyond that prefix: two
+   sets that link share as many hundredths of the smaller one within their
+   lists, so a node with fewer shingles there that any other document holds
+   links with nothing and goes to no block.
 3. Pre-linking: every node is verified against the smallest node that shares
    one of its ``CENTRES`` least shingles (a row per node and shingle, never
    all pairs). This merges large groups of near copies at linear cost.
@@ -70,8 +74,10 @@ PERCENT = 80
 GROUPS = 64           # hash groups of the R-tree's vectors, the fewest of any
 MOST_GROUPS = 4096    # bound of a vector's size
 ROUNDS = 2            # rounds of the R-tree join at most; the last one is complete
+MORE = 10             # hundredths of a set by which its list of shingles is longer than the prefix
 CENTRES = 4           # least shingles by which a node is pre-linked
 COMMON = 6            # documents of a slice of text that make a shingle common
+KEYS = 1 << 21        # keys that a task counts at once
 TILE = 4096           # nodes of a block that one task compares
 LEAF = 32             # points of an R-tree leaf
 FANOUT = 8            # children of an R-tree node above the leaves
@@ -169,6 +175,20 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n + (-percent * n) // 100 + 1
 
 
+def listed_length(n: int, percent: int = PERCENT) -> int:
+    """Shingles of a set's list: the prefix and ``MORE`` hundredths of the set."""
+    left = max(0, percent - MORE) * n // 100
+    return max(prefix_length(n, percent), n - left)
+
+
+def least_shared(n: int, percent: int = PERCENT) -> int:
+    """Shingles of its list that a set of ``n`` shares with the list of any set
+    it links with. Say x's list ends first in the order: of the overlap (at
+    least ``percent`` hundredths of the larger set) only what x's list leaves
+    out (at most ``percent - MORE`` hundredths of x) is outside both lists."""
+    return max(1, -(-min(MORE, percent) * n // 100))
+
+
 def groups_for(n: int) -> int:
     """Groups of a set of ``n`` shingles: up to twice as many, a power of two, so
     that shingles two sets don't share seldom meet in a group and the bound
@@ -239,13 +259,13 @@ def addressed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
-    """id, its row's address, n_shingles, node, prefix shingles (common ones last), the first
-    shingles in plain hash order, and the count vector of every row."""
+    """id, its row's address, n_shingles, node, the list of its first shingles (common ones last),
+    the first shingles in plain hash order, and the count vector of every row."""
     common = _bitmap(staged(common_shingles(docs, text_col, words), "jaccard-common"))
 
     def prefix(s: np.ndarray) -> np.ndarray:
         last = in_bits(s, common)
-        return np.concatenate([s[~last], s[last]])[:prefix_length(len(s), percent)].view(np.int64)
+        return np.concatenate([s[~last], s[last]])[:listed_length(len(s), percent)].view(np.int64)
 
     rows = addressed(docs, id_col, text_col)
     id_type = rows.schema["id"].dataType.simpleString()
@@ -643,19 +663,72 @@ def _cell_pairs(batches: Iterator[pa.RecordBatch], percent: int, last_round: boo
         yield batch()
 
 
-def shared_blocks(prints: DataFrame) -> DataFrame:
+def repeated_keys(lists: DataFrame, total: int) -> tuple[DataFrame, int]:
+    """Which of the ``total`` hashes in a column of lists come more than once:
+    their low bits (six more than their number needs), written, and the mask.
+
+    What shuffles is three bytes a hash: keys go by their high bits to buckets
+    of about 2**18, sorted, and only their low bits (24 at most) are sent."""
+    size = int(total).bit_length()
+    bits = max(10, size - 18)                                  # of the bucket
+    low = max(0, size + 6 - bits)
+    mask, rest = np.int64((1 << (bits + low)) - 1), np.int64((1 << low) - 1)
+    parts = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def packed(held: list[np.ndarray]) -> pa.RecordBatch:
+        keys = np.sort(np.concatenate(held))
+        keys = keys[np.concatenate([[True] * len(keys[:2]), keys[2:] != keys[:-2]])]     # twice says as much as often
+        at, end = _spans(keys >> low)
+        raw = (keys & rest).astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]
+        data = pa.Array.from_buffers(pa.binary(), len(at), [
+            None, pa.py_buffer(np.append(at, len(keys)).astype(np.int32) * np.int32(3)), pa.py_buffer(raw.tobytes())])
+        return pa.RecordBatch.from_arrays([pa.array(keys[at] >> low), data], ["bucket", "low"])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_kept()
+        held, n = [], 0
+        for b in batches:
+            held.append(b.column(0).flatten().to_numpy() & mask)
+            n += len(held[-1])
+            if n >= KEYS:
+                yield packed(held)
+                held, n = [], 0
+        if n:
+            yield packed(held)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def often(bucket: int, data: list[bytes]) -> pa.RecordBatch:
+            raw = np.frombuffer(b"".join(data), np.uint8).reshape(-1, 3).astype(np.int64)
+            keys = np.sort(raw[:, 0] | raw[:, 1] << 8 | raw[:, 2] << 16)
+            again = np.unique(keys[1:][keys[1:] == keys[:-1]])
+            return pa.RecordBatch.from_arrays([pa.array(again | np.int64(bucket) << np.int64(low))], ["key"])
+
+        own, data = None, []
+        for b in batches:
+            for bucket, low_bits in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if bucket != own and data:
+                    yield often(own, data)
+                    data = []
+                own = bucket
+                data.append(low_bits)
+        if data:
+            yield often(own, data)
+
+    dealt = lists.mapInArrow(deal, "bucket long, low binary").repartition(parts, "bucket").sortWithinPartitions("bucket")
+    return staged(dealt.mapInArrow(count, "key long"), "jaccard-often"), int(mask)
+
+
+def shared_blocks(prints: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Rows (block, node, n_shingles, pos) of the blocks of more than one row,
     and a few more; ``pos`` is the shingle's place in its set's order.
 
-    Rows are first counted by a few bits of the block's hash (six more than
-    their number needs); blocks on their own drop out before the rows shuffle,
-    by a bit map while that stays sparse, else by a join with the counted keys.
+    The shingles of all lists are counted by some bits of their hash; those on
+    their own drop out before the rows shuffle, by a bit map while that stays
+    sparse, else by a join with the counted keys, and so do nodes with fewer
+    others than :func:`least_shared`. Only the prefix makes blocks.
     """
     total = prints.agg(F.sum(F.size("prefix"))).first()[0] or 0
-    mask = (1 << (int(total).bit_length() + 6)) - 1
-    keys = prints.select(F.explode("prefix").alias("block")).select(
-        F.col("block").bitwiseAND(F.lit(mask).cast("long")).alias("key"))
-    often = staged(keys.groupBy("key").agg(F.count("*").alias("k")).filter("k > 1").select("key"), "jaccard-often")
+    often, mask = repeated_keys(prints.select("prefix"), total)
     if _fits(often):
         bits, low = _bitmap(often), np.int64(mask)
 
@@ -664,20 +737,27 @@ def shared_blocks(prints: DataFrame) -> DataFrame:
                 lists = b.column(2)
                 block = lists.flatten().to_numpy()
                 sizes = lists.value_lengths().to_numpy()
+                n = b.column(1).to_numpy()
                 own = np.repeat(np.arange(len(sizes)), sizes)
                 pos = np.arange(len(block)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                hit = np.flatnonzero(in_bits((block & low).view(np.uint64), bits))
+                hit = in_bits((block & low).view(np.uint64), bits)
+                enough = np.bincount(own[hit], minlength=len(sizes)) >= [least_shared(k, percent) for k in n.tolist()]
+                first = pos < np.repeat([prefix_length(k, percent) for k in n.tolist()], sizes)
+                hit = np.flatnonzero(hit & first & enough[own])
                 at = pa.array(own[hit])
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).take(at), b.column(1).take(at), pa.array(pos[hit].astype(np.int32)), pa.array(block[hit])],
                     ["node", "n_shingles", "pos", "block"])
 
         rows = prints.select("node", "n_shingles", "prefix").mapInArrow(run, "node long, n_shingles long, pos int, block long")
-    else:
-        rows = prints.select("node", "n_shingles", F.posexplode("prefix").alias("pos", "block"))
-        rows = rows.withColumn("key", F.col("block").bitwiseAND(F.lit(mask).cast("long")))
-        rows = rows.join(often, "key", "left_semi").drop("key")
-    return rows.distinct()                                               # equal sets: one row
+        return rows.distinct()                                           # equal sets: one row
+    rows = prints.select("node", "n_shingles", F.posexplode("prefix").alias("pos", "block"))
+    rows = rows.withColumn("key", F.col("block").bitwiseAND(F.lit(mask).cast("long")))
+    rows = staged(rows.join(often, "key", "left_semi").drop("key").distinct(), "jaccard-hits")
+    need = F.greatest(F.lit(1), F.expr(f"({min(MORE, percent)} * n_shingles + 99) div 100"))
+    enough = rows.groupBy("node", "n_shingles").agg(F.count("*").alias("hits")).filter(F.col("hits") >= need).select("node")
+    first = F.col("n_shingles") - F.expr(f"({percent} * n_shingles + 99) div 100") + 1
+    return rows.filter(F.col("pos") < first).join(enough, "node", "left_semi")
 
 
 def _compatible(n: np.ndarray, pos: np.ndarray, comp: np.ndarray, percent: int) -> np.ndarray:
@@ -751,29 +831,34 @@ def _compatible_rows(batches: Iterator[pa.RecordBatch], percent: int) -> Iterato
 
 
 def _sized_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows, sorted by block, with their block's number of rows ``k``; null
-    for a block too large to look at whole."""
+    """The rows, sorted by block, with their block's number of rows ``k`` and a
+    hash of its set of nodes; null for a block too large to look at whole."""
     for whole, t in _by_block(batches):
-        k = pa.nulls(t.num_rows, pa.int64())
-        if whole:
+        k = nodes = pa.nulls(t.num_rows, pa.int64())
+        if whole and t.num_rows:
             a, b = _spans(t["block"].to_numpy())
             k = pa.array(np.repeat(b - a, b - a))
-        yield from t.append_column("k", k).combine_chunks().to_batches()
+            total = np.add.reduceat(mix(t["node"].to_numpy().view(np.uint64) + _BASE), a)     # in any order
+            nodes = pa.array(np.repeat(total.view(np.int64), b - a))
+        yield from t.append_column("k", k).append_column("nodes", nodes).combine_chunks().to_batches()
 
 
 def crossing(rows: DataFrame, label: DataFrame, percent: int) -> DataFrame:
     """Rows of blocks that hold several components and can hold a link, with
-    comp and the block's number of rows."""
+    comp and the block's number of rows. Near copies meet in a block for each
+    shingle they share; of blocks of the same nodes only one goes on."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     known = rows.join(label, "node", "left").select("block", "n_shingles", "node", F.coalesce("root", "node").alias("comp"), "pos")
     known = known.repartition(parts, "block").sortWithinPartitions("block", "n_shingles")
-    out = staged(known.mapInArrow(lambda b: _sized_rows(_compatible_rows(b, percent)), extended(known, "k long")), "jaccard-cross")
+    out = staged(known.mapInArrow(lambda b: _sized_rows(_compatible_rows(b, percent)), extended(known, "k long, nodes long")),
+                 "jaccard-cross")
+    seen = out.filter("k IS NOT NULL")
+    once = staged(seen.groupBy("nodes").agg(F.min("block").alias("block")).select("block"), "jaccard-once")
+    seen = _with_key(seen, "block", once).drop("nodes")
     # the few blocks that no task saw whole are counted here
-    large = out.filter("k IS NULL").drop("k")
+    large = out.filter("k IS NULL").drop("k", "nodes")
     sizes = staged(large.groupBy("block").agg(F.count("*").alias("k")), "jaccard-sizes")
-    if sizes.isEmpty():
-        return out
-    return out.filter("k IS NOT NULL").unionByName(large.join(sizes, "block"))
+    return seen if sizes.isEmpty() else seen.unionByName(large.join(sizes, "block"))
 
 
 def candidates(rows: DataFrame, points: DataFrame, percent: int, tile: int, last_round: bool) -> DataFrame:
@@ -807,14 +892,15 @@ def centre_pairs(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def vectors_of(prints: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, vector) of the given nodes."""
-    return prints.select("node", "vector").join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    """(node, vector) of the given nodes (written, distinct). Vectors of others
+    do not shuffle: a semi-join would be pushed below the bit map."""
+    return _with_key(prints.select("node", "vector"), "node", nodes).join(nodes, "node").dropDuplicates(["node"])
 
 
 def likely(pairs: DataFrame, prints: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b, na, nb) whose count vectors allow a link, written."""
     pairs = staged(pairs, "jaccard-pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    ends = staged(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "jaccard-ends")
     v = staged(vectors_of(prints, ends), "jaccard-vectors")
     both = (pairs.join(v.select(F.col("node").alias("a"), F.col("vector").alias("va")), "a")
             .join(v.select(F.col("node").alias("b"), F.col("vector").alias("vb")), "b"))
@@ -829,7 +915,7 @@ def likely(pairs: DataFrame, prints: DataFrame, percent: int) -> DataFrame:
             yield hit.select(["a", "b"])
 
     out = staged(both.select("a", "b", "na", "nb", "va", "vb").mapInArrow(run, "a long, b long"), "jaccard-centres")
-    discard(pairs, v)
+    discard(pairs, ends, v)
     return out
 
 
@@ -842,13 +928,14 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     near = likely(centre_pairs(sets, percent), sets, percent)
     links = check(near)
     label = star_labels(links)
-    rows = staged(shared_blocks(sets), "jaccard-shared")
+    rows = staged(shared_blocks(sets, percent), "jaccard-shared")
     for n in range(ROUNDS):
         cross = crossing(rows, label, percent)
         discard(rows)
-        points = staged(vectors_of(sets, cross.select("node").distinct()), "jaccard-points")
+        nodes = staged(cross.select("node").distinct(), "jaccard-nodes")
+        points = staged(vectors_of(sets, nodes), "jaccard-points")
         found = staged(candidates(cross, points, percent, tile, n == ROUNDS - 1), "jaccard-candidates")
-        discard(points)
+        discard(nodes, points)
         pairs = found.filter("a IS NOT NULL").select("a", "b")
         if not pairs.isEmpty():
             links = links.unionByName(check(pairs))
@@ -858,7 +945,10 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             break
         rows = staged(cross.drop("comp", "k").join(left, "block", "left_semi"), "jaccard-left")
         discard(cross)
-    return _named(prints, label).withColumnRenamed("id", id_col)
+    # three numbers a row; the lists and vectors are no longer needed
+    out = staged(_named(prints, label), "jaccard-components")
+    discard(prints, cross)
+    return out.withColumnRenamed("id", id_col)
 
 
 def _named(prints: DataFrame, label: DataFrame) -> DataFrame:
