@@ -1,12 +1,16 @@
 """op10 against all pairs."""
 
+import os
 import random
+import string
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import edge_rows, frame, words
 from tripmart.llm import jaccard_join as J
+from tripmart.llm.common import staged
 
 
 def sets(rows, n=5):
@@ -82,6 +86,45 @@ def test_one_of_each_with_repeated_and_null_ids(spark):
     assert sorted(map(str, map(tuple, kept))) == sorted(map(str, [(7, a), (None, b), (7, None), (7, None), (None, "")]))
 
 
+def scratch_files(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    return {os.path.join(d, f) for d, _, names in os.walk(root) for f in names if f.endswith(".parquet")}
+
+
+def test_one_of_each_with_rows_that_repeat(spark, tmp_path, monkeypatch):
+    """Of rows that repeat id and text the first stays, whatever its other
+    columns; many rows that go are found by a bit map, not a broadcast.
+    Neither a copy of the documents nor the lists of the join are left behind."""
+    monkeypatch.setattr(J, "BROADCAST_KEYS", 1)
+    rng = random.Random(4)
+    # words of random letters: files of them cannot be much smaller
+    texts = [" ".join("".join(rng.choices(string.ascii_lowercase, k=12)) for _ in range(200)) for _ in range(120)]
+    rows = [(i, t, {"n": 3 * i + k}) for i, t in enumerate(texts) for k in range(1 + i % 3)]
+    rows += [(1000 + i, t + " end", {"n": 1000 + i}) for i, t in enumerate(texts[:50])]
+    rows += [(None, texts[0], {"n": 1}), (7, None, {"n": 2}), (7, None, {"n": 2})]
+    frame(spark, rows, "doc_id bigint, text string, extra map<string, int>").coalesce(1).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    before = scratch_files(spark)
+    kept = J.one_of_each(docs)
+    left = sum(os.path.getsize(f) for f in scratch_files(spark) - before)
+    assert left < 0.3 * sum(os.path.getsize(f"{tmp_path}/docs/{f}") for f in os.listdir(f"{tmp_path}/docs"))
+    assert kept.schema == docs.schema
+    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, [
+        *((i, t, {"n": 3 * i}) for i, t in enumerate(texts)), (7, None, {"n": 2}), (7, None, {"n": 2})]))
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    def shuffled():
+        return {f for top in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+                for d, _, names in os.walk(top) for f in names if f.startswith("shuffle_") and f.endswith(".data")}
+    before = shuffled()
+    out = staged(spark.range(1000).groupBy((F.col("id") % 50).alias("k")).agg(F.count("*").alias("n")), "test-shuffle")
+    assert not shuffled() - before
+    assert out.select("n").distinct().collect()[0].n == 20
+    spark.range(10).groupBy("id").count().write.format("noop").mode("overwrite").save()
+    assert shuffled() - before                          # a caller's own writes keep theirs
+
+
 def test_one_of_each_keeps_one_row_of_every_component(spark):
     rng = random.Random(9)
     rows = []

@@ -17,6 +17,7 @@ from ..session import _sc, scratch_path
 CHUNK_BYTES = 4 << 20      # text handled at once inside a task
 LEAN_BYTES = 1 << 20       # where arrays hold many bytes for each byte of text
 BATCH_BYTES = 8 << 20      # of an Arrow batch between the JVM and Python
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -41,9 +42,20 @@ def tokenizer(name: str) -> str:
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: later steps
-    scan the files, and a lost executor costs no recomputation."""
+    scan the files, and a lost executor costs no recomputation. The shuffle
+    files of the write go as it ends: nothing reads them again, and by
+    themselves they stay until the driver collects its garbage."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(SHUFFLE_CLEANUP, None)
+    conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            conf.unset(SHUFFLE_CLEANUP)
+        else:
+            conf.set(SHUFFLE_CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

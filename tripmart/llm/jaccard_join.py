@@ -83,6 +83,7 @@ LEAF = 32             # points of an R-tree leaf
 FANOUT = 8            # children of an R-tree node above the leaves
 PARTNERS = 256        # pairs of one group that are verified together
 BITMAP_WORDS = 1 << 22
+BROADCAST_KEYS = 1 << 20      # row addresses broadcast as they are (8 MB)
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
@@ -253,21 +254,22 @@ def common_shingles(docs: DataFrame, text_col: str, words: int) -> DataFrame:
 
 
 def addressed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, text, and a hash of both by which a row is found again."""
+    """id, text, and a hash of both by which a row is found again (rows that
+    repeat both share it)."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     return rows.withColumn("at", F.xxhash64("id", "text"))
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
-    """id, its row's address, n_shingles, node, the list of its first shingles (common ones last),
-    the first shingles in plain hash order, and the count vector of every row."""
+    """id, its row's address, the hash of its text, n_shingles, node, the list of its first shingles
+    (common ones last), the first shingles in plain hash order, and the count vector of every row."""
     common = _bitmap(staged(common_shingles(docs, text_col, words), "jaccard-common"))
 
     def prefix(s: np.ndarray) -> np.ndarray:
         last = in_bits(s, common)
         return np.concatenate([s[~last], s[last]])[:listed_length(len(s), percent)].view(np.int64)
 
-    rows = addressed(docs, id_col, text_col)
+    rows = addressed(docs, id_col, text_col).withColumn("hash", F.xxhash64("text"))
     id_type = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,14 +279,15 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int, percen
             yield pa.RecordBatch.from_arrays([
                 b.column(b.schema.get_field_index("id")),
                 b.column(b.schema.get_field_index("at")),
+                b.column(b.schema.get_field_index("hash")),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
                 pa.array([prefix(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
                 pa.array([s[:CENTRES].view(np.int64) if len(s) else None for s in sets], pa.list_(pa.int64())),
                 pa.array([pack_vector(count_vector(s)) if len(s) else None for s in sets], pa.binary()),
-            ], ["id", "at", "n_shingles", "node", "prefix", "least", "vector"])
+            ], ["id", "at", "hash", "n_shingles", "node", "prefix", "least", "vector"])
 
-    return rows.mapInArrow(run, f"id {id_type}, at long, n_shingles long, node long, prefix array<long>, "
+    return rows.mapInArrow(run, f"id {id_type}, at long, hash long, n_shingles long, node long, prefix array<long>, "
                                 "least array<long>, vector binary")
 
 
@@ -327,6 +330,26 @@ def _with_key(rows: DataFrame, col: str, keys: DataFrame) -> DataFrame:
             .filter(hit).select(*rows.columns))
 
 
+def _split_by_key(rows: DataFrame, col: str, keys: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The rows whose key is not in ``keys`` (written, distinct, one column of
+    that name) and those whose key is; no second part if there is no key. Up
+    to ``BROADCAST_KEYS`` keys are broadcast; beyond, rows that a bit map
+    rules out pass straight through and only the others shuffle."""
+    n = keys.count()
+    if not n:
+        return rows, None
+    if n <= BROADCAST_KEYS:
+        keys = F.broadcast(keys)
+        return rows.join(keys, col, "left_anti").select(*rows.columns), rows.join(keys, col, "left_semi").select(*rows.columns)
+    bits, words = _bits(keys, 1 << 20)
+    bits = F.broadcast(staged(bits, "jaccard-bits"))
+    seen = rows.withColumn("w", F.pmod(F.shiftright(col, 6), F.lit(words))).join(bits, "w", "left")
+    hit = F.coalesce(F.expr(f"shiftrightunsigned(b, CAST({col} & 63 AS INT)) & 1") == 1, F.lit(False))
+    maybe = seen.filter(hit).select(*rows.columns)
+    out = seen.filter(~hit).select(*rows.columns).unionByName(maybe.join(keys, col, "left_anti").select(*rows.columns))
+    return out, maybe.join(keys, col, "left_semi").select(*rows.columns)
+
+
 def _agree(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Links (a, b) of groups of texts sorted by (a, part, side): the group's
     own text first, then those to compare with it."""
@@ -919,9 +942,10 @@ def likely(pairs: DataFrame, prints: DataFrame, percent: int) -> DataFrame:
     return out
 
 
-def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
-                       percent: int = PERCENT, tile: int = TILE) -> DataFrame:
-    """One row per row of ``docs``: its id, n_shingles and component_id."""
+def _linked(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS, percent: int = PERCENT,
+            tile: int = TILE) -> tuple[DataFrame, DataFrame]:
+    """The :func:`fingerprints` of every row, written, and (node, root) of the
+    nodes on a link: equal roots are one component."""
     prints = staged(fingerprints(docs, id_col, text_col, words, percent), "jaccard-prints")
     sets = prints.filter("node IS NOT NULL")
     check = lambda pairs: verified(pairs, sets, docs, id_col, text_col, words, percent)
@@ -945,9 +969,18 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             break
         rows = staged(cross.drop("comp", "k").join(left, "block", "left_semi"), "jaccard-left")
         discard(cross)
+    discard(cross)
+    return prints, label
+
+
+def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row per row of ``docs``: its id, n_shingles and component_id.
+    ``options``: the ``words`` of a shingle, the ``percent`` of a link and the
+    nodes of a ``tile``."""
+    prints, label = _linked(docs, id_col, text_col, **options)
     # three numbers a row; the lists and vectors are no longer needed
     out = staged(_named(prints, label), "jaccard-components")
-    discard(prints, cross)
+    discard(prints)
     return out.withColumnRenamed("id", id_col)
 
 
@@ -968,20 +1001,31 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     id, and of several such rows the one whose text hashes least. Whether a
     row stays hangs on the row, not on its id alone: rows that share an id
     but not a component are told apart by their set. Rows without shingles
-    all stay; rows without an id stay only where no row of the component has one."""
+    all stay; rows without an id stay only where no row of the component has one.
+
+    ``docs`` is read several times and should come from files; no copy of it
+    is written. Rows are told apart by their address; of rows that repeat id
+    and text, which share it, the first stays."""
     plain, names = numbered(docs)
-    key = F.monotonically_increasing_id()
-    rows = staged(plain.withColumn("_row", key), "jaccard-rows")        # numbers each row once and for all
-    found = similar_components(rows.select("_row", F.col(names[text_col]).alias("text")), "_row", "text", **options)
-    # of each component's rows the one that stays; a component is named by its smallest row number
-    ranked = (rows.select("_row", F.col(names[id_col]).alias("_id"), F.xxhash64(names[text_col]).alias("_hash"))
-              .join(found, "_row"))
-    order = F.struct(F.col("_id").isNull().alias("n"), F.col("_id"), F.col("_hash"), F.col("_row"))
-    groups = ranked.groupBy("component_id").agg(F.min(order).alias("k"), F.count("*").alias("n")).filter("n > 1")
-    stays = staged(groups.select("component_id", F.col("k._row").alias("_stays")), "jaccard-stays")
-    gone = (found.join(stays, "component_id").filter("_row <> _stays").select("_row"))
-    out = rows.join(staged(gone, "jaccard-gone"), "_row", "left_anti").drop("_row")
-    return out.toDF(*docs.columns)
+    key, text = names[id_col], names[text_col]
+    prints, label = _linked(plain.select(key, text), key, text, **options)
+    own = (prints.filter("node IS NOT NULL").select("id", "at", "hash", "node").join(label, "node", "left")
+           .withColumn("group", F.coalesce("root", "node")))
+    order = F.struct(F.col("id").isNull().alias("n"), F.col("id"), F.col("hash"), F.col("at"))
+    groups = own.groupBy("group").agg(F.min(order).alias("k"), F.count("*").alias("n")).filter("n > 1")
+    stays = staged(groups.select("group", F.col("k.at").alias("stays")), "jaccard-stays")
+    members = staged(own.join(stays, "group").groupBy("at").agg(F.first(F.col("at") == F.col("stays")).alias("stays"),
+                                                               F.count("*").alias("n")), "jaccard-members")
+    discard(prints, stays)
+    gone = staged(members.filter("NOT stays").select(F.col("at").alias("_at")), "jaccard-gone")
+    twice = staged(members.filter("stays AND n > 1").select(F.col("at").alias("_at")), "jaccard-twice")
+    rows = plain.withColumn("_at", F.xxhash64(key, text)).withColumn("_nth", F.monotonically_increasing_id())
+    out, _ = _split_by_key(rows, "_at", gone)
+    out, again = _split_by_key(out, "_at", twice)
+    if again is not None:
+        first = again.groupBy("_at").agg(F.min_by(F.struct(*plain.columns), "_nth").alias("row"))
+        out = out.select(*plain.columns).unionByName(first.select("row.*"))
+    return out.select(*plain.columns).toDF(*docs.columns)
 
 
 def with_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
