@@ -14,7 +14,7 @@ reads.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,17 +63,30 @@ def tag_file(df: DataFrame, filename: str | None = None) -> DataFrame:
 
 
 ROWS_PER_FILE = 5_000_000
+ROWS_WORTH_A_FILE = 250_000
+BROADCAST_KEYS = 100_000
 
 
-def _layout(df: DataFrame, batch: DataFrame, date_col: str, key: str) -> DataFrame:
+def _days(batch: DataFrame, date_col: str, file_col: str | None = None) -> DataFrame:
+    """A row for each date of a batch that lies in files: its rows, how many
+    tasks that scan the batch hold some, the most that one holds, and its
+    first and last file. One scan of these columns; the result is written."""
+    files = [f(file_col or F.lit(None).cast("string")).alias(n) for f, n in ((F.min, "_first"), (F.max, "_last"))]
+    held = batch.groupBy(F.col(date_col).alias("_date"), F.spark_partition_id().alias("_task")).agg(
+        F.count(F.lit(1)).alias("_rows"), *files)
+    days = held.groupBy("_date").agg(F.sum("_rows").alias("_rows"), F.count(F.lit(1)).alias("_tasks"),
+                                     F.max("_rows").alias("_most"), F.min("_first").alias("_first"), F.max("_last").alias("_last"))
+    return persist_table(days, scratch_path(batch.sparkSession, "merge_days"))
+
+
+def _layout(df: DataFrame, days: DataFrame, date_col: str, key: str) -> DataFrame:
     """Deal rows by (date, hash of the key) in one pass: a date of the batch
     gets a task for each ``ROWS_PER_FILE`` rows, so a hot date is split and a
     small one makes one file. Files are sorted by key. The number of tasks is
     given: merging small ones would open thousands of date files in a row."""
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sizes = (batch.groupBy(F.col(date_col).alias("_date"))
-             .agg(F.ceil(F.count(F.lit(1)) / ROWS_PER_FILE).cast("int").alias("_tasks")))
-    dealt = df.join(sizes, df[date_col].eqNullSafe(sizes["_date"]), "left")
+    sizes = days.select("_date", F.ceil(F.col("_rows") / ROWS_PER_FILE).cast("int").alias("_tasks"))
+    dealt = df.join(F.broadcast(sizes), df[date_col].eqNullSafe(sizes["_date"]), "left")
     part = F.pmod(F.xxhash64(key), F.coalesce("_tasks", F.lit(1)))
     return (dealt.repartition(tasks, F.col(date_col), part).select(*df.columns)
             .sortWithinPartitions(date_col, key))
@@ -110,34 +123,52 @@ def append_new(spark: SparkSession, batch: DataFrame, target_path: str, key: str
     batch = batch.withColumn(date_col, F.to_date(F.col(ts_col)))
     if not stored:
         batch = persist_table(batch, scratch_path(spark, "merge_batch"), **CODEC)
-    with small_tasks(spark, batch.count()):
-        _append_written(spark, batch, target_path, key, date_col, key_holds_date, first_by, keep_first_by)
-
-
-def _append_written(spark: SparkSession, batch: DataFrame, target_path: str, key: str, date_col: str,
-                    key_holds_date: bool, first_by: str | None, keep_first_by: bool) -> None:
-    """:func:`append_new` of a batch that lies in files."""
+    with small_tasks(spark, 0, scans=True):
+        days = _days(batch, date_col, first_by)
+    lies = days.agg(
+        F.min("_date").alias("lo"), F.max("_date").alias("hi"), F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum("_tasks"), F.lit(0)).alias("pieces"), F.coalesce(F.max("_most"), F.lit(0)).alias("most"),
+        F.coalesce(F.sum(F.ceil(F.col("_rows") / ROWS_WORTH_A_FILE)), F.lit(0)).alias("files"),
+        F.coalesce(F.bool_or(F.col("_date").isNull()), F.lit(False)).alias("undated")).first()     # one row
+    with small_tasks(spark, lies.rows, scans=True):
+        _append_written(spark, batch, days, lies, target_path, key, date_col, key_holds_date, first_by, keep_first_by)
+
+
+def _append_written(spark: SparkSession, batch: DataFrame, days: DataFrame, lies: Row, target_path: str, key: str,
+                    date_col: str, key_holds_date: bool, first_by: str | None, keep_first_by: bool) -> None:
+    """:func:`append_new` of a batch that lies in files. Where its dates lie
+    together in them (files of months) and no join moves the rows, they go to
+    their date folders straight from the scan; else they are dealt by date."""
+    together = lies.pieces <= 2 * lies.files and lies.most <= ROWS_PER_FILE
     if first_by:
-        batch = first_file_rows(batch, key, first_by)
+        dates = None
+        if key_holds_date and not lies.undated:      # a key of several files has a date of several files
+            dates = days.filter(F.col("_first") < F.col("_last")).select("_date")
+        if dates is None or not dates.isEmpty():
+            first = _first_files(batch, key, first_by, dates, date_col)
+            few = first.count() <= BROADCAST_KEYS
+            batch, together = _without_later(batch, F.broadcast(first) if few else first, key, first_by), together and few
         batch = batch if keep_first_by else batch.drop(first_by)
     target = _read_target(spark, target_path, batch.schema)
     add = batch
     if target is not None and key_holds_date:
-        span = batch.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).first()
         dates = F.col(date_col).isNull()
-        if span.lo is not None:
-            dates = dates | F.col(date_col).between(F.lit(span.lo), F.lit(span.hi))
+        if lies.lo is not None:
+            dates = dates | F.col(date_col).between(F.lit(lies.lo), F.lit(lies.hi))
         target = target.filter(dates)
         held = target.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).first()
         both = F.col(date_col).isNull()
         if held.lo is not None:
             both = both | F.col(date_col).between(F.lit(held.lo), F.lit(held.hi))
-        # rows of dates that the target lacks are new without a look at it
-        add = (batch.filter(~both)
-               .unionByName(new_rows(batch.filter(both), target.select(key), key).select(*batch.columns)))
+        if held.lo is not None or lies.undated:
+            # rows of dates that the target lacks are new without a look at it
+            add = (batch.filter(~both)
+                   .unionByName(new_rows(batch.filter(both), target.select(key), key).select(*batch.columns)))
+            together = False
     elif target is not None:
-        add = new_rows(batch, target.select(key), key).select(*batch.columns)
-    (_layout(add, batch, date_col, key).write.mode("append").options(**CODEC).partitionBy(date_col).parquet(target_path))
+        add, together = new_rows(batch, target.select(key), key).select(*batch.columns), False
+    out = add.sortWithinPartitions(date_col, key) if together else _layout(add, days, date_col, key)
+    out.write.mode("append").options(**CODEC).partitionBy(date_col).parquet(target_path)
 
 
 def ingest_month(spark: SparkSession, month_df: DataFrame, target_path: str, filename: str,
@@ -163,11 +194,21 @@ def first_file_rows(df: DataFrame, key: str, file_col: str) -> DataFrame:
     without a key all stay, as an insert-only merge keeps them.
 
     ``df`` is a written table. Only keys that several files hold can lose a
-    row; one aggregate finds them, and they are few where files are months.
-    It counts by a hash: a key of one row needs no look at its file, and
-    of the others only the rows with a hash that repeats go on by their key.
-    Both small results are written, so that Spark plans the joins by their
-    sizes and leaves the rows of ``df`` where they are."""
+    row; they are few where files are months, and found first."""
+    return _without_later(df, _first_files(df, key, file_col), key, file_col)
+
+
+def _first_files(df: DataFrame, key: str, file_col: str, dates: DataFrame | None = None,
+                 date_col: str | None = None) -> DataFrame:
+    """The keys that several files hold, with the first of these; of the
+    given ``dates`` only.
+
+    Rows are counted by a hash of the key: a key of one row needs no look at
+    its file, and of the others only the rows with a hash that repeats go on
+    by their key. Both small results are written, so that Spark plans the
+    joins by their sizes and leaves the rows of ``df`` where they are."""
+    if dates is not None:
+        df = df.join(F.broadcast(dates), df[date_col].eqNullSafe(dates["_date"]), "left_semi")
     code = F.xxhash64(key)
     keyed = df.filter(F.col(key).isNotNull()).select(F.col(key), F.col(file_col), code.alias("_code"))
     repeated = keyed.groupBy(F.col("_code").alias("_again")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_again")
@@ -176,7 +217,11 @@ def first_file_rows(df: DataFrame, key: str, file_col: str) -> DataFrame:
     spans = keyed.groupBy(F.col(key).alias("_key")).agg(
         F.min(file_col).alias("_first"), F.max(file_col).alias("_last"))
     first = spans.filter(F.col("_first") < F.col("_last")).drop("_last")
-    first = persist_table(first, scratch_path(df.sparkSession, "first_files"))
+    return persist_table(first, scratch_path(df.sparkSession, "first_files"))
+
+
+def _without_later(df: DataFrame, first: DataFrame, key: str, file_col: str) -> DataFrame:
+    """Rows that no earlier file of :func:`_first_files` brings."""
     later = (df[key] == first["_key"]) & (df[file_col] > first["_first"])
     return df.join(first, later, "left_anti")
 

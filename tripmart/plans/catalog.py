@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import staging as S
 from ..sources import fixtures as FX
 from . import marts as M
-from ..session import _sc, apply_runtime_conf, scratch_path, small_tasks
+from ..session import SHUFFLES_GO, _sc, apply_runtime_conf, scratch_path, settings, small_tasks
 from ..sinks import writers as W
 from .outputs import neutral
 
@@ -82,7 +82,8 @@ class Models:
         if not self.materialize_inputs:
             return raw
         path = scratch_path(self.spark, "fhv_raw")
-        raw.write.parquet(path)
+        with settings(self.spark, SHUFFLES_GO):
+            raw.write.parquet(path)
         return self.spark.read.parquet(path).select(*raw.columns)
 
     @cached_property

@@ -203,26 +203,24 @@ UNION ALL SELECT 'fhv', {_month_sql('fhv')}, NULL, pickup_datetime, dropOff_date
 FROM fhv_raw""", "raw_yellow", "raw_green", "fhv_raw"))
 def q_ingest_csv(m: Models):
     """S1 / S2 / P4 / I1 / K2 end to end: every month of yellow, green and fhv
-    as CSV files in their real column order, read with the declared schema.
+    as gzipped CSV files in their real column order, read with the declared schema.
     Yellow and green are renamed, hashed (7 fields) and merged insert-only,
     and one month arrives again and adds nothing; fhv is landed as parquet."""
     out = None
     for service in ("yellow", "green"):
         raw = m.raw_yellow if service == "yellow" else m.raw_green
         landing, target = (scratch_path(m.spark, f"csv_{service}_{x}") for x in ("landing", "target"))
-        laid = R.file_layout(raw, service).withColumn("filename", MG.month_file(service, raw_pickup(service)))
-        W.write_csv(laid, landing, partition_by=["filename"])
+        W.write_month_files(raw, landing, service, MG.month_file(service))
         files = R.raw_names(R.read_trips_csv(m.spark, landing, service))
-        MG.ingest_files(m.spark, files, target)
-        MG.ingest_files(m.spark, files.filter(F.col("filename") == MG.month_file_name(service, 1997, 6)), target)
+        MG.ingest_files(m.spark, files, target, stored=True)
+        MG.ingest_files(m.spark, files.filter(F.col("filename") == MG.month_file_name(service, 1997, 6)), target, stored=True)
         part = m.spark.read.parquet(target).select(
             F.lit(service).alias("service"), "filename", "unique_row_id", "pickup_datetime", "dropoff_datetime",
             F.col("pickup_location_id").alias("pickup_location"), F.col("dropoff_location_id").alias("dropoff_location"),
             F.col("payment_type").cast("double").alias("payment_type"), F.col("total_amount").cast("double").alias("total_amount"))
         out = part if out is None else out.unionByName(part)
     landing, target = (scratch_path(m.spark, f"csv_fhv_{x}") for x in ("landing", "target"))
-    laid = R.file_layout(m.fhv_raw, "fhv").withColumn("filename", MG.month_file("fhv"))
-    W.write_csv(laid, landing, partition_by=["filename"])
+    W.write_month_files(m.fhv_raw, landing, "fhv", MG.month_file("fhv"))
     W.csv_to_parquet(m.spark, landing, target, "fhv")
     fhv = m.spark.read.parquet(target).select(
         F.lit("fhv").alias("service"), "filename", F.lit(None).cast("string").alias("unique_row_id"), "pickup_datetime",
@@ -232,11 +230,6 @@ def q_ingest_csv(m: Models):
     return out.unionByName(fhv)
 
 
-def raw_pickup(service: str) -> str:
-    """The pickup column of a service's files."""
-    return {"yellow": "tpep_pickup_datetime", "green": "lpep_pickup_datetime"}[service]
-
-
 # --- layout: partitioned + clustered table, pruned scan ----------------------------
 
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]

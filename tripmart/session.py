@@ -96,18 +96,13 @@ ROWS_PER_TASK = 400_000
 TASK_BYTES = 16 * 1024 * 1024
 
 
+# Shuffle files go as their query ends; by themselves they stay until the driver collects its garbage.
+SHUFFLES_GO = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
 @contextmanager
-def small_tasks(spark: SparkSession, rows: int, folders: int = 0):
-    """For writes of ``rows`` wide rows: a shuffle inside gets at least a
-    partition for each ``ROWS_PER_TASK`` rows, and AQE merges them only up to
-    ``TASK_BYTES``, so that a task sorts in memory at any size of the table
-    (64 MB of shuffled rows are 1 GB in two sorts, which spilled). ``folders``
-    is the number of partition folders that a task may keep open: up to it,
-    rows go to their folders without a sort. The old settings come back."""
-    new = {"spark.sql.shuffle.partitions": str(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_TASK))),
-           "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TASK_BYTES)}
-    if folders:
-        new["spark.sql.maxConcurrentOutputFileWriters"] = str(folders)
+def settings(spark: SparkSession, new: dict[str, str]):
+    """Runtime settings for what runs inside; the old ones come back."""
     old = {k: spark.conf.get(k) for k in new}
     try:
         for k, v in new.items():
@@ -118,6 +113,26 @@ def small_tasks(spark: SparkSession, rows: int, folders: int = 0):
             spark.conf.set(k, v)
 
 
+def small_tasks(spark: SparkSession, rows: int, folders: int = 0, scans: bool = False):
+    """For writes of ``rows`` wide rows: a shuffle inside gets at least a
+    partition for each ``ROWS_PER_TASK`` rows, and AQE merges them only up to
+    ``TASK_BYTES``, so that a task sorts in memory at any size of the table
+    (64 MB of shuffled rows are 1 GB in two sorts, which spilled). ``folders``
+    is the number of partition folders that a task may keep open: up to it,
+    rows go to their folders without a sort. With ``scans`` a task that reads
+    files gets ``TASK_BYTES`` of them too. Shuffle files go with their write.
+    Code over 8,000 bytes, which the JVM would interpret, is left in smaller
+    pieces. The old settings come back."""
+    new = {"spark.sql.shuffle.partitions": str(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_TASK))),
+           "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TASK_BYTES),
+           "spark.sql.codegen.hugeMethodLimit": "8000", **SHUFFLES_GO}
+    if folders:
+        new["spark.sql.maxConcurrentOutputFileWriters"] = str(folders)
+    if scans:
+        new["spark.sql.files.maxPartitionBytes"] = str(TASK_BYTES)
+    return settings(spark, new)
+
+
 def _sc(spark: SparkSession):
     """The SparkContext, or None on a session without one (Spark Connect)."""
     try:

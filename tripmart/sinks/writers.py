@@ -10,11 +10,12 @@ from __future__ import annotations
 import uuid
 from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config
+from ..session import ROWS_PER_TASK, cores, small_tasks
 from ..sources import readers as R
 
 
@@ -228,8 +229,32 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", partition_b
     for each value of ``partition_by``."""
     if partition_by:
         df = df.hint("rebalance", *partition_by)      # a hot value is split over several files
+    _csv_writer(df, mode, partition_by).csv(path)
+
+
+def _csv_writer(df: DataFrame, mode: str, partition_by: Sequence[str]):
     w = df.write.mode(mode).option("header", True).option("timestampNTZFormat", R.CSV_TIMESTAMP_FORMAT)
-    (w.partitionBy(*partition_by) if partition_by else w).csv(path)
+    return w.partitionBy(*partition_by) if partition_by else w
+
+
+OPEN_MONTHS = 32         # files that a task keeps open while it writes months
+
+
+def write_month_files(raw: DataFrame, path: str, service: str, filename: Column,
+                      ts_col: str = "pickup_datetime") -> None:
+    """Raw trips as the service's monthly files: gzipped CSV in the files'
+    columns, a folder for each ``filename`` (a column over ``raw``).
+
+    Rows are dealt once, as they are stored: the files' wider types are made
+    where they are written. They are dealt by ranges of days, a hot day to
+    several tasks, so that a file holds few dates (a load by date finds them
+    together) and at most about ``ROWS_PER_TASK`` rows (gzip does not split)."""
+    spark, rows = raw.sparkSession, raw.count()
+    tasks = max(cores(spark), -(-rows // ROWS_PER_TASK))
+    dealt = raw.repartitionByRange(tasks, F.to_date(ts_col), F.xxhash64(*raw.columns))
+    laid = R.file_layout(dealt, service, filename=filename)
+    with small_tasks(spark, rows, folders=OPEN_MONTHS):
+        _csv_writer(laid, "errorifexists", ["filename"]).option("compression", "gzip").csv(path)
 
 
 def drop_table(spark: SparkSession, name: str) -> None:

@@ -147,16 +147,17 @@ def raw_names(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(RAW_NAMES.get(c, c)) for c in df.columns])
 
 
-def file_layout(raw: DataFrame, service: str) -> DataFrame:
+def file_layout(raw: DataFrame, service: str, **more) -> DataFrame:
     """The reverse: raw trips in the column names and order of the service's
     files. Columns that the raw trips lack are NULL, and so are codes that a
-    file's type cannot hold."""
+    file's type cannot hold. ``more`` are columns over the raw trips that
+    follow by name."""
     pickup = {"yellow": "tpep_", "green": "lpep_"}.get(service, "")
     back = {v: k for k, v in RAW_NAMES.items() if not k.startswith(("tpep_", "lpep_"))}
     back |= {f"{w}_datetime": f"{pickup}{w}_datetime" for w in ("pickup", "dropoff")} if pickup else {}
     named = {back.get(c, c): c for c in raw.columns}
     return raw.select(*[(F.col(named[n]).try_cast(t) if n in named else F.lit(None).cast(t)).alias(n)
-                        for n, t in CSV_COLUMNS[service]])
+                        for n, t in CSV_COLUMNS[service]], *[c.alias(n) for n, c in more.items()])
 
 
 def spread(df: DataFrame, keys=(), min_partitions: int | None = None) -> DataFrame:
