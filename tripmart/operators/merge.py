@@ -118,7 +118,8 @@ def append_new(spark: SparkSession, batch: DataFrame, target_path: str, key: str
     between the batch's first and last, and its NULL date, are read, and only
     the batch's rows between the target's first and last of these are joined.
     ``stored``: the batch is a plain scan of written files (and hashes of its
-    columns), so that it is not written once more.
+    columns), so that it is not written once more. A first scan reads dates
+    and files alone (see :func:`_days`); the second writes.
     """
     batch = batch.withColumn(date_col, F.to_date(F.col(ts_col)))
     if not stored:

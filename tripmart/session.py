@@ -94,8 +94,6 @@ def apply_runtime_conf(spark: SparkSession) -> None:
 
 ROWS_PER_TASK = 400_000
 TASK_BYTES = 16 * 1024 * 1024
-
-
 # Shuffle files go as their query ends; by themselves they stay until the driver collects its garbage.
 SHUFFLES_GO = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
